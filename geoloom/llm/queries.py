@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import quality_rules
+from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
 
@@ -14,8 +17,32 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    encoded = encode_texts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rules = quality_rules.learn_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", "stats.n_words", "stats.word_chars", "stats.n_symbols", "stats.n_dup_lines", "stats.n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_exact_dedup": op5_exact_dedup}
+    return {
+        "op5_exact_dedup": op5_exact_dedup,
+        "op9_byte_bpe": op9_byte_bpe,
+        "op10_quality_rules": op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
