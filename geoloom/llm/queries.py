@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import chat_format, quality_rules, warc
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
@@ -17,6 +17,36 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+#: The conversation that op4 adds to the table.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    trap = spark.sql("SELECT stack(2, 0L, 'user', 1L, 'assistant') AS (turn, role)").select(
+        F.lit(-7).cast("long").alias("conv_id"), "turn", "role", F.lit(TRAP).alias("text")
+    )
+    made = chat_format.format_conversations(talks.unionByName(trap))
+    told = made.select("conv_id", "formatted", chat_format.parse(F.col("formatted")).alias("turns"), chat_format.span_texts(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return told.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return archive.select(
+        F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,7 +69,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_chat_format": op4_chat_format,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_warc": op7_warc,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
@@ -47,8 +79,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_chat_format": r"""
+            WITH rows AS (
+                SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+                UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+            marked AS (
+                SELECT *, contains(text, '\') OR contains(text, '### ') OR contains(text, '</turn>')
+                    OR contains(role, '\') OR contains(role, '### ') OR contains(role, '</turn>') OR contains(role, ': ') AS odd FROM rows),
+            told AS (
+                SELECT conv_id, count(*) AS n_turns,
+                    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+                    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+                    bool_or(odd) AS odd,
+                    sum(length('### ' || role || ': ' || text || '</turn>' || chr(10))) AS plain,
+                    sum(length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, '### ', ''))) / 4
+                        + (length(text) - length(replace(text, '</turn>', ''))) / 7) AS more
+                FROM marked GROUP BY conv_id)
+            SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+                CAST(plain + CASE WHEN odd THEN more ELSE 0 END AS BIGINT) AS formatted_chars
+            FROM told""",
         "op5_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+        "op7_warc": """
+            WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS data FROM pages),
+            r AS (SELECT page_id, octet_length(data) AS payload_bytes, sha1(data) AS payload_digest,
+                    max(page_id) OVER (PARTITION BY data) AS owner FROM p)
+            SELECT page_id, payload_bytes, payload_digest,
+                CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+                CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN owner END AS refers_to
+            FROM r""",
     }
