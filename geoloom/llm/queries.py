@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, quality_rules, warc
+from . import chat_format, mixing, quality_rules, warc
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
@@ -17,6 +17,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 #: The conversation that op4 adds to the table.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -69,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": op1_mixing,
         "op4_chat_format": op4_chat_format,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_warc": op7_warc,
