@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, mixing, quality_rules, warc
+from . import chat_format, mixing, quality_rules, toxicity, warc
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
@@ -21,6 +21,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.learn(docs, labels.filter(~toxicity.held_out()))
+    scored = toxicity.score_texts(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 #: The conversation that op4 adds to the table.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -74,6 +82,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_toxicity": op2_toxicity,
         "op4_chat_format": op4_chat_format,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_warc": op7_warc,
