@@ -11,6 +11,7 @@ from . import chat_format, mixing, quality_rules, toxicity, warc
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
+from .near_dedup import near_duplicates
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat_format": op4_chat_format,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_warc": op7_warc,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
     }

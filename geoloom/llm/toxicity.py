@@ -36,7 +36,7 @@ SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t",
 SIGN_CODE = 62
 #: Costs, in nats, of a reading: a sign as a letter, a sign dropped (more than a letter costs under the
 #: language model, or dropping would always pay), a border in a spaced-out span, a repeated letter dropped.
-AS_LETTER, DROPPED, BORDER, REPEAT_DROPPED = 1.0, 7.0, 2.0, 1.0
+AS_LETTER, DROPPED, BORDER, REPEAT_DROPPED = 1.0, 9.0, 2.0, 1.0
 SPAN_MEMO = 100_000
 #: Texts are worked on in pieces of about so many characters together.
 CHUNK_CHARS = 1 << 20
