@@ -74,11 +74,11 @@ def _running(totals: DataFrame, keys: list[str], at: str, size: str, out: str) -
 
 
 def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
-    """One row per document: rid, doc_id, source, size, source_size, target, cum (its source's words up to it).
+    """One row per document: rid, doc_id, text_sha256, source, size, source_size, target, cum (its source's words up to it).
 
     The order within a source is by a hash of seed and id, then id, then row number.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("text_sha256"))
     rows = rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("rid") * F.col("doc_id").isNull().cast("long")))
     high = F.shiftright(F.col("h"), 56).cast("int") + 128
     middle = F.shiftright(F.col("h"), 48).bitwiseAND(F.lit(0xFF).cast("long")).cast("int")
@@ -94,12 +94,12 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     within = Window.partitionBy("source", "r1", "r2").orderBy("h", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("local", F.sum("size").over(within))
     return local.alias("l").join(starts.alias("s"), same("l", "s", ["source", "r1", "r2"])).select(
-        "l.rid", "l.doc_id", "l.source", "l.size", "s.source_size", "s.target", (F.col("before") + F.col("local")).alias("cum")
+        "l.rid", "l.doc_id", "l.text_sha256", "l.source", "l.size", "s.source_size", "s.target", (F.col("before") + F.col("local")).alias("cum")
     )
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
-    """One row per row of docs: rid, doc_id, source, size, source_size, target, taken (words), copies (0 to 2), finish (of the first copy).
+    """One row per row of docs: rid, doc_id, text_sha256, source, size, source_size, target, taken (words), copies (0 to 2), finish (of the first copy).
 
     Whole documents are taken, in the order of finish time (ties by hash order of id, then
     row number, then pass), as long as their words fit into the budget. Null text: size 0; such
@@ -134,7 +134,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken = queue.filter(F.col("range") < end).select("rid", "size").unionByName(last.select("rid", "size"))
     counts = taken.groupBy("rid").agg(F.sum("size").alias("taken"), F.count(F.lit(1)).cast("int").alias("copies"))
     return planned.join(counts, "rid", "left").select(
-        "rid", "doc_id", "source", "size", "source_size", "target",
+        "rid", "doc_id", "text_sha256", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("copies", F.lit(0)).alias("copies"),
         F.when(F.col("target") > 0, F.col("cum").cast("double") / F.col("target")).alias("finish"),
     )
