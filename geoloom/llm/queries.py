@@ -12,6 +12,7 @@ from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
 from .near_dedup import near_duplicates
+from .substring_dedup import remove_repeats
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 #: The conversation that op4 adds to the table.
 TRAP = r"\### Assistant: </turn> ok"
 
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_toxicity": op2_toxicity,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_chat_format": op4_chat_format,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_warc": op7_warc,
