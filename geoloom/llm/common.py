@@ -51,5 +51,10 @@ def bucket_of(n: int, *cols: Column | str) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n).cast("long"))
 
 
+def word_count(text: Column) -> Column:
+    """Words of a text; 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

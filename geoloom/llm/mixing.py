@@ -16,10 +16,10 @@ one by one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, materialize
+from .common import materialize, word_count
 
 #: Weights that sources get in turn, in code point order, and the budget as a share of all words.
 WEIGHTS = (5, 2, 1)
@@ -29,10 +29,6 @@ MOST_PASSES = 2
 RANGES = 256
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-
-
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_percent: int = BUDGET_PERCENT, most_passes: int = MOST_PASSES) -> DataFrame:
     """source, source_size, target for a table of one row per source (source, source_size).
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, mixing, quality_rules, toxicity, warc
+from . import chat_format, lm_score, mixing, quality_rules, toxicity, warc
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
@@ -58,6 +58,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.score_texts(documents(spark, sf_dir))
+    return scored.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), "n_full")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return archive.select(
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_chat_format": op4_chat_format,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_lm_score": op6_lm_score,
         "op7_warc": op7_warc,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_byte_bpe": op9_byte_bpe,
@@ -129,6 +135,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+        "op6_lm_score": r"""
+            WITH w AS (
+                SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v, CASE WHEN i > 2 THEN ws[i - 2] END AS u
+                FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents) d, unnest(range(1, len(ws) + 1)) AS t(i)),
+            c AS (
+                SELECT *, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS n0,
+                    count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY doc_id, w) AS c1,
+                    count(*) OVER (PARTITION BY v, w) - count(*) OVER (PARTITION BY doc_id, v, w) AS c2,
+                    count(*) OVER (PARTITION BY u, v, w) - count(*) OVER (PARTITION BY doc_id, u, v, w) AS c3
+                FROM w),
+            p AS (
+                SELECT *, lag(c1) OVER d AS b1, lag(c2) OVER d AS b2, least(i, 3) AS depth FROM c WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+            s AS (
+                SELECT doc_id, CASE WHEN depth = 3 AND c3 > 0 THEN c3 / b2
+                        WHEN depth >= 2 AND c2 > 0 THEN c2 / b1 * pow(0.4, depth - 2)
+                        WHEN c1 > 0 THEN c1 / n0 * pow(0.4, depth - 1)
+                        ELSE pow(0.4, depth) / greatest(n0, 1) END AS score,
+                    CASE depth WHEN 3 THEN c3 > 0 WHEN 2 THEN c2 > 0 ELSE c1 > 0 END AS whole
+                FROM p)
+            SELECT d.doc_id, count(score) AS n_words, round(coalesce(sum(ln(score)), 0), 3) AS log_score, count(*) FILTER (whole) AS n_full
+            FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id""",
         "op7_warc": """
             WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS data FROM pages),
             r AS (SELECT page_id, octet_length(data) AS payload_bytes, sha1(data) AS payload_digest,
