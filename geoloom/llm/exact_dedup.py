@@ -101,6 +101,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     named = name_texts(docs, id_col, text_col, block_bytes)
     groups = named.groupBy("n_blocks", "name").agg(F.max(F.struct("doc_id", "rid")).alias("last"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialize(groups, "text-groups")  # so that the join below has exchanges of its own, which can be split where a group is large
     return named.join(groups, ["n_blocks", "name"]).select(
         "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("last.rid")).alias("kept"), "text_sha256"
     )
