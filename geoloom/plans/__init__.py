@@ -1,0 +1,3 @@
+"""Queries over the domain tables, each with its DuckDB twin. Importing this package registers them all."""
+
+from . import grids, metrics, report  # noqa: F401
