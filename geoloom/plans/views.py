@@ -27,7 +27,7 @@ VIEWS = {
                 WHEN 4 THEN 'scene_' || lpad(CAST(p_partkey AS STRING), 6, '0') || '.tif.aux.xml'
                 WHEN 5 THEN 'ортофото_scene_' || lpad(CAST(p_partkey AS STRING), 6, '0') || '.tif'
                 ELSE 'readme_' || CAST(p_partkey AS STRING) || '.txt' END AS key,
-            CAST(p_retailprice * 100 AS BIGINT) AS size, p_size AS age FROM @part""",
+            CAST(floor(p_retailprice * 100) AS BIGINT) AS size, p_size AS age FROM @part""",
     # Lines of a scene list: names in other spellings, comments, blanks, folders.
     "scene_lines": """
         SELECT p_partkey AS seq, CASE p_partkey % 8 WHEN 0 THEN '  scene_' || lpad(CAST(p_partkey AS STRING), 6, '0') || '.tif  extra words'
@@ -66,7 +66,7 @@ VIEWS = {
         SELECT dataset_version, make_date(1994 + CAST(substr(dataset_version, 2) AS INT), 3, 1) AS start FROM @runs GROUP BY dataset_version""",
     # Queue messages and gauge samples.
     "messages": """
-        SELECT event_id, ts, user_id AS scene, event_type AS stage, CAST(value * 100 AS BIGINT) AS bytes, value, event_id % 4 AS attempt, event_id % 97 AS tile FROM @events""",
+        SELECT event_id, ts, user_id AS scene, event_type AS stage, CAST(floor(value * 100) AS BIGINT) AS bytes, value, event_id % 4 AS attempt, event_id % 97 AS tile FROM @events""",
 }
 
 
