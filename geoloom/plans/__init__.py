@@ -1,3 +1,3 @@
 """Queries over the domain tables, each with its DuckDB twin. Importing this package registers them all."""
 
-from . import grids, matching, metrics, report, tiles  # noqa: F401
+from . import grids, matching, metrics, report, stream, tiles  # noqa: F401
