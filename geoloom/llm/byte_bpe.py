@@ -12,18 +12,19 @@ may stand side by side is the one that the merges make.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: A piece's encoding is kept for the next time, up to so many pieces; then the memo starts anew.
-PIECE_MEMO = 800_000
-PAIR_MEMO = 500_000
+PIECE_MEMO = 400_000
+PAIR_MEMO = 300_000
 #: A token's size and rank are packed into one number.
 RANK_BITS = 32
 RANK_MASK = (1 << RANK_BITS) - 1
@@ -86,7 +87,7 @@ class Encoder:
             self.automaton.add_word(token.decode("latin-1"), len(token) << RANK_BITS | rank)
         self.automaton.make_automaton()
         self.size_of = {rank: len(token) for rank, token in vocabulary.bytes_of.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by left << RANK_BITS | right
         self.pieces = Pieces(self.encode_piece)
 
     def may_adjoin(self, left: int, right: int) -> bool:
@@ -117,7 +118,7 @@ class Encoder:
                 undone, from_left, b = b, False, pb[0]
         if len(self.pairs) >= PAIR_MEMO:
             self.pairs.clear()
-        self.pairs[left, right] = fits
+        self.pairs[left << RANK_BITS | right] = fits
         return fits
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -139,7 +140,7 @@ class Encoder:
             if reachable[end]:
                 if last < 0:
                     fits = True
-                elif (fits := pairs.get((last, token))) is None:
+                elif (fits := pairs.get(last << RANK_BITS | token)) is None:
                     fits = self.may_adjoin(last, token)
                 if fits:
                     out.append(token)
@@ -155,28 +156,54 @@ class Encoder:
             at -= size_of[token]
             last = out[-1] if out else -1
 
-    def encode(self, text: str) -> list[int]:
+    def pack(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers in native order."""
         if len(self.pieces) > PIECE_MEMO:
             self.pieces.clear()
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.pack(text)).tolist()
 
 
-class Pieces(dict[str, list[int]]):
-    """Encodings by piece; a piece that is missing is encoded, and kept unless it is long."""
+class Pieces(dict[str, bytes]):
+    """Packed encodings by piece; a piece that is missing is encoded, and kept unless it is long."""
 
     def __init__(self, make: Callable[[bytes], list[int]]):
         super().__init__()
         self.make = make
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.make(piece.encode("utf-8"))
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("i", self.make(piece.encode("utf-8"))).tobytes()
         if len(piece) <= 64:
             self[piece] = ids
         return ids
 
 
+class Decoder:
+    """Joins the bytes of ids; many at once."""
+
+    def __init__(self, bytes_of: dict[int, bytes]):
+        self.size = np.zeros(max(bytes_of) + 1, np.int64)
+        for rank, token in bytes_of.items():
+            self.size[rank] = len(token)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(bytes_of[r] for r in sorted(bytes_of)), np.uint8)
+
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        """The bytes of ids[cuts[k]:cuts[k + 1]] for each k; unknown ids fail."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        size = self.size[ids]
+        end = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        at = np.arange(end[-1]) + np.repeat(self.start[ids] - end[:-1], size)
+        joined, edge = self.data[at].tobytes(), end[cuts].tolist()
+        return [joined[a:b] for a, b in zip(edge, edge[1:], strict=False)]
+
+
 #: The worker's encoder, by rank file and pattern.
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
+_DECODERS: dict[str, Decoder] = {}
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -185,6 +212,12 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
+def decoder(path: str) -> Decoder:
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder({r: b for b, r in load_ranks(path).items()})
+    return _DECODERS[path]
+
+
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, ids (array of int), decoded (binary, the ids' bytes joined).
 
@@ -197,31 +230,30 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(ranks_path, pattern)
-        bytes_of = e.v.bytes_of
+        e, d = encoder(ranks_path, pattern), decoder(ranks_path)
         for batch in batches:
             texts = batch.column(1)
-            for first in range(0, len(texts), 512):
-                part = texts.slice(first, 512).to_pylist()
-                ids = [e.encode(t) if t else [] for t in part]
-                decoded = [b"".join([bytes_of[i] for i in x]) for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, 512), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"]
-                )
+            for first in range(0, len(texts), 256):
+                packed = [e.pack(t) if t else b"" for t in texts.slice(first, 256).to_pylist()]
+                cuts = np.cumsum([0, *(len(p) // 4 for p in packed)])
+                ids = np.frombuffer(b"".join(packed), np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, 256), lists, pa.array(d.decode(ids, cuts), pa.binary())], ["doc_id", "ids", "decoded"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
-def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """encoded with the column `text_bytes`: the bytes of its ids joined; null ids give no bytes. Unknown ids fail."""
-    out = T.StructType([*encoded.schema.fields, T.StructField("text_bytes", T.BinaryType())])
+def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", into: str = "text_bytes") -> DataFrame:
+    """encoded with one more column: the bytes of its ids joined; null ids give no bytes. Unknown ids fail."""
+    out = T.StructType([*encoded.schema.fields, T.StructField(into, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = encoder(ranks_path, pattern).v.bytes_of
+        d = decoder(ranks_path)
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            made = pa.array([b"".join([bytes_of[i] for i in x or []]) for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "text_bytes"])
+            rows = [x or [] for x in batch.column(batch.schema.get_field_index(ids_col)).to_pylist()]
+            cuts = np.cumsum([0, *map(len, rows)])
+            made = d.decode(np.array([i for x in rows for i in x], np.int64), cuts)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, into])
 
     return encoded.mapInArrow(run, out)
