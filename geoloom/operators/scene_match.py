@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import ancestors, base_name, folder_path, norm_scene_name, scene_signature
 
@@ -19,7 +20,7 @@ RUNGS = ((1.0, "normalized_exact"), (0.995, "kanopus_datetime_scn_signature"), (
 GRAM = 3
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp likeness of two strings."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
