@@ -123,7 +123,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         known, count = Runs(_raw(table), order).distinct()
         bucket = known >> shift
         ids, first = np.unique(bucket, return_index=True)
-        ends = np.append(first[1:], len(known))
+        ends = np.append(first[1:], len(known))[: len(ids)]
         blobs = [_pack(np.diff(known[a:b], prepend=0), RUN_WIDTH) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
         counts = [_pack(count[a:b], COUNT_WIDTH) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
         key = table.column("key")[0].as_py()
