@@ -115,7 +115,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     buckets = buckets_for(docs, 4 << 20, 64, 1 << RUN_BITS // 2)
     shift = RUN_BITS - buckets.bit_length() + 1
-    groups = max(31, min(plan_bytes(docs), 1 << 50) // (2 << 20))
+    groups = max(31, min(plan_bytes(docs), 1 << 50) // (5 << 20))
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc_id"), data.alias("data"), F.pmod(F.xxhash64(F.col(id_col), data), F.lit(groups)).cast("int").alias("key"))
 
