@@ -102,7 +102,7 @@ def log_scores(runs: Runs, totals: np.ndarray, n_words: int) -> tuple[np.ndarray
         full[on] |= depth[on] == n
     unseen = score < 0
     score[unseen] = BACKOFF ** depth[unseen] / np.maximum(left[unseen], 1)
-    return size, np.bincount(runs.own, np.log(score), minlength=runs.n_texts), np.bincount(runs.own, full, minlength=runs.n_texts).astype(np.int64)
+    return size, np.bincount(runs.own, np.log(score), minlength=runs.n_texts).astype(float), np.bincount(runs.own, full, minlength=runs.n_texts).astype(np.int64)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
