@@ -82,3 +82,9 @@ def epsg_code(text: Column) -> Column:
     """EPSG:n of a coordinate system's name or URN; null if it has none."""
     code = F.regexp_extract(text, r"(?i)EPSG(?::+|/)(?:[\d.]*:)?(\d+)", 1)
     return F.when(code != "", F.concat(F.lit("EPSG:"), code))
+
+
+def pixel_units(affine: list[Column], pixels: float) -> Column:
+    """A distance in pixels in the raster's units, by the longer of a pixel's sides."""
+    a, b, _, d, e, _ = affine
+    return pixels * F.greatest(F.hypot(a, d), F.hypot(b, e), F.lit(1e-9))

@@ -150,3 +150,26 @@ def combined_bounds(t: Tables) -> DataFrame:
 @query("so9_sorted_blocks", f"WITH {_BLOCKS} SELECT scene, bi, bj, row_number() OVER (PARTITION BY scene ORDER BY bi, bj) AS place FROM blocks")
 def sorted_blocks(t: Tables) -> DataFrame:
     return og.block_grid(t.scenes, CORE, HALO).select("scene", "bi", "bj", F.row_number().over(Window.partitionBy("scene").orderBy("bi", "bj")).alias("place"))
+
+
+@query("rg4_window_polygon", "SELECT scene, gid, ox + 2 * x0 + 0.5 * y0 AS px0, oy - 2 * y0 + 0.25 * x0 AS py0, ox + 2 * x1 + 0.5 * y1 AS px2, oy - 2 * y1 + 0.25 * x1 AS py2 FROM @annotations JOIN @scenes USING (scene)")
+def window_polygon(t: Tables) -> DataFrame:
+    """Opposite corners of windows under a sheared affine transform."""
+    affine = [F.lit(2.0), F.lit(0.5), F.col("ox"), F.lit(0.25), F.lit(-2.0), F.col("oy")]
+    a, b = G.affine_point(affine, F.col("x0"), F.col("y0")), G.affine_point(affine, F.col("x1"), F.col("y1"))
+    return t.annotations.join(t.scenes, "scene").select("scene", "gid", a[0].alias("px0"), a[1].alias("py0"), b[0].alias("px2"), b[1].alias("py2"))
+
+
+@query("rg5_pixel_tolerance", "SELECT scene, round(2 * greatest(sqrt(pow(scene % 5 + 1, 2) + pow(scene % 3, 2)), sqrt(pow(scene % 2, 2) + pow(scene % 7 + 1, 2)), 0.000000001), 9) AS units FROM @scenes")
+def pixel_tolerance(t: Tables) -> DataFrame:
+    """Two pixels in the raster's units: by the longer side of a pixel."""
+    s = F.col("scene")
+    affine = [s % 5 + 1, s % 2, F.lit(0), s % 3, s % 7 + 1, F.lit(0)]
+    return t.scenes.select("scene", F.round(G.pixel_units(affine, 2.0), 9).alias("units"))
+
+
+@query("rg9_core_in_metres", f"WITH {_BLOCKS} SELECT scene, bi, bj, round(radians(x0 / 100.0) * 6378137.0, 3) AS mx0, round(ln(tan(pi() / 4 + radians(y0 / 100.0) / 2)) * 6378137.0, 3) AS my0 FROM blocks")
+def core_in_metres(t: Tables) -> DataFrame:
+    """Corners of cores, given in hundredths of degrees, in metres."""
+    x, y = G.web_mercator(F.col("x0") / F.lit(100.0), F.col("y0") / F.lit(100.0))
+    return og.block_grid(t.scenes, CORE, HALO).select("scene", "bi", "bj", F.round(x, 3).alias("mx0"), F.round(y, 3).alias("my0"))

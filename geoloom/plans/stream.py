@@ -423,3 +423,32 @@ def simplified(t: Tables) -> DataFrame:
 
     points = t.lineitem.select(F.col("l_orderkey").alias("ring"), F.col("l_linenumber").cast("bigint").alias("k"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y")).dropDuplicates(["ring", "k"])
     return simplify(points, 5.0)
+
+
+def _shared(t: Tables, label: str) -> str:
+    return (t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints").rstrip("/") + f"/{label}-{uuid.uuid4().hex}"
+
+
+@query("snk1_tab_separated", "SELECT run_id, class_slug, pixel_f1 FROM @runs")
+def tab_separated(t: Tables) -> DataFrame:
+    """A report written as tab-separated text and read again."""
+    rows, path = t.runs.select("run_id", "class_slug", "pixel_f1"), _shared(t, "report")
+    wr.write_report(rows, path, "tsv")
+    return t.spark.read.schema(rows.schema).option("sep", "\t").option("header", True).csv(path)
+
+
+@query("snk4_match_csv", "SELECT gid, scene, x0, y0, x1, y1 FROM @annotations")
+def match_csv(t: Tables) -> DataFrame:
+    """Object rows written as CSV and read again."""
+    rows, path = t.annotations.select("gid", "scene", "x0", "y0", "x1", "y1"), _shared(t, "objects")
+    wr.write_report(rows, path, "csv")
+    return t.spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+@query("snk5_replaced_json", "SELECT scene, count(*) AS n FROM @messages GROUP BY 1")
+def replaced_json(t: Tables) -> DataFrame:
+    """A JSON table that is replaced as a whole: readers see the second version only."""
+    rows, path = t.messages.groupBy("scene").agg(F.count(F.lit(1)).alias("n")), _shared(t, "state")
+    wr.write_report(rows.withColumn("n", F.lit(0).cast("bigint")), path, "json")
+    wr.write_report(rows, path, "json")
+    return t.spark.read.schema(rows.schema).json(path)
