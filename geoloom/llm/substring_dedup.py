@@ -15,7 +15,10 @@ smaller id. Windows are found without pairing documents:
 3. There, the suffixes from the representative rightwards, and from it leftwards, are sorted by
    hash-compared merge sort, with the common extensions of neighbours verified by their bytes.
    Two windows are equal exactly if they lie alike around the representative and their right
-   and left parts are in the same runs of the two sorted orders.
+   and left parts are in the same runs of the two sorted orders. A representative with very many
+   stretches (a passage that a large share of all documents have) would fill one task: its
+   windows are dealt one by one by their own hash, after each group of documents has kept
+   those of its smallest document only.
 4. Repeats meet their documents again, by groups of documents, and are cut out there.
 
 A stretch is compared by 64 bits of its hash besides the hash of its representative; each repeat
@@ -40,13 +43,15 @@ WINDOW = 50
 SEED = 16
 #: Records of so many bytes of text are packed together.
 BLOCK_BYTES = 32 << 20
+#: A representative with more different stretches than this in a bucket is hot: its windows are dealt one by one.
+HOT_STRETCHES = 1_000
 #: Null ids count as larger than all others.
 NO_ID = (1 << 63) - 1
 
 #: Records are kept as columns; each is written byte plane by byte plane, which compresses well.
 RECORD = (("seed", np.uint32), ("hash", np.uint64), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
 REPEAT = (("hash", np.uint64), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
-REQUEST = (("bucket", np.uint32), ("seed", np.uint32), *REPEAT)
+REQUEST = (("bucket", np.uint32), ("seed", np.uint32), ("hot", np.uint32), *REPEAT)
 Columns = dict[str, np.ndarray]
 
 
@@ -265,7 +270,7 @@ def _stretch_blocks(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
     return rows.select("id", "data").mapInArrow(run, _PACKED_SQL)
 
 
-def _compare(blocks: DataFrame, groups: int) -> DataFrame:
+def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
     """Repeats, and requests for bytes where stretches with one representative differ, by document group."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -282,8 +287,9 @@ def _compare(blocks: DataFrame, groups: int) -> DataFrame:
             run_ = np.cumsum(new) - 1
             ids = s["id"][by]
             differ = np.maximum.reduceat(ids, start) != np.minimum.reduceat(ids, start)
-            ask = by[differ[run_]]
-            wanted = {k: s[k][ask] for k, _ in RECORD} | {"bucket": np.full(len(ask), bucket, np.uint32)}
+            many = np.bincount(run_)[run_] > hot_stretches
+            ask, hot = by[differ[run_]], many[differ[run_]]
+            wanted = {k: s[k][ask] for k, _ in RECORD} | {"bucket": np.full(len(ask), bucket, np.uint32), "hot": hot}
             out += [(ASK, k, b) for k, b in packed_by(wanted, REQUEST, group_of(wanted["id"], groups))]
         return _batch(_PACKED, out)
 
@@ -317,36 +323,63 @@ class _Group:
         return record[right], doc[right], at[right]
 
 
-def _fetch(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """The bytes of requested stretches, by bucket."""
+_FETCHED = {"bucket": pa.int64(), "seed": pa.int64(), "id": pa.int64(), "at": pa.int64(), "bytes": pa.binary()}
+#: In place of `at`: the row's bytes are packed repeats of the document group in `seed`.
+PACKED = -1
+
+
+def _fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
+    """The bytes of requested stretches, by bucket; of hot ones the bytes of windows, by a bucket of their own hash."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = {"bucket": pa.int64(), "seed": pa.int64(), "id": pa.int64(), "at": pa.int64(), "bytes": pa.binary()}
         if not right.num_rows or not left.num_rows:
-            return _batch(kinds, [])
+            return _batch(_FETCHED, [])
         g, s = _Group(left), unpack(right.column("blob").to_pylist(), REQUEST)
         record, _, at = g.places(s)
-        end = at + s["n"].astype(np.int64)[record] + WINDOW - 1
+        bucket, seed, ids = (s[k][record].astype(np.int64) for k in ("bucket", "seed", "id"))
+        own_at, n, hot = s["at"][record].astype(np.int64), s["n"][record].astype(np.int64), s["hot"][record] > 0
+        # windows of hot stretches
+        each = np.repeat(np.flatnonzero(hot), n[hot])
+        offset = np.arange(len(each)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
+        start = at[each] + offset
+        value = mix(span_hashes(g.prefix, start, start + WINDOW) + np.uint64(1))
+        order = np.lexsort((ids[each], value))
+        new = np.ones(len(order), bool)
+        new[1:] = value[order][1:] != value[order][:-1]
+        again = np.zeros(len(order), bool)
+        if len(order):
+            again[order] = ids[each][order] > ids[each][order][np.flatnonzero(new)][np.cumsum(new) - 1]
+        cut = {"hash": value[again], "id": ids[each][again], "at": (own_at[each] + offset)[again], "n": np.ones(int(again.sum()), np.int64)}
+        key = right.column("key")[0].as_py()
+        rows = [(key % buckets, key, 0, PACKED, pack(cut, REPEAT, np.arange(len(cut["id"]))))] if again.any() else []
+        told = _batch(_FETCHED, rows)
+        keep = ~again
+        each, offset, start, value = each[keep], offset[keep], start[keep], value[keep]
+        cold = np.flatnonzero(~hot)
+        first, last = np.concatenate([at[cold], start]), np.concatenate([at[cold] + n[cold] + WINDOW - 1, start + WINDOW])
         data = g.data
-        found = [data[a:b].tobytes() for a, b in zip(at.tolist(), end.tolist(), strict=True)]
-        return pa.table(
-            {
-                "bucket": pa.array(s["bucket"][record].astype(np.int64)),
-                "seed": pa.array(s["seed"][record].astype(np.int64)),
-                "id": pa.array(s["id"][record]),
-                "at": pa.array(s["at"][record].astype(np.int64)),
-                "bytes": pa.array(found, pa.binary()),
-            }
+        found = [data[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        columns = (
+            np.concatenate([bucket[cold], (value % np.uint64(buckets)).astype(np.int64)]),
+            np.concatenate([seed[cold], seed[each]]),
+            np.concatenate([ids[cold], ids[each]]),
+            np.concatenate([own_at[cold], own_at[each] + offset]),
+            found,
         )
+        return pa.concat_tables([told, pa.table({k: pa.array(c, t) for (k, t), c in zip(_FETCHED.items(), columns, strict=True)})])
 
     return docs.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(run, "bucket bigint, seed bigint, id bigint, at bigint, bytes binary")
 
 
 def _resolved(fetched: DataFrame, groups: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        seed, bucket = table.column("seed").to_numpy(), table.column("bucket").to_numpy()
-        found = resolve(table.column("bytes").to_pylist(), table.column("id").to_numpy(), table.column("at").to_numpy(), bucket << 32 | seed)
-        return _batch(_PACKED, [(CUT, k, b) for k, b in packed_by(found, REPEAT, group_of(found["id"], groups))])
+        packed = table.column("at").to_numpy() == PACKED
+        ready, table = table.filter(pa.array(packed)), table.filter(pa.array(~packed))
+        out = [(CUT, k, b) for k, b in zip(ready.column("seed").to_pylist(), ready.column("bytes").to_pylist(), strict=True)]
+        if table.num_rows:
+            found = resolve(table.column("bytes").to_pylist(), table.column("id").to_numpy(), table.column("at").to_numpy(), table.column("seed").to_numpy())
+            out += [(CUT, k, b) for k, b in packed_by(found, REPEAT, group_of(found["id"], groups))]
+        return _batch(_PACKED, out)
 
     return fetched.groupBy("bucket").applyInArrow(run, _PACKED_SQL)
 
@@ -377,7 +410,7 @@ def _cut(docs: DataFrame, repeats: DataFrame, with_kept: bool) -> DataFrame:
     return docs.groupBy("key").cogroup(repeats.groupBy("key")).applyInArrow(run, out)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False, hot_stretches: int = HOT_STRETCHES) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and kept (binary) if asked for.
 
     Ids are whole numbers. Null texts are empty. Null ids count as larger than all others.
@@ -392,7 +425,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = rows.withColumn("key", group_column(groups))
     packed = _stretch_blocks(rows, buckets, groups)
     blocks = materialize(packed, "stretches")
-    compared = materialize(_compare(blocks.filter(F.col("kind") == STRETCH), groups), "compared")
-    fetched = _fetch(keyed, compared.filter(F.col("kind") == ASK))
+    compared = materialize(_compare(blocks.filter(F.col("kind") == STRETCH), groups, hot_stretches), "compared")
+    fetched = _fetch(keyed, compared.filter(F.col("kind") == ASK), buckets)
     cuts = [x.filter(F.col("kind") == CUT).select("key", "blob") for x in (blocks, compared, _resolved(fetched, groups))]
     return _cut(keyed, cuts[0].unionByName(cuts[1]).unionByName(cuts[2]), with_kept)

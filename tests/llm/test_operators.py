@@ -150,8 +150,8 @@ def brute_repeats(rows, window=50):
     return sorted(out, key=repr)
 
 
-def found_repeats(df):
-    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substring_dedup.remove_repeats(df).collect()), key=repr)
+def found_repeats(df, **given):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substring_dedup.remove_repeats(df, **given).collect()), key=repr)
 
 
 def test_substring_dedup_edges(spark):
@@ -166,7 +166,9 @@ def test_substring_dedup_random(spark, seed):
     rng = random.Random(seed)
     parts = ["".join(rng.choices("ab", k=rng.randint(30, 90))) for _ in range(6)] + ["a" * 70, "é" * 40, "ab" * 60]
     rows = [(rng.randrange(30), "".join(rng.choice(parts)[rng.randint(0, 20) :] + rng.choice("xyz") for _ in range(rng.randint(0, 5)))) for _ in range(40)]
-    assert found_repeats(frame(spark, rows)) == brute_repeats(rows)
+    want = brute_repeats(rows)
+    assert found_repeats(frame(spark, rows)) == want
+    assert found_repeats(frame(spark, rows), hot_stretches=0) == want
 
 
 def test_suffix_sort():
