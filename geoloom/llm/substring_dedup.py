@@ -271,9 +271,11 @@ def _stretch_blocks(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
 
 
 def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
-    """Repeats, and requests for bytes where stretches with one representative differ, by document group."""
+    """Repeats, those found before included, and requests for bytes where stretches with one representative differ, by document group."""
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("kind")[0].as_py() == CUT:  # known already
+            return table.select(list(_PACKED))
         s = unpack(table.column("blob").to_pylist(), RECORD)
         bucket = table.column("key")[0].as_py()
         first, again, number = split_repeats(s)
@@ -293,7 +295,7 @@ def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
             out += [(ASK, k, b) for k, b in packed_by(wanted, REQUEST, group_of(wanted["id"], groups))]
         return _batch(_PACKED, out)
 
-    return blocks.groupBy("key").applyInArrow(run, _PACKED_SQL)
+    return blocks.groupBy("kind", "key").applyInArrow(run, _PACKED_SQL)
 
 
 class _Group:
@@ -423,9 +425,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), data.alias("data"))
     keyed = rows.withColumn("key", group_column(groups))
-    packed = _stretch_blocks(rows, buckets, groups)
-    blocks = materialize(packed, "stretches")
-    compared = materialize(_compare(blocks.filter(F.col("kind") == STRETCH), groups, hot_stretches), "compared")
+    compared = materialize(_compare(_stretch_blocks(rows, buckets, groups), groups, hot_stretches), "compared")
     fetched = _fetch(keyed, compared.filter(F.col("kind") == ASK), buckets)
-    cuts = [x.filter(F.col("kind") == CUT).select("key", "blob") for x in (blocks, compared, _resolved(fetched, groups))]
-    return _cut(keyed, cuts[0].unionByName(cuts[1]).unionByName(cuts[2]), with_kept)
+    cuts = [x.filter(F.col("kind") == CUT).select("key", "blob") for x in (compared, _resolved(fetched, groups))]
+    return _cut(keyed, cuts[0].unionByName(cuts[1]), with_kept)
