@@ -22,9 +22,9 @@ _BLOCKS = f"""blocks AS (SELECT scene, bi, bj, bj * {CORE} AS x0, bi * {CORE} AS
     FROM @scenes, unnest(range(0, CAST(ceil(w / {CORE}) AS BIGINT))) AS a(bj), unnest(range(0, CAST(ceil(h / {CORE}) AS BIGINT))) AS b(bi))"""
 
 
-@query("gen1_axis_origins", f"SELECT scene, {_X} AS xs FROM @scenes")
+@query("gen1_axis_origins", f"SELECT scene, array_to_string({_X}, ',') AS xs FROM @scenes")
 def axis_origins(t: Tables) -> DataFrame:
-    return t.scenes.select("scene", fg.axis_origins(F.col("w"), TILE, STRIDE).alias("xs"))
+    return t.scenes.select("scene", F.array_join(fg.axis_origins(F.col("w"), TILE, STRIDE).cast("array<string>"), ",").alias("xs"))
 
 
 @query("gen2_window_grid_train", f"WITH {_GRID} SELECT scene, x, y, {TILE} AS width, {TILE} AS height, index FROM grid")

@@ -148,11 +148,12 @@ def standard_f1(t: Tables) -> DataFrame:
     return t.runs.select("run_id", F.round(f1, 9).alias("f1"), F.round(M.iou_of(f1), 9).alias("iou"), M.is_close(F.col("pixel_f1"), f1).alias("consistent"))
 
 
-@query("rg13_thresholds", "SELECT scene, list_sort(list_distinct([0.5, least(1.0, greatest(0.0, (scene % 30 - 5) / 20.0)), least(1.0, greatest(0.0, (scene % 7) / 10.0))])) AS ts FROM @scenes")
+@query("rg13_thresholds", "SELECT scene, unnest(list_sort(list_distinct([0.5, least(1.0, greatest(0.0, (scene % 30 - 5) / 20.0)), least(1.0, greatest(0.0, (scene % 7) / 10.0))]))) AS threshold FROM @scenes")
 def thresholds(t: Tables) -> DataFrame:
     """A list of thresholds: clamped to 0..1, each once, the configured one added."""
     given = F.array(F.lit(0.5), (F.col("scene") % 30 - 5) / F.lit(20.0), (F.col("scene") % 7) / F.lit(10.0))
-    return t.scenes.select("scene", F.array_sort(F.array_distinct(F.transform(given, lambda v: F.least(F.lit(1.0), F.greatest(F.lit(0.0), v))))).alias("ts"))
+    clamped = F.transform(given, lambda v: F.least(F.lit(1.0), F.greatest(F.lit(0.0), v)))
+    return t.scenes.select("scene", F.explode(F.array_sort(F.array_distinct(clamped))).alias("threshold"))
 
 
 _EPOCHS = "epochs AS (SELECT l_suppkey AS run, l_orderkey AS epoch, max((l_orderkey * 7 + l_suppkey * 13) % 1000) AS f1, sum(CAST(l_quantity AS BIGINT)) AS secs FROM @lineitem GROUP BY 1, 2)"
