@@ -43,8 +43,9 @@ WINDOW = 50
 SEED = 16
 #: Records of so many bytes of text are packed together.
 BLOCK_BYTES = 32 << 20
-#: A representative with more different stretches than this in a bucket is hot: its windows are dealt one by one.
-HOT_STRETCHES = 1_000
+#: A representative with more different stretches than this in a bucket, or so many times as many windows in
+#: them (as periodic text has), is hot: its windows are dealt one by one.
+HOT_STRETCHES, HOT_WINDOWS = 1_000, 20
 #: Null ids count as larger than all others.
 NO_ID = (1 << 63) - 1
 
@@ -289,7 +290,8 @@ def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
             run_ = np.cumsum(new) - 1
             ids = s["id"][by]
             differ = np.maximum.reduceat(ids, start) != np.minimum.reduceat(ids, start)
-            many = np.bincount(run_)[run_] > hot_stretches
+            windows = np.bincount(run_, s["n"][by])
+            many = ((np.bincount(run_) > hot_stretches) | (windows > hot_stretches * HOT_WINDOWS))[run_]
             ask, hot = by[differ[run_]], many[differ[run_]]
             wanted = {k: s[k][ask] for k, _ in RECORD} | {"bucket": np.full(len(ask), bucket, np.uint32), "hot": hot}
             out += [(ASK, k, b) for k, b in packed_by(wanted, REQUEST, group_of(wanted["id"], groups))]
