@@ -94,6 +94,23 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     )
 
 
+def _end_of_budget(totals: DataFrame, budget: int) -> tuple[int, int]:
+    """(range, words before it): the range of finish times in which the budget ends, or one past the last; from totals (range, coarse, n)."""
+
+    def first_over(rows: list[tuple[int, int]], before: int) -> tuple[int | None, int]:
+        for k, n in sorted(rows):
+            if before + n > budget:
+                return k, before
+            before += n
+        return None, before
+
+    coarse, before = first_over([(r.coarse, r.n) for r in totals.groupBy("coarse").agg(F.sum("n").alias("n")).collect()], 0)  # at most RANGES
+    if coarse is None:
+        return RANGES * RANGES, before
+    end, before = first_over([(r.range, r.n) for r in totals.filter(F.col("coarse") == coarse).select("range", "n").collect()], before)
+    return RANGES * RANGES if end is None else end, before
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
     """One row per row of docs: rid, doc_id, text_sha256, source, size, source_size, target, taken (words), copies (0 to 2), finish (of the first copy).
 
@@ -112,18 +129,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     queue = queue.filter("target > 0").withColumn("finish", finish).withColumn("range", range_)
     totals = materialize(queue.groupBy("range").agg(F.sum("size").alias("n")).withColumn("coarse", F.expr("range div 256").cast("int")), "mix-finish")
     budget = (planned.agg(F.sum("size")).first()[0] or 0) * BUDGET_PERCENT // 100
-    before, end = 0, RANGES * RANGES
-    for level, rows in (("coarse", totals), ("range", totals)):
-        if level == "range":
-            if end == RANGES * RANGES:
-                break
-            rows = totals.filter(F.col("coarse") == end)
-            end = RANGES * RANGES
-        for k, n in sorted((r[level], r.n) for r in rows.groupBy(level).agg(F.sum("n").alias("n")).collect()):  # at most RANGES
-            if before + n > budget:
-                end = k
-                break
-            before += n
+    end, before = _end_of_budget(totals, budget)
     # Ranges before `end` are taken whole, and of `end` what still fits.
     order = Window.partitionBy("range").orderBy("finish", F.xxhash64("doc_id"), "rid", "copy").rowsBetween(Window.unboundedPreceding, 0)
     last = queue.filter(F.col("range") == end).withColumn("upto", F.sum("size").over(order)).filter(F.col("upto") <= budget - before)
