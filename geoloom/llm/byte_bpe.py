@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: A piece's encoding is kept for the next time, up to so many pieces; then the memo starts anew.
-PIECE_MEMO = 400_000
-PAIR_MEMO = 300_000
+PIECE_MEMO = 250_000
+PAIR_MEMO = 200_000
 #: A token's size and rank are packed into one number.
 RANK_BITS = 32
 RANK_MASK = (1 << RANK_BITS) - 1
@@ -156,6 +156,10 @@ class Encoder:
             at -= size_of[token]
             last = out[-1] if out else -1
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.pairs.clear()
+
     def pack(self, text: str) -> bytes:
         """The ids of a text as 32-bit numbers in native order."""
         if len(self.pieces) > PIECE_MEMO:
@@ -231,6 +235,12 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, d = encoder(ranks_path, pattern), decoder(ranks_path)
+        try:
+            yield from encoded(batches, e, d)
+        finally:
+            e.forget()  # the worker lives on, for other work too
+
+    def encoded(batches: Iterator[pa.RecordBatch], e: Encoder, d: Decoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             for first in range(0, len(texts), 256):
