@@ -11,8 +11,10 @@ Rows with equal shingle multisets are one node. A bucket's nodes are not all pai
 against the smallest node of the bucket, and of the bucket's part that also shares the next
 band, which is smaller and purer. Every candidate pair is verified by the weighted Jaccard
 similarity of the whole texts, and the classes are the connected components of verified links.
-As two nodes may be alike and neither like the smallest, the parts of a bucket that are still
-not linked are set against each other in further turns, until a turn finds no link.
+As two nodes may be alike and neither like the smallest, nodes drawn from the parts of a bucket
+that are still not linked are set against each other in a few further turns. At the end all pairs of a bucket
+that are in different parts still are verified, so that of two nodes with a common band either the
+pair was verified or both are in one class. Only pairs whose total weights rule the similarity out are left out.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -34,6 +36,8 @@ BANDS, ROWS = 10, 3
 #: Nodes drawn from a part of a bucket at each turn, besides its smallest and largest; turns at most.
 DRAWN = 6
 MOST_TURNS = 3
+#: A bucket's nodes are dealt in blocks of about so many where all its pairs are made.
+BLOCK = 256
 #: Texts are signed in pieces of about so many bytes together, as sampling needs some dozen numbers for each word.
 SIGNED_BYTES = 1 << 18
 #: Size of the table of document frequencies, in bits; bounds what is broadcast (1 MB).
@@ -132,7 +136,7 @@ def samples(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """rid, doc_id, text_sha256, n (shingles, repeats counted), f1, f2 (fingerprint of the shingle multiset), bands."""
+    """rid, doc_id, text_sha256, n (shingles, repeats counted), f1, f2 (fingerprint of the shingle multiset), weight (of all shingles), bands."""
     sent = docs.sparkSession.sparkContext.broadcast(idf)
     text = F.col(text_col)
     source = docs.select(
@@ -149,6 +153,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
                 out = np.zeros((n, BANDS), np.uint64)
                 sums = np.zeros((n, 2), np.uint64)
                 count = np.zeros(n, np.int64)
+                heavy = np.zeros(n)
                 if len(text):
                     first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
                     has = text[first]
@@ -162,23 +167,24 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
                     for j, salt in enumerate((1, 2)):
                         sums[has, j] = np.add.reduceat(mix(mix(shingle + np.uint64(salt)) ^ bits), first)
                     count[has] = np.diff(np.append(first, len(text)))
+                    heavy[has] = np.add.reduceat(weight.astype(np.float64), first)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(out.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
                 head = batch.slice(a, n)
                 yield pa.RecordBatch.from_arrays(
-                    [head.column(0), head.column(1), head.column(2), pa.array(count), *(pa.array(sums[:, j].view(np.int64)) for j in (0, 1)), lists],
-                    ["rid", "doc_id", "text_sha256", "n", "f1", "f2", "bands"],
+                    [head.column(0), head.column(1), head.column(2), pa.array(count), *(pa.array(sums[:, j].view(np.int64)) for j in (0, 1)), pa.array(heavy), lists],
+                    ["rid", "doc_id", "text_sha256", "n", "f1", "f2", "weight", "bands"],
                 )
 
-    return source.mapInArrow(run, f"rid bigint, doc_id {kind}, text_sha256 string, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
+    return source.mapInArrow(run, f"rid bigint, doc_id {kind}, text_sha256 string, n bigint, f1 bigint, f2 bigint, weight double, bands array<bigint>")
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """(key, node) for nodes (node, bands): the buckets of each band, and of each two successive bands, that several nodes share."""
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "value"), F.col("bands").alias("all"))
+    """(key, node, weight) for nodes (node, weight, bands): the buckets of each band, and of each two successive bands, that several nodes share."""
+    keyed = nodes.select("node", "weight", F.posexplode("bands").alias("band", "value"), F.col("bands").alias("all"))
     after = F.element_at("all", ((F.col("band") + 1) % BANDS + 1).cast("int"))
-    keys = materialize(keyed.select("node", F.explode(F.array(F.col("value"), F.xxhash64("value", after))).alias("key")), "near-keys")
+    keys = materialize(keyed.select("node", "weight", F.explode(F.array(F.col("value"), F.xxhash64("value", after))).alias("key")), "near-keys")
     shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "near-shared")
-    return materialize(keys.join(shared, "key").select("key", "node"), "near-members")
+    return materialize(keys.join(shared, "key").select("key", "node", "weight"), "near-members")
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
@@ -205,26 +211,54 @@ def crossing_pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFram
     return ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _may_be_alike(x: Column, y: Column) -> Column:
+    """Two sets of these weights have at most the lesser in common and at least the greater together."""
+    return F.least(x, y) >= F.greatest(x, y) * (SIMILARITY - 1e-6)
+
+
+def open_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b), a < b: all pairs of a bucket's nodes that are in different parts, if their weights allow a link.
+
+    A bucket is dealt in pairs of blocks, so that no task has all pairs of a large one.
+    """
+    told = members.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("label", "node").alias("label"))
+    split = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("n")).filter("least < most")
+    split = materialize(split.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), "near-split")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    placed = told.join(split, "key").select("key", "node", "weight", "label", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    at = [F.col("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    placed = materialize(placed.select(*at, "node", "weight", "label", "block"), "near-placed")
+    other = placed.select("key", "i", "j", *(F.col(c).alias(f"{c}_b") for c in ("node", "weight", "label", "block")))
+    met = placed.hint("merge").join(other, ["key", "i", "j"])
+    met = met.filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & ((F.col("block") != F.col("block_b")) | (F.col("i") == F.col("j"))))
+    return met.filter(_may_be_alike(F.col("weight"), F.col("weight_b"))).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def links_of(nodes: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """(node, label) of the components of all verified links among nodes (node, id, f1, bands)."""
-    members = bucket_members(nodes.select("node", "bands"))
-    names = materialize(nodes.select("node", "id", "f1").join(members.select("node").distinct(), "node", "left_semi"), "near-names")
+    """(node, label) of the components of all verified links among nodes (node, id, f1, weight, bands)."""
+    members = bucket_members(nodes.select("node", "weight", "bands"))
+    names = materialize(nodes.select("node", "id", "f1", "weight").join(members.select("node").distinct(), "node", "left_semi"), "near-names")
     wanted = names.select(F.col("id").alias("wanted")).distinct().hint("merge")  # they grow with the input: the same plan at every size
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = materialize(texts.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi"), "near-texts")
-    side = lambda x: names.select(F.col("node").alias(x), F.col("id").alias(f"{x}_id"), F.col("f1").alias(f"{x}_f1"))
+    side = lambda x: names.select(F.col("node").alias(x), F.col("id").alias(f"{x}_id"), F.col("f1").alias(f"{x}_f1"), F.col("weight").alias(f"{x}_weight"))
     spark = docs.sparkSession
     tried, links = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, label bigint")
-    for turn in range(MOST_TURNS):
-        new = (star_pairs(members) if turn == 0 else crossing_pairs(members, labels, turn)).join(tried, ["a", "b"], "left_anti")
-        new = materialize(new.join(side("a"), "a").join(side("b"), "b"), "near-pairs")
+    turn, last = 0, False
+    while True:
+        met = star_pairs(members) if turn == 0 else open_pairs(members, labels) if last else crossing_pairs(members, labels, turn)
+        new = met.join(tried, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b").filter(_may_be_alike(F.col("a_weight"), F.col("b_weight")))
+        new = materialize(new.select("a", "b", "a_id", "a_f1", "b_id", "b_f1"), "near-pairs")
         found = materialize(verified(new, texts, idf), "near-links")
-        if turn and found.isEmpty():
-            break
-        tried, links = tried.unionByName(new.select("a", "b")), links.unionByName(found.select("a", "b"))
-        labels = components(links)
-    return labels
+        tried, none = tried.unionByName(new.select("a", "b")), found.isEmpty()
+        if not none:
+            links = links.unionByName(found.select("a", "b"))
+            labels = components(links)
+        if last:
+            return labels
+        turn += 1
+        last = none or turn == MOST_TURNS
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -280,7 +314,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     idf = document_frequencies(docs, text_col)
     signed = materialize(signatures(docs, idf, id_col, text_col), "near-signatures")
     full = signed.filter("n > 0")
-    nodes = full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    nodes = full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     labels = links_of(nodes, docs, idf, id_col, text_col)
     node_of = full.select("rid", "doc_id", "text_sha256", "f1", "f2", "n").join(nodes.select("f1", "f2", "n", "node"), ["f1", "f2", "n"])

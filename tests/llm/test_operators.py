@@ -354,6 +354,21 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_within_one_template(spark):
+    """All documents share most of their text, and near copies in pairs a little more: buckets are full of unlinked parts."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    template, rows = [word() for _ in range(1400)], []
+    for k in range(60):
+        pair = [word() for _ in range(20)]
+        rows += [(2 * k + j, " ".join(template + pair + [word() for _ in range(20)])) for j in (0, 1)]
+    df = frame(spark, rows)
+    groups = brute_classes(rows, near_dedup.document_frequencies(df))
+    assert sorted(map(len, groups.values())) == [2] * 60
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {rows[k][0]: min(v) for v in groups.values() for k in v}
+
+
 def test_samples_estimate_similarity():
     rng = np.random.default_rng(1)
     shingle = np.sort(rng.integers(0, 1 << 62, 400).astype(np.uint64))
