@@ -12,7 +12,8 @@ against the smallest node of the bucket, and of the bucket's part that also shar
 band, which is smaller and purer. Every candidate pair is verified by the weighted Jaccard
 similarity of the whole texts, and the classes are the connected components of verified links.
 As two nodes may be alike and neither like the smallest, nodes drawn from the parts of a bucket
-that are still not linked are set against each other in a few further turns. At the end all pairs of a bucket
+that are still not linked are set against each other in further turns, as long as turns leave
+markedly fewer pairs between parts; they only save verifications. At the end all pairs of a bucket
 that are in different parts still are verified, so that of two nodes with a common band either the
 pair was verified or both are in one class. Only pairs whose total weights rule the similarity out are left out.
 """
@@ -33,9 +34,10 @@ from .hashing import BASE, chunks, mix, ngrams, words
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
-#: Nodes drawn from a part of a bucket at each turn, besides its smallest and largest; turns at most.
+#: Nodes drawn from a part of a bucket at each turn, besides its smallest and largest.
 DRAWN = 6
-MOST_TURNS = 3
+#: Turns go on while one leaves at most this share of the pairs between parts; the rest is verified pair by pair.
+WORTHWHILE = 0.9
 #: A bucket's nodes are dealt in blocks of about so many where all its pairs are made.
 BLOCK = 256
 #: Texts are signed in pieces of about so many bytes together, as sampling needs some dozen numbers for each word.
@@ -216,6 +218,14 @@ def _may_be_alike(x: Column, y: Column) -> Column:
     return F.least(x, y) >= F.greatest(x, y) * (SIMILARITY - 1e-6)
 
 
+def open_count(members: DataFrame, labels: DataFrame) -> tuple[float, int]:
+    """How many pairs of a bucket's nodes are in different parts, over all buckets, and how many members the buckets have."""
+    told = members.join(labels, "node", "left").groupBy("key", F.coalesce("label", "node").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    each = told.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    r = each.agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs"), F.sum("n").alias("members")).first()
+    return r.pairs or 0.0, int(r.members or 0)
+
+
 def open_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b), a < b: all pairs of a bucket's nodes that are in different parts, if their weights allow a link.
 
@@ -245,20 +255,20 @@ def links_of(nodes: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, te
     spark = docs.sparkSession
     tried, links = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, label bigint")
-    turn, last = 0, False
+    turn, last, before = 0, False, float("inf")
     while True:
         met = star_pairs(members) if turn == 0 else open_pairs(members, labels) if last else crossing_pairs(members, labels, turn)
         new = met.join(tried, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b").filter(_may_be_alike(F.col("a_weight"), F.col("b_weight")))
         new = materialize(new.select("a", "b", "a_id", "a_f1", "b_id", "b_f1"), "near-pairs")
         found = materialize(verified(new, texts, idf), "near-links")
-        tried, none = tried.unionByName(new.select("a", "b")), found.isEmpty()
-        if not none:
+        tried = tried.unionByName(new.select("a", "b"))
+        if not found.isEmpty():
             links = links.unionByName(found.select("a", "b"))
             labels = components(links)
         if last:
             return labels
-        turn += 1
-        last = none or turn == MOST_TURNS
+        left, most = open_count(members, labels)
+        turn, last, before = turn + 1, left <= most or left > before * WORTHWHILE, left
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
