@@ -18,6 +18,8 @@ LEAST_CONTAINED = 16
 #: Score and reason of each rung.
 RUNGS = ((1.0, "normalized_exact"), (0.995, "kanopus_datetime_scn_signature"), (0.98, "normalized_substring"))
 GRAM = 3
+#: Two names of together at most 16 characters can be alike by LIKELY without a common run of GRAM; names of up to so many characters are compared by runs of two as well.
+SHORT = 9
 
 
 @F.pandas_udf(T.DoubleType())
@@ -27,8 +29,9 @@ def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def grams(text: Column) -> Column:
-    """The distinct runs of GRAM characters in a text."""
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text) - GRAM + 1, F.lit(1))), lambda k: F.substring(text, k, F.lit(GRAM))))
+    """The distinct runs of GRAM characters in a text; of a SHORT one those of two characters too."""
+    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1))), lambda k: F.substring(text, k, F.lit(n)))
+    return F.array_distinct(F.when(F.char_length(text) <= SHORT, F.concat(runs(GRAM), runs(2))).otherwise(runs(GRAM)))
 
 
 def least_shared(n: Column, m: Column, accept: float = LIKELY) -> Column:
@@ -46,9 +49,7 @@ def candidates(entries: DataFrame, images: DataFrame) -> DataFrame:
     """(seq, image, score, reason) for entries (seq, needle) and images (image, name).
 
     Each rung is an equality join: on the name, on the signature, on a shared run of
-    LEAST_CONTAINED characters for containment. Likeness is computed only for entries without a
-    candidate of a higher rung, and for images that share a run of GRAM characters and have a
-    length that allows ACCEPT at all.
+    LEAST_CONTAINED characters for containment, or on the whole of a shorter name. Likeness is left to like_candidates.
     """
     e = entries.filter("needle <> ''").select("seq", "needle", scene_signature(F.col("needle")).alias("sig"))
     i = images.filter("name <> ''").select("image", "name", scene_signature(F.col("name")).alias("image_sig"))
@@ -59,8 +60,11 @@ def candidates(entries: DataFrame, images: DataFrame) -> DataFrame:
     long_e = e.filter(F.char_length("needle") >= LEAST_CONTAINED).withColumn("run", F.substring("needle", 1, LEAST_CONTAINED))
     long_i = i.filter(F.char_length("name") >= LEAST_CONTAINED).withColumn("run", run(F.col("name")))
     within = long_e.join(long_i, "run").filter(F.col("name").contains(F.col("needle")))
-    short_i = i.filter(F.char_length("name") >= 1).withColumn("run", F.substring("name", 1, LEAST_CONTAINED))
-    around = e.filter(F.char_length("needle") >= LEAST_CONTAINED).withColumn("run", run(F.col("needle"))).join(short_i.filter(F.char_length("name") >= LEAST_CONTAINED), "run").filter(F.col("needle").contains(F.col("name")))
+    head_i = i.withColumn("run", F.substring("name", 1, LEAST_CONTAINED))
+    short = lambda c: F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LEAST_CONTAINED - 1)), lambda m: F.transform(F.sequence(F.lit(1), F.char_length(c) - m + 1), lambda k: F.substring(c, k, m))))
+    tails = e.filter(F.char_length("needle") >= LEAST_CONTAINED)
+    tails = tails.withColumn("run", run(F.col("needle"))).unionByName(tails.withColumn("run", F.explode(F.array_distinct(short(F.col("needle"))))))  # a short name is a run itself
+    around = tails.join(head_i, "run").filter(F.col("needle").contains(F.col("name")))
     both = within.select("seq", "image", "needle", "name", "sig", "image_sig").unionByName(around.select("seq", "image", "needle", "name", "sig", "image_sig")).distinct()
     other = (F.col("needle") != F.col("name")) & ~F.coalesce(F.col("sig") == F.col("image_sig"), F.lit(False))
     contained = rung(both.filter(other), 2)
@@ -99,8 +103,10 @@ def match_report(entries: DataFrame, images: DataFrame) -> DataFrame:
     named = entries.withColumn("needle", norm_scene_name(F.col("entry")))
     images = images.withColumn("name", norm_scene_name(base_name(F.col("key"))))
     sure = candidates(named, images)
-    rest = named.join(sure.select("seq").distinct(), "seq", "left_anti")
-    found = sure.unionByName(like_candidates(rest, images))
+    # An exact hit decides alone; by a lower rung the best image may be another that is more alike, or have a close second.
+    inexact = named.join(images.select("name").distinct(), F.col("needle") == F.col("name"), "left_anti")
+    rungs = sure.withColumn("rung", F.lit(0)).unionByName(like_candidates(inexact, images).withColumn("rung", F.lit(1)))
+    found = rungs.groupBy("seq", "image").agg(F.min_by(F.struct("score", "reason"), "rung").alias("of")).select("seq", "image", "of.score", "of.reason")
     w = Window.partitionBy("seq")
     placed = found.withColumns(
         {"place": F.row_number().over(w.orderBy(F.desc("score"), "image")), "second": F.lead("score").over(w.orderBy(F.desc("score"), "image")), "exact": F.sum((F.col("score") == 1.0).cast("int")).over(w)}

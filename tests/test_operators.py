@@ -65,6 +65,45 @@ def test_likeness_finds_all_pairs(spark):
     assert got == want and want
 
 
+def ladder(needle, names):
+    """The decision over all images, pair by pair."""
+
+    def score(name):
+        if not needle or not name:
+            return 0.0, "empty"
+        if needle == name:
+            return 1.0, "normalized_exact"
+        sig = [(m[1], m[2], int(m[3])) if (m := re.search(r"kanopus(\d{8})(\d{6}).*?scn(\d{1,2})", x)) else None for x in (needle, name)]
+        if sig[0] and sig[0] == sig[1]:
+            return 0.995, "kanopus_datetime_scn_signature"
+        if len(needle) >= 16 and (needle in name or name in needle):
+            return 0.98, "normalized_substring"
+        return round(difflib.SequenceMatcher(None, needle, name).ratio(), 6), "sequence_ratio"
+
+    scored = sorted((score(x) for x in names), key=lambda x: -x[0])
+    (best, reason), second = scored[0], scored[1][0]
+    exact = sum(x[0] == 1.0 for x in scored)
+    if best >= 0.92:
+        return "matched" if exact == 1 or exact == 0 and not (second >= 0.92 and best - second <= 0.015) else "ambiguous", reason
+    return ("likely_missing_file", reason) if best >= 0.85 else ("missing", None)
+
+
+def test_match_report_equals_ladder_over_all_pairs(spark):
+    long = "abcdefghijklmnopqrstuvwxyz0123456789"
+    kanopus = "kanopus20240101112233scn02" + long + "abcdefghijkl"
+    keys = [long + "x9.tif", "z" + long[1:] + ".tif", kanopus + ".tif", kanopus.replace("z", "q").replace("scn02", "scn03") + ".tif", "abcdef.tif", "ab1cd2ee.tif"]
+    entries = [long + ".tif", long + "x.tif", kanopus.replace("klmn", "kmn") + ".tif", kanopus + ".tif", "ab1cd2ef.tif", "none.tif"]
+    got = report(spark, entries, keys)
+    want = {e: ladder(e[:-4], [k[:-4] for k in keys]) for e in entries}
+    assert got == want
+    assert want[long + ".tif"][0] == "ambiguous"
+
+
+def test_match_report_of_short_names(spark):
+    assert ladder("abcdef", ["ab1cd2ef", "none"])[0] == "likely_missing_file"
+    assert report(spark, ["abcdef.tif"], ["ab1cd2ef.tif", "none.tif"])["abcdef.tif"] == ("likely_missing_file", "sequence_ratio")
+
+
 def test_scene_lines(spark):
     rows = spark.createDataFrame([("﻿Hilokskij",), ("# no",), ("  ",), ("Toguchinskij\\ x",)], "v string")
     assert [r.e for r in rows.select(N.scene_entry(F.col("v")).alias("e")).collect()] == ["Hilokskij", None, None, "Toguchinskij/"]
