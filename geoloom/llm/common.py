@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +20,11 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a default where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED_DIR).rstrip("/")
+    """The folder every executor sees: spark.checkpoint.dir. Only a local session, all on one machine, may leave it unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (named or DEFAULT_SHARED_DIR).rstrip("/")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -31,6 +39,64 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """(docs, a column that tells its rows apart, also rows that are equal in every column), the same in every job.
+
+    Rows that are read straight from Parquet files are told apart by their file and their place in it. Any other
+    rows are numbered and written first, as numbers drawn anew might differ.
+    """
+    with contextlib.suppress(AnalysisException, AttributeError):
+        if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+            place = docs.metadataColumn("_metadata")
+            key = F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("at"))
+            docs.select(key)  # fails where the files have no places
+            return docs, key
+    name = free_name(docs, "row")
+    drawn = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("at"))
+    return materialize(docs.withColumn(name, drawn), "rows"), F.col(name)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores as no column of df has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+#: What operators keep in a Python worker between batches, by operator.
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What one operator keeps in this Python worker. What others kept goes, as workers live on for other work."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        release_memory()
+        _KEPT[owner] = {}
+    return _KEPT[owner]
+
+
+def release_memory() -> None:
+    """Gives memory that is free back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(owner: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over batches that leaves no memory of its own in the worker but worker_cache(owner)."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache(owner)
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of df's size in bytes (file sizes for scans); no job is run."""
     try:
