@@ -21,8 +21,9 @@ smaller id. Windows are found without pairing documents:
    those of its smallest document only.
 4. Repeats meet their documents again, by groups of documents, and are cut out there.
 
-A stretch is compared by 64 bits of its hash besides the hash of its representative; each repeat
-is checked against the hash of the bytes at its place before it is cut.
+Stretches and dealt windows, whose bytes do not meet, are compared by a 128-bit hash without algebraic
+structure, of which 96 bits and 32 bits of the representative's hash are kept; what suffix sorting
+finds is compared byte by byte.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, materialize, plan_bytes
-from .hashing import chunks, mix, prefix_hashes, span_hashes
+from .common import buckets_for, materialize, plan_bytes, tidy, worker_cache
+from .hashing import blocks8, chunks, mix, spans128
 from .suffix_sort import Suffixes
 
 WINDOW = 50
@@ -50,7 +51,7 @@ HOT_STRETCHES, HOT_WINDOWS = 1_000, 20
 NO_ID = (1 << 63) - 1
 
 #: Records are kept as columns; each is written byte plane by byte plane, which compresses well.
-RECORD = (("seed", np.uint32), ("hash", np.uint64), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
+RECORD = (("seed", np.uint32), ("hash", np.uint64), ("more", np.uint32), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
 REPEAT = (("hash", np.uint64), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
 REQUEST = (("bucket", np.uint32), ("seed", np.uint32), ("hot", np.uint32), *REPEAT)
 Columns = dict[str, np.ndarray]
@@ -99,10 +100,10 @@ def group_column(groups: int):
     return F.pmod(x.bitwiseXOR(F.shiftright(x, 17)).bitwiseXOR(F.shiftright(x, 31)), F.lit(groups).cast("long")).cast("int")
 
 
-def seed_hashes(prefix: np.ndarray) -> np.ndarray:
-    """A hash of the SEED bytes from every place."""
-    at = np.arange(max(len(prefix) - SEED, 0))
-    return mix(span_hashes(prefix, at, at + SEED))
+def seed_hashes(data: bytes) -> np.ndarray:
+    """A hash of the SEED bytes from every place: two blocks of eight."""
+    block = blocks8(data)
+    return mix(mix(block[: max(len(data) - SEED + 1, 0)]) ^ block[8:]) if len(data) >= SEED else np.zeros(0, np.uint64)
 
 
 def least_in_window(seeds: np.ndarray) -> np.ndarray:
@@ -120,13 +121,12 @@ def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
     """All stretches of some documents' windows: seed (the least hash, mixed), hash (of the bytes), id, at, n (windows)."""
     parts: list[Columns] = []
     for a, b in chunks(texts):
-        data = np.frombuffer(b"".join(texts[a:b]), np.uint8)
+        data = b"".join(texts[a:b])
         ends = np.cumsum([len(t) for t in texts[a:b]])
         starts = ends - [len(t) for t in texts[a:b]]
         if len(data) < WINDOW:
             continue
-        prefix = prefix_hashes(data)
-        least = least_in_window(seed_hashes(prefix))
+        least = least_in_window(seed_hashes(data))
         edge = np.zeros(len(data) + 2, np.int32)
         whole = ends - starts >= WINDOW
         np.add.at(edge, starts[whole], 1)
@@ -139,27 +139,20 @@ def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
         # where WINDOW - 1 places that are not valid lie between them
         n = last - first + 1
         own = np.searchsorted(ends, first, "right")
-        parts.append(
-            {
-                "seed": mix(least[first]),
-                "hash": mix(span_hashes(prefix, first, first + n + WINDOW - 1) + n.astype(np.uint64)),
-                "id": ids[a:b][own],
-                "at": first - starts[own],
-                "n": n,
-            }
-        )
-    names = ("seed", "hash", "id", "at", "n")
-    kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
+        value, more = spans128(data, first, first + n + WINDOW - 1)
+        parts.append({"seed": mix(least[first]), "hash": value, "more": more >> np.uint64(32), "id": ids[a:b][own], "at": first - starts[own], "n": n})
+    names = ("seed", "hash", "more", "id", "at", "n")
+    kinds = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64)
     return {k: np.concatenate([np.zeros(0, t), *(p[k] for p in parts)]) for k, t in zip(names, kinds, strict=True)}
 
 
 def split_repeats(s: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of (first occurrences: all in the smallest document that has the stretch; repeats), and a number per distinct stretch by place."""
-    order = np.lexsort((s["at"], s["id"], s["n"], s["hash"], s["seed"]))
+    order = np.lexsort((s["at"], s["id"], s["n"], s["more"], s["hash"], s["seed"]))
     new = np.ones(len(order), bool)
     if len(order):
-        x = [s[k][order] for k in ("seed", "hash", "n")]
-        new[1:] = (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]) | (x[2][1:] != x[2][:-1])
+        x = [s[k][order] for k in ("seed", "hash", "more", "n")]
+        new[1:] = np.logical_or.reduce([y[1:] != y[:-1] for y in x])
     kind = np.cumsum(new) - 1
     smallest = s["id"][order][np.flatnonzero(new)][kind] if len(order) else s["id"]
     again = s["id"][order] > smallest
@@ -173,10 +166,11 @@ def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.nda
 
     Returns the repeats: hash, id, at, n.
     """
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    joined = b"".join(texts)
+    data = np.frombuffer(joined, np.uint8)
     size = np.array([len(t) for t in texts], np.int64)
     start = np.cumsum(size) - size
-    seeds = seed_hashes(prefix_hashes(data))
+    seeds = seed_hashes(joined)
     # windows of all stretches
     per = size - WINDOW + 1
     stretch = np.repeat(np.arange(len(texts)), per)
@@ -223,7 +217,7 @@ def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.nda
     n = end - begin + 1
     at = start[stretch[begin]] + offset[begin]
     return {
-        "hash": mix(span_hashes(prefix_hashes(data), at, at + n + WINDOW - 1) + n.astype(np.uint64)),
+        "hash": spans128(joined, at, at + n + WINDOW - 1)[0],
         "id": ids[stretch[begin]],
         "at": ats[stretch[begin]] + offset[begin],
         "n": n,
@@ -268,13 +262,14 @@ def _stretch_blocks(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
         if texts:
             yield from flush(texts, ids).to_batches()
 
-    return rows.select("id", "data").mapInArrow(run, _PACKED_SQL)
+    return rows.select("id", "data").mapInArrow(tidy("repeats", run), _PACKED_SQL)
 
 
 def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
     """Repeats, those found before included, and requests for bytes where stretches with one representative differ, by document group."""
 
     def run(table: pa.Table) -> pa.Table:
+        worker_cache("repeats")
         if table.column("kind")[0].as_py() == CUT:  # known already
             return table.select(list(_PACKED))
         s = unpack(table.column("blob").to_pylist(), RECORD)
@@ -301,7 +296,7 @@ def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
 
 
 class _Group:
-    """Some documents' bytes together, sorted by id, with a prefix hash."""
+    """Some documents' bytes together, sorted by id."""
 
     def __init__(self, table: pa.Table):
         ids = table.column("id").to_numpy()
@@ -311,11 +306,11 @@ class _Group:
         self.texts = [raw[k] or b"" for k in self.order.tolist()]
         self.size = np.array([len(t) for t in self.texts], np.int64)
         self.start = np.cumsum(self.size) - self.size
-        self.data = np.frombuffer(b"".join(self.texts), np.uint8)
-        self.prefix = prefix_hashes(self.data)
+        self.joined = b"".join(self.texts)
+        self.data = np.frombuffer(self.joined, np.uint8)
 
     def places(self, s: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(record, document, place in data) for records whose bytes are there as their hash says."""
+        """(record, document, place in data). Where several rows have a record's id, those with the bytes that its hash says."""
         low, high = np.searchsorted(self.ids, s["id"], "left"), np.searchsorted(self.ids, s["id"], "right")
         record = np.repeat(np.arange(len(low)), high - low)
         doc = np.arange(len(record)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[record]
@@ -323,7 +318,9 @@ class _Group:
         inside = at + n + WINDOW - 1 <= self.size[doc]
         record, doc, at, n = record[inside], doc[inside], at[inside], n[inside]
         at += self.start[doc]
-        right = mix(span_hashes(self.prefix, at, at + n + WINDOW - 1) + n.astype(np.uint64)) == s["hash"][record]
+        right = np.ones(len(record), bool)
+        several = np.flatnonzero((high - low)[record] > 1)
+        right[several] = spans128(self.joined, at[several], (at + n + WINDOW - 1)[several])[0] == s["hash"][record[several]]
         return record[right], doc[right], at[right]
 
 
@@ -336,6 +333,7 @@ def _fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
     """The bytes of requested stretches, by bucket; of hot ones the bytes of windows, by a bucket of their own hash."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        worker_cache("repeats")
         if not right.num_rows or not left.num_rows:
             return _batch(_FETCHED, [])
         g, s = _Group(left), unpack(right.column("blob").to_pylist(), REQUEST)
@@ -346,10 +344,10 @@ def _fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
         each = np.repeat(np.flatnonzero(hot), n[hot])
         offset = np.arange(len(each)) - np.repeat(np.cumsum(n[hot]) - n[hot], n[hot])
         start = at[each] + offset
-        value = mix(span_hashes(g.prefix, start, start + WINDOW) + np.uint64(1))
-        order = np.lexsort((ids[each], value))
+        value, more = spans128(g.joined, start, start + WINDOW)
+        order = np.lexsort((ids[each], more, value))
         new = np.ones(len(order), bool)
-        new[1:] = value[order][1:] != value[order][:-1]
+        new[1:] = (value[order][1:] != value[order][:-1]) | (more[order][1:] != more[order][:-1])
         again = np.zeros(len(order), bool)
         if len(order):
             again[order] = ids[each][order] > ids[each][order][np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -377,6 +375,7 @@ def _fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
 
 def _resolved(fetched: DataFrame, groups: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
+        worker_cache("repeats")
         packed = table.column("at").to_numpy() == PACKED
         ready, table = table.filter(pa.array(packed)), table.filter(pa.array(~packed))
         out = [(CUT, k, b) for k, b in zip(ready.column("seed").to_pylist(), ready.column("bytes").to_pylist(), strict=True)]
@@ -390,6 +389,7 @@ def _resolved(fetched: DataFrame, groups: int) -> DataFrame:
 
 def _cut(docs: DataFrame, repeats: DataFrame, with_kept: bool) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        worker_cache("repeats")
         g = _Group(left)
         removed = np.zeros(len(g.data), bool)
         if right.num_rows:
