@@ -1,49 +1,53 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
 Texts are weighted sets of shingles of five words. A shingle weighs its occurrences in the
-text times its inverse document frequency; the latter is the mean of its words', counted over
-all documents in a table of 2**18 hash buckets (a shingle's own frequency would make what
-copies have in common weigh less than what sets them apart). Consistent samples of the weighted sets
-are equal with the probability of their weighted Jaccard similarity; BANDS bands of ROWS
-samples make candidates.
-
-Rows with equal shingle multisets are one node. A bucket's nodes are not all paired: each is set
-against the smallest node of the bucket, and of the bucket's part that also shares the next
-band, which is smaller and purer. Every candidate pair is verified by the weighted Jaccard
-similarity of the whole texts, and the classes are the connected components of verified links.
-As two nodes may be alike and neither like the smallest, nodes drawn from the parts of a bucket
-that are still not linked are set against each other in further turns, as long as turns leave
-markedly fewer pairs between parts; they only save verifications. At the end all pairs of a bucket
-that are in different parts still are verified, so that of two nodes with a common band either the
-pair was verified or both are in one class. Only pairs whose total weights rule the similarity out are left out.
+text times its inverse document frequency; the latter is the sum of its words', counted over
+all documents (a shingle's own frequency would make what large families of copies have in
+common weigh less than what sets them apart). Consistent samples of the weighted sets are equal
+with the probability of their weighted Jaccard similarity; BANDS bands of ROWS samples make
+candidates.
+
+Rows with equal shingle multisets are one node. Candidates are settled in two steps, each of which verifies
+every pair that it finds by the weighted Jaccard similarity of the whole texts; classes are the
+connected components of the verified links.
+
+1. Each node of a bucket is set against the bucket's smallest node.
+2. As two nodes may be alike and neither like the smallest, the nodes of all buckets that are not one
+   class by then are joined exactly, however many there are and whatever buckets they are in:
+   shingles are put in a global order, rarest first, and two nodes of different classes can only be alike if they
+   share a shingle early in both orders (the prefix filter of similarity joins). What only nodes of one class have
+   cannot link two classes, and what many have in common, such as a template, comes late in the order, so that
+   nodes are not paired for it. So no cap on buckets or partners is needed: of two nodes with a common band, either the
+   pair was verified, or ruled out by bounds on its similarity, or both are in one class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, row_key, tidy
 from .components import components
 from .hashing import BASE, chunks, mix, ngrams, words
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 3
-#: Nodes drawn from a part of a bucket at each turn, besides its smallest and largest.
-DRAWN = 6
-#: Turns go on while one leaves at most this share of the pairs between parts; the rest is verified pair by pair.
-WORTHWHILE = 0.9
-#: A bucket's nodes are dealt in blocks of about so many where all its pairs are made.
-BLOCK = 256
+#: A pair at the least similarity shares a band with probability 1 - (1 - 0.8**5)**16 = 0.998.
+BANDS, ROWS = 16, 5
+#: Slack of bounds on sums of weights, as they are added up in different orders.
+SLACK = 1e-6
 #: Texts are signed in pieces of about so many bytes together, as sampling needs some dozen numbers for each word.
 SIGNED_BYTES = 1 << 18
-#: Size of the table of document frequencies, in bits; bounds what is broadcast (1 MB).
-IDF_BITS = 18
+#: Words that fewer than one document in RARE has all weigh the same. Bounds what is broadcast: of a corpus whose
+#: documents have m different words on average, at most RARE * m words are more frequent (12 bytes each).
+RARE = 1024
+#: Different words that a task holds before it hands their counts on.
+HELD_WORDS = 1 << 19
 
 
 def _raw(texts: list[str | None]) -> list[bytes]:
@@ -57,39 +61,61 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield batch.slice(first, rows)
 
 
-def document_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Inverse document frequency ln(1 + N / df) by bucket of word hash, over all rows of docs."""
+@dataclass
+class Idf:
+    """Inverse document frequencies ln(1 + N / df) by word hash, ascending; of words not listed: ln(1 + RARE)."""
+
+    word: np.ndarray
+    weight: np.ndarray
+
+    def of(self, word: np.ndarray) -> np.ndarray:
+        rare = np.float32(np.log1p(RARE))
+        if not len(self.word):
+            return np.full(len(word), rare)
+        at = np.minimum(np.searchsorted(self.word, word), len(self.word) - 1)
+        return np.where(self.word[at] == word, self.weight[at], rare)
+
+
+def document_frequencies(docs: DataFrame, text_col: str = "text") -> Idf:
+    """Counted over all rows of docs. What is collected is bounded by RARE and the mean number of words of a document, not by the corpus."""
+
+    def counts(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(1 << IDF_BITS, np.int64), 0
+        held, n = [], 0
         for batch in _slices(batches):
             raw = _raw(batch.column(0).to_pylist())
-            rows += len(raw)
             for a, b in chunks(raw):
                 w = words(raw[a:b])
-                key = np.unique(w.own.astype(np.int64) << IDF_BITS | (w.hash >> np.uint64(64 - IDF_BITS)).astype(np.int64))
-                total += np.bincount(key & ((1 << IDF_BITS) - 1), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at], pa.int32()), pa.array([rows, *total[at]], pa.int64())], ["bucket", "n"])
-
-    parts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "bucket int, n bigint")
-    n, df = 0, np.zeros(1 << IDF_BITS)
-    for r in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most 2**IDF_BITS + 1
-        if r.bucket < 0:
-            n = r.n
-        else:
-            df[r.bucket] = r.n
-    return np.log1p(max(n, 1) / np.maximum(df, 1)).astype(np.float32)
-
-
-def weighted_shingles(raw: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                order = np.lexsort((w.hash, w.own))
+                new = np.r_[True, (w.hash[order][1:] != w.hash[order][:-1]) | (w.own[order][1:] != w.own[order][:-1])][: len(order)]
+                held.append(w.hash[order][new])
+                n += len(held[-1])
+            if n >= HELD_WORDS * 4:
+                yield told(*counts(held))
+                held, n = [], 0
+        yield told(*counts(held))
+
+    def told(word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+
+    texts = docs.select(docs[text_col].alias("text"))
+    rows = texts.count()
+    seen = texts.mapInArrow(tidy("near", run), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    frequent = seen.filter(F.col("n") * RARE > rows).toArrow()
+    word, n = (frequent.column(k).combine_chunks().to_numpy() for k in ("word", "n"))
+    order = np.argsort(word.view(np.uint64))
+    return Idf(word.view(np.uint64)[order], np.log1p(rows / n[order]).astype(np.float32))
+
+
+def weighted_shingles(raw: list[bytes], idf: Idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, shingle, weight), each shingle once per text, ascending by both."""
     w = words(raw)
     at, shingle = ngrams(w, SHINGLE_WORDS)
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.float32)
-    each = idf[(w.hash >> np.uint64(64 - IDF_BITS)).astype(np.int64)]
-    each = np.concatenate([each, np.zeros(SHINGLE_WORDS - 1, np.float32)])
+    each = np.concatenate([idf.of(w.hash), np.zeros(SHINGLE_WORDS - 1, np.float32)])
     own = np.concatenate([w.own, np.full(SHINGLE_WORDS - 1, -1)])
     heavy = np.zeros(len(at), np.float32)
     for j in range(SHINGLE_WORDS):
@@ -137,18 +163,15 @@ def samples(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -
     return out
 
 
-def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """rid, doc_id, text_sha256, n (shingles, repeats counted), f1, f2 (fingerprint of the shingle multiset), weight (of all shingles), bands."""
+def signatures(docs: DataFrame, rid: Column, idf: Idf, id_col: str, text_col: str) -> DataFrame:
+    """rid, doc_id, n (shingles, repeats counted), f1, f2 (fingerprint of the shingle multiset), weight (of all shingles), bands."""
     sent = docs.sparkSession.sparkContext.broadcast(idf)
-    text = F.col(text_col)
-    source = docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("text_sha256"), text.alias("text")
-    )
-    kind = source.schema["doc_id"].dataType.simpleString()
+    source = docs.select(rid.alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kinds = [source.schema[c].dataType.simpleString() for c in ("rid", "doc_id")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            raw = _raw(batch.column(3).to_pylist())
+            raw = _raw(batch.column(2).to_pylist())
             for a, b in chunks(raw, SIGNED_BYTES):
                 text, shingle, weight = weighted_shingles(raw[a:b], sent.value)
                 n = b - a
@@ -173,168 +196,147 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) ->
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(out.reshape(-1).view(np.int64)), BANDS).cast(pa.list_(pa.int64()))
                 head = batch.slice(a, n)
                 yield pa.RecordBatch.from_arrays(
-                    [head.column(0), head.column(1), head.column(2), pa.array(count), *(pa.array(sums[:, j].view(np.int64)) for j in (0, 1)), pa.array(heavy), lists],
-                    ["rid", "doc_id", "text_sha256", "n", "f1", "f2", "weight", "bands"],
+                    [head.column(0), head.column(1), pa.array(count), *(pa.array(sums[:, j].view(np.int64)) for j in (0, 1)), pa.array(heavy), lists],
+                    ["rid", "doc_id", "n", "f1", "f2", "weight", "bands"],
                 )
 
-    return source.mapInArrow(run, f"rid bigint, doc_id {kind}, text_sha256 string, n bigint, f1 bigint, f2 bigint, weight double, bands array<bigint>")
+    return source.mapInArrow(tidy("near", run), f"rid {kinds[0]}, doc_id {kinds[1]}, n bigint, f1 bigint, f2 bigint, weight double, bands array<bigint>")
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """(key, node, weight) for nodes (node, weight, bands): the buckets of each band, and of each two successive bands, that several nodes share."""
-    keyed = nodes.select("node", "weight", F.posexplode("bands").alias("band", "value"), F.col("bands").alias("all"))
-    after = F.element_at("all", ((F.col("band") + 1) % BANDS + 1).cast("int"))
-    keys = materialize(keyed.select("node", "weight", F.explode(F.array(F.col("value"), F.xxhash64("value", after))).alias("key")), "near-keys")
-    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "near-shared")
-    return materialize(keys.join(shared, "key").select("key", "node", "weight"), "near-members")
+    """(key, node, weight) for nodes (node, weight, bands): the buckets that several nodes share."""
+    keys = materialize(nodes.select("node", "weight", F.explode("bands").alias("key")), "near-keys")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).filter("n > 1").select("key", "head")
+    return materialize(keys.join(shared, "key"), "near-members")
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
     """(a, b), a < b: each node of a bucket with the smallest one."""
-    heads = materialize(members.groupBy("key").agg(F.min("node").alias("a")), "near-heads")
-    return members.join(heads, "key").filter("a < node").select("a", F.col("node").alias("b")).distinct()
-
+    return members.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
 
-def crossing_pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """(a, b), a < b, between parts of a bucket that are not linked yet: some nodes of each part with some of one part.
 
-    The one is the largest part at first, then another at every turn. Which nodes stand for a part depends on
-    the bucket and the turn, so that a part meets others with ever new nodes.
-    """
+def open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) of all nodes in buckets whose nodes are not in one part."""
     told = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    drawn = [F.min_by("node", F.xxhash64("node", "key", F.lit(turn * DRAWN + j))) for j in range(DRAWN)]
-    parts = told.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(F.min("node"), F.max("node"), *drawn)).alias("some"))
-    parts = materialize(parts, "near-parts")
-    rank = F.col("n") if turn == 1 else F.xxhash64("label", F.lit(turn))
-    centres = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by(F.struct("label", "some"), F.struct(rank, "label")).alias("centre")).filter("parts > 1")
-    centres = materialize(centres.select("key", "centre"), "near-centres")
-    crossed = parts.join(centres, "key").filter(F.col("label") != F.col("centre.label"))
-    ends = crossed.select(F.explode("some").alias("x"), F.col("centre.some").alias("others")).select("x", F.explode("others").alias("y"))
-    return ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    split = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("key")
+    return told.join(split, "key", "left_semi").select("node", "label").distinct()
 
 
 def _may_be_alike(x: Column, y: Column) -> Column:
     """Two sets of these weights have at most the lesser in common and at least the greater together."""
-    return F.least(x, y) >= F.greatest(x, y) * (SIMILARITY - 1e-6)
+    return F.least(x, y) >= F.greatest(x, y) * (SIMILARITY - SLACK)
 
 
-def open_count(members: DataFrame, labels: DataFrame) -> tuple[float, int]:
-    """How many pairs of a bucket's nodes are in different parts, over all buckets, and how many members the buckets have."""
-    told = members.join(labels, "node", "left").groupBy("key", F.coalesce("label", "node").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    each = told.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
-    r = each.agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs"), F.sum("n").alias("members")).first()
-    return r.pairs or 0.0, int(r.members or 0)
+def shingle_rows(texts: DataFrame, idf: Idf) -> DataFrame:
+    """(node, label, weight, shingle, w) for each shingle of texts (node, label, weight, text)."""
+    sent = texts.sparkSession.sparkContext.broadcast(idf)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            raw = _raw(batch.column(3).to_pylist())
+            for a, b in chunks(raw, SIGNED_BYTES):
+                text, shingle, w = weighted_shingles(raw[a:b], sent.value)
+                given = batch.slice(a, b - a).select([0, 1, 2]).take(pa.array(text))
+                yield pa.RecordBatch.from_arrays([*given.columns, pa.array(shingle.view(np.int64)), pa.array(w)], ["node", "label", "weight", "shingle", "w"])
+
+    return texts.select("node", "label", "weight", "text").mapInArrow(tidy("near", run), "node bigint, label bigint, weight double, shingle bigint, w float")
 
-def open_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of a bucket's nodes that are in different parts, if their weights allow a link.
 
-    A bucket is dealt in pairs of blocks, so that no task has all pairs of a large one.
+def prefix_pairs(texts: DataFrame, idf: Idf) -> DataFrame:
+    """(a, b), a < b: every pair of texts (node, label, weight, text) with different labels that may be alike.
+
+    In common are only shingles that several labels have. In the order of their frequency, let `before` be the weight of what a
+    node has before its first shingle in common with another; then they have at most weight - before in common,
+    on either side. Similarity of at least t needs t / (1 + t) of both weights together, so that the lighter node has its first
+    common shingle within the first 1 - 2t / (1 + t) of its weight, and the heavier one within the first 1 - t.
     """
-    told = members.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("label", "node").alias("label"))
-    split = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("n")).filter("least < most")
-    split = materialize(split.select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")), "near-split")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    placed = told.join(split, "key").select("key", "node", "weight", "label", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    at = [F.col("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
-    placed = materialize(placed.select(*at, "node", "weight", "label", "block"), "near-placed")
-    other = placed.select("key", "i", "j", *(F.col(c).alias(f"{c}_b") for c in ("node", "weight", "label", "block")))
-    met = placed.hint("merge").join(other, ["key", "i", "j"])
-    met = met.filter((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & ((F.col("block") != F.col("block_b")) | (F.col("i") == F.col("j"))))
-    return met.filter(_may_be_alike(F.col("weight"), F.col("weight_b"))).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
-def links_of(nodes: DataFrame, docs: DataFrame, idf: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """(node, label) of the components of all verified links among nodes (node, id, f1, weight, bands)."""
+    t = SIMILARITY - SLACK
+    rows = materialize(shingle_rows(texts, idf), "near-shingles")
+    seen = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("least"), F.max("label").alias("most"))
+    shared = rows.join(seen.filter("least < most").select("shingle", "df").hint("merge"), "shingle")  # both sides grow with the input
+    mine = Window.partitionBy("node")
+    first = mine.orderBy("df", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    w = F.col("w").cast("double")
+    before = F.col("weight") - F.sum(w).over(mine) + F.coalesce(F.sum(w).over(first), F.lit(0.0))
+    early = shared.withColumn("before", before).filter(F.col("before") <= F.col("weight") * (1 - t + SLACK))
+    early = materialize(early.select("shingle", "node", "label", "weight", "before"), "near-prefixes")
+    light = early.filter(F.col("before") <= F.col("weight") * (1 - 2 * t / (1 + t) + SLACK))
+    side = lambda df, x: df.select("shingle", *(F.col(c).alias(f"{x}_{c}") for c in ("node", "label", "weight", "before")))
+    met = side(light, "a").join(side(early, "b"), "shingle").filter(
+        (F.col("a_label") != F.col("b_label"))
+        & ((F.col("a_weight") < F.col("b_weight")) | ((F.col("a_weight") == F.col("b_weight")) & (F.col("a_node") < F.col("b_node"))))
+        & _may_be_alike(F.col("a_weight"), F.col("b_weight"))
+        & (F.least(F.col("a_weight") - F.col("a_before"), F.col("b_weight") - F.col("b_before")) >= (F.col("a_weight") + F.col("b_weight")) * (t / (1 + t) - SLACK))
+    )
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
+def links_of(nodes: DataFrame, docs: DataFrame, rid: Column, idf: Idf, text_col: str) -> DataFrame:
+    """(node, label) of the components of all verified links among nodes (node, rid, weight, bands)."""
     members = bucket_members(nodes.select("node", "weight", "bands"))
-    names = materialize(nodes.select("node", "id", "f1", "weight").join(members.select("node").distinct(), "node", "left_semi"), "near-names")
-    wanted = names.select(F.col("id").alias("wanted")).distinct().hint("merge")  # they grow with the input: the same plan at every size
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = materialize(texts.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi"), "near-texts")
-    side = lambda x: names.select(F.col("node").alias(x), F.col("id").alias(f"{x}_id"), F.col("f1").alias(f"{x}_f1"), F.col("weight").alias(f"{x}_weight"))
-    spark = docs.sparkSession
-    tried, links = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "a bigint, b bigint")
-    labels = spark.createDataFrame([], "node bigint, label bigint")
-    turn, last, before = 0, False, float("inf")
-    while True:
-        met = star_pairs(members) if turn == 0 else open_pairs(members, labels) if last else crossing_pairs(members, labels, turn)
-        new = met.join(tried, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b").filter(_may_be_alike(F.col("a_weight"), F.col("b_weight")))
-        new = materialize(new.select("a", "b", "a_id", "a_f1", "b_id", "b_f1"), "near-pairs")
-        found = materialize(verified(new, texts, idf), "near-links")
-        tried = tried.unionByName(new.select("a", "b"))
-        if not found.isEmpty():
-            links = links.unionByName(found.select("a", "b"))
-            labels = components(links)
-        if last:
-            return labels
-        left, most = open_count(members, labels)
-        turn, last, before = turn + 1, left <= most or left > before * WORTHWHILE, left
-
-
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """The pairs (a, b, a_id, a_f1, b_id, b_f1) whose texts (id, text) are similar enough, with the similarity.
-
-    Texts are found by id; where ids repeat, the one with the right fingerprint counts.
-    """
-    one = pairs.join(texts, F.col("b_id").eqNullSafe(F.col("id"))).withColumnRenamed("text", "b_text").drop("id")
-    two = one.join(texts, F.col("a_id").eqNullSafe(F.col("id"))).select("a", "b", "a_f1", "b_f1", F.col("text").alias("a_text"), "b_text")
+    names = nodes.select("node", "rid", "weight").join(members.select("node").distinct(), "node", "left_semi")
+    # names grow with the input and are found by key: always merged, never held by every executor
+    texts = docs.select(rid.alias("rid"), F.col(text_col).alias("text")).join(names.hint("merge"), "rid").select("node", "weight", "text")
+    texts = materialize(texts, "near-texts")
+    weigh = lambda x: nodes.select(F.col("node").alias(x), F.col("weight").alias(f"{x}_weight"))
+    stars = star_pairs(members).join(weigh("a"), "a").join(weigh("b"), "b").filter(_may_be_alike(F.col("a_weight"), F.col("b_weight")))
+    stars = materialize(stars.select("a", "b"), "near-pairs")
+    links = materialize(verified(stars, texts, idf), "near-links").select("a", "b")
+    labels = components(links)
+    rest = materialize(open_nodes(members, labels), "near-open")
+    if rest.isEmpty():
+        return labels
+    pairs = materialize(prefix_pairs(texts.join(rest, "node"), idf).join(stars, ["a", "b"], "left_anti"), "near-pairs")
+    more = materialize(verified(pairs, texts, idf), "near-links").select("a", "b")
+    return labels if more.isEmpty() else components(links.unionByName(more))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts (node, text) are similar enough, with the similarity."""
+    text = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"{x}_text"))
+    two = pairs.select("a", "b").join(text("b"), "b").join(text("a"), "a").select("a", "b", "a_text", "b_text")
     sent = texts.sparkSession.sparkContext.broadcast(idf)
 
-    def fingerprints(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros(n, np.uint64)
-        if len(text):
-            first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-            out[text[first]] = np.add.reduceat(mix(mix(shingle + np.uint64(1)) ^ weight.view(np.uint32).astype(np.uint64)), first)
-        return out.view(np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 128):
-            left, right = _raw(batch.column(4).to_pylist()), _raw(batch.column(5).to_pylist())
+            left, right = _raw(batch.column(2).to_pylist()), _raw(batch.column(3).to_pylist())
             for a, b in chunks([x + y for x, y in zip(left, right, strict=True)]):
                 n = b - a
-                own, shingle, weight = [], [], []
-                same = np.ones(n, bool)
-                for at, side in ((2, left), (3, right)):
-                    t, s, w = weighted_shingles(side[a:b], sent.value)
-                    same &= fingerprints(t, s, w, n) == batch.column(at).slice(a, n).to_numpy()
-                    own.append(t), shingle.append(s), weight.append(w)
-                t, s, w = map(np.concatenate, (own, shingle, weight))
+                t, s, w = map(np.concatenate, zip(*(weighted_shingles(side[a:b], sent.value) for side in (left, right)), strict=True))
                 order = np.lexsort((s, t))
                 t, s, w = t[order], s[order], w[order].astype(np.float64)
                 total = np.bincount(t, w, minlength=n)
                 twin = (t[1:] == t[:-1]) & (s[1:] == s[:-1])
                 common = np.bincount(t[1:][twin], np.minimum(w[1:], w[:-1])[twin], minlength=n)
                 likeness = common / np.maximum(total - common, 1e-30)
-                keep = np.flatnonzero(same & (likeness >= SIMILARITY - 1e-9))
+                keep = np.flatnonzero(likeness >= SIMILARITY - 1e-9)
                 head = batch.slice(a, n).take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([head.column(0), head.column(1), pa.array(likeness[keep])], ["a", "b", "similarity"])
 
-    return two.mapInArrow(run, "a bigint, b bigint, similarity double")
+    return two.mapInArrow(tidy("near", run), "a bigint, b bigint, similarity double")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, class_id, class_size, kept, text_sha256.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, class_id, class_size, kept, rid.
 
     class_id is the smallest id of the class; of the class's rows exactly one is kept, that with
-    class_id (of several, the first read). Texts of fewer than five words are one shingle;
+    class_id (of several, that with the least rid). Texts of fewer than five words are one shingle;
     texts without a word (null, empty, white space) are like no other and are classes of their own.
     Null ids come last, so that a class_id is null only where all its rows' are. Rows with
-    equal texts are always in one class. Empty input: empty result. Other columns are not read.
+    equal texts are always in one class. rid tells rows apart: row_col, which must be the same in every
+    job, or a key drawn here. Empty input: empty result. Other columns are not read.
     """
+    docs, rid = (docs, F.col(row_col)) if row_col else row_key(docs)
     idf = document_frequencies(docs, text_col)
-    signed = materialize(signatures(docs, idf, id_col, text_col), "near-signatures")
+    signed = materialize(signatures(docs, rid, idf, id_col, text_col), "near-signatures")
     full = signed.filter("n > 0")
-    nodes = full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
+    nodes = full.groupBy("f1", "f2", "n").agg(F.min("rid").alias("rid"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    labels = links_of(nodes, docs, idf, id_col, text_col)
-    node_of = full.select("rid", "doc_id", "text_sha256", "f1", "f2", "n").join(nodes.select("f1", "f2", "n", "node"), ["f1", "f2", "n"])
-    classed = materialize(
-        node_of.join(labels, "node", "left").select("rid", "doc_id", "text_sha256", F.coalesce("label", "node").alias("label")), "near-classes"
-    )
+    labels = links_of(nodes, docs, rid, idf, text_col)
+    node_of = full.select("rid", "doc_id", "f1", "f2", "n").join(nodes.select("f1", "f2", "n", "node"), ["f1", "f2", "n"])
+    classed = materialize(node_of.join(labels, "node", "left").select("rid", "doc_id", F.coalesce("label", "node").alias("label")), "near-classes")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("rid").alias("rid")))
     heads = materialize(classed.groupBy("label").agg(best.alias("head"), F.count(F.lit(1)).alias("class_size")), "near-heads")
-    told = classed.join(heads, "label").select(
-        "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("rid") == F.col("head.rid")).alias("kept"), "text_sha256"
-    )
-    alone = signed.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "text_sha256")
+    told = classed.join(heads, "label").select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("rid") == F.col("head.rid")).alias("kept"), "rid")
+    alone = signed.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "rid")
     return told.unionByName(alone)
