@@ -16,7 +16,7 @@ from .substring_dedup import remove_repeats
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(documents(spark, sf_dir))
+    return exact_duplicates(documents(spark, sf_dir)).drop("rid")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
