@@ -6,27 +6,24 @@ including it, divided by the source's target. All copies are sorted by finish ti
 from the front until the budget is spent, so that at every point of the mix each source has
 had its share.
 
-Nothing is gathered by source, as one source may hold most rows. Running totals are taken in
-three steps instead: the random order is cut into 256 ranges and each of these into 256; the
-totals of ranges, few per source, are summed up first, and then only the rows of one small
-range meet in one task. The global sort works alike: finish times are cut into 65,536 ranges,
-whose totals tell in which range the budget ends, and only that range's copies are sorted
-one by one.
+Both orders, within sources and of all copies, are made by range partitioning, so that nothing is gathered by
+source or by id, of which one may hold most rows: rows with equal keys are told apart by their row key, at which
+ranges can be cut too. The totals of ranges, a small table, are summed up; then running totals are taken
+within ranges. Of the globally sorted copies, ranges before the end of the budget are taken
+whole, and the one in which it ends is gone through in order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, word_count
+from .common import materialize, row_key, word_count
 
 #: Weights that sources get in turn, in code point order, and the budget as a share of all words.
 WEIGHTS = (5, 2, 1)
 BUDGET_PERCENT = 150
 MOST_PASSES = 2
-#: Ranges of a level; a source's running totals are taken over RANGES, then RANGES again, then rows.
-RANGES = 256
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_percent: int = BUDGET_PERCENT, most_passes: int = MOST_PASSES) -> DataFrame:
@@ -63,80 +60,64 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget_percent
     return rest.select("source", "source_size", F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def _running(totals: DataFrame, keys: list[str], at: str, size: str, out: str) -> DataFrame:
-    """Adds the sum of size over the ranges before, within keys."""
-    before = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumn(out, F.coalesce(F.sum(size).over(before), F.lit(0).cast("long")))
+def _ranged(rows: DataFrame, label: str, *order: Column | str) -> DataFrame:
+    """rows, written in ranges of an order, with the number of the range each is in (`part`)."""
+    return materialize(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), label)
 
 
-def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
-    """One row per document: rid, doc_id, text_sha256, source, size, source_size, target, cum (its source's words up to it).
+def schedule(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, row_col: str | None = None
+) -> DataFrame:
+    """One row per document: rid, doc_id, source, size, source_size, target, h, cum (its source's words up to it).
 
-    The order within a source is by a hash of seed and id, then id, then row number.
+    The order within a source is by h, a hash of seed, id and text, then id, then rid.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("text_sha256"))
-    rows = rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("rid") * F.col("doc_id").isNull().cast("long")))
-    high = F.shiftright(F.col("h"), 56).cast("int") + 128
-    middle = F.shiftright(F.col("h"), 48).bitwiseAND(F.lit(0xFF).cast("long")).cast("int")
-    rows = materialize(rows.withColumns({"r1": high, "r2": middle}), "mix-rows")
-    fine = materialize(rows.groupBy("source", "r1", "r2").agg(F.sum("size").alias("n")), "mix-ranges")
-    coarse = fine.groupBy("source", "r1").agg(F.sum("n").alias("n"))
-    aims = targets(fine.groupBy("source").agg(F.sum("n").alias("source_size")))
-    first = _running(coarse, ["source"], "r1", "n", "before1").drop("n")
-    second = _running(fine, ["source", "r1"], "r2", "n", "before2").drop("n")
-    same = lambda a, b, keys: F.expr(" AND ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
-    starts = second.alias("s").join(first.alias("f"), same("s", "f", ["source", "r1"])).select("s.source", "s.r1", "s.r2", (F.col("before1") + F.col("before2")).alias("before"))
-    starts = starts.alias("s").join(aims.alias("a"), same("s", "a", ["source"])).select("s.*", "a.source_size", "a.target")
-    within = Window.partitionBy("source", "r1", "r2").orderBy("h", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, 0)
+    docs, rid = (docs, F.col(row_col)) if row_col else row_key(docs)
+    h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+    rows = docs.select(rid.alias("rid"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), h.alias("h"))
+    rows = _ranged(materialize(rows, "mix-rows"), "mix-order", F.col("source").asc_nulls_last(), "h", "doc_id", "rid")
+    totals = materialize(rows.groupBy("source", "part").agg(F.sum("size").alias("n")), "mix-ranges")  # one row for each range and source in it
+    aims = targets(totals.groupBy("source").agg(F.sum("n").alias("source_size")))
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("before"))
+    starts = starts.alias("s").join(aims.alias("a"), F.col("s.source").eqNullSafe(F.col("a.source"))).select("s.*", "a.source_size", "a.target")
+    within = Window.partitionBy("part", "source").orderBy("h", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumn("local", F.sum("size").over(within))
-    return local.alias("l").join(starts.alias("s"), same("l", "s", ["source", "r1", "r2"])).select(
-        "l.rid", "l.doc_id", "l.text_sha256", "l.source", "l.size", "s.source_size", "s.target", (F.col("before") + F.col("local")).alias("cum")
-    )
-
-
-def _end_of_budget(totals: DataFrame, budget: int) -> tuple[int, int]:
-    """(range, words before it): the range of finish times in which the budget ends, or one past the last; from totals (range, coarse, n)."""
-
-    def first_over(rows: list[tuple[int, int]], before: int) -> tuple[int | None, int]:
-        for k, n in sorted(rows):
-            if before + n > budget:
-                return k, before
-            before += n
-        return None, before
-
-    coarse, before = first_over([(r.coarse, r.n) for r in totals.groupBy("coarse").agg(F.sum("n").alias("n")).collect()], 0)  # at most RANGES
-    if coarse is None:
-        return RANGES * RANGES, before
-    end, before = first_over([(r.range, r.n) for r in totals.filter(F.col("coarse") == coarse).select("range", "n").collect()], before)
-    return RANGES * RANGES if end is None else end, before
+    met = local.alias("l").join(starts.alias("s"), (F.col("l.part") == F.col("s.part")) & F.col("l.source").eqNullSafe(F.col("s.source")))
+    return met.select("l.rid", "l.doc_id", "l.source", "l.size", "l.h", "s.source_size", "s.target", (F.col("before") + F.col("local")).alias("cum"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
-    """One row per row of docs: rid, doc_id, text_sha256, source, size, source_size, target, taken (words), copies (0 to 2), finish (of the first copy).
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, row_col: str | None = None
+) -> DataFrame:
+    """One row per row of docs: rid, doc_id, source, size, source_size, target, taken (words), copies (0 to 2), finish (of the first copy).
 
-    Whole documents are taken, in the order of finish time (ties by hash order of id, then
-    row number, then pass), as long as their words fit into the budget. Null text: size 0; such
-    documents never cost words, taken is 0. A null source is a source of its own, last in
-    order. Null ids are told apart by row number, as are rows with equal ids. Empty input:
-    empty result. Other columns are not read.
+    Whole documents are taken, in the order of finish time (ties by h, then rid, then copy), as long as their
+    words fit into the budget. Null text: size 0; such documents never cost words, taken is 0. A null source is a
+    source of its own, last in order. Rows with equal or null ids are told apart by rid: row_col, which must be the same in
+    every job, or a key drawn here. Empty input: empty result. Other columns are not read.
     """
-    planned = materialize(schedule(docs, id_col, text_col, source_col, seed), "mix-schedule")
+    planned = materialize(schedule(docs, id_col, text_col, source_col, seed, row_col), "mix-schedule")
     passes = F.explode(F.sequence(F.lit(0), F.lit(MOST_PASSES - 1)))
-    queue = planned.filter("size > 0").select("rid", "doc_id", "size", "target", "cum", "source_size", passes.alias("copy"))
     finish = (F.col("cum") + F.col("source_size") * F.col("copy")).cast("double") / F.col("target")
-    # A source's last copy ends at source_size * passes / target, at least 1; ranges up to 1.5 hold every end of budget, as targets sum to it.
-    range_ = F.least(F.lit(RANGES * RANGES - 1), F.floor(finish / F.lit(1.5) * (RANGES * RANGES))).cast("int")
-    queue = queue.filter("target > 0").withColumn("finish", finish).withColumn("range", range_)
-    totals = materialize(queue.groupBy("range").agg(F.sum("size").alias("n")).withColumn("coarse", F.expr("range div 256").cast("int")), "mix-finish")
+    queue = planned.filter("size > 0 and target > 0").select("rid", "h", "size", "target", "cum", "source_size", passes.alias("copy")).withColumn("finish", finish)
+    order = ["finish", "h", "rid", "copy"]
+    queue = _ranged(queue.select("size", *order), "mix-queue", *order)
     budget = (planned.agg(F.sum("size")).first()[0] or 0) * BUDGET_PERCENT // 100
-    end, before = _end_of_budget(totals, budget)
-    # Ranges before `end` are taken whole, and of `end` what still fits.
-    order = Window.partitionBy("range").orderBy("finish", F.xxhash64("doc_id"), "rid", "copy").rowsBetween(Window.unboundedPreceding, 0)
-    last = queue.filter(F.col("range") == end).withColumn("upto", F.sum("size").over(order)).filter(F.col("upto") <= budget - before)
-    taken = queue.filter(F.col("range") < end).select("rid", "size").unionByName(last.select("rid", "size"))
+    end, before = -1, 0
+    for r in queue.groupBy("part").agg(F.sum("size").alias("n")).orderBy("part").collect():  # one row for each range
+        end = r.part
+        if before + r.n > budget:
+            break
+        before += r.n
+    else:
+        end += 1
+    upto = F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    last = queue.filter(F.col("part") == end).withColumn("upto", upto).filter(F.col("upto") <= budget - before)
+    taken = queue.filter(F.col("part") < end).select("rid", "size").unionByName(last.select("rid", "size"))
     counts = taken.groupBy("rid").agg(F.sum("size").alias("taken"), F.count(F.lit(1)).cast("int").alias("copies"))
     return planned.join(counts, "rid", "left").select(
-        "rid", "doc_id", "text_sha256", "source", "size", "source_size", "target",
+        "rid", "doc_id", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("copies", F.lit(0)).alias("copies"),
         F.when(F.col("target") > 0, F.col("cum").cast("double") / F.col("target")).alias("finish"),
     )
