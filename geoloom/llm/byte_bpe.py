@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import tidy, worker_cache
+
 #: A piece's encoding is kept for the next time, up to so many pieces; then the memo starts anew.
 PIECE_MEMO = 250_000
 PAIR_MEMO = 200_000
@@ -205,21 +207,19 @@ class Decoder:
         return [joined[a:b] for a, b in zip(edge, edge[1:], strict=False)]
 
 
-#: The worker's encoder, by rank file and pattern.
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-_DECODERS: dict[str, Decoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(Vocabulary(load_ranks(path)), pattern)
-    return _ENCODERS[path, pattern]
+    """This Python worker's encoder, built once."""
+    kept = worker_cache("bpe")
+    if ("encoder", path, pattern) not in kept:
+        kept["encoder", path, pattern] = Encoder(Vocabulary(load_ranks(path)), pattern)
+    return kept["encoder", path, pattern]
 
 
 def decoder(path: str) -> Decoder:
-    if path not in _DECODERS:
-        _DECODERS[path] = Decoder({r: b for b, r in load_ranks(path).items()})
-    return _DECODERS[path]
+    kept = worker_cache("bpe")
+    if ("decoder", path) not in kept:
+        kept["decoder", path] = Decoder({r: b for b, r in load_ranks(path).items()})
+    return kept["decoder", path]
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,7 +238,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
         try:
             yield from encoded(batches, e, d)
         finally:
-            e.forget()  # the worker lives on, for other work too
+            e.forget()
 
     def encoded(batches: Iterator[pa.RecordBatch], e: Encoder, d: Decoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,12 +251,16 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, 256), lists, pa.array(d.decode(ids, cuts), pa.binary())], ["doc_id", "ids", "decoded"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
+    return source.mapInArrow(tidy("bpe", run), f"doc_id {kind}, ids array<int>, decoded binary")
 
 
 def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", into: str = "text_bytes") -> DataFrame:
-    """encoded with one more column: the bytes of its ids joined; null ids give no bytes. Unknown ids fail."""
-    out = T.StructType([*encoded.schema.fields, T.StructField(into, T.BinaryType())])
+    """encoded with one more column: the bytes of its ids joined; null ids give no bytes. Unknown ids fail.
+
+    A column of encoded that is named like the new one is replaced.
+    """
+    kept = encoded.drop(into)
+    out = T.StructType([*kept.schema.fields, T.StructField(into, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = decoder(ranks_path)
@@ -266,4 +270,4 @@ def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", into:
             made = d.decode(np.array([i for x in rows for i in x], np.int64), cuts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, into])
 
-    return encoded.mapInArrow(run, out)
+    return kept.mapInArrow(tidy("bpe", run), out)

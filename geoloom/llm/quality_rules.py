@@ -18,13 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import free_name, tidy
+
 #: Bound of the labelled rows that rules are learned from (those with the smallest hash of their id).
 MAX_LABELLED = 20_000
 MAX_RULES = 12
 MAX_CONDITIONS = 4
 #: Least precision of a rule, on rows that it was not grown from and after smoothing.
 LEAST_PRECISION = 0.9
-#: Least rejected rows that a rule covers.
+#: Least rejected rows that a rule covers, both of those that it was grown from and of those that it was not.
 LEAST_COVER = 3
 THRESHOLDS = 48
 
@@ -117,7 +119,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", into: str = "stats"
                 made = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], list(STATISTICS))
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, into])
 
-    return docs.mapInArrow(run, out)
+    return docs.mapInArrow(tidy("quality", run), out)
 
 
 @dataclass(frozen=True)
@@ -194,8 +196,8 @@ def learn(data: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
         worth = lambda r: ((c := _covered(r, data, n) & check) & bad).sum() - 2 * (c & ~bad).sum()
         rule = max((rule[:k] for k in range(1, len(rule) + 1)), key=lambda r: (worth(r), len(r)))  # pruned from its end
         on = _covered(rule, data, n) & left
-        p, good = (on & bad).sum(), (on & ~bad).sum()
-        if p < LEAST_COVER or (p + 0.5) / (p + good + 1) < LEAST_PRECISION:
+        p, good = (on & held & bad).sum(), (on & held & ~bad).sum()
+        if worth(rule) <= 0 or p < LEAST_COVER or (p + 0.5) / (p + good + 1) < LEAST_PRECISION:
             break
         rules.append(rule)
         left &= ~on
@@ -221,12 +223,14 @@ def base_failed(stats: str = "stats") -> Column:
 def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MAX_LABELLED) -> list[Rule]:
     """Learns from at most `most` labelled rows, those with the smallest hash of their id; label 0 is bad.
 
+    Of several texts with one id, that with the least statistics counts.
     Rows that fail a base rule anyway are left out, so that rules say something new.
     """
     sample = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)  # bounded: broadcast
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-    told = with_statistics(rows).filter(~base_failed()).select("doc_id", "label", "stats.*")
+    told = with_statistics(rows).filter(~base_failed()).groupBy("doc_id", "label").agg(F.min("stats").alias("stats"))  # at most `most`, also where ids repeat
+    told = told.select("doc_id", "label", "stats.*")
     pdf = told.toPandas().sort_values(["doc_id", "label", *STATISTICS])
     pdf = pdf.iloc[np.random.default_rng(0).permutation(len(pdf))]
     data = {k: pdf[a].to_numpy(np.float64) / np.maximum(pdf[b].to_numpy(np.float64), 1) for k, (a, b) in FEATURES.items()}
@@ -236,10 +240,10 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", stats: str = "stats") -> DataFrame:
     """docs with the struct `stats`, base_failed, rule (0: none) and kept; other columns pass through.
 
-    Null and empty texts have no words and fail. Repeated rows are judged each alike. `stats`,
-    base_failed, rule and kept must not be columns of docs; pick other columns out first.
+    Null and empty texts have no words and fail. Repeated rows are judged each alike. Columns of docs that are named
+    like one of these are replaced.
     """
-    rows = with_statistics(docs, text_col, stats)
+    rows = with_statistics(docs.drop(*{stats, "base_failed", "rule", "kept"} - {text_col}), text_col, stats)
     rows = rows.withColumn("base_failed", base_failed(stats)).withColumn("rule", decision(rules, stats))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
@@ -247,8 +251,6 @@ def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", stats: str
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are kept, all columns as they were."""
     rules = learn_rules(docs, labels, id_col, text_col)
-    free = "quality_statistics"
-    while free in docs.columns:
-        free += "_"
+    free = free_name(docs, "quality_statistics")
     rows = with_statistics(docs, text_col, free)
     return rows.filter(~base_failed(free) & (decision(rules, free) == 0)).drop(free)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidy, worker_cache
 
 #: Bound of the labelled rows that the classifier is learned from (smallest hash of their id).
 MAX_LABELLED = 12_000
@@ -93,7 +93,7 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["gram", "n"])
 
-    parts = docs.select(docs[text_col].alias("text")).mapInArrow(run, "gram int, n bigint")
+    parts = docs.select(docs[text_col].alias("text")).mapInArrow(tidy("toxicity", run), "gram int, n bigint")
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -275,16 +275,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-_RESTORERS: dict[int, Restorer] = {}
-
-
 def _restorer(cost: np.ndarray) -> Restorer:
     """One per Python worker and model."""
-    key = hash(cost.tobytes())
-    if key not in _RESTORERS:
-        _RESTORERS.clear()
-        _RESTORERS[key] = Restorer(cost)
-    return _RESTORERS[key]
+    kept, key = worker_cache("toxicity"), hash(cost.tobytes())
+    if key not in kept:
+        kept.clear()
+        kept[key] = Restorer(cost)
+    return kept[key]
 
 
 def _over_texts(at: int, make: Callable[[list[str]], list[pa.Array]], names: list[str]) -> Callable:
@@ -296,20 +293,21 @@ def _over_texts(at: int, make: Callable[[list[str]], list[pa.Array]], names: lis
                 kept = [c for k, c in enumerate(part.columns) if k != at]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names)
 
-    return run
+    return tidy("toxicity", run)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most: int = MAX_LABELLED) -> Model:
     """The language model from all of docs, the classifier from at most `most` rows of labels.
 
-    The rows with the smallest hash of their id are taken. Null labels and ids are passed over. With one class only
+    The rows with the smallest hash of their id are taken, and of several texts with one id the least. Null labels and ids are passed over. With one class only
     there are no features and every score is the same, near 0.
     """
     spark = docs.sparkSession
     cost = language_model(docs, text_col)
     sample = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)  # bounded: broadcast
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id").select("label", "text")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")  # at most `most`, also where ids repeat
     sent = spark.sparkContext.broadcast(cost)
     restored = materialize(
         rows.mapInArrow(_over_texts(1, lambda texts: [pa.array(restore_all(texts, _restorer(sent.value)))], ["label", "text"]), "label int, text string"), "labelled"
