@@ -11,26 +11,25 @@ from pyspark.sql import functions as F
 
 from geoloom.llm import quality_rules
 from geoloom.llm.byte_bpe import encode_texts
-from geoloom.llm.common import documents, materialize
+from geoloom.llm.common import documents, free_name, materialize, row_key
 from geoloom.llm.exact_dedup import exact_duplicates
 from geoloom.llm.mixing import mix
 from geoloom.llm.near_dedup import near_duplicates
 
 
-def _decided(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """docs' rows, each as often as decisions (doc_id, text_sha256, copies) say; all columns stay.
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with one more column, and its name: a key that tells rows apart, also equal ones, and is the same in every job."""
+    docs_, key = row_key(docs)
+    name = free_name(docs_, "row_key")
+    return docs_.select(*(F.col(f"`{c}`") for c in docs.columns), key.alias(name)), name
 
-    Rows with equal id and text are one row here, with the copies of all of them.
-    """
-    free = "decided"
-    while any(c.startswith(free) for c in docs.columns):
-        free += "_"
-    told = decisions.groupBy("doc_id", "text_sha256").agg(F.sum("copies").cast("int").alias(f"{free}_copies"))
-    told = told.filter(F.col(f"{free}_copies") > 0).withColumnsRenamed({"doc_id": f"{free}_id", "text_sha256": f"{free}_of"})
-    rows = docs.withColumn(f"{free}_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = rows.join(told, F.col("doc_id").eqNullSafe(F.col(f"{free}_id")) & (F.col(f"{free}_sha256") == F.col(f"{free}_of")))
-    rows = rows.dropDuplicates(["doc_id", f"{free}_sha256"])
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), f"{free}_copies")).alias(free)).drop(free)
+
+def _decided(docs: DataFrame, key: str, decisions: DataFrame) -> DataFrame:
+    """docs' rows, each as often as decisions (rid, copies) say; all columns but the key stay as they are."""
+    told, copies = free_name(docs, "decided_row"), free_name(docs, "decided_copies")
+    kept = decisions.filter("copies > 0").select(F.col("rid").alias(told), F.col("copies").alias(copies))
+    rows = docs.join(kept.hint("merge"), F.col(key) == F.col(told)).drop(key, told)  # what is kept grows with the input
+    return rows.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(copies)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,16 +37,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _decided(docs, exact_duplicates(docs).filter("kept").select("doc_id", "text_sha256", F.lit(1).alias("copies")))
+    keyed, key = _keyed(docs)
+    return _decided(keyed, key, exact_duplicates(keyed, row_col=key).filter("kept").select("rid", F.lit(1).alias("copies")))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _decided(docs, near_duplicates(docs).filter("kept").select("doc_id", "text_sha256", F.lit(1).alias("copies")))
+    keyed, key = _keyed(docs)
+    return _decided(keyed, key, near_duplicates(keyed, row_col=key).filter("kept").select("rid", F.lit(1).alias("copies")))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes twice are in the result twice."""
-    return _decided(docs, mix(docs).select("doc_id", "text_sha256", "copies"))
+    keyed, key = _keyed(docs)
+    return _decided(keyed, key, mix(keyed, row_col=key).select("rid", "copies"))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

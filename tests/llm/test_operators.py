@@ -12,6 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.llm import byte_bpe, chat_format, components, exact_dedup, lm_score, mixing, near_dedup, quality_rules, substring_dedup, toxicity, warc
+from geoloom.llm.common import row_key
+from geoloom.llm.hashing import words
 from geoloom.llm.suffix_sort import Suffixes
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,6 +61,35 @@ def test_mixing(spark):
         assert x[0].target <= 2 * x[0].source_size
 
 
+@pytest.mark.parametrize("seed", [0, 7])
+def test_mixing_takes_what_a_loop_takes(spark, seed):
+    """Also with one hot id, equal rows, and nulls."""
+    rng = random.Random(4)
+    rows = [(k, prose(rng, rng.randint(0, 60))) for k in range(150)] + [(5, prose(rng, rng.randint(1, 9))) for _ in range(80)] + [(5, "tie tie")] * 40 + [(None, "a b"), (None, None)]
+    docs, rid = row_key(frame(spark, rows))
+    docs = docs.withColumn("rid", rid)
+    got = {tuple(r.rid): r for r in mixing.mix(docs, seed=seed, row_col="rid").collect()}
+    told = docs.select("rid", "doc_id", "source", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("h")).collect()
+    assert len(got) == len(told) == len(rows)
+    queues = collections.defaultdict(list)
+    for r in told:
+        queues[r.source].append((r.h, r.doc_id is not None, r.doc_id or 0, tuple(r.rid), len(WORDS.findall(r.text or ""))))
+    sizes = {s: sum(x[-1] for x in q) for s, q in queues.items()}
+    aims, copies = loop_targets(sizes), []
+    for s, q in queues.items():
+        cum = 0
+        for h, _, _, key, size in sorted(q):
+            cum += size
+            copies += [((cum + sizes[s] * c) / aims[s], h, key, c, size) for c in (0, 1) if size]
+    left, taken = sum(sizes.values()) * 150 // 100, collections.Counter()
+    for _, _, key, _, size in sorted(copies):
+        left -= size
+        if left < 0:
+            break
+        taken[key] += size
+    assert {k: r.taken for k, r in got.items()} == {k: taken[k] for k in got}
+
+
 def loop_targets(sizes, weights=(5, 2, 1)):
     names = sorted(sizes, key=lambda s: (s is None, s))
     w = {s: weights[k % 3] for k, s in enumerate(names)}
@@ -155,7 +186,7 @@ def found_repeats(df, **given):
 
 
 def test_substring_dedup_edges(spark):
-    rows = [(i, t if t is None or len(t) < 4000 else t[:4000]) for i, t in edge_rows()]
+    rows = edge_rows()
     assert found_repeats(frame(spark, rows)) == brute_repeats(rows)
     assert found_repeats(frame(spark, [(1, "x")]).limit(0)) == []
 
@@ -171,6 +202,29 @@ def test_substring_dedup_random(spark, seed):
     assert found_repeats(frame(spark, rows), hot_stretches=0) == want
 
 
+def thue_morse(n):
+    return [bin(k).count("1") % 2 for k in range(n)]
+
+
+def test_substring_dedup_where_polynomials_collide(spark):
+    """Texts whose polynomial hashes modulo 2**64 are equal, whatever the base, and which share no 50 bytes."""
+    block = lambda k, c: f"MARKER-OF-BLOCK:{k:04d}{c}" + "." * 11
+    a = "".join(block(k, "ab"[t]) for k, t in enumerate(thue_morse(256)))
+    b = "".join(block(k, "ba"[t]) for k, t in enumerate(thue_morse(256)))
+    rows = [(1, a), (2, b), (3, a)]
+    for hot in (0, 1000):
+        assert found_repeats(frame(spark, rows), hot_stretches=hot) == brute_repeats(rows)
+
+
+def test_words_are_told_apart():
+    a, b = ("".join(x[t] for t in thue_morse(1024)) for x in ("ab", "ba"))
+    texts = [a, b, a[:60], b[:60], "x", "y", "xx", "x" * 8, "x" * 9, "x" * 64, "x" * 65, "x" * 66]
+    w = words([f" {t}\t{t}\x0b".encode() for t in texts])
+    assert w.own.tolist() == [k for k in range(len(texts)) for _ in (0, 1)]
+    assert (w.hash[::2] == w.hash[1::2]).all() and len(set(w.hash.tolist())) == len(texts)
+    assert words([b"", b" "]).own.tolist() == [] == words([]).own.tolist()
+
+
 def test_suffix_sort():
     rng = np.random.default_rng(5)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
@@ -238,6 +292,10 @@ def test_exact_duplicates(spark):
     assert set(kept.values()) == {1} and len(kept) == len(groups)
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
     assert exact_dedup.exact_duplicates(frame(spark, rows).limit(0)).count() == 0
+    pick = lambda x: sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in x), key=repr)
+    for warm in (1, 50):  # blocks with more rows than this are named once each
+        again = exact_dedup.exact_duplicates(frame(spark, rows), block_bytes=64, warm_rows=warm).collect()
+        assert pick(again) == pick(got) and sum(r.kept for r in again) == len(groups)
 
 
 # 6
@@ -304,12 +362,21 @@ def test_warc(spark):
 # 8
 
 
-def brute_classes(rows, idf):
+def brute_links(rows, idf):
     raw = [(t or "").encode() for _, t in rows]
     text, shingle, weight = near_dedup.weighted_shingles(raw, idf)
     sets = [{} for _ in rows]
     for a, b, c in zip(text.tolist(), shingle.tolist(), weight.tolist(), strict=True):
         sets[a][b] = c
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b]:
+                common = sum(min(sets[a][k], sets[b][k]) for k in sets[a].keys() & sets[b].keys())
+                if common / (sum(sets[a].values()) + sum(sets[b].values()) - common) >= 0.8:
+                    yield a, b
+
+
+def brute_classes(rows, idf):
     parent = list(range(len(rows)))
 
     def root(x):
@@ -317,12 +384,8 @@ def brute_classes(rows, idf):
             x = parent[x]
         return x
 
-    for a in range(len(rows)):
-        for b in range(a):
-            if sets[a] and sets[b]:
-                common = sum(min(sets[a][k], sets[b][k]) for k in sets[a].keys() & sets[b].keys())
-                if common / (sum(sets[a].values()) + sum(sets[b].values()) - common) >= 0.8:
-                    parent[root(a)] = root(b)
+    for a, b in brute_links(rows, idf):
+        parent[root(a)] = root(b)
     groups = collections.defaultdict(list)
     for k in range(len(rows)):
         groups[root(k)].append(k)
@@ -369,6 +432,58 @@ def test_near_duplicates_within_one_template(spark):
     assert got == {rows[k][0]: min(v) for v in groups.values() for k in v}
 
 
+def test_prefix_pairs_miss_no_alike_pair(spark):
+    """The exact join alone, without bands: of nodes with different labels every alike pair comes out, and few others."""
+    rng = random.Random(6)
+    template = prose(rng, 120, 5000).split()
+    texts = []
+    for k in range(80):
+        words_ = (template if k % 2 else prose(rng, 120, 5000).split()) + prose(rng, rng.randint(0, 60), 5000).split()
+        texts += [" ".join(words_), " ".join(w if rng.random() > 0.01 else "changed" for w in words_)]
+    rows = list(enumerate(texts))
+    idf = near_dedup.document_frequencies(frame(spark, rows))
+    t, _, w = near_dedup.weighted_shingles([x.encode() for x in texts], idf)
+    total = np.bincount(t, w)
+    given = spark.createDataFrame([(k, k, float(total[k]), x) for k, x in rows], "node bigint, label bigint, weight double, text string")
+    got = {(r.a, r.b) for r in near_dedup.prefix_pairs(given, idf).collect()}
+    want = {(b, a) for a, b in brute_links(rows, idf)}
+    assert want and want <= got and len(got) < 20 * len(want)
+
+
+def test_near_duplicates_recall(spark):
+    """Links of every 50th document against all, by brute force: families with a few to many changes, and long words that polynomials confuse."""
+    rng = random.Random(21)
+    rows = []
+    for f in range(60):
+        base = prose(rng, rng.randint(40, 300), 3000).split()
+        for _ in range(rng.randint(2, 14)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(copy) // 45))):
+                copy[rng.randrange(len(copy))] = f"e{rng.randrange(9999)}"
+            rows.append((len(rows), " ".join(copy)))
+    a, b = ("".join(x[t] for t in thue_morse(1024)) for x in ("ab", "ba"))
+    rows += [(len(rows), a), (len(rows) + 1, b)]
+    df = frame(spark, rows)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(df).collect()}
+    assert got[rows[-1][0]] != got[rows[-2][0]]
+    found = total = 0
+    for x, y in brute_links(rows, near_dedup.document_frequencies(df)):
+        if rows[x][0] % 50 == 0 or rows[y][0] % 50 == 0:
+            total += 1
+            found += got[rows[x][0]] == got[rows[y][0]]
+    assert total > 20 and found / total >= 0.95
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    """One id for different texts, and equal rows: each row has its own text."""
+    rng = random.Random(22)
+    base = [prose(rng, 80, 5000) for _ in range(5)]
+    rows = [(7, t) for t in base for _ in range(3)] + [(8, base[0] + " more"), (None, base[1]), (None, base[2] + " more")]
+    got = near_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(r.class_size for r in got) == sorted([4] * 12 + [3] * 6)
+    assert sum(r.kept for r in got) == 5
+
+
 def test_samples_estimate_similarity():
     rng = np.random.default_rng(1)
     shingle = np.sort(rng.integers(0, 1 << 62, 400).astype(np.uint64))
@@ -413,6 +528,9 @@ def test_bpe_equals_tiktoken(spark):
     assert collections.Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in encoded.collect()) == texts
     again = byte_bpe.decode_ids(encoded.select("doc_id", "ids"), path)
     assert collections.Counter((r.doc_id, tuple(r.ids), bytes(r.text_bytes)) for r in again.collect()) == texts
+    assert byte_bpe.encode_texts(df.limit(0), path, P.PATTERN).count() == 0
+    clashing = byte_bpe.decode_ids(encoded.select("doc_id", "ids", F.lit(1).alias("text_bytes")), path)
+    assert clashing.columns == ["doc_id", "ids", "text_bytes"] and clashing.schema["text_bytes"].dataType.simpleString() == "binary"
     with pytest.raises(ValueError):
         byte_bpe.decoder(path).decode(np.array([10**6]), np.array([0, 1]))
 
@@ -460,6 +578,11 @@ def test_quality_rules(spark):
     assert all(got[i] == bool(q) for i, q in labels) and not got[9000] and not got[9001]
     kept = quality_rules.keep_good(docs, table)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, q in labels if q}
+    judged = quality_rules.judge(docs.withColumn("kept", F.lit("clash")).withColumn("rule", F.lit(None)), rules)
+    assert {r.doc_id: r.kept for r in judged.collect()} == got and judged.columns.count("kept") == 1
+    one = spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, quality int")
+    hot = frame(spark, [(1, prose(rng, 30)) for _ in range(50)] + [(2, prose(rng, 30))])
+    assert quality_rules.learn_rules(hot, one, most=1) == []
     assert quality_rules.learn_rules(docs, table.filter("false")) == []
     assert quality_rules.learn_rules(docs, table.filter("quality = 1")) == []
     assert quality_rules.keep_good(docs.limit(0), table.filter("false")).count() == 0

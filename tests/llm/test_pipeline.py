@@ -48,6 +48,29 @@ def test_stages_with_odd_rows(spark, sf_dir):
                 assert out.columns == df.columns
 
 
+def test_rows_keep_their_columns(spark, sf_dir):
+    """Rows that share id and text are told apart: each keeps its source, and the mix's decision on it is its own."""
+    from geoloom.llm.common import materialize
+    from geoloom.llm.mixing import mix
+
+    rows = [(1, f"a b c {k % 3}", "en", s, k) for k in range(30) for s in ("s1", "s2", None)] + [(2, None, "en", "s1", 0), (2, "", "en", "s2", 0)]
+    made = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for df in (made, materialize(made, "test-rows")):
+        out = corpus_pipeline.mixing_stage(spark, df, sf_dir).collect()
+        got = collections.Counter(map(tuple, out))
+        assert set(got) <= set(rows) and max(got.values()) <= 2
+        taken = collections.Counter()
+        for r in mix(df).collect():
+            taken[r.source] += r.copies
+        assert collections.Counter(r.source for r in out) == +taken
+        for stage in (corpus_pipeline.exact_stage, corpus_pipeline.near_stage):
+            left = collections.Counter(map(tuple, stage(spark, df, sf_dir).collect()))
+            assert set(left) <= set(rows) and max(left.values()) == 1
+            by_text = collections.Counter(t or "" for _, t, *_ in left)
+            if stage is corpus_pipeline.exact_stage:
+                assert set(by_text.values()) == {1} and len(by_text) == 4
+
+
 def test_twins(spark, sf_dir):
     from geoloom.llm import queries as q
 
