@@ -2,8 +2,10 @@
 
 Text that may be disguised (digits or signs for letters, letters spaced out, letters repeated)
 is decoded first: each suspicious span becomes a lattice of what its characters may stand
-for, and the Viterbi path through it under a character language model, counted over all
-documents, replaces the span. Characters outside such spans have one reading only, so that the
+for, themselves included, and the Viterbi path through it under a character language model, counted over all
+documents, replaces the span. A span is suspicious if a sign stands next to a letter, if a letter is repeated
+(once in two places, or twice), or if three characters or more stand alone with one to MOST_BETWEEN characters
+between them. Words cut in two by one space are not put together. Characters outside such spans have one reading only, so that the
 path through the rest of the text is the text itself. The restored text is then scored by
 its words' beginnings with a logistic model learned from labelled rows.
 """
@@ -34,9 +36,16 @@ BITS = 6
 #: What disguising signs may stand for.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 SIGN_CODE = 62
-#: Costs, in nats, of a reading: a sign as a letter, a sign dropped (more than a letter costs under the
+#: Costs, in nats, of a reading: a sign as a letter, a sign inside a word dropped (more than a letter costs under the
 #: language model, or dropping would always pay), a border in a spaced-out span, a repeated letter dropped.
-AS_LETTER, DROPPED, BORDER, REPEAT_DROPPED = 1.0, 9.0, 2.0, 1.0
+AS_LETTER, DROPPED, BORDER, REPEAT_DROPPED = 1.0, 9.0, 2.0, 1.5
+#: Costs of leaving a sign at a word's end as it is (many words end in some), and before a word (as in numbers).
+KEPT_AT_END = {"!": 0.2, "+": 2.5, "|": 2.5}
+KEPT_DIGIT_AT_END, KEPT_BEFORE = 4.0, 2.0
+#: Separators between characters that stand alone, at most.
+MOST_BETWEEN = 3
+#: Longer spans are read in pieces of so many characters, which bounds the memory that reading takes.
+PIECE = 512
 SPAN_MEMO = 100_000
 #: Texts are worked on in pieces of about so many characters together.
 CHUNK_CHARS = 1 << 20
@@ -57,6 +66,9 @@ def _code_table() -> np.ndarray:
 
 
 _CODES = _code_table()
+_NUMBER = {c: k for k, c in enumerate(LETTERS, 1)}
+_SIGNS = "".join(SIGNS)
+_BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalpha() and chr(c) not in SIGNS)
 
 
 def codes(text: str) -> np.ndarray:
@@ -127,11 +139,21 @@ class Restorer:
         either = letter | sign
         hit = np.zeros(len(c), bool)
         hit[:-1] |= sign[:-1] & letter[1:]
-        hit[2:] |= letter[2:] & (c[2:] == c[1:-1]) & (c[1:-1] == c[:-2])
+        hit[1:] |= sign[1:] & letter[:-1]
+        again = np.zeros(len(c), bool)
+        again[1:] = letter[1:] & (c[1:] == c[:-1])
+        twice = np.flatnonzero(again)
+        if len(twice) > 1:  # two in one word
+            breaks = np.cumsum(~either)
+            hit[twice[1:][breaks[twice[1:]] == breaks[twice[:-1]]]] = True
         alone = either.copy()
         alone[1:] &= ~either[:-1]
         alone[:-1] &= ~either[1:]
-        hit[4:] |= alone[4:] & alone[2:-2] & alone[:-4]
+        at = np.flatnonzero(alone)
+        if len(at) > 2:
+            count = np.cumsum(either)
+            near = (at[1:] - at[:-1] <= MOST_BETWEEN + 1) & (count[at[1:]] - count[at[:-1]] == 1)
+            hit[at[2:][near[1:] & near[:-1]]] = True
         return np.flatnonzero(hit)
 
     def restore(self, text: str, hits: np.ndarray | None = None) -> str:
@@ -149,72 +171,82 @@ class Restorer:
                 a -= 1
             while b < n and kinds[b]:
                 b += 1
-            # single characters with one separator between them go on in the same span
-            while a - 2 >= done and b - a >= 1 and not kinds[a - 1] and kinds[a - 2] and (a - 3 < 0 or not kinds[a - 3]) and self._single(kinds, a):
-                a -= 2
-            while b + 1 < n and self._single(kinds, b - 1) and kinds[b + 1] and self._single(kinds, b + 1) and not kinds[b]:
-                b += 2
-            span = text[a:b]
-            out += [text[done:a], self.read(span)]
+            if b - a == 1:  # characters that stand alone go on in one span
+                while (k := self._alone_near(kinds, a, -1)) >= done:
+                    a = k
+                while (k := self._alone_near(kinds, b - 1, 1)) >= 0:
+                    b = k + 1
+            out += [text[done:a], self.read(text[a:b])]
             done = b
         return "".join([*out, text[done:]])
 
     @staticmethod
-    def _single(kinds: list[int], k: int) -> bool:
-        return bool(kinds[k]) and (k == 0 or not kinds[k - 1]) and (k + 1 >= len(kinds) or not kinds[k + 1])
+    def _alone_near(kinds: list[int], k: int, step: int) -> int:
+        """The next character that stands alone, with few characters between; -1 if there is none."""
+        for d in range(2, MOST_BETWEEN + 2):
+            j = k + step * d
+            if not 0 <= j < len(kinds):
+                return -1
+            if kinds[j]:
+                return -1 if 0 <= j + step < len(kinds) and kinds[j + step] else j
+        return -1
 
     def read(self, span: str) -> str:
         known = self.memo.get(span)
         if known is None:
             if len(self.memo) >= SPAN_MEMO:
                 self.memo.clear()
-            known = self.memo[span] = self.viterbi(span)
+            known = "".join(self.viterbi(span[k : k + PIECE])[0] for k in range(0, len(span), PIECE))
+            if len(span) <= PIECE:
+                self.memo[span] = known
         return known
 
-    def options(self, span: str, k: int) -> list[tuple[str, float]]:
-        """What the k-th character may stand for, with costs; a space is a border."""
+    def options(self, span: str, k: int) -> list[tuple[str, int, float]]:
+        """What the k-th character may stand for: what is written, its code (-1: none), and the cost."""
         x = span[k]
         if x in SIGNS:
-            return [*((y, AS_LETTER) for y in SIGNS[x]), ("", DROPPED), (" ", DROPPED)]
+            found = [(y, _NUMBER.get(y, OTHER), AS_LETTER) for y in SIGNS[x]]
+            edges = span[:k].strip(_SIGNS) == "" or not span[k - 1].strip(_BETWEEN), span[k + 1 :].strip(_SIGNS) == "" or not span[k + 1].strip(_BETWEEN)
+            if edges[1]:
+                return [*found, (x, 0, KEPT_AT_END.get(x, KEPT_DIGIT_AT_END))]
+            if edges[0]:
+                return [*found, (x, 0, KEPT_BEFORE)]
+            return [*found, ("", -1, DROPPED), (" ", 0, DROPPED)]
         if not x.isalpha():
-            return [("", 0.0), (" ", BORDER)]
-        return [(x, 0.0), ("", REPEAT_DROPPED)] if k and span[k - 1] == x else [(x, 0.0)]
-
-    def viterbi(self, span: str) -> str:
+            return [("", -1, 0.0), (" ", 0, BORDER)]
+        z = _NUMBER.get(x, OTHER)
+        return [(x, z, 0.0), ("", -1, REPEAT_DROPPED)] if k and span[k - 1] == x else [(x, z, 0.0)]
+
+    def step(self, state: tuple[int, int], code: int) -> tuple[tuple[int, int], float]:
+        """The state (last two codes) after one more code, and what the language model says it costs; borders do not follow each other."""
+        a, b = state
+        if code < 0 or (not code and not b):
+            return state, 0.0
+        return (b, code), self.cost[a][b][code]
+
+    def viterbi(self, span: str) -> tuple[str, float]:
+        """The cheapest reading of a span, and its cost."""
         if not any(x.isalpha() for x in span):
-            return span
-        number = {c: k for k, c in enumerate(LETTERS, 1)} | {" ": 0}
-        cost = self.cost
+            return span, 0.0
         best: dict[tuple[int, int], tuple[float, int]] = {(0, 0): (0.0, -1)}
-        trail: list[tuple[int, str]] = []  # (trail before, what was read)
+        trail: list[tuple[int, str]] = []  # (trail before, what was written)
         for k in range(len(span)):
             then: dict[tuple[int, int], tuple[float, int]] = {}
-            for y, extra in self.options(span, k):
-                for (a, b), (had, back) in best.items():
-                    if not y:
-                        state, now = (a, b), had + extra
-                    else:
-                        z = number.get(y, OTHER)
-                        if not z and not b:  # borders do not follow each other
-                            state, now = (a, b), had + extra
-                        else:
-                            state, now = (b, z), had + extra + cost[a][b][z]
-                    if state not in then or now < then[state][0]:
-                        if y and state != (a, b):
-                            trail.append((back, y))
-                            then[state] = (now, len(trail) - 1)
-                        elif y:
+            for y, code, extra in self.options(span, k):
+                for state, (had, back) in best.items():
+                    after, more = self.step(state, code)
+                    now = had + extra + more
+                    if after not in then or now < then[after][0]:
+                        if y:
                             trail.append((back, y))
-                            then[state] = (now, len(trail) - 1)
-                        else:
-                            then[state] = (now, back)
+                        then[after] = (now, len(trail) - 1 if y else back)
             best = then
-        _, back = min((had + (cost[a][b][0] if b else 0.0), back) for (a, b), (had, back) in best.items())
+        total, back = min((had + (self.cost[a][b][0] if b else 0.0), back) for (a, b), (had, back) in best.items())
         out = []
         while back >= 0:
             back, y = trail[back]
             out.append(y)
-        return "".join(reversed(out))
+        return "".join(reversed(out)), total
 
 
 def restore_all(texts: list[str], restorer: Restorer) -> list[str]:
