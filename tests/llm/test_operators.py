@@ -130,6 +130,26 @@ def test_restoring():
     assert r.restore("idiiiiiot") == "idiot"
     assert r.restore("c-l-0-w-n went") == "clown went"
     assert r.restore("nothing to see here") == "nothing to see here"
+    for told, want in {"idio+": "idiot", "idiioott": "idiot", "i  d  i  o  t": "idiot", "i - d - i - o - t": "idiot", "an idiot! no": "an idiot! no", "clown !": "clown !", "c1own!": "clown!", "it is a b": "it is a b"}.items():
+        assert r.restore(told) == want
+    assert r.restore("x" * 3000 + "1d10t").startswith("x")
+
+
+def test_viterbi_finds_the_cheapest_reading():
+    rng = np.random.default_rng(8)
+    r = toxicity.Restorer(rng.uniform(0.1, 6, (64, 64, 64)))
+    draw = random.Random(8)
+    for _ in range(300):
+        span = "".join(draw.choices("ab1!$+ -é", k=draw.randint(1, 6)))
+        if not any(x.isalpha() for x in span):
+            assert r.viterbi(span) == (span, 0.0)
+            continue
+        readings = [((0, 0), 0.0, "")]
+        for k in range(len(span)):
+            readings = [((t := r.step(state, code))[0], had + extra + t[1], text + y) for state, had, text in readings for y, code, extra in r.options(span, k)]
+        costs = {text: had + (r.cost[a][b][0] if b else 0.0) for (a, b), had, text in sorted(readings, key=lambda x: -x[1])}
+        text, cost = r.viterbi(span)
+        assert cost == pytest.approx(min(costs.values())) and costs[text] == pytest.approx(cost)
 
 
 def test_toxicity(spark):
@@ -155,6 +175,8 @@ def test_toxicity(spark):
     right = sum((scores[i] >= toxicity.THRESHOLD) == bool(truth[i]) for i in held)
     assert right / len(held) > 0.98
     assert scores[2000] >= 0.3 and scores[2003] >= 0.3 and scores[2001] < 0.3 and scores[2002] < 0.3
+    assert toxicity.score_texts(docs.limit(0), model).count() == 0
+    assert toxicity.deobfuscate_texts(docs.limit(0), model.cost).count() == 0
     none = toxicity.learn(docs, table.filter("false"))
     assert {round(r.score, 6) for r in toxicity.score_texts(docs, none).collect()} == {round(1 / (1 + np.exp(6.0)), 6)}
 
@@ -340,7 +362,7 @@ def test_lm_scores(spark):
 
 def test_warc(spark):
     big, other = "<p>é</p>" * 200, "<i>x</i>" * 200
-    rows = [(1, "http://a", big), (2, "http://b\r\nX: y%0A", big), (3, None, big), (4, "", "small"), (5, "u", "small"), (6, "u", None), (7, "u", other), (8, "u", ""), (8, "u", big), (8, "u", big), (None, "n", other)]
+    rows = [(1, "http://a", big), (2, "http://b\r\nX: y%0A%250D%20%25", big), (3, None, big), (4, "", "small"), (5, "u", "small"), (6, "u", None), (7, "u", other), (8, "u", ""), (8, "u", big), (8, "u", big), (None, "n", other)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "page_id bigint, url string, html string, size int")
     archive = warc.round_trip(df)
     got = archive.collect()
@@ -352,10 +374,11 @@ def test_warc(spark):
         revisit = len(data) >= 1000 and i != owner
         want[i, u or None, data, "revisit" if revisit else "response", owner if revisit else None, hashlib.sha1(data).hexdigest()] += 1
     assert collections.Counter((r.id, r.url, bytes(r.payload), r.record_type, r.refers_to, r.payload_digest) for r in got) == want
-    for r in warc.records(archive).collect():
+    for r in got:
         head, _, body = bytes(r.record).partition(b"\r\n\r\n")
         length = int(re.search(rb"Content-Length: (\d+)", head)[1])
-        assert head.startswith(b"WARC/1.1\r\n") and body[length:] == b"\r\n\r\n"
+        assert head.startswith(b"WARC/1.1\r\n") and body[length:] == b"\r\n\r\n" and b"\r\nWARC-Date: " in head
+        assert body[:length] == (b"" if r.record_type == "revisit" else bytes(r.payload))
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
