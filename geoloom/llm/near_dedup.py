@@ -11,7 +11,8 @@ Rows with equal shingle multisets are one node. Candidates are settled in two st
 every pair that it finds by the weighted Jaccard similarity of the whole texts; classes are the
 connected components of the verified links.
 
-1. Each node of a bucket is set against the bucket's smallest node.
+1. Each node of a bucket is set against the bucket's smallest node; then, in buckets that are not one class by that, the nodes outside
+   the largest class against its lightest node (which of a family with additions is the nearest to all).
 2. As two nodes may be alike and neither like the smallest, the nodes of all buckets that are not one
    class by then are joined exactly, however many there are and whatever buckets they are in:
    shingles are put in a global order, rarest first, and two nodes of different classes can only be alike if they
@@ -215,11 +216,19 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return members.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, label) of all nodes in buckets whose nodes are not in one part."""
-    told = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, weight, label) of the buckets whose nodes are not in one class."""
+    told = members.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("label", "node").alias("label"))
     split = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("key")
-    return told.join(split, "key", "left_semi").select("node", "label").distinct()
+    return told.join(split, "key", "left_semi")
+
+
+def lightest_pairs(opened: DataFrame) -> DataFrame:
+    """(a, b), a < b: the nodes of each bucket outside its largest class with the lightest node of that class."""
+    classes = opened.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("weight", "node")).alias("first"))
+    largest = classes.groupBy("key").agg(F.max_by(F.struct(F.col("label").alias("of"), F.col("first.node").alias("x")), F.struct("n", "label")).alias("largest"))
+    met = opened.join(materialize(largest.select("key", "largest.*"), "near-largest"), "key").filter(F.col("label") != F.col("of"))
+    return met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
 
 
 def _may_be_alike(x: Column, y: Column) -> Column:
@@ -279,15 +288,26 @@ def links_of(nodes: DataFrame, docs: DataFrame, rid: Column, idf: Idf, text_col:
     texts = docs.select(rid.alias("rid"), F.col(text_col).alias("text")).join(names.hint("merge"), "rid").select("node", "weight", "text")
     texts = materialize(texts, "near-texts")
     weigh = lambda x: nodes.select(F.col("node").alias(x), F.col("weight").alias(f"{x}_weight"))
-    stars = star_pairs(members).join(weigh("a"), "a").join(weigh("b"), "b").filter(_may_be_alike(F.col("a_weight"), F.col("b_weight")))
-    stars = materialize(stars.select("a", "b"), "near-pairs")
-    links = materialize(verified(stars, texts, idf), "near-links").select("a", "b")
+
+    def tried(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(pairs that may be alike, links among them)"""
+        met = pairs.join(weigh("a"), "a").join(weigh("b"), "b").filter(_may_be_alike(F.col("a_weight"), F.col("b_weight")))
+        met = materialize(met.select("a", "b"), "near-pairs")
+        return met, materialize(verified(met, texts, idf), "near-links").select("a", "b")
+
+    done, links = tried(star_pairs(members))
     labels = components(links)
-    rest = materialize(open_nodes(members, labels), "near-open")
+    opened = materialize(open_members(members, labels), "near-open")
+    met, more = tried(lightest_pairs(opened).join(done, ["a", "b"], "left_anti"))
+    done = done.unionByName(met)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
+        opened = open_members(members, labels)
+    rest = materialize(opened.select("node", "label").distinct(), "near-rest")
     if rest.isEmpty():
         return labels
-    pairs = materialize(prefix_pairs(texts.join(rest, "node"), idf).join(stars, ["a", "b"], "left_anti"), "near-pairs")
-    more = materialize(verified(pairs, texts, idf), "near-links").select("a", "b")
+    _, more = tried(prefix_pairs(texts.join(rest, "node"), idf).join(done, ["a", "b"], "left_anti"))
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
