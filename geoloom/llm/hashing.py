@@ -51,8 +51,9 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return (prefix[end] - prefix[start]) * powers(INVERSE, len(prefix))[start]
+def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """Hashes of data[start:end]; inverse: powers(INVERSE, len(prefix))."""
+    return (prefix[end] - prefix[start]) * inverse[start]
 
 
 def blocks8(data: bytes) -> np.ndarray:

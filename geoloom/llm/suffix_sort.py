@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .hashing import prefix_hashes, span_hashes
+from .hashing import INVERSE, powers, prefix_hashes, span_hashes
 
 
 class Suffixes:
@@ -22,6 +22,7 @@ class Suffixes:
         self.data = np.append(data, np.uint8(0))
         self.at, self.size = at.astype(np.int64), size.astype(np.int64)
         self.prefix = prefix_hashes(data)
+        self.inverse = powers(INVERSE, len(self.prefix))
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Length of the common extension of each pair, by hashes."""
@@ -29,7 +30,7 @@ class Suffixes:
         low, high = np.zeros(len(i), np.int64), np.minimum(self.size[i], self.size[j])
         while (open_ := low < high).any():
             middle = (low + high + 1) // 2
-            same = span_hashes(self.prefix, a, a + middle) == span_hashes(self.prefix, b, b + middle)
+            same = span_hashes(self.prefix, a, a + middle, self.inverse) == span_hashes(self.prefix, b, b + middle, self.inverse)
             low = np.where(open_ & same, middle, low)
             high = np.where(open_ & ~same, middle - 1, high)
         return low

@@ -265,7 +265,7 @@ def test_suffix_sort():
 def test_suffix_sort_survives_lying_hashes(monkeypatch):
     import geoloom.llm.suffix_sort as module
 
-    monkeypatch.setattr(module, "span_hashes", lambda prefix, a, b: np.asarray(b - a) % 3)
+    monkeypatch.setattr(module, "span_hashes", lambda prefix, a, b, inverse: np.asarray(b - a) % 3)
     data = np.frombuffer(b"banana bandana cabana", np.uint8)
     at = np.arange(len(data))
     order, _ = Suffixes(data, at, len(data) - at).sort(np.zeros(len(at), np.int64))
