@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +11,31 @@ from pyspark.sql import functions as F
 RASTER_PATTERN = r"(?i)\.(tif|tiff)$"
 
 
+#: Metrics that a run's report leaves out start with one of these words and one of these separators,
+EXCLUDED_METRIC_WORDS = ("val", "train", "diagnostics", "system", "recource", "resource", "resourse", "resources")
+EXCLUDED_METRIC_SEPARATORS = ("/", ".", "_")
+#: have one of these anywhere,
+EXCLUDED_METRIC_PARTS = ("threshold_sweep", "best_threshold", "microtiming", "debug")
+#: or are, or end in, one of these after an underscore (slashes and dots count as one).
+PIXEL_COUNTERS = ("pixel_tp", "pixel_fp", "pixel_fn", "pixel_tn", "tp_pixels", "fp_pixels", "fn_pixels", "tn_pixels")
+#: Names of the pixel F1, the most preferred first, and the pattern of names that end in a threshold.
+PIXEL_F1_NAMES = (
+    "f1_pixel", "model_metrics/f1_pixel", "best_val_pixel_f1", "val_pixel_f1", "pixel_f1", "best_pixel_f1",
+    "val_dice", "dice", "f1", "pixel_dice", "metrics.pixel_f1",
+)
+THRESHOLD_PATTERN = r"(?i)(?:^|[./_])(?:best_)?(?:val_)?(?:pixel_)?(?:f1|dice)(?:[./_@:-]*(?:threshold|thr|t))?[./_@:-]*([01](?:\.\d+)?)$"
+#: What run ids consist of, and the length that slugs are cut to.
+RUN_ID_PATTERN, RUN_ID_LENGTH = r"^[A-Za-z0-9._-]+$", 180
+
+
 def base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    """The last part of a path that is not empty: a folder's name too."""
+    return F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)
+
+
+def scene_stem(path: Column) -> Column:
+    """Base name without a raster extension."""
+    return F.regexp_replace(base_name(F.trim(path)), RASTER_PATTERN, "")
 
 
 def norm_scene_name(value: Column) -> Column:
@@ -52,15 +77,39 @@ def metric_key(name: Column) -> Column:
 
 
 def validation_kind(split: Column) -> Column:
-    text = F.lower(split)
+    text = F.lower(F.coalesce(split, F.lit("")))
     return (
-        F.when(text.contains("scene"), F.lit("scene_level"))
-        .when(text.contains("spatial") | text.contains("holdout_block"), F.lit("spatial_holdout"))
-        .when(text.contains("tile") | text.contains("random"), F.lit("tile_holdout"))
+        F.when(text.rlike("scene_level|leave_one_scene|scene_group"), F.lit("scene_level"))
+        .when(text.contains("spatial") | text.contains("block"), F.lit("spatial_holdout"))
+        .when(text.contains("tile"), F.lit("tile_holdout"))
         .otherwise(F.lit("unknown"))
     )
 
 
+def excluded_metric(name: Column) -> Column:
+    """Whether a report leaves a metric out."""
+    low = F.lower(name)
+    heads = [low.startswith(w + s) for w in EXCLUDED_METRIC_WORDS for s in EXCLUDED_METRIC_SEPARATORS]
+    parts = [low.contains(x) for x in EXCLUDED_METRIC_PARTS]
+    ends = [F.concat(F.lit("_"), F.translate(low, "/.", "__")).endswith("_" + x) for x in PIXEL_COUNTERS]
+    out = F.lit(False)
+    for test in (*heads, *parts, *ends):
+        out = out | test
+    return out
+
+
+def metric_threshold(name: Column) -> Column:
+    """The threshold at the end of an F1's or Dice's name, null for other names."""
+    found = F.regexp_extract(name, THRESHOLD_PATTERN, 1)
+    return F.when(found != "", found.cast("double"))
+
+
+def pixel_f1_place(name: Column) -> Column:
+    """A name's place among PIXEL_F1_NAMES, however it is punctuated; null for other names."""
+    key = metric_key(name)
+    return F.coalesce(*(F.when(key == re.sub("[^a-z0-9]+", "_", x), F.lit(k)) for k, x in enumerate(PIXEL_F1_NAMES)))
+
+
 def first_non_empty(*columns: Column) -> Column:
     """The first value that is neither null nor blank."""
     return F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in columns))
@@ -72,7 +121,13 @@ def mask_secrets(text: Column) -> Column:
 
 
 def run_slug(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9_-]+", "-"), F.lit("-"))
+    """A safe run id made of a text."""
+    slug = F.substring(F.regexp_replace(text, "[^A-Za-z0-9._-]+", "_"), 1, RUN_ID_LENGTH)
+    return F.when(slug != "", slug).otherwise(F.lit("run"))
+
+
+def is_run_id(text: Column) -> Column:
+    return text.rlike(RUN_ID_PATTERN)
 
 
 def name_number(name: Column) -> Column:

@@ -84,3 +84,32 @@ def object_balanced_split(counts: DataFrame, fraction: float = 0.2, seed: int =
     back = F.coalesce(F.try_element_at("zeros", F.lit(1)), F.try_element_at("val", F.lit(1)))
     chosen = chosen.withColumn("val", F.when((F.size("val") == F.col("n")) & (F.col("n") > 1), F.array_remove("val", back)).otherwise(F.col("val")))
     return counts.join(chosen.select("dataset", F.explode("val").alias("scene"), F.lit("val").alias("part")), ["dataset", "scene"], "left").withColumn("part", F.coalesce("part", F.lit("train")))
+
+
+#: The settings that may limit a dataset's scenes, the most preferred first, and the reasons' settings.
+LIMIT_KEYS = ("max_dataset_scenes", "dataset_limit", "scene_limit", "sample_size", "max_scenes")
+REASON_KEYS = ("dataset_limit_reason", "limit_reason")
+
+
+def dataset_limit(raw: Column, config: Column) -> Column:
+    """Struct (value, source, reason) of the first limit that is set in maps of settings, as given before those of the configuration."""
+    set_ = lambda k: F.nullif(F.coalesce(raw[k], config[k]), F.lit(""))
+    told = lambda m, k: F.nullif(m[k], F.lit(""))
+    given = F.coalesce(*(told(m, k) for m in (raw, config) for k in REASON_KEYS))
+    struct = lambda value, source, reason: F.struct(value.alias("value"), source.alias("source"), reason.alias("reason"))
+    out = struct(F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("string"))
+    for k in reversed(LIMIT_KEYS):
+        usual = "preprocess.max_scenes compatibility limit" if k == "max_scenes" else "explicit dataset input limit configured"
+        limit = F.greatest(F.lit(1), set_(k).cast("int"))
+        out = F.when(set_(k).isNotNull(), struct(limit, F.lit(f"pipeline_trace.preprocess.{k}"), F.coalesce(given, F.lit(usual)))).otherwise(out)
+    return out
+
+
+def input_invariant(matched: Column, listed: Column, selected: Column, limit: Column) -> Column:
+    """(The texts are fixed values.) Whether a dataset's scenes are those of its inventory, or fewer by a stated limit."""
+    return (
+        F.when(matched != listed, F.lit("FAILED: inventory matched_count does not match matched scene rows"))
+        .when(limit.isNotNull(), F.lit("OK with explicit limit"))
+        .when(selected == matched, F.lit("OK"))
+        .otherwise(F.lit("FAILED: selected scenes differ from inventory without explicit dataset limit"))
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -17,7 +17,7 @@ from .views import Tables
 
 
 def norm(x: str) -> str:
-    base = f"lower(list_last(string_split(trim({x}), '/')))"
+    base = f"lower(list_last(string_split(rtrim(trim({x}), '/'), '/')))"
     for pattern in (r"\.aux\.xml$", r"\.(tif|tiff)$", r"[_\-. ]?cog$"):
         base = f"regexp_replace({base}, '{pattern}', '')"
     return f"regexp_replace({base}, '[^a-z0-9]+', '', 'g')"
@@ -66,10 +66,18 @@ def metric_key(t: Tables) -> DataFrame:
     return t.part.select("p_name", N.metric_key(F.concat(F.lit("Val/"), "p_name", F.lit(" @0.5"))).alias("key")).distinct()
 
 
-@query("fn11_validation_kind", "SELECT run_id, CASE run_id % 4 WHEN 0 THEN 'scene_level' WHEN 1 THEN 'spatial_holdout' WHEN 2 THEN 'tile_holdout' ELSE 'unknown' END AS kind FROM @runs")
+_SPLITS = ("Scene_Level", "leave_one_scene_out", "by scene_group", "spatial", "block_holdout", "random", "scenes by tile", "TILES", "")
+_SPLIT_TEXT = "CASE run_id % 10 " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_SPLITS)) + " END"
+
+
+@query(
+    "fn11_validation_kind",
+    f"""SELECT run_id, split, CASE WHEN split ILIKE '%scene\\_level%' ESCAPE '\\' OR split ILIKE '%leave\\_one\\_scene%' ESCAPE '\\' OR split ILIKE '%scene\\_group%' ESCAPE '\\' THEN 'scene_level'
+    WHEN split ILIKE '%spatial%' OR split ILIKE '%block%' THEN 'spatial_holdout' WHEN split ILIKE '%tile%' THEN 'tile_holdout' ELSE 'unknown' END AS kind
+    FROM (SELECT run_id, {_SPLIT_TEXT} AS split FROM @runs) r""",
+)
 def validation_kind(t: Tables) -> DataFrame:
-    text = F.element_at(F.array(F.lit("by Scene split"), F.lit("spatial"), F.lit("random_tiles"), F.lit("")), (F.col("run_id") % 4 + 1).cast("int"))
-    return t.runs.select("run_id", N.validation_kind(text).alias("kind"))
+    return t.runs.select("run_id", F.expr(_SPLIT_TEXT).alias("split")).withColumn("kind", N.validation_kind(F.col("split")))
 
 
 @query("fn8_first_non_empty", "SELECT run_id, coalesce(nullif(trim(run_status), ''), CASE WHEN run_id % 3 = 0 THEN NULL ELSE 'unknown' END, 'none') AS status FROM @runs")
@@ -82,9 +90,17 @@ def masked_secrets(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", N.mask_secrets(F.col("text")).alias("text"))
 
 
-@query("fn15_run_slug", "SELECT DISTINCT p_type, trim(regexp_replace(lower(p_type || ' (new) #1'), '[^a-z0-9_-]+', '-', 'g'), '-') AS slug, regexp_matches(p_type, '^[A-Z][A-Z0-9_-]{2,63}$') AS valid FROM @part")
+_RUN_TEXT = "CASE p_partkey % 4 WHEN 0 THEN p_name || ' (new) #1' WHEN 1 THEN replace(p_name, ' ', '.') WHEN 2 THEN repeat(p_name || '-', 9) ELSE '' END"
+
+
+@query(
+    "fn15_run_slug",
+    f"""SELECT p_partkey, coalesce(nullif(left(regexp_replace(x, '[^A-Za-z0-9._-]+', '_', 'g'), 180), ''), 'run') AS slug,
+    x <> '' AND NOT regexp_matches(x, '[^A-Za-z0-9._-]') AS valid FROM (SELECT p_partkey, {_RUN_TEXT} AS x FROM @part) p""",
+)
 def run_slug(t: Tables) -> DataFrame:
-    return t.part.select("p_type", N.run_slug(F.concat("p_type", F.lit(" (new) #1"))).alias("slug"), F.col("p_type").rlike("^[A-Z][A-Z0-9_-]{2,63}$").alias("valid")).distinct()
+    text = F.expr(_RUN_TEXT)
+    return t.part.select("p_partkey", N.run_slug(text).alias("slug"), N.is_run_id(text).alias("valid"))
 
 
 @query("fn35_next_run_number", "SELECT s_nationkey, max(CAST(regexp_extract(s_name, '(\\d+)$', 1) AS BIGINT)) + 1 AS next FROM @supplier GROUP BY 1")
@@ -92,9 +108,20 @@ def next_run_number(t: Tables) -> DataFrame:
     return t.supplier.groupBy("s_nationkey").agg((F.max(N.name_number(F.col("s_name"))) + 1).alias("next"))
 
 
-@query("fn14_metric_filter", "SELECT p_partkey FROM @part WHERE NOT (regexp_matches(p_name, '^(red|blue)') OR p_name LIKE '%ring%')")
+_METRICS = ("Val/loss", "val.f1", "value", "train_loss", "training_time_sec", "System/gpu", "recource.ram", "resourse_cpu", "resources/disk", "f1_pixel", "epochs_total",
+            "eval/threshold_sweep_3", "best_threshold", "a.microtiming.b", "DEBUG_x", "eval/pixel.tp", "fp_pixels", "xtn_pixels", "my.tn_pixels", "diagnostics.x", "resource")
+_METRIC = f"CASE p_partkey % {len(_METRICS)} " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_METRICS)) + " END"
+
+
+@query(
+    "fn14_metric_filter",
+    f"""SELECT p_partkey, name FROM (SELECT p_partkey, {_METRIC} AS name FROM @part) p
+    WHERE NOT regexp_matches(lower(name), '^(val|train|diagnostics|system|recource|resource|resourse|resources)[/._]') AND NOT regexp_matches(lower(name), 'threshold_sweep|best_threshold|microtiming|debug')
+    AND NOT regexp_matches(lower(name), '(^|[/._])(pixel[/._](tp|fp|fn|tn)|(tp|fp|fn|tn)[/._]pixels)$')""",
+)
 def metric_filter(t: Tables) -> DataFrame:
-    return t.part.filter(~F.col("p_name").rlike("^(red|blue)|ring")).select("p_partkey")
+    """Metrics that a run's report shows."""
+    return t.part.select("p_partkey", F.expr(_METRIC).alias("name")).filter(~N.excluded_metric(F.col("name")))
 
 
 @query("fn4_scene_of_properties", "SELECT image, coalesce(nullif(CASE WHEN image % 3 = 0 THEN '' ELSE NULL END, ''), nullif(regexp_extract(key, '[^/]*\\.tif', 0), ''), list_last(string_split(key, '/'))) AS scene FROM @images")
@@ -126,26 +153,36 @@ def class_slug(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.coalesce(*rungs).alias("slug"))
 
 
-_RULES = f"""SELECT e.seq, e.entry, i.image, r FROM entries e JOIN @images i ON list_last(string_split(e.entry, '/')) = list_last(string_split(i.key, '/')), (SELECT 0 AS r)
-    UNION ALL SELECT e.seq, e.entry, i.image, 1 FROM entries e JOIN @images i ON lower(list_last(string_split(e.entry, '/'))) = lower(list_last(string_split(i.key, '/')))
-    UNION ALL SELECT e.seq, e.entry, i.image, 2 FROM entries e JOIN @images i ON {norm('e.entry')} = {norm('i.key')} AND {norm('e.entry')} <> ''"""
+def _last(x: str) -> str:
+    return f"list_last(string_split(rtrim(trim({x}), '/'), '/'))"
+
+
+def _stem(x: str) -> str:
+    return f"regexp_replace({_last(x)}, '\\.(tif|tiff)$', '', 'i')"
+
+
+_RUNGS = (
+    ("filename_exact", lambda x: _last(x)),
+    ("stem_exact", lambda x: _stem(x)),
+    ("filename_casefold", lambda x: f"lower({_last(x)})"),
+    ("stem_casefold", lambda x: f"lower({_stem(x)})"),
+    ("normalized_scene", lambda x: f"nullif({norm(x)}, '')"),
+)
+_RULES = " UNION ALL ".join(f"SELECT e.seq, e.entry, i.image, {k} AS r FROM entries e JOIN @images i ON {f('e.entry')} = {f('i.key')}" for k, (_, f) in enumerate(_RUNGS))
 
 
 @query(
     "jn1_ranked_match",
     f"""WITH {_ENTRIES}, m AS ({_RULES}),
     b AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY r, image) AS p, min(r) OVER (PARTITION BY seq) AS best FROM m)
-    SELECT e.seq, e.entry, b.image, CASE b.r WHEN 0 THEN 'filename_exact' WHEN 1 THEN 'filename_casefold' WHEN 2 THEN 'normalized_scene' END AS rule,
+    SELECT e.seq, e.entry, b.image, CASE b.r {" ".join(f"WHEN {k} THEN '{name}'" for k, (name, _) in enumerate(_RUNGS))} END AS rule,
     (SELECT count(*) FROM m WHERE m.seq = e.seq AND m.r = b.r) AS n_matches FROM entries e LEFT JOIN (SELECT * FROM b WHERE p = 1) b ON b.seq = e.seq""",
 )
 def ranked_match(t: Tables) -> DataFrame:
-    """Entries to images by file name, then without case, then normalized; the first rule and the first image win."""
-    mine, theirs = N.base_name(F.col("entry")), N.base_name(F.col("key"))
-    rules = [
-        ("filename_exact", mine, theirs),
-        ("filename_casefold", F.lower(mine), F.lower(theirs)),
-        ("normalized_scene", F.nullif(N.norm_scene_name(F.col("entry")), F.lit("")), F.nullif(N.norm_scene_name(F.col("key")), F.lit(""))),
-    ]
+    """Entries to images by file name, then without extension, then both without case, then normalized; the first rule and the first image win."""
+    forms = [lambda c: N.base_name(F.trim(c)), N.scene_stem]
+    forms += [lambda c, f=f: F.lower(f(c)) for f in forms] + [lambda c: F.nullif(N.norm_scene_name(c), F.lit(""))]
+    rules = [(name, f(F.col("entry")), f(F.col("key"))) for (name, _), f in zip(_RUNGS, forms, strict=True)]
     told = ranked_rule_join(entries(t), t.images, "seq", rules, [F.col("image")], ["image"])
     return told.select("seq", "entry", "image", "rule", F.when(F.col("rule").isNull(), F.lit(0)).otherwise(F.col("n_matches")).cast("bigint").alias("n_matches"))
 
@@ -246,18 +283,47 @@ def lost_scenes(t: Tables) -> DataFrame:
     return t.images.join(t.annotations.filter("gid % 3 = 0"), F.col("image") == F.col("scene"), "left_anti").select("image")
 
 
-@query("mt10_dataset_limit", f"WITH {_COUNTS} SELECT dataset, count(*) AS kept FROM (SELECT dataset, row_number() OVER (PARTITION BY dataset ORDER BY scene) AS p FROM counts) q WHERE p <= coalesce(CASE WHEN dataset % 3 = 0 THEN dataset + 1 END, CASE WHEN dataset % 2 = 0 THEN 10 END, 1000000) GROUP BY 1")
-def dataset_limit(t: Tables) -> DataFrame:
-    """Scenes of a dataset up to the first limit that is set."""
-    limit = F.coalesce(F.when(F.col("dataset") % 3 == 0, F.col("dataset") + 1), F.when(F.col("dataset") % 2 == 0, F.lit(10)), F.lit(1_000_000))
+#: Settings of dataset d, as given and as configured.
+_RAW = {"max_dataset_scenes": "CASE WHEN d % 7 = 1 THEN d + 1 END", "dataset_limit": "CASE WHEN d % 5 = 2 THEN 0 END", "max_scenes": "CASE WHEN d % 3 = 0 THEN 4 END", "dataset_limit_reason": "CASE WHEN d % 6 = 0 THEN 'pilot' END"}
+_CONFIG = {"max_dataset_scenes": "CASE WHEN d % 11 = 1 THEN 3 END", "scene_limit": "CASE WHEN d % 4 = 3 THEN 6 END", "sample_size": "CASE WHEN d % 13 = 12 THEN 2 END", "limit_reason": "CASE WHEN d % 9 = 4 THEN 'budget' END"}
+_LIMITS = f"""limits AS (SELECT dataset, CASE WHEN k IS NOT NULL THEN greatest(1, v) END AS value, 'pipeline_trace.preprocess.' || k AS source,
+        CASE WHEN k IS NOT NULL THEN coalesce(why, CASE WHEN k = 'max_scenes' THEN 'preprocess.max_scenes compatibility limit' ELSE 'explicit dataset input limit configured' END) END AS reason
+    FROM (SELECT d AS dataset, coalesce({_RAW['dataset_limit_reason']}, {_CONFIG['limit_reason']}) AS why,
+        coalesce({_RAW['max_dataset_scenes']}, {_CONFIG['max_dataset_scenes']}, {_RAW['dataset_limit']}, {_CONFIG['scene_limit']}, {_CONFIG['sample_size']}, {_RAW['max_scenes']}) AS v,
+        CASE WHEN d % 7 = 1 OR d % 11 = 1 THEN 'max_dataset_scenes' WHEN d % 5 = 2 THEN 'dataset_limit' WHEN d % 4 = 3 THEN 'scene_limit' WHEN d % 13 = 12 THEN 'sample_size' WHEN d % 3 = 0 THEN 'max_scenes' END AS k
+        FROM (SELECT DISTINCT CAST(dataset AS INT) AS d FROM counts) q) r)"""
+_KEPT = f"{_COUNTS}, {_LIMITS}, kept AS (SELECT c.dataset, l.value, l.source, l.reason, count(*) AS matched, count(*) FILTER (p <= coalesce(l.value, p)) AS selected FROM (SELECT dataset, row_number() OVER (PARTITION BY dataset ORDER BY scene) AS p FROM counts) c JOIN limits l ON l.dataset = c.dataset GROUP BY ALL)"
+
+
+def _settings(of: dict[str, str]) -> Column:
+    return F.create_map(*(x for k, v in of.items() for x in (F.lit(k), F.expr(f"CAST({v} AS STRING)"))))
+
+
+def _limited(t: Tables) -> DataFrame:
+    """Matched and selected scenes of each dataset, with its limit."""
     place = F.row_number().over(Window.partitionBy("dataset").orderBy("scene"))
-    return scene_object_counts(t).withColumn("p", place).filter(F.col("p") <= limit).groupBy("dataset").agg(F.count(F.lit(1)).alias("kept"))
+    rows = scene_object_counts(t).withColumn("d", F.col("dataset").cast("int")).withColumn("p", place)
+    rows = rows.withColumn("limit", sp.dataset_limit(_settings(_RAW), _settings(_CONFIG)))
+    inside = F.col("p") <= F.coalesce("limit.value", "p")
+    return rows.groupBy("dataset", "limit.value", "limit.source", "limit.reason").agg(F.count(F.lit(1)).alias("matched"), F.count_if(inside).alias("selected"))
+
+
+@query("mt10_dataset_limit", f"WITH {_KEPT} SELECT dataset, value, source, reason, selected FROM kept")
+def dataset_limit(t: Tables) -> DataFrame:
+    """Scenes of a dataset up to the first limit that is set, with where it is set and why."""
+    return _limited(t).select("dataset", "value", "source", "reason", "selected")
 
 
-@query("mt11_lineage_checks", f"WITH {_SPLIT} SELECT dataset, CASE WHEN count(*) <> count(DISTINCT scene) THEN 'FAILED' WHEN sum(objects) < 20 THEN 'LIMITED' ELSE 'OK' END AS state FROM split GROUP BY 1")
+@query(
+    "mt11_lineage_checks",
+    f"""WITH {_KEPT} SELECT dataset, CASE WHEN dataset % 8 = 5 THEN 'FAILED: inventory matched_count does not match matched scene rows' WHEN value IS NOT NULL THEN 'OK with explicit limit'
+    WHEN dataset % 10 = 0 AND matched > 0 THEN 'FAILED: selected scenes differ from inventory without explicit dataset limit' ELSE 'OK' END AS state FROM kept""",
+)
 def lineage_checks(t: Tables) -> DataFrame:
-    rows = scene_object_counts(t).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("scene").alias("d"), F.sum("objects").alias("o"))
-    return rows.select("dataset", F.when(F.col("n") != F.col("d"), "FAILED").when(F.col("o") < 20, "LIMITED").otherwise("OK").alias("state"))
+    """Inventories that list one scene more, and selections that lack one, are told."""
+    listed = F.col("matched") + (F.col("dataset") % 8 == 5).cast("int")
+    selected = F.col("selected") - (F.col("dataset") % 10 == 0).cast("int")
+    return _limited(t).select("dataset", sp.input_invariant(F.col("matched"), listed, selected, F.col("value")).alias("state"))
 
 
 @query("ag25_fingerprint", f"WITH {_COUNTS} SELECT dataset, sha256(string_agg(CAST(scene AS VARCHAR) || ':' || CAST(objects AS VARCHAR), ',' ORDER BY scene)) AS fingerprint FROM counts GROUP BY 1")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import names as N
 from ..functions.geometry import box
 from ..functions.names import first_non_empty
 from ..operators.scene_match import flatten_json
@@ -385,11 +386,26 @@ def best_two(t: Tables) -> DataFrame:
     return rows.select("scene", F.col("bytes").alias("best"), "second")
 
 
-@query("wn7_best_metric_name", "SELECT scene, arg_max(stage, CASE stage WHEN 'purchase' THEN 300000000 WHEN 'view' THEN 200000000 ELSE 0 END + bytes * 10000 - event_id % 10000) AS metric FROM @messages GROUP BY 1")
+_F1_KEYS = ("val_f1:0.35", "best_val_pixel_dice/threshold_0.5", "run.F1-t0.45", "loss_0.5", "F1_Pixel", "model_metrics.f1_pixel", "val dice", "Pixel-Dice", "metrics/pixel_f1", "accuracy")
+_F1_ROWS = "(SELECT run_id, k, CAST((run_id * 7 + k * 13) % 100 AS DOUBLE) / 100 AS value, CASE k " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_F1_KEYS)) + " END AS metric FROM {source}) m WHERE (run_id * 3 + k * k) % 5 < 2 AND (k > 2 OR run_id % 3 = 0)"
+
+
+@query(
+    "wn7_best_metric_name",
+    f"""WITH m AS (SELECT * FROM {_F1_ROWS.format(source=f"@runs, unnest(range({len(_F1_KEYS)})) AS u(k)")}),
+    named AS (SELECT *, CASE WHEN k < 3 THEN CAST(regexp_extract(metric, '([01]\\.\\d+)$', 1) AS DOUBLE) END AS threshold,
+        list_position(['f1_pixel', 'model_metrics_f1_pixel', 'best_val_pixel_f1', 'val_pixel_f1', 'pixel_f1', 'best_pixel_f1', 'val_dice', 'dice', 'f1', 'pixel_dice', 'metrics_pixel_f1'],
+            regexp_replace(lower(metric), '[^a-z0-9]+', '_', 'g')) AS place FROM m)
+    SELECT run_id, metric, value, threshold FROM named WHERE threshold IS NOT NULL OR place IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY threshold IS NULL, CASE WHEN threshold IS NOT NULL THEN -value END, place, k) = 1""",
+)
 def best_metric_name(t: Tables) -> DataFrame:
-    """Of a run's metrics the one of the most preferred name, then of the largest value."""
-    rank = F.when(F.col("stage") == "purchase", 300_000_000).when(F.col("stage") == "view", 200_000_000).otherwise(0)
-    return t.messages.groupBy("scene").agg(F.max_by("stage", rank + F.col("bytes") * 10000 - F.col("event_id") % 10000).alias("metric"))
+    """Of a run's metrics the largest F1 or Dice at a threshold; without one that of the most preferred name."""
+    t.runs.select("run_id", F.explode(F.sequence(F.lit(0), F.lit(len(_F1_KEYS) - 1))).alias("k")).createOrReplaceTempView("run_metric_places")
+    rows = t.spark.sql(f"SELECT * FROM {_F1_ROWS.format(source='run_metric_places')}")
+    rows = rows.withColumns({"threshold": N.metric_threshold(F.col("metric")), "rank": N.pixel_f1_place(F.col("metric"))}).filter("threshold is not null or rank is not null")
+    order = [F.col("threshold").isNull(), F.when(F.col("threshold").isNotNull(), -F.col("value")), "rank", "k"]
+    return rows.withColumn("p", F.row_number().over(Window.partitionBy("run_id").orderBy(*order))).filter("p = 1").select("run_id", "metric", "value", "threshold")
 
 
 @query("rg14_manifest_choice", "SELECT image, row_number() OVER (PARTITION BY age ORDER BY size % 3 = 0, key DESC) AS place FROM @images")
@@ -398,11 +414,26 @@ def manifest_choice(t: Tables) -> DataFrame:
     return t.images.select("image", F.row_number().over(Window.partitionBy("age").orderBy(F.col("size") % 3 == 0, F.desc("key"))).alias("place"))
 
 
-@query("rg17_presets", "SELECT preset, repeat_factor, CAST(stride_factor AS DOUBLE) AS stride_factor, CAST(empty_share AS DOUBLE) AS empty_share FROM (VALUES (0, 1, 1.0, 0.5), (1, 2, 1.0, 0.4), (2, 3, 0.75, 0.3), (3, 4, 0.5, 0.2)) v(preset, repeat_factor, stride_factor, empty_share)")
+#: Augmentation levels, with how often positive, hard negative and negative tiles are repeated, the factors of their
+#: strides, and the largest share of empty tiles (none: any).
+PRESETS = (
+    (0, 1, 1, 1, 1.0, 1.0, 1.0, None),
+    (1, 2, 1, 1, 1.0, 1.0, 1.0, 0.5),
+    (2, 4, 2, 1, 0.5, 0.5, 1.0, 0.35),
+    (3, 6, 3, 1, 0.25, 0.5, 1.0, 0.25),
+)
+
+
+@query(
+    "rg17_presets",
+    """SELECT level, kind, CAST(r AS INT) AS repeat_factor, CAST(s AS DOUBLE) AS stride_factor, CAST(share AS DOUBLE) AS max_empty_tile_share FROM (VALUES
+    (0, 'positive', 1, 1, NULL), (0, 'hard_negative', 1, 1, NULL), (0, 'negative', 1, 1, NULL), (1, 'positive', 2, 1, 0.5), (1, 'hard_negative', 1, 1, 0.5), (1, 'negative', 1, 1, 0.5),
+    (2, 'positive', 4, 0.5, 0.35), (2, 'hard_negative', 2, 0.5, 0.35), (2, 'negative', 1, 1, 0.35), (3, 'positive', 6, 0.25, 0.25), (3, 'hard_negative', 3, 0.5, 0.25), (3, 'negative', 1, 1, 0.25)) v(level, kind, r, s, share)""",
+)
 def presets(t: Tables) -> DataFrame:
-    """Augmentation presets: a small table of parameters."""
-    rows = [(0, 1, 1.0, 0.5), (1, 2, 1.0, 0.4), (2, 3, 0.75, 0.3), (3, 4, 0.5, 0.2)]
-    return t.spark.createDataFrame(rows, "preset int, repeat_factor int, stride_factor double, empty_share double")
+    """What each augmentation level does with each kind of tile: a small table of parameters."""
+    rows = [(level, kind, rest[k], rest[k + 3], rest[6]) for level, *rest in PRESETS for k, kind in enumerate(("positive", "hard_negative", "negative"))]
+    return t.spark.createDataFrame(rows, "level int, kind string, repeat_factor int, stride_factor double, max_empty_tile_share double")
 
 
 @query("fn3_scene_score")

@@ -382,3 +382,30 @@ def test_boxes(spark):
     df = spark.createDataFrame([(0, 0, 10, 10, 10, 0, 20, 10)], "x0 int, y0 int, x1 int, y1 int, b_x0 int, b_y0 int, b_x1 int, b_y1 int")
     a, b = G.box(), G.box("b_")
     assert df.select(G.overlaps(a, b), G.meets(a, b), G.iou(a, b), G.distance(a, b)).first() == (False, True, 0.0, 0.0)
+
+
+def test_names_of_reports(spark):
+    """Rules of names, with their exact values."""
+    one = lambda f, *xs: [r[0] for r in spark.createDataFrame([(k, x) for k, x in enumerate(xs)], "k int, x string").orderBy("k").select(f(F.col("x"))).collect()]
+    assert one(N.validation_kind, "block_holdout", "random", "scenes by tile", "leave_one_scene", "scene", None) == ["spatial_holdout", "unknown", "tile_holdout", "scene_level", "unknown", "unknown"]
+    assert one(N.norm_scene_name, "root/Irkutsk/", "a//", "b/Scene-01_cog.TIF") == ["irkutsk", "a", "scene01"]
+    assert one(N.run_slug, "a b/c", "", "x" * 200, "ok-1._") == ["a_b_c", "run", "x" * 180, "ok-1._"]
+    assert one(N.is_run_id, "a.B-1_", "a b", "") == [True, False, False]
+    assert one(N.excluded_metric, "val/f1", "Resourse.x", "validity", "f1_pixel", "a/best_threshold", "x.pixel.tp", "xpixel_tp") == [True, True, False, False, True, True, False]
+    assert one(N.metric_threshold, "best_val_pixel_f1@0.5", "dice_thr_1", "f1_pixel", "loss_0.5", "val_f1-t0.45") == [0.5, 1.0, None, None, 0.45]
+    assert one(N.pixel_f1_place, "F1-Pixel", "metrics.pixel_f1", "loss") == [0, 10, None]
+    assert one(N.scene_stem, "a/b.TIF", "b.tif.aux.xml", "c/d.tiff/") == ["b", "b.tif.aux.xml", "d"]
+
+
+def test_dataset_limit_and_invariant(spark):
+    from geoloom.operators.splits import dataset_limit, input_invariant
+
+    rows = [({"max_scenes": "5"}, {"dataset_limit": "0"}), ({"scene_limit": "7", "limit_reason": "pilot"}, {}), ({"sample_size": ""}, {"sample_size": "3"}), ({"max_scenes": "4"}, {}), ({}, {})]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, raw map<string,string>, config map<string,string>")
+    got = [tuple(r.x) for r in df.select("k", dataset_limit(F.col("raw"), F.col("config")).alias("x")).orderBy("k").collect()]
+    usual = "explicit dataset input limit configured"
+    p = "pipeline_trace.preprocess."
+    assert got == [(1, p + "dataset_limit", usual), (7, p + "scene_limit", "pilot"), (None, None, None), (4, p + "max_scenes", "preprocess.max_scenes compatibility limit"), (None, None, None)]
+    states = spark.createDataFrame([(3, 3, 3, None), (3, 4, 3, None), (3, 3, 2, None), (3, 3, 2, 2)], "m int, l int, s int, v int")
+    told = [r[0][:20] for r in states.select(input_invariant(F.col("m"), F.col("l"), F.col("s"), F.col("v"))).collect()]
+    assert told == ["OK", "FAILED: inventory ma", "FAILED: selected sce", "OK with explicit lim"]
