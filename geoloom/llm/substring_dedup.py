@@ -117,6 +117,18 @@ def least_in_window(seeds: np.ndarray) -> np.ndarray:
     return x
 
 
+def leftmost_least(seeds: np.ndarray) -> np.ndarray:
+    """How far from every place the leftmost of the least of its WINDOW - SEED + 1 hashes is."""
+    span, have, x, at = WINDOW - SEED + 1, 1, seeds, np.zeros(len(seeds), np.int16)
+    while have < span:
+        step = min(have, span - have)
+        left, right = x[:-step], x[step:]
+        at = np.where(right < left, at[step:] + np.int16(step), at[:-step])
+        x = np.minimum(left, right)
+        have += step
+    return at
+
+
 def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
     """All stretches of some documents' windows: seed (the least hash, mixed), hash (of the bytes), id, at, n (windows)."""
     parts: list[Columns] = []
@@ -175,12 +187,10 @@ def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.nda
     per = size - WINDOW + 1
     stretch = np.repeat(np.arange(len(texts)), per)
     offset = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-    least = least_in_window(seeds)[start[stretch] + offset]
     # the leftmost place of the representative in each window
-    anchor = np.full(len(offset), -1, np.int64)
-    for j in range(WINDOW - SEED, -1, -1):
-        anchor = np.where(seeds[start[stretch] + offset + j] == least, j, anchor)
-    place = start[stretch] + offset + anchor
+    begin = start[stretch] + offset
+    anchor = leftmost_least(seeds)[begin]
+    place = begin + anchor
     items, item = np.unique(place, return_inverse=True)  # representatives, by place in data
     first = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else item
     of = stretch[first]
@@ -200,9 +210,11 @@ def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.nda
     right_place, left_place = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
     right_place[right_order], left_place[left_order] = np.arange(len(by)), np.arange(len(by))
     right_run, left_run = np.zeros(len(offset), np.int64), np.zeros(len(offset), np.int64)
-    for j in range(WINDOW - SEED + 1):
-        on = np.flatnonzero(anchor == j)
-        if len(on):
+    by_anchor = np.argsort(anchor, kind="stable")
+    edges = np.searchsorted(anchor[by_anchor], np.arange(WINDOW - SEED + 2))
+    for j, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        if a < b:
+            on = by_anchor[a:b]
             right_run[on] = np.cumsum(right_lcp < WINDOW - j)[right_place[mine[on]]]
             left_run[on] = np.cumsum(left_lcp < j)[left_place[mine[on]]]
     order = np.lexsort((ids[stretch], left_run, right_run, anchor))
