@@ -160,7 +160,7 @@ def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
 
 def split_repeats(s: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of (first occurrences: all in the smallest document that has the stretch; repeats), and a number per distinct stretch by place."""
-    order = np.lexsort((s["at"], s["id"], s["n"], s["more"], s["hash"], s["seed"]))
+    order = np.lexsort((s["id"], s["more"], s["hash"]))
     new = np.ones(len(order), bool)
     if len(order):
         x = [s[k][order] for k in ("seed", "hash", "more", "n")]

@@ -27,13 +27,19 @@ class Suffixes:
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Length of the common extension of each pair, by hashes."""
         a, b = self.at[i], self.at[j]
-        low, high = np.zeros(len(i), np.int64), np.minimum(self.size[i], self.size[j])
+        out = np.minimum(self.size[i], self.size[j])
+        k = np.flatnonzero(~self._same(a, b, out))  # most are equal as a whole
+        a, b, low, high = a[k], b[k], np.zeros(len(k), np.int64), out[k] - 1
         while (open_ := low < high).any():
             middle = (low + high + 1) // 2
-            same = span_hashes(self.prefix, a, a + middle, self.inverse) == span_hashes(self.prefix, b, b + middle, self.inverse)
+            same = self._same(a, b, middle)
             low = np.where(open_ & same, middle, low)
             high = np.where(open_ & ~same, middle - 1, high)
-        return low
+        out[k] = low
+        return out
+
+    def _same(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return span_hashes(self.prefix, a, a + n, self.inverse) == span_hashes(self.prefix, b, b + n, self.inverse)
 
     def before(self, i: np.ndarray, j: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         """Whether suffix i comes before j; where they are equal, or_equal decides."""
