@@ -79,3 +79,23 @@ def tversky_loss(p: Column, truth: Column, alpha: float = 0.3, beta: float = 0.7
 def quantized(p: Column) -> Column:
     """A probability as a byte, rounded half to even."""
     return F.rint(F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)) * 255).cast("int")
+
+
+#: Weights of a run's stages (all others weigh 1), and what a stage may call its progress, from 0 to 1.
+STAGE_WEIGHTS = {"train_model": 5.0, "predict_validation_scenes": 3.0, "vectorize_validation_predictions": 2.0, "compute_f1": 2.0}
+PROGRESS_KEYS = ("progress", "progress_fraction", "fraction")
+
+
+def stage_fraction(payload: Column) -> Column:
+    """How far a stage is by its payload (a map of texts), from 0 to 1; 0 if it does not say, or says no number."""
+    given = F.coalesce(*(payload[k] for k in PROGRESS_KEYS))
+    share = F.when(given.isNotNull(), given.try_cast("double")).otherwise(payload["progress_percent"].try_cast("double") / 100)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0))))
+
+
+def progress_percent(stage: Column, done: Column, current: Column) -> Column:
+    """Aggregate over a run's stages: percent done by weight, half to even; current is how far a stage is that is not done."""
+    weight = F.lit(1.0)
+    for name, w in STAGE_WEIGHTS.items():
+        weight = F.when(stage == name, w).otherwise(weight)
+    return F.rint(100.0 * F.sum(F.when(done, weight).otherwise(weight * current)) / F.sum(weight)).cast("int")

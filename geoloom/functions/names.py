@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: extensions of raster files.
 RASTER_PATTERN = r"(?i)\.(tif|tiff)$"
@@ -26,6 +29,36 @@ PIXEL_F1_NAMES = (
 THRESHOLD_PATTERN = r"(?i)(?:^|[./_])(?:best_)?(?:val_)?(?:pixel_)?(?:f1|dice)(?:[./_@:-]*(?:threshold|thr|t))?[./_@:-]*([01](?:\.\d+)?)$"
 #: What run ids consist of, and the length that slugs are cut to.
 RUN_ID_PATTERN, RUN_ID_LENGTH = r"^[A-Za-z0-9._-]+$", 180
+#: Keys of secrets, what stands for their values, and the length from which values are looked for in texts.
+SECRET_KEY_PATTERN = r"(?i)(password|secret|token|access_key)"
+MASK, LEAST_MASKED = "***", 4
+#: Properties that may name a feature's scene, the first comes first, and a raster's file name in a text.
+SCENE_PROPERTIES = (
+    "scene", "scene_id", "scene_name", "image", "image_name", "image_id", "filename", "file", "tif", "tiff", "raster", "source", "source_file", "src",
+)
+RASTER_IN_TEXT = r"(?i)([^\\/\s;,\"]+\.(?:tif|tiff))"
+#: Names of each class, and its slug.
+CLASSES = (
+    (("Озера", "lakes", "lake"), "lakes"),
+    (("Абразия", "abrasion"), "abrasion"),
+    (("Обвально-оползневые и осыпные", "obval_opolz_osyp", "landslide", "оползневые", "осыпные"), "obval_opolz_osyp"),
+    (("Водная эрозия", "water_erosion"), "water_erosion"),
+    (("Ветровая эрозия", "wind_erosion"), "wind_erosion"),
+    (("Вырубки", "deforest", "deforestation", "cuttings"), "deforest"),
+    (("Гари", "burnt_forests", "burned", "fire"), "burnt_forests"),
+    (("Границы леса", "forest_boundaries", "forest"), "forest_boundaries"),
+    (("Засоления", "salty", "salinization"), "salty"),
+    (("Карьеры", "quarries", "careers"), "quarries"),
+    (("Опустынивание", "desertification"), "desertification"),
+    (("Пашни", "arable_land", "areas_of_used_arable_land", "pashni"), "arable_land"),
+)
+#: Forms of messages.
+WARNING_FORMS = {
+    "not_selected": r"^(\d+) TIFF/TIF images are available but not selected by scenes_file",
+    "geometry_fallback": r"^geometry fallback used with annotation CRS (.+)$",
+    "zero_objects": r"^(\d+) scenes have zero objects",
+}
+UNMATCHED_FORM, CONFIG_FILE = r"^(\d+) scenes from scenes_file were not matched", "pipeline.server.yaml"
 
 
 def base_name(path: Column) -> Column:
@@ -115,9 +148,84 @@ def first_non_empty(*columns: Column) -> Column:
     return F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in columns))
 
 
-def mask_secrets(text: Column) -> Column:
-    """Values behind password-, token-, secret- and key-like names are replaced by ***."""
-    return F.regexp_replace(text, r"(?i)((?:password|passwd|token|secret|api_?key|access_?key)\w*\s*[=:]\s*)[^\s,;]+", "$1***")
+@F.pandas_udf(T.StringType())
+def mask_secrets(text: pd.Series) -> pd.Series:
+    """JSON of any depth with the values behind secret keys replaced by MASK, whatever they are; null for nulls and text that is no JSON."""
+
+    def masked(value: object) -> object:
+        if isinstance(value, dict):
+            return {k: MASK if re.search(SECRET_KEY_PATTERN, k) else masked(v) for k, v in value.items()}
+        return [masked(v) for v in value] if isinstance(value, list) else value
+
+    def one(x: str | None) -> str | None:
+        try:
+            return None if x is None else json.dumps(masked(json.loads(x)), ensure_ascii=False, separators=(",", ":"))
+        except ValueError:
+            return None
+
+    return text.map(one)
+
+
+def mask_text(text: Column, known: dict[str, str]) -> Column:
+    """Text without the values of known settings whose names are secret, if they have LEAST_MASKED characters or more."""
+    for key, value in known.items():
+        if len(value) >= LEAST_MASKED and re.search(SECRET_KEY_PATTERN, key):
+            text = F.replace(text, F.lit(value), F.lit(MASK))
+    return text
+
+
+def scene_of_properties(properties: Column) -> Column:
+    """The scene that a feature's properties (a map) name: of the first of SCENE_PROPERTIES that is not blank a raster's file name in it, else its last path part."""
+
+    def one(field: str) -> Column:
+        value = F.trim(properties[field])
+        inside = F.regexp_extract(value, RASTER_IN_TEXT, 1)
+        plain = lambda c: base_name(F.translate(F.trim(F.trim(F.trim(c), F.lit('"')), F.lit("'")), "\\", "/"))
+        return F.nullif(plain(F.when(inside != "", inside).otherwise(value)), F.lit(""))
+
+    return F.coalesce(*(one(field) for field in SCENE_PROPERTIES))
+
+
+def class_slug(text: Column) -> Column:
+    """The first class one of whose names is the text, in it, or has it in itself (unless both have under 4 characters); null if there is none."""
+    plain = lambda x: x.lower().replace("-", "_").replace(" ", "_")
+    told = F.translate(F.lower(text), "- ", "__")
+
+    def fits(name: str) -> Column:
+        within = told.contains(name) | F.lit(name).contains(told)
+        return (told == name) | (within if len(name) >= 4 else within & (F.char_length(told) >= 4))
+
+    rungs = []
+    for names, slug in CLASSES:
+        found = F.lit(False)
+        for name in names:
+            found = found | fits(plain(name))
+        rungs.append(F.when((told != "") & found, F.lit(slug)))
+    return F.coalesce(*rungs)
+
+
+def warning_class(message: Column) -> Column:
+    """(kind, code, value) of a report's warning: three known forms are information, with their number or reference system, all others are warnings."""
+    value = lambda p: F.regexp_extract(message, p, 1)
+    number = F.regexp_extract(value(WARNING_FORMS["geometry_fallback"]), r"EPSG::?(\d+)", 1)
+    crs = F.when(number != "", F.concat(F.lit("EPSG:"), number)).otherwise(value(WARNING_FORMS["geometry_fallback"]))
+    told = lambda kind, code, v: F.struct(F.lit(kind).alias("kind"), F.lit(code).alias("code"), v.cast("string").alias("value"))
+    made = F.when(F.lit(False), told("", "", F.lit(None)))
+    for code, pattern in WARNING_FORMS.items():
+        made = made.when(value(pattern) != "", told("info", code, crs if code == "geometry_fallback" else value(pattern)))
+    return made.otherwise(told("warning", "other", message))
+
+
+def error_class(message: Column) -> Column:
+    """(code, value) of a failure's message; null for nulls and empty messages."""
+    told = lambda code, v: F.struct(F.lit(code).alias("code"), v.cast("string").alias("value"))
+    lost = F.regexp_extract(message, UNMATCHED_FORM, 1)
+    return (
+        F.when(message.contains(CONFIG_FILE) & (message.contains("No such file") | message.contains("not found")), told("config_missing", F.lit(None)))
+        .when(message.contains("No scenes were matched"), told("no_scenes", F.lit(None)))
+        .when(lost != "", told("scenes_unmatched", lost))
+        .when(message != "", told("technical", message))
+    )
 
 
 def run_slug(text: Column) -> Column:

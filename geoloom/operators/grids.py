@@ -68,3 +68,12 @@ def repeats(rows: DataFrame, factor: Column) -> DataFrame:
     """Each row `factor` times (at least once) with repeat_index; source of repeats is `virtual_repeat`."""
     out = rows.withColumn("repeat_index", F.explode(F.sequence(F.lit(0), F.greatest(factor, F.lit(1)) - 1)))
     return out.withColumn("source", F.when(F.col("repeat_index") > 0, F.lit("virtual_repeat")).otherwise(F.col("source")))
+
+
+def repeats_by_kind(rows: DataFrame, positive: int, hard_negative: int, negative: int) -> DataFrame:
+    """repeats() of tiles (base_record_id, kind, source) by their kind, with record_id; what is not repeated has no repeat_index."""
+    kind = F.col("kind")
+    factor = F.when(kind.isin("positive", "partial_positive"), positive).when(kind == "hard_negative", hard_negative).otherwise(negative)
+    base, k, many = F.col("base_record_id"), F.col("repeat_index"), factor > 1
+    named = F.when(many, F.concat(base, F.lit(":repeat"), k.cast("string"))).otherwise(base)
+    return repeats(rows, factor).withColumns({"record_id": named, "repeat_index": F.when(many, k)})

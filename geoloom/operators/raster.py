@@ -100,6 +100,50 @@ def seam_jumps(pixels: DataFrame, every: int) -> DataFrame:
     return at.groupBy("scene", F.col("x").alias("seam")).agg(F.avg("step").alias("mean_jump"), F.max("step").alias("max_jump"))
 
 
+def scene_statistics(pixels: DataFrame, scenes: DataFrame, most: int = 1024) -> DataFrame:
+    """(scene, low, high): percentiles 2 and 98 of the pixels (scene, y, x, value) that are not zero; 0 and 1 where there are under 16.
+
+    A scene (scene, w, h) with a side above `most` pixels (64 at least) is read as an image of that size, by the nearest pixels.
+    """
+    scale = F.greatest(F.lit(1.0), F.greatest("w", "h") / F.lit(float(max(64, most))))
+
+    def read(at: str, size: str) -> Column:
+        # output pixel k reads pixel floor((k + 0.5) size / n): is there such a k for this pixel?
+        n = F.greatest(F.lit(1.0), F.rint(F.col(size) / scale))
+        return F.ceil(F.col(at) * n / F.col(size) - 0.5) < (F.col(at) + 1) * n / F.col(size) - 0.5
+
+    rows = pixels.join(scenes.select("scene", "w", "h"), "scene").filter(read("x", "w") & read("y", "h"))
+    value = F.when((F.col("value") != 0) & ~F.isnan(F.col("value").cast("double")), F.col("value"))
+    told = rows.groupBy("scene").agg(F.count(value).alias("n"), F.percentile(value, F.lit(0.02)).alias("lo"), F.percentile(value, F.lit(0.98)).alias("hi"))
+    low = F.when(F.col("n") < 16, 0.0).otherwise(F.col("lo"))
+    high = F.when(F.col("n") < 16, 1.0).when(F.col("hi") <= F.col("lo"), F.col("lo") + 1).otherwise(F.col("hi"))
+    return told.select("scene", low.alias("low"), high.alias("high"))
+
+
+#: Masks that are taken by themselves where they leave out a part of a window, in this order.
+PARTIAL_MASKS = ("dataset_mask", "alpha", "nodata")
+
+
+def valid_mask(pixels: DataFrame, window: list[str], mode: str = "auto") -> DataFrame:
+    """(window, y, x, valid, source) of pixels with one boolean column for each mode; a mode's column is null where a window has no such mask.
+
+    auto takes of each window the first of PARTIAL_MASKS that has some of its pixels but not all, else what is not zero in any band, and if
+    everything is zero the window's own mask, or nothing (source `empty`) if it has none.
+    """
+    modes = (*PARTIAL_MASKS, "nonzero_any", "nonzero_all")
+    if mode != "auto":
+        if mode not in modes:
+            raise ValueError(f"unknown mode {mode}")
+        return pixels.select(*window, "y", "x", F.col(mode).alias("valid"), F.lit(mode).alias("source"))
+    source = F.when(F.lit(False), "")
+    for m in PARTIAL_MASKS:
+        source = source.when(F.bool_or(m) & ~F.bool_and(m), m)
+    source = source.when(F.bool_or("nonzero_any"), "nonzero_any").when(F.count("dataset_mask") > 0, "dataset_mask").otherwise("empty")
+    told = pixels.join(pixels.groupBy(*window).agg(source.alias("source")), window)
+    valid = F.coalesce(*(F.when(F.col("source") == m, F.col(m)) for m in modes), F.lit(False))
+    return told.select(*window, "y", "x", valid.alias("valid"), "source")
+
+
 def simplified(points: DataFrame, tolerance: float) -> DataFrame:
     """Douglas-Peucker: of each ring (ring, k, x, y) the points whose removal would move the line by more than tolerance."""
 

@@ -28,6 +28,19 @@ def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
 
 
+def scene_score(needle: Column, name: Column) -> Column:
+    """(score, reason) of two normalized names: the first rung that holds, else their likeness; nulls count as empty."""
+    needle, name = F.coalesce(needle, F.lit("")), F.coalesce(name, F.lit(""))
+    told = lambda score, reason: F.struct(score.cast("double").alias("score"), F.lit(reason).alias("reason"))
+    contained = (F.char_length(needle) >= LEAST_CONTAINED) & (name.contains(needle) | needle.contains(name))
+    tests = (needle == name, F.coalesce(scene_signature(needle) == scene_signature(name), F.lit(False)), contained)
+    made = F.when((needle == "") | (name == ""), told(F.lit(0.0), "empty"))
+    for test, (score, reason) in zip(tests, RUNGS, strict=True):
+        made = made.when(test, told(F.lit(score), reason))
+    left = ~(tests[0] | tests[1] | tests[2])
+    return made.otherwise(told(likeness(F.when(left, needle), F.when(left, name)), "sequence_ratio"))
+
+
 def grams(text: Column) -> Column:
     """The distinct runs of GRAM characters in a text; of a SHORT one those of two characters too."""
     runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1))), lambda k: F.substring(text, k, F.lit(n)))

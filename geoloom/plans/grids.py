@@ -80,10 +80,18 @@ def stream_overlap(t: Tables) -> DataFrame:
     return ready.groupBy("scene").agg(F.greatest(F.lit(0).cast("bigint"), F.max("ready") - F.min("ready")).alias("overlap"))
 
 
-@query("gen6_virtual_repeats", "SELECT gid, r AS repeat_index, CASE WHEN r > 0 THEN 'virtual_repeat' ELSE 'grid' END AS source FROM @annotations, unnest(range(0, greatest(1, gid % 3))) AS u(r)")
+_KIND = "CASE gid % 5 WHEN 0 THEN 'positive' WHEN 1 THEN 'partial_positive' WHEN 2 THEN 'hard_negative' WHEN 3 THEN 'negative' END"
+
+
+@query(
+    "gen6_virtual_repeats",
+    f"""SELECT gid, kind, CAST(gid AS VARCHAR) || CASE WHEN n > 1 THEN ':repeat' || CAST(r AS VARCHAR) ELSE '' END AS record_id, CASE WHEN n > 1 THEN r END AS repeat_index, CASE WHEN r > 0 THEN 'virtual_repeat' ELSE 'grid' END AS source
+    FROM (SELECT gid, {_KIND} AS kind, CASE gid % 5 WHEN 0 THEN 4 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END AS n FROM @annotations) a, unnest(range(0, n)) AS u(r)""",
+)
 def virtual_repeats(t: Tables) -> DataFrame:
-    rows = t.annotations.select("gid", F.lit("grid").alias("source"))
-    return og.repeats(rows, (F.col("gid") % 3).cast("int")).select("gid", F.col("repeat_index").cast("bigint").alias("repeat_index"), "source")
+    """Positive tiles four times, hard negatives twice, all others once."""
+    rows = t.annotations.select("gid", F.expr(_KIND).alias("kind"), F.col("gid").cast("string").alias("base_record_id"), F.lit("grid").alias("source"))
+    return og.repeats_by_kind(rows, 4, 2, 1).select("gid", "kind", "record_id", F.col("repeat_index").cast("bigint").alias("repeat_index"), "source")
 
 
 @query("gen7_virtual_epoch", "SELECT scene, count(*) * 5 AS samples FROM @annotations GROUP BY 1")

@@ -85,9 +85,21 @@ def first_non_empty(t: Tables) -> DataFrame:
     return t.runs.select("run_id", N.first_non_empty(F.col("run_status"), F.when(F.col("run_id") % 3 != 0, F.lit("unknown")), F.lit("none")).alias("status"))
 
 
-@query("fn16_masked_secrets", "SELECT doc_id, regexp_replace(text, '((?:password|passwd|token|secret|api_?key|access_?key)\\w*\\s*[=:]\\s*)[^\\s,;]+', '\\1***', 'gi') AS text FROM @documents")
+_KNOWN = {"API_TOKEN": "tok-12345", "SHORT_TOKEN": "abc", "REGION": "north"}
+
+
+@query(
+    "fn16_masked_secrets",
+    """SELECT event_id, '{"id":' || CAST(event_id AS VARCHAR) || ',"db":{"DB_Password":"***","host":"' || stage || '"},"items":[{"api_token":"***","n":' || CAST(tile AS VARCHAR) || '}],"aws_secret_access_key":"***"}' AS settings,
+    stage || ' used *** in north with abc' AS note FROM @messages""",
+)
 def masked_secrets(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", N.mask_secrets(F.col("text")).alias("text"))
+    """Settings of any depth by their keys, and free text by known values."""
+    db = F.struct(F.col("value").alias("DB_Password"), F.col("stage").alias("host"))
+    items = F.array(F.struct(F.col("stage").alias("api_token"), F.col("tile").alias("n")))
+    settings = F.to_json(F.struct(F.col("event_id").alias("id"), db.alias("db"), items.alias("items"), F.array(F.col("bytes")).alias("aws_secret_access_key")))
+    note = F.concat("stage", F.lit(" used tok-12345 in north with abc"))
+    return t.messages.select("event_id", N.mask_secrets(settings).alias("settings"), N.mask_text(note, _KNOWN).alias("note"))
 
 
 _RUN_TEXT = "CASE p_partkey % 4 WHEN 0 THEN p_name || ' (new) #1' WHEN 1 THEN replace(p_name, ' ', '.') WHEN 2 THEN repeat(p_name || '-', 9) ELSE '' END"
@@ -124,10 +136,27 @@ def metric_filter(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.expr(_METRIC).alias("name")).filter(~N.excluded_metric(F.col("name")))
 
 
-@query("fn4_scene_of_properties", "SELECT image, coalesce(nullif(CASE WHEN image % 3 = 0 THEN '' ELSE NULL END, ''), nullif(regexp_extract(key, '[^/]*\\.tif', 0), ''), list_last(string_split(key, '/'))) AS scene FROM @images")
+#: Properties of an image's feature, in another order than they are looked at.
+_PROPERTIES = {
+    "src": "CASE WHEN image % 7 < 5 THEN key END",
+    "file": "CASE WHEN image % 3 = 0 THEN replace(key, '/', chr(92)) || chr(92) END",
+    "image_name": "CASE WHEN image % 4 = 1 THEN 'see ' || key || '; more' END",
+    "scene": "CASE image % 5 WHEN 0 THEN '  ' WHEN 1 THEN '\"' || key || '\"' END",
+    "comment": "key",
+}
+
+
+def _named_scene(x: str) -> str:
+    inside = f"regexp_extract(trim({x}), '([^\\\\/\\s;,\"]+\\.(?:tif|tiff))', 1, 'i')"
+    whole = f"CASE WHEN {inside} <> '' THEN {inside} ELSE trim({x}) END"
+    return f"nullif(list_last(string_split(rtrim(replace(trim(trim({whole}, '\"'), ''''), chr(92), '/'), '/'), '/')), '')"
+
+
+@query("fn4_scene_of_properties", f"SELECT image, coalesce({', '.join(_named_scene(_PROPERTIES[k]) for k in ('scene', 'image_name', 'file', 'src'))}) AS scene FROM @images")
 def scene_of_properties(t: Tables) -> DataFrame:
-    blank = F.when(F.col("image") % 3 == 0, F.lit(""))
-    return t.images.select("image", N.first_non_empty(blank, F.regexp_extract("key", r"[^/]*\.tif", 0), N.base_name(F.col("key"))).alias("scene"))
+    """Which scene a feature names, among fourteen properties."""
+    properties = F.create_map(*(x for k, v in _PROPERTIES.items() for x in (F.lit(k), F.expr(v))))
+    return t.images.select("image", N.scene_of_properties(properties).alias("scene"))
 
 
 @query("src6_crs_of_geojson", "SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'EPSG:' || CAST(32600 + c_custkey % 60 AS VARCHAR) WHEN 1 THEN 'EPSG:4326' END AS crs FROM @customer")
@@ -138,19 +167,19 @@ def crs_of_geojson(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", epsg_code(F.get_json_object(text, "$.crs.properties.name")).alias("crs"))
 
 
-_ALIASES = (("small", "compact"), ("red", "warm"), ("blue", "cold"), ("green", "warm2"))
+_CLASS_TEXTS = ("Forest-Boundaries 2024", "lake", "Озера", "КАРЬЕРЫ юг", "fir", "la", "arable land", "", "Wind Erosion zone", "obval-opolz", "burned area", "salty", "гари", "road", "deforestation", "forest", "Пашни")
+_CLASS_TEXT = f"CASE p_partkey % {len(_CLASS_TEXTS) + 2} " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_CLASS_TEXTS)) + f" WHEN {len(_CLASS_TEXTS)} THEN p_name END"
+_CLASS_NAMES = ", ".join(f"({k}, '{name.lower().replace('-', '_').replace(' ', '_')}', '{slug}')" for k, (names, slug) in enumerate(N.CLASSES) for name in names)
 
 
 @query(
     "fn6_class_slug",
-    "WITH a AS (SELECT * FROM (VALUES (0, 'small', 'compact'), (1, 'red', 'warm'), (2, 'blue', 'cold'), (3, 'green', 'warm2')) v(k, alias, slug)) "
-    "SELECT p_partkey, (SELECT arg_min(slug, k) FROM a WHERE contains(p_name, alias) OR (len(p_name) >= 4 AND contains(alias, p_name))) AS slug FROM @part",
+    f"""WITH a AS (SELECT * FROM (VALUES {_CLASS_NAMES}) v(k, name, slug)), p AS (SELECT p_partkey, replace(replace(lower({_CLASS_TEXT}), '-', '_'), ' ', '_') AS x FROM @part)
+    SELECT p_partkey, (SELECT arg_min(slug, k) FROM a WHERE x <> '' AND (name = x OR (NOT (len(name) < 4 AND len(x) < 4) AND (contains(x, name) OR contains(name, x))))) AS slug FROM p""",
 )
 def class_slug(t: Tables) -> DataFrame:
-    """The first alias that is in the text or has the text in it; few aliases, so a conditional expression."""
-    name = F.col("p_name")
-    rungs = [F.when(name.contains(a) | ((F.char_length(name) >= 4) & F.lit(a).contains(name)), F.lit(s)) for a, s in _ALIASES]
-    return t.part.select("p_partkey", F.coalesce(*rungs).alias("slug"))
+    """The class that a text names; few classes, so a conditional expression."""
+    return t.part.select("p_partkey", N.class_slug(F.expr(_CLASS_TEXT)).alias("slug"))
 
 
 def _last(x: str) -> str:

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions.geometry import box
 from ..functions.names import first_non_empty
+from ..functions.metrics import progress_percent, stage_fraction
 from ..operators.scene_match import flatten_json
+from ..operators.scene_match import scene_score as scene_rungs
 from ..sources import readers as rd
 from ..sources import writers as wr
 from ..streaming import operators as st
 from .grids import _DEPS, dependencies
-from .matching import norm
+from .matching import norm, signature
 from .registry import query
 from .views import Tables
 
@@ -27,9 +29,24 @@ def message_ids(t: Tables) -> DataFrame:
     return t.messages.select("event_id", st.message_id(F.col("scene"), tile, F.col("stage")).alias("message_id"))
 
 
-@query("st1_queue_topology", "SELECT stage, count(*) AS messages, count(DISTINCT scene) AS scenes, min(ts) AS first_ts, max(ts) AS last_ts FROM @messages GROUP BY 1")
+_QUEUES = "[" + ", ".join(f"'{q}'" for q in st.QUEUES) + "]"
+
+
+@query(
+    "st1_queue_topology",
+    f"""WITH m AS (SELECT {_QUEUES}[CAST(event_id % 12 AS INT) + 1] AS q, (SELECT max(epoch_us(ts)) FROM @messages) - epoch_us(ts) > 604800000000 AS old FROM @messages),
+    r AS (SELECT CASE WHEN old THEN 'ie.dead_letter' ELSE q END AS queue, old AND q <> 'ie.dead_letter' AS moved FROM m)
+    SELECT u.queue, count(r.queue) AS messages, count(*) FILTER (moved) AS expired, CAST(CASE WHEN u.queue <> 'ie.dead_letter' THEN 604800 END AS BIGINT) AS ttl_sec FROM (SELECT unnest({_QUEUES}) AS queue) u LEFT JOIN r ON r.queue = u.queue GROUP BY 1""",
+)
 def queue_topology(t: Tables) -> DataFrame:
-    return t.messages.groupBy("stage").agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("scene").alias("scenes"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    """All queues with what is in them at the time of the last message: expired messages are in the dead-letter queue."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = t.messages.select(F.get(F.array(*(F.lit(q) for q in st.QUEUES)), (F.col("event_id") % 12).cast("int")).alias("queue"), us.alias("us"))
+    age = (F.col("now") - F.col("us")) / 1_000_000
+    held = rows.join(F.broadcast(rows.agg(F.max("us").alias("now")))).withColumn("to", st.dead_lettered(F.col("queue"), age))
+    n = held.groupBy(F.col("to").alias("queue")).agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col("to") != F.col("queue")).alias("expired"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return st.topology(t.spark).join(n, "queue", "left").select("queue", zero("messages"), zero("expired"), "ttl_sec")
 
 
 @query("st3_deduplicated", "SELECT scene, tile, stage, min(event_id) AS event_id FROM @messages GROUP BY 1, 2, 3")
@@ -135,8 +152,8 @@ def staleness(t: Tables) -> DataFrame:
     return t.messages.groupBy("scene").agg(F.max(us).alias("last")).join(F.broadcast(now)).select("scene", (F.col("now") - F.col("last") > 600_000_000).alias("stale"))
 
 
-def _drained(t: Tables, make) -> DataFrame:
-    """Runs a stream over the events file until it is read, and gives what came out."""
+def _drained(t: Tables, make, form: str = "parquet", runs: int = 1) -> DataFrame:
+    """Runs a stream over the events file until it is read (and starts it anew, if so asked), and gives what came out."""
     spark = t.spark
     source = f"{t.sf_dir}/events.parquet"
     schema = t.events.schema
@@ -144,9 +161,10 @@ def _drained(t: Tables, make) -> DataFrame:
     folder, _, name = source.rpartition("/")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name if not t.events.inputFiles()[0].rpartition("/")[0].endswith(name) else "*").parquet(folder if not t.events.inputFiles()[0].rpartition("/")[0].endswith(name) else source)
     out = make(st.event_time(stream))
-    q = out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{base}/out")
+    for _ in range(runs):
+        q = out.writeStream.format(form).option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    return spark.read.schema(out.schema).format(form).load(f"{base}/out")
 
 
 @query("st3_stream_deduplicated", "SELECT DISTINCT CAST(user_id AS VARCHAR) || '/' || event_type || '/' || CAST(event_id // 2 AS VARCHAR) AS message_id FROM @events")
@@ -280,10 +298,12 @@ def flattened_json(t: Tables) -> DataFrame:
 
 @query("snk3_geojson_rows", "SELECT gid, x0 AS lon, y1 AS lat FROM @annotations")
 def geojson_rows(t: Tables) -> DataFrame:
-    """A feature's text, and two of its coordinates read back from it."""
-    rows = t.annotations.select("gid", wr.geojson_feature(box(), ["gid"]).alias("f"))
-    at = lambda p: F.get_json_object("f", p).cast("double").cast("bigint")
-    return rows.select("gid", at("$.geometry.coordinates[0][0][0]").alias("lon"), at("$.geometry.coordinates[0][2][1]").alias("lat"))
+    """Collections of one feature written as gzipped text, and two coordinates read back from it."""
+    path = _shared(t, "features")
+    features = t.annotations.select("gid", F.array(wr.geojson_feature(box(), ["gid"])).alias("features"))
+    wr.write_geojson_gz(features.select(wr.feature_collection(F.concat(F.lit("object_"), F.col("gid").cast("string")), F.col("features"), 3857).alias("text")), path)
+    at = lambda p: F.get_json_object("value", "$.features[0]." + p).cast("double").cast("bigint")
+    return t.spark.read.text(path).select(at("properties.gid").alias("gid"), at("geometry.coordinates[0][0][0]").alias("lon"), at("geometry.coordinates[0][2][1]").alias("lat"))
 
 
 @query("snk6_not_committed", "SELECT doc_id FROM @documents WHERE doc_id % 3 <> 0")
@@ -299,9 +319,21 @@ def history_columns(t: Tables) -> DataFrame:
     return t.messages.groupBy("scene").agg(F.array_join(F.sort_array(F.collect_set("stage")), ",").alias("columns"))
 
 
-@query("snk7_event_log", "SELECT event_id, '{\"job_id\":' || CAST(scene AS VARCHAR) || ',\"type\":\"' || stage || '\"}' AS line FROM @messages")
+@query("snk2_history_csv", "SELECT epochs_completed AS epoch, pixel_f1, CAST(run_id AS DOUBLE) AS run_id, CASE WHEN run_id % 2 = 0 THEN CAST(dataset_scenes AS DOUBLE) END AS train_scenes FROM @runs")
+def history_csv(t: Tables) -> DataFrame:
+    """Rows of metrics with different names as CSV with the sorted union of the names, read again."""
+    entries = [("run_id", F.col("run_id")), ("train_scenes", F.when(F.col("run_id") % 2 == 0, F.col("dataset_scenes"))), ("epoch", F.col("epochs_completed")), ("pixel_f1", F.col("pixel_f1"))]
+    metrics = F.map_filter(F.create_map(*(x for k, v in entries for x in (F.lit(k), v.cast("double")))), lambda k, v: v.isNotNull())
+    path = _shared(t, "history")
+    names = wr.write_history(t.runs.select(metrics.alias("metrics")), "metrics", path)
+    return t.spark.read.schema(", ".join(f"`{c}` double" for c in names)).option("header", True).csv(path)
+
+
+@query("snk7_event_log", "SELECT user_id AS job_id, '{\"event_id\":' || CAST(event_id AS VARCHAR) || '}' AS payload, epoch_us(ts) AS ts_us, event_type AS type FROM @events")
 def event_log(t: Tables) -> DataFrame:
-    return t.messages.select("event_id", F.to_json(F.struct(F.col("scene").alias("job_id"), F.col("stage").alias("type"))).alias("line"))
+    """Events appended as lines of JSON by a stream, with sorted keys; a restart appends none twice."""
+    line = lambda s: s.select(F.col("user_id").alias("job_id"), F.to_json(F.struct("event_id")).alias("payload"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), F.col("event_type").alias("type"))
+    return _drained(t, line, "json", runs=2)
 
 
 @query("jn5_first_property_match", f"WITH k AS (SELECT {norm('key')} AS name, min(image) AS image FROM @images GROUP BY 1) SELECT i.image, k.image AS scene FROM @images i JOIN k ON k.name = {norm('i.key')}")
@@ -367,16 +399,42 @@ def params_summary(t: Tables) -> DataFrame:
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(F.slice(pieces, 1, 6), ", ").alias("params"))
 
 
-@query("fn31_progress", "SELECT scene, CAST(round_even(100.0 * sum(CASE stage WHEN 'purchase' THEN 5 WHEN 'signup' THEN 3 WHEN 'view' THEN 2 ELSE 1 END * (bytes > 3000)::INT) / sum(CASE stage WHEN 'purchase' THEN 5 WHEN 'signup' THEN 3 WHEN 'view' THEN 2 ELSE 1 END), 0) AS BIGINT) AS percent FROM @messages GROUP BY 1")
+_RUN_STAGES = ("prepare_dataset", "train_model", "predict_validation_scenes", "vectorize_validation_predictions", "compute_f1", "report")
+_STAGE_PAYLOAD = """CASE run_id % 5 WHEN 0 THEN map('progress', '0.4') WHEN 1 THEN map('progress_fraction', '7') WHEN 2 THEN map('progress_percent', '25')
+    WHEN 3 THEN map('fraction', 'soon', 'progress_percent', '50') END"""
+
+
+@query(
+    "fn31_progress",
+    """WITH s AS (SELECT run_id, k, CASE k WHEN 1 THEN 5 WHEN 2 THEN 3 WHEN 3 THEN 2 WHEN 4 THEN 2 ELSE 1 END AS w, CASE run_id % 5 WHEN 0 THEN 0.4 WHEN 1 THEN 1 WHEN 2 THEN 0.25 ELSE 0 END AS part
+        FROM @runs, unnest(range(6)) AS u(k))
+    SELECT run_id, CAST(round_even(100 * CAST(sum(CASE WHEN k < run_id % 7 THEN w WHEN k = run_id % 7 THEN w * part ELSE 0 END) AS DOUBLE) / 14, 0) AS INT) AS percent FROM s GROUP BY 1""",
+)
 def progress(t: Tables) -> DataFrame:
-    """Percent done, stages weighted, rounded half to even."""
-    w = F.when(F.col("stage") == "purchase", 5).when(F.col("stage") == "signup", 3).when(F.col("stage") == "view", 2).otherwise(1)
-    return t.messages.groupBy("scene").agg(F.rint(F.sum(w * (F.col("bytes") > 3000).cast("int")) * F.lit(100.0) / F.sum(w)).cast("bigint").alias("percent"))
+    """Percent of a run that is done: finished stages, and the one that it is in by its own account."""
+    stages = F.posexplode(F.array(*(F.lit(s) for s in _RUN_STAGES))).alias("k", "stage")
+    rows = t.runs.select("run_id", F.expr(_STAGE_PAYLOAD).alias("payload"), stages).withColumn("at", F.col("run_id") % 7)
+    current = F.when(F.col("k") == F.col("at"), stage_fraction(F.col("payload"))).otherwise(0.0)
+    return rows.groupBy("run_id").agg(progress_percent(F.col("stage"), F.col("k") < F.col("at"), current).alias("percent"))
+
 
+_WARNINGS = ("12 TIFF/TIF images are available but not selected by scenes_file: a", "geometry fallback used with annotation CRS urn:ogc:def:crs:EPSG::3857", "geometry fallback used with annotation CRS local",
+             "3 scenes have zero objects", "no 3 scenes have zero objects", "5 scenes from scenes_file were not matched", "No scenes were matched", "/etc/pipeline.server.yaml not found", "")
+_WARNING = f"CASE event_id % {len(_WARNINGS) + 1} " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_WARNINGS)) + " END"
 
-@query("fn34_warning_classes", "SELECT event_id, CASE WHEN stage = 'error' THEN 'failure' WHEN regexp_matches(stage, 'click|view') THEN 'notice' ELSE 'other' END AS kind FROM @messages")
+
+@query(
+    "fn34_warning_classes",
+    f"""SELECT event_id, CASE WHEN regexp_matches(m, '^\\d+ TIFF/TIF images are available but not selected by scenes_file|^geometry fallback used with annotation CRS .+$|^\\d+ scenes have zero objects') THEN 'info' ELSE 'warning' END AS kind,
+    CASE WHEN regexp_matches(m, '^\\d+ TIFF/TIF images are available') THEN 'not_selected' WHEN regexp_matches(m, '^geometry fallback used with') THEN 'geometry_fallback' WHEN regexp_matches(m, '^\\d+ scenes have zero') THEN 'zero_objects' ELSE 'other' END AS code,
+    CASE WHEN m LIKE 'geometry%EPSG::3857' THEN 'EPSG:3857' WHEN m LIKE 'geometry%' THEN 'local' WHEN m LIKE '12 TIFF%' THEN '12' WHEN m LIKE '3 scenes%' THEN '3' ELSE m END AS value,
+    CASE WHEN m = '' THEN NULL WHEN m LIKE '%pipeline.server.yaml not found%' THEN 'config_missing' WHEN m LIKE '%No scenes were matched%' THEN 'no_scenes' WHEN m LIKE '5 scenes from%' THEN 'scenes_unmatched' WHEN m IS NOT NULL THEN 'technical' END AS error
+    FROM (SELECT event_id, {_WARNING} AS m FROM @messages) w""",
+)
 def warning_classes(t: Tables) -> DataFrame:
-    return t.messages.select("event_id", F.when(F.col("stage") == "error", "failure").when(F.col("stage").rlike("click|view"), "notice").otherwise("other").alias("kind"))
+    """What a message is as a warning, and as an error; the words to show for a class are the report's."""
+    rows = t.messages.select("event_id", F.expr(_WARNING).alias("m")).select("event_id", N.warning_class(F.col("m")).alias("w"), N.error_class(F.col("m")).alias("e"))
+    return rows.select("event_id", "w.kind", "w.code", "w.value", F.col("e.code").alias("error"))
 
 
 @query("wn6_best_two", "SELECT scene, max(bytes) AS best, list_sort(list(bytes), 'DESC')[2] AS second FROM @messages GROUP BY 1")
@@ -438,13 +496,39 @@ def presets(t: Tables) -> DataFrame:
 
 @query("fn3_scene_score")
 def scene_score(t: Tables) -> DataFrame:
-    """No twin: the likeness of each image's normalized name with the next one's."""
-    from ..functions.names import norm_scene_name
-    from ..operators.scene_match import likeness
-
-    names = t.images.select("image", norm_scene_name(F.col("key")).alias("a"))
+    """No twin, as of likeness: score and reason of each image's normalized name with the next one's."""
+    names = t.images.select("image", N.norm_scene_name(F.col("key")).alias("a"))
     other = names.select((F.col("image") - 1).alias("image"), F.col("a").alias("b"))
-    return names.join(other, "image").select("image", F.round(likeness("a", "b"), 6).alias("score"), first_non_empty(F.col("a"), F.lit("?")).alias("name"))
+    told = names.join(other, "image").withColumn("s", scene_rungs(F.col("a"), F.col("b")))
+    return told.select("image", F.round("s.score", 6).alias("score"), "s.reason", first_non_empty(F.col("a"), F.lit("?")).alias("name"))
+
+
+_ASKED = "CASE image % 5 WHEN 0 THEN upper(key) WHEN 1 THEN '???' WHEN 2 THEN 'long_prefix_of_sixteen_' || {name} WHEN 3 THEN replace(key, 'scn', 'part_scn0') ELSE 'other.tif' END"
+
+
+@query(
+    "fn3_scene_score_rungs",
+    f"""WITH n AS (SELECT image, {norm('asked')} AS needle, name FROM (SELECT image, {_ASKED.format(name='name')} AS asked, name FROM (SELECT image, key, {norm('key')} AS name FROM @images) i) j),
+    r AS (SELECT *, CASE WHEN needle = '' OR name = '' THEN 'empty' WHEN needle = name THEN 'normalized_exact' WHEN {signature('needle')} = {signature('name')} THEN 'kanopus_datetime_scn_signature'
+        WHEN len(needle) >= 16 AND (contains(name, needle) OR contains(needle, name)) THEN 'normalized_substring' ELSE 'sequence_ratio' END AS reason FROM n)
+    SELECT image, reason, CAST(CASE reason WHEN 'empty' THEN 0.0 WHEN 'normalized_exact' THEN 1.0 WHEN 'kanopus_datetime_scn_signature' THEN 0.995 WHEN 'normalized_substring' THEN 0.98 END AS DOUBLE) AS score FROM r""",
+)
+def scene_score_rungs(t: Tables) -> DataFrame:
+    """All rungs on names in other spellings; the score of the last one, likeness, is left out for the twin."""
+    rows = t.images.withColumn("name", N.norm_scene_name(F.col("key"))).withColumn("asked", F.expr(_ASKED.format(name="name")))
+    told = rows.select("image", scene_rungs(N.norm_scene_name(F.col("asked")), F.col("name")).alias("s"))
+    return told.select("image", "s.reason", F.when(F.col("s.reason") != "sequence_ratio", F.col("s.score")).alias("score"))
+
+
+@query("src9_probability_artifacts", "SELECT CAST(scene AS VARCHAR) || '/' || CAST(y AS VARCHAR) AS key, CAST(0 AS BIGINT) AS y, row_number() OVER (PARTITION BY scene, o.y ORDER BY o.x, obs) - 1 AS x, prob8 AS value FROM @observations o")
+def probability_artifacts(t: Tables) -> DataFrame:
+    """Rows of pixels as arrays of bytes in npy form, read back as probabilities."""
+    rows = t.observations.groupBy("scene", "y").agg(F.array_sort(F.collect_list(F.struct("x", "obs", "prob8"))).alias("row"))
+    shape = F.concat(F.lit("{'descr': '|u1', 'fortran_order': False, 'shape': (1, "), F.size("row").cast("string"), F.lit("), }"))
+    head = F.concat(F.lit("934E554D5059" + "0100" + "7600"), F.hex(F.rpad(shape, 117, " ")), F.lit("0A"))  # mark, version, length 118
+    content = F.unhex(F.concat(head, F.array_join(F.transform("row", lambda r: F.lpad(F.hex(r["prob8"]), 2, "0")), "")))
+    pixels = rd.probability_pixels(rows.select(F.concat_ws("/", "scene", "y").alias("key"), content.alias("content")))
+    return pixels.select("key", "y", "x", F.rint(F.col("prob") * 255).cast("int").alias("value"))
 
 
 @query("so10_simplified")

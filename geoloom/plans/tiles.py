@@ -274,11 +274,11 @@ def percentile_stretch(t: Tables) -> DataFrame:
     return rows.select("obs", F.round(F.when(F.col("low").isNotNull(), v), 9).alias("v"))
 
 
-@query("fn29_scene_statistics", "SELECT scene, round(quantile_cont(prob8, 0.02), 9) AS p2, round(quantile_cont(prob8, 0.98), 9) AS p98 FROM @observations WHERE x % 2 = 0 AND y % 2 = 0 GROUP BY 1")
+@query("fn29_scene_statistics", f"WITH {_STATS} SELECT scene, round(CASE WHEN n < 16 THEN 0 ELSE lo END, 9) AS p2, round(CASE WHEN n < 16 THEN 1 WHEN hi <= lo THEN lo + 1 ELSE hi END, 9) AS p98 FROM stats")
 def scene_statistics(t: Tables) -> DataFrame:
-    """Percentiles on every second row and column: the reduced image is what the operator is for."""
-    rows = t.observations.filter("x % 2 = 0 and y % 2 = 0").groupBy("scene")
-    return rows.agg(F.round(F.percentile("prob8", F.lit(0.02)), 9).alias("p2"), F.round(F.percentile("prob8", F.lit(0.98)), 9).alias("p98"))
+    """Percentiles of scenes, which are read whole here, as they are under 1024 pixels wide and high."""
+    rows = R.scene_statistics(t.observations.select("scene", "y", "x", F.col("prob8").alias("value")), t.scenes)
+    return rows.select("scene", F.round("low", 9).alias("p2"), F.round("high", 9).alias("p98"))
 
 
 @query("rg12_band_percentiles", "WITH h AS (SELECT tile, prob8, count(*) AS n FROM @observations GROUP BY 1, 2), c AS (SELECT tile, prob8, sum(n) OVER (PARTITION BY tile ORDER BY prob8) AS upto, sum(n) OVER (PARTITION BY tile) AS total FROM h) SELECT tile, min(CASE WHEN upto * 100 >= total * 2 THEN prob8 END) AS p2, min(CASE WHEN upto * 100 >= total * 98 THEN prob8 END) AS p98 FROM c GROUP BY 1")
@@ -342,6 +342,25 @@ def valid_mask(t: Tables) -> DataFrame:
     return t.observations.groupBy("scene", "y", "x").agg(F.bool_or(on).alias("any_band"), F.bool_and(on).alias("all_bands"))
 
 
+@query(
+    "rg1_valid_mask_auto",
+    """WITH m AS (SELECT scene, y, x, scene % 3 <> 0 OR bool_or(truth <> 255) AS d, CASE WHEN scene % 3 = 1 THEN bool_or(tile = 2 AND prob8 > 0) END AS a,
+        NOT bool_and(prob8 // 32 = 1) AS n, bool_or(prob8 // 32 <> 0) AS z FROM @observations GROUP BY 1, 2, 3),
+    s AS (SELECT scene, CASE WHEN bool_or(d) AND NOT bool_and(d) THEN 'dataset_mask' WHEN bool_or(a) AND NOT bool_and(a) THEN 'alpha' WHEN bool_or(n) AND NOT bool_and(n) THEN 'nodata'
+        WHEN bool_or(z) THEN 'nonzero_any' ELSE 'dataset_mask' END AS source FROM m GROUP BY 1)
+    SELECT scene, y, x, CASE source WHEN 'dataset_mask' THEN d WHEN 'alpha' THEN a WHEN 'nodata' THEN n ELSE z END AS valid, source FROM m JOIN s USING (scene)""",
+)
+def valid_mask_auto(t: Tables) -> DataFrame:
+    """Tiles stand for bands here: the second is alpha in every third scene; some scenes have a mask of their own; 1 is no data."""
+    band = F.expr("prob8 div 32")
+    pixels = t.observations.groupBy("scene", "y", "x").agg(
+        ((F.col("scene") % 3 != 0) | F.bool_or(F.col("truth") != M.IGNORE)).alias("dataset_mask"),
+        F.when(F.col("scene") % 3 == 1, F.bool_or((F.col("tile") == 2) & (F.col("prob8") > 0))).alias("alpha"),
+        (~F.bool_and(band == 1)).alias("nodata"), F.bool_or(band != 0).alias("nonzero_any"), F.bool_and(band != 0).alias("nonzero_all"),
+    )
+    return R.valid_mask(pixels, ["scene"])
+
+
 @query("rg2_footprint_state", "SELECT scene, CASE WHEN max(prob8) < 32 THEN 'empty' WHEN min(prob8) >= 32 THEN 'full' ELSE 'partial' END AS state, min(CASE WHEN prob8 >= 32 THEN x END) AS x0, max(CASE WHEN prob8 >= 32 THEN x END) + 1 AS x1 FROM @observations GROUP BY 1")
 def footprint_state(t: Tables) -> DataFrame:
     on = F.col("prob8") >= 32

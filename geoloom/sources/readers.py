@@ -58,20 +58,27 @@ def manifest_scenes(manifests: DataFrame, id_col: str, json_col: str) -> DataFra
     return rows.select("id", "idx", F.col("s.scene_id").alias("scene"), uri.alias("uri"))
 
 
-def probability_artifacts(spark: SparkSession, path: str, glob: str = "*.np[yz]") -> DataFrame:
-    """(key, y, x, prob) of array files; of archives the array prob_uint8, else prob, else the first. Bytes are read back as n / 255."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+def probability_artifacts(spark: SparkSession, path: str, glob: str = "*.np[yz]", band: str | None = None) -> DataFrame:
+    """probability_pixels() of array files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return probability_pixels(files.select(F.col("path").alias("key"), "content"), band)
+
+
+def probability_pixels(arrays: DataFrame, band: str | None = None) -> DataFrame:
+    """(key, y, x, prob) of arrays (key, content) in npy or npz form; of archives `band`, else prob_uint8, else prob, else the first. Bytes are read back as n / 255."""
+    wanted = [b for b in (band, "prob_uint8", "prob") if b]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
         for frame in frames:
-            for key, content in zip(frame["path"], frame["content"], strict=True):
-                a = np.load(io.BytesIO(content), allow_pickle=False)
+            for key, content in zip(frame["key"], frame["content"], strict=True):
+                a, name = np.load(io.BytesIO(content), allow_pickle=False), None
                 if hasattr(a, "files"):
-                    a = a[next((k for k in ("prob_uint8", "prob") if k in a.files), a.files[0])]
-                p = a.astype("float32") / 255 if a.dtype == np.uint8 else a.astype("float32")
+                    name = next((k for k in wanted if k in a.files), a.files[0])
+                    a = a[name]
+                p = a.astype("float32") / 255 if name == "prob_uint8" or a.dtype == np.uint8 else a.astype("float32")
                 y, x = np.indices(p.shape)
                 yield pd.DataFrame({"key": key, "y": y.ravel().astype("int64"), "x": x.ravel().astype("int64"), "prob": p.ravel()})
 
-    return files.mapInPandas(run, "key string, y bigint, x bigint, prob float")
+    return arrays.select("key", "content").mapInPandas(run, "key string, y bigint, x bigint, prob float")

@@ -28,6 +28,31 @@ def geojson_feature(b: tuple[Column, Column, Column, Column], properties: list[s
     return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry")))
 
 
+def feature_collection(name: Column, features: Column, epsg: int) -> Column:
+    """The text of a collection with a name and a reference system, of an array of features' texts."""
+    named = F.to_json(F.struct(name.alias("name")))
+    head = F.concat(F.lit('{"type":"FeatureCollection",'), F.substring(named, F.lit(2), F.char_length(named) - 2), F.lit(f',"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{epsg}"}}}},"features":['))
+    return F.concat(head, F.array_join(features, ","), F.lit("]}"))
+
+
+def write_geojson_gz(texts: DataFrame, path: str) -> None:
+    """Gzipped text, one collection (text) to a line."""
+    texts.select("text").write.mode("overwrite").option("compression", "gzip").text(path)
+
+
+#: A history has no more columns than this; with more, write_history stops.
+MOST_METRICS = 10_000
+
+
+def write_history(rows: DataFrame, metrics: str, path: str) -> list[str]:
+    """Writes rows of a map of metrics as CSV and returns its columns: the sorted union of the maps' keys. What a row lacks is empty."""
+    names = sorted(r[0] for r in rows.select(F.explode(F.map_keys(metrics))).distinct().limit(MOST_METRICS + 1).collect())
+    if len(names) > MOST_METRICS:
+        raise ValueError(f"more than {MOST_METRICS} metrics")
+    rows.select(*(F.col(metrics)[k].alias(k) for k in names)).write.mode("overwrite").option("header", True).csv(path)
+    return names
+
+
 def with_checksum(df: DataFrame, content: str) -> DataFrame:
     return df.withColumn("sha256", F.sha2(F.col(content).cast("binary"), 256))
 

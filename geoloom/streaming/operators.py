@@ -9,11 +9,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+#: The queues, the seconds that a message may wait in one, and where it goes then. Only the dead-letter queue keeps messages for ever.
+QUEUES = (
+    "ie.jobs.submit", "ie.scene.plan", "ie.tile.preprocess", "ie.tile.infer", "ie.tile.done", "ie.block.ready", "ie.block.vectorize", "ie.block.done",
+    "ie.scene.merge", "ie.job.finalize", "ie.events", "ie.dead_letter",
+)
+DEAD_LETTER, QUEUE_TTL = "ie.dead_letter", 7 * 24 * 60 * 60
+
+
+def topology(spark: SparkSession) -> DataFrame:
+    """(queue, durable, ttl_sec, dead_letter) of all queues."""
+    rows = [(q, True, None if q == DEAD_LETTER else QUEUE_TTL, None if q == DEAD_LETTER else DEAD_LETTER) for q in QUEUES]
+    return spark.createDataFrame(rows, "queue string, durable boolean, ttl_sec bigint, dead_letter string")
+
+
+def dead_lettered(queue: Column, age: Column) -> Column:
+    """Where a message of so many seconds is: in its queue, or in the dead-letter queue once it has waited too long."""
+    return F.when(age > QUEUE_TTL, F.lit(DEAD_LETTER)).otherwise(queue)
+
+
 def message_id(*parts: Column) -> Column:
     """Non-empty parts joined by slashes."""
     return F.array_join(F.filter(F.array(*(p.cast("string") for p in parts)), lambda p: p.isNotNull() & (p != "")), "/")

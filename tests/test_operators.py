@@ -409,3 +409,52 @@ def test_dataset_limit_and_invariant(spark):
     states = spark.createDataFrame([(3, 3, 3, None), (3, 4, 3, None), (3, 3, 2, None), (3, 3, 2, 2)], "m int, l int, s int, v int")
     told = [r[0][:20] for r in states.select(input_invariant(F.col("m"), F.col("l"), F.col("s"), F.col("v"))).collect()]
     assert told == ["OK", "FAILED: inventory ma", "FAILED: selected sce", "OK with explicit lim"]
+
+
+def test_scene_statistics_equal_reduced_image(spark):
+    np = pytest.importorskip("numpy")
+    random.seed(5)
+    w, h, most = 150, 90, 64
+    a = np.array([[random.choice([0, 0, *range(1, 200)]) for _ in range(w)] for _ in range(h)])
+    rows = [(1, y, x, int(a[y, x])) for y in range(h) for x in range(w)] + [(2, 0, x, 7) for x in range(15)] + [(3, 0, x, 7) for x in range(16)]
+    pixels = spark.createDataFrame(rows, "scene bigint, y bigint, x bigint, value int")
+    scenes = spark.createDataFrame([(1, w, h), (2, 20, 1), (3, 20, 1)], "scene bigint, w bigint, h bigint")
+    got = {r.scene: (r.low, r.high) for r in R.scene_statistics(pixels, scenes, most).collect()}
+    scale = w / most
+    nh, nw = round(h / scale), round(w / scale)
+    small = a[[int((k + 0.5) * h / nh) for k in range(nh)]][:, [int((k + 0.5) * w / nw) for k in range(nw)]]
+    assert got[1] == pytest.approx(tuple(np.percentile(small[small != 0], [2, 98])))
+    assert got[2] == (0, 1) and got[3] == (7, 8)
+
+
+def test_valid_mask_ladder(spark):
+    row = "w bigint, y bigint, x bigint, dataset_mask boolean, alpha boolean, nodata boolean, nonzero_any boolean, nonzero_all boolean"
+    masks = {1: [(True, None, True, True, True), (False, None, True, True, True)], 2: [(True, True, True, True, True), (True, False, True, True, True)], 3: [(True, None, True, True, True), (True, None, False, True, False)],
+             4: [(True, None, None, True, False), (True, None, None, False, False)], 5: [(True, None, None, False, False)] * 2, 6: [(None, None, None, False, False)] * 2}
+    pixels = spark.createDataFrame([(w, 0, x, *m) for w, ms in masks.items() for x, m in enumerate(ms)], row)
+    got = {(r.w, r.x): (r.source, r.valid) for r in R.valid_mask(pixels, ["w"]).collect()}
+    assert [got[w, 1] for w in range(1, 7)] == [("dataset_mask", False), ("alpha", False), ("nodata", False), ("nonzero_any", False), ("dataset_mask", True), ("empty", False)]
+    assert {r.valid for r in R.valid_mask(pixels.filter("w = 3"), ["w"], "nonzero_all").collect()} == {True, False}
+    with pytest.raises(ValueError):
+        R.valid_mask(pixels, ["w"], "other")
+
+
+def test_masked_settings(spark):
+    got = spark.createDataFrame([('{"a":{"My_Token":[1,{"b":2}]},"l":[{"x":"é","PASSWORD":null}]}',), ("no json",), (None,)], "t string").select(N.mask_secrets("t")).collect()
+    assert [r[0] for r in got] == ['{"a":{"My_Token":"***"},"l":[{"x":"é","PASSWORD":"***"}]}', None, None]
+
+
+def test_scene_score_and_properties(spark):
+    pairs = spark.createDataFrame([("scene01", "scene01"), ("", "x"), (None, "x"), ("kanopusscene2024regionseven", "scene2024"), ("abcd", "abce")], "a string, b string")
+    got = [tuple(r.s) for r in pairs.select(sm.scene_score(F.col("a"), F.col("b")).alias("s")).collect()]
+    assert got == [(1.0, "normalized_exact"), (0.0, "empty"), (0.0, "empty"), (0.98, "normalized_substring"), (0.75, "sequence_ratio")]
+    maps = spark.createDataFrame([({"src": "a/b.tif", "scene": " "},), ({"file": "see c/d.TIFF; e.tif"},), ({"image": "'x/y/'"},), ({"other": "z.tif"},), (None,)], "p map<string,string>")
+    assert [r[0] for r in maps.select(N.scene_of_properties(F.col("p"))).collect()] == ["b.tif", "d.TIF", "y", None, None]
+
+
+def test_history_and_collection(spark, tmp_path):
+    rows = spark.createDataFrame([({"b": 1.0},), ({"a": 2.0, "b": 3.0},)], "m map<string,double>")
+    assert wr.write_history(rows, "m", str(tmp_path / "h")) == ["a", "b"]
+    assert sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / "h")).collect()), key=str) == [("2.0", "3.0"), (None, "1.0")]
+    text = spark.range(1).select(wr.feature_collection(F.lit('x"y'), F.array(F.lit('{"k":1}'), F.lit('{"k":2}')), 3857)).first()[0]
+    assert json.loads(text) == {"type": "FeatureCollection", "name": 'x"y', "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": [{"k": 1}, {"k": 2}]}
