@@ -11,7 +11,9 @@ smaller id. Windows are found without pairing documents:
    stretch are sent on; larger ones are known to be repeats already.
 2. In a bucket, stretches equal to one of a smaller document are repeats as a whole. Where
    one representative has several different stretches, as at the ends of a shared passage,
-   the bytes of their first occurrences are fetched.
+   the bytes of their first occurrences are fetched. A window goes at least SIDE bytes beyond its
+   representative on one side, so only stretches that agree there with another document's can
+   share one; short hashes of these bytes leave out the rest.
 3. There, the suffixes from the representative rightwards, and from it leftwards, are sorted by
    hash-compared merge sort, with the common extensions of neighbours verified by their bytes.
    Two windows are equal exactly if they lie alike around the representative and their right
@@ -47,11 +49,15 @@ BLOCK_BYTES = 32 << 20
 #: A representative with more different stretches than this in a bucket, or so many times as many windows in
 #: them (as periodic text has), is hot: its windows are dealt one by one.
 HOT_STRETCHES, HOT_WINDOWS = 1_000, 20
+#: Half of what a window has besides its representative.
+SIDE = (WINDOW - SEED) // 2
+#: In place of a side's hash: the stretch does not go so far; its windows have different representatives.
+NO_SIDE, ANY_SIDE = 0, 0xFFFF
 #: Null ids count as larger than all others.
 NO_ID = (1 << 63) - 1
 
 #: Records are kept as columns; each is written byte plane by byte plane, which compresses well.
-RECORD = (("seed", np.uint32), ("hash", np.uint64), ("more", np.uint32), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
+RECORD = (("seed", np.uint32), ("hash", np.uint64), ("more", np.uint32), ("id", np.int64), ("at", np.uint32), ("n", np.uint32), ("left", np.uint16), ("right", np.uint16))
 REPEAT = (("hash", np.uint64), ("id", np.int64), ("at", np.uint32), ("n", np.uint32))
 REQUEST = (("bucket", np.uint32), ("seed", np.uint32), ("hot", np.uint32), *REPEAT)
 Columns = dict[str, np.ndarray]
@@ -106,19 +112,8 @@ def seed_hashes(data: bytes) -> np.ndarray:
     return mix(mix(block[: max(len(data) - SEED + 1, 0)]) ^ block[8:]) if len(data) >= SEED else np.zeros(0, np.uint64)
 
 
-def least_in_window(seeds: np.ndarray) -> np.ndarray:
-    """The least of the WINDOW - SEED + 1 hashes from every place."""
-    span, have, x = WINDOW - SEED + 1, 1, seeds
-    while have * 2 <= span:
-        x = np.minimum(x[:-have], x[have:])
-        have *= 2
-    if have < span:
-        x = np.minimum(x[: len(x) - (span - have)], x[span - have :])
-    return x
-
-
-def leftmost_least(seeds: np.ndarray) -> np.ndarray:
-    """How far from every place the leftmost of the least of its WINDOW - SEED + 1 hashes is."""
+def leftmost_least(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least of the WINDOW - SEED + 1 hashes from every place, how far the leftmost of that value is)."""
     span, have, x, at = WINDOW - SEED + 1, 1, seeds, np.zeros(len(seeds), np.int16)
     while have < span:
         step = min(have, span - have)
@@ -126,11 +121,21 @@ def leftmost_least(seeds: np.ndarray) -> np.ndarray:
         at = np.where(right < left, at[step:] + np.int16(step), at[:-step])
         x = np.minimum(left, right)
         have += step
-    return at
+    return x, at
+
+
+def side_hashes(data: bytes, place: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """A 16-bit hash of the SIDE bytes from each place; NO_SIDE where they are not there."""
+    block, out = blocks8(data), np.full(len(place), NO_SIDE, np.uint64)
+    at, value = place[there], np.zeros(int(there.sum()), np.uint64)
+    for step in sorted({*range(0, SIDE - 7, 8), SIDE - 8}):
+        value = mix(value ^ block[at + step])
+    out[there] = np.uint64(1) + value % np.uint64(ANY_SIDE - 1)
+    return out
 
 
 def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
-    """All stretches of some documents' windows: seed (the least hash, mixed), hash (of the bytes), id, at, n (windows)."""
+    """All stretches of some documents' windows: seed (the least hash, mixed), hash and more (of the bytes), id, at, n (windows), left and right (sides)."""
     parts: list[Columns] = []
     for a, b in chunks(texts):
         data = b"".join(texts[a:b])
@@ -138,7 +143,7 @@ def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
         starts = ends - [len(t) for t in texts[a:b]]
         if len(data) < WINDOW:
             continue
-        least = least_in_window(seed_hashes(data))
+        least, ahead = leftmost_least(seed_hashes(data))
         edge = np.zeros(len(data) + 2, np.int32)
         whole = ends - starts >= WINDOW
         np.add.at(edge, starts[whole], 1)
@@ -152,14 +157,19 @@ def stretches(texts: list[bytes], ids: np.ndarray) -> Columns:
         n = last - first + 1
         own = np.searchsorted(ends, first, "right")
         value, more = spans128(data, first, first + n + WINDOW - 1)
-        parts.append({"seed": mix(least[first]), "hash": value, "more": more >> np.uint64(32), "id": ids[a:b][own], "at": first - starts[own], "n": n})
-    names = ("seed", "hash", "more", "id", "at", "n")
-    kinds = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64)
+        place = first + ahead[first]
+        left = side_hashes(data, place - SIDE, place - SIDE >= first)
+        right = side_hashes(data, place + SEED, place + SEED + SIDE <= last + WINDOW)
+        left[place != last + ahead[last]] = ANY_SIDE
+        sides = {"left": left, "right": right}
+        parts.append({"seed": mix(least[first]), "hash": value, "more": more >> np.uint64(32), "id": ids[a:b][own], "at": first - starts[own], "n": n, **sides})
+    names = ("seed", "hash", "more", "id", "at", "n", "left", "right")
+    kinds = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.int64, np.uint64, np.uint64)
     return {k: np.concatenate([np.zeros(0, t), *(p[k] for p in parts)]) for k, t in zip(names, kinds, strict=True)}
 
 
-def split_repeats(s: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of (first occurrences: all in the smallest document that has the stretch; repeats), and a number per distinct stretch by place."""
+def split_repeats(s: Columns) -> tuple[np.ndarray, np.ndarray]:
+    """Places of (first occurrences: all in the smallest document that has the stretch; repeats)."""
     order = np.lexsort((s["id"], s["more"], s["hash"]))
     new = np.ones(len(order), bool)
     if len(order):
@@ -168,9 +178,27 @@ def split_repeats(s: Columns) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kind = np.cumsum(new) - 1
     smallest = s["id"][order][np.flatnonzero(new)][kind] if len(order) else s["id"]
     again = s["id"][order] > smallest
-    number = np.empty(len(order), np.int64)
-    number[order] = kind
-    return np.sort(order[~again]), np.sort(order[again]), number
+    return np.sort(order[~again]), np.sort(order[again])
+
+
+def may_share(s: Columns) -> np.ndarray:
+    """Whether each stretch may share a window with one of another document: both have a side in common with one representative."""
+
+    def several_ids(*key: np.ndarray) -> np.ndarray:
+        order = np.lexsort(key)
+        new = np.ones(len(order), bool)
+        new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in key])
+        start, ids = np.flatnonzero(new), s["id"][order]
+        out = np.empty(len(order), bool)
+        out[order] = (np.maximum.reduceat(ids, start) != np.minimum.reduceat(ids, start))[np.cumsum(new) - 1]
+        return out
+
+    if not len(s["id"]):
+        return np.zeros(0, bool)
+    out = np.isin(s["seed"], s["seed"][s["left"] == ANY_SIDE]) & several_ids(s["seed"])
+    for side in ("left", "right"):
+        out |= several_ids(s[side], s["seed"]) & (s[side] != NO_SIDE)
+    return out
 
 
 def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.ndarray) -> Columns:
@@ -189,7 +217,7 @@ def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.nda
     offset = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
     # the leftmost place of the representative in each window
     begin = start[stretch] + offset
-    anchor = leftmost_least(seeds)[begin]
+    anchor = leftmost_least(seeds)[1][begin]
     place = begin + anchor
     items, item = np.unique(place, return_inverse=True)  # representatives, by place in data
     first = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else item
@@ -251,7 +279,7 @@ def _stretch_blocks(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
 
     def flush(texts: list[bytes], ids: list[int]) -> pa.Table:
         s = stretches(texts, np.array(ids, np.int64))
-        first, again, _ = split_repeats(s)
+        first, again = split_repeats(s)
         bucket = (s["seed"] >> np.uint64(32)).astype(np.int64) % buckets
         s["seed"] &= np.uint64(0xFFFFFFFF)
         kept, cut = ({k: x[at] for k, x in s.items()} for at in (first, again))
@@ -286,21 +314,16 @@ def _compare(blocks: DataFrame, groups: int, hot_stretches: int) -> DataFrame:
             return table.select(list(_PACKED))
         s = unpack(table.column("blob").to_pylist(), RECORD)
         bucket = table.column("key")[0].as_py()
-        first, again, number = split_repeats(s)
+        first, again = split_repeats(s)
         cut = {k: s[k][again] for k, _ in REPEAT}
         out = [(CUT, k, b) for k, b in packed_by(cut, REPEAT, group_of(cut["id"], groups))]
         # representatives with different first occurrences in different documents
-        by = first[np.argsort(s["seed"][first], kind="stable")]
-        new = np.r_[True, s["seed"][by][1:] != s["seed"][by][:-1]] if len(by) else np.zeros(0, bool)
-        start = np.flatnonzero(new)
-        if len(start):
-            run_ = np.cumsum(new) - 1
-            ids = s["id"][by]
-            differ = np.maximum.reduceat(ids, start) != np.minimum.reduceat(ids, start)
-            windows = np.bincount(run_, s["n"][by])
-            many = ((np.bincount(run_) > hot_stretches) | (windows > hot_stretches * HOT_WINDOWS))[run_]
-            ask, hot = by[differ[run_]], many[differ[run_]]
-            wanted = {k: s[k][ask] for k, _ in RECORD} | {"bucket": np.full(len(ask), bucket, np.uint32), "hot": hot}
+        asked = first[may_share({k: x[first] for k, x in s.items()})]
+        asked = asked[np.argsort(s["seed"][asked], kind="stable")]
+        if len(asked):
+            run_ = np.unique(s["seed"][asked], return_inverse=True)[1]
+            hot = ((np.bincount(run_) > hot_stretches) | (np.bincount(run_, s["n"][asked]) > hot_stretches * HOT_WINDOWS))[run_]
+            wanted = {k: s[k][asked] for k, _ in RECORD} | {"bucket": np.full(len(asked), bucket, np.uint32), "hot": hot}
             out += [(ASK, k, b) for k, b in packed_by(wanted, REQUEST, group_of(wanted["id"], groups))]
         return _batch(_PACKED, out)
 

@@ -224,6 +224,19 @@ def test_substring_dedup_random(spark, seed):
     assert found_repeats(frame(spark, rows), hot_stretches=0) == want
 
 
+def test_substring_dedup_passages_near_the_window(spark):
+    """Passages of 46 to 70 bytes in unlike surroundings: the representative lies anywhere in the one window, or two, that are shared."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz 0123456789"
+    text = lambda n: "".join(rng.choices(letters, k=n))
+    passages = [text(46 + k % 25) for k in range(120)]
+    rows = [(k, text(rng.randint(0, 80)).join([text(rng.randint(0, 20)), *rng.choices(passages, k=4), text(9)])) for k in range(150)]
+    want = brute_repeats(rows)
+    assert 0 < sum(r[2] for r in want) < sum(r[1] for r in want)
+    assert found_repeats(frame(spark, rows)) == want
+    assert found_repeats(frame(spark, rows), hot_stretches=1) == want
+
+
 def thue_morse(n):
     return [bin(k).count("1") % 2 for k in range(n)]
 
