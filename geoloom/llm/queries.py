@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, lm_score, mixing, quality_rules, toxicity, warc
+from . import chat_format, fill_middle, lm_score, mixing, pii, quality_rules, toxicity, warc
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
@@ -94,6 +94,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(documents(spark, sf_dir))
+    output, restored = F.col("output"), fill_middle.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(output.cast("binary"), 256).alias("output_sha256"), F.sha2(restored.cast("binary"), 256).alias("restored_sha256")
+    )
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir)).withColumn("base", F.filter("spans", lambda s: s["base"]))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -106,6 +121,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_personal_data": op13_personal_data,
     }
 
 
@@ -164,4 +181,21 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
                 CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN owner END AS refers_to
             FROM r""",
+        "op12_fill_in_middle": r"""
+            WITH t AS (
+                SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS parts,
+                    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+            h AS (
+                SELECT *, len(parts) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+                    CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+            f AS (
+                SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                        WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+            c AS (
+                SELECT *, array_to_string(parts[1:a], '') AS p, array_to_string(parts[a + 1:b], '') AS m, array_to_string(parts[b + 1:], '') AS s FROM f)
+            SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+                sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+                sha256(text) AS restored_sha256
+            FROM c""",
     }
