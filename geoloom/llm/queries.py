@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, fill_middle, lm_score, mixing, pii, quality_rules, toxicity, warc
+from .alignment import align
 from .byte_bpe import encode_texts
 from .common import documents
 from .exact_dedup import exact_duplicates
@@ -94,6 +95,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    made = align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", groups.alias("groups_sha256"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle.fill_in_middle(documents(spark, sf_dir))
     output, restored = F.col("output"), fill_middle.restore(F.col("output"), F.col("form"))
@@ -121,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_rules": op10_quality_rules,
+        "op11_alignment": op11_alignment,
         "op12_fill_in_middle": op12_fill_in_middle,
         "op13_personal_data": op13_personal_data,
     }
