@@ -34,7 +34,7 @@ SPACE_MARK = "▁"
 #: Stretches of more characters are told apart by 128 bits of XXH3, so that rows stay small.
 SHORT = 24
 #: Bytes of text that a block has at most, unless it is one text.
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 26
 #: Stretches that a worker counts before it hands the counts on.
 COUNTED = 1 << 20
 #: Pairs that make up at least one link in so many are broadcast; there are no more of them than that.
@@ -95,18 +95,47 @@ class Tokenizers:
         self.b_bytes = Decoder({i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)})
         self.lead = len(self.b.encode("a"))
 
-    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """Ids of A, ids of B, and whether both stand for the stretch's bytes; a stretch for which they don't has no ids."""
-        a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+    def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cuts, tokens, fits): tokens[cuts[k]:cuts[k + 1]] are stretch k's, A's before B's, each packed(); fits: whether both stand for its bytes, else it has none.
+
+        Stretches after which a text may go on in any case are encoded as one text.
+        """
+        ids: list[list] = [[[], []] for _ in stretches]
+        fits = np.zeros(len(stretches), bool)
+        joint = [k for k, s in enumerate(stretches) if _SAFE[s[-1:]]]
+        if not self._encode(stretches, joint, ids, fits):
+            for k in joint:
+                self._encode(stretches, [k], ids, fits)
+        for k in sorted({*range(len(stretches))} - {*joint}):
+            self._encode(stretches, [k], ids, fits)
+        parts = [packed(side, decoder.size, x[side]) for x in ids for side, decoder in enumerate((self.a_bytes, self.b_bytes))]
+        cuts = np.cumsum([0, *(len(p) + len(q) for p, q in zip(parts[::2], parts[1::2], strict=True))])
+        return cuts, np.concatenate([np.zeros(0, np.int64), *parts]), fits
+
+    def _encode(self, stretches: list[str], which: list[int], ids: list[list], fits: np.ndarray) -> bool:
+        """Fills in ids and fits of some stretches, taken as one text; nothing if the tokens do not stand for its bytes."""
+        if not which:
+            return True
+        text = "".join([stretches[k] for k in which])
+        data = text.encode()
         # B drops a leading space of its own where nothing else is left; after a letter it never does.
-        b = [x[self.lead :] for x in self.b.encode([f"a{s}" for s in stretches], num_threads=1)]
-        want = [s.encode() for s in stretches]
-        fits = [x == y == w for x, y, w in zip(_joined(self.a_bytes, a), _joined(self.b_bytes, b), want, strict=True)]
-        return [x if ok else [] for x, ok in zip(a, fits, strict=True)], [x if ok else [] for x, ok in zip(b, fits, strict=True)], fits
+        found = (self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(f"a{text}", num_threads=1)[self.lead :])
+        ends = np.cumsum([len(stretches[k].encode()) for k in which])
+        both = [(decoder, np.array(told, np.int64)) for decoder, told in zip((self.a_bytes, self.b_bytes), found, strict=True)]
+        if any(decoder.decode(told, np.array([0, len(told)]))[0] != data for decoder, told in both):
+            return False
+        for side, (decoder, told) in enumerate(both):
+            at = np.searchsorted(np.cumsum(decoder.size[told]), ends) + 1
+            for k, part in zip(which, np.split(told, at[:-1]), strict=True):
+                ids[k][side] = part
+        fits[which] = True
+        return True
 
 
-def _joined(decoder: Decoder, ids: list[list[int]]) -> list[bytes]:
-    return decoder.decode(np.fromiter((i for x in ids for i in x), np.int64), np.cumsum([0, *map(len, ids)]))
+def packed(side: int, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Side, size and id of tokens in one number each."""
+    told = np.asarray(ids, np.int64)
+    return told | sizes[told] << 32 | side << 62
 
 
 def byte_signs() -> dict[int, str]:
@@ -123,12 +152,11 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return kept[a_path, b_path]
 
 
-def _lists(rows: list[list[int]]) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pa.array(np.fromiter((i for x in rows for i in x), np.int32)))
-
-
 def counted(texts: DataFrame) -> DataFrame:
-    """(block, stretch, whole, n) of texts (block, text): how often a block has a stretch, in one or more rows. whole: the stretch, where its name is another."""
+    """(block, stretch, whole, n) of texts (block, text): how often a block has a stretch, in one or more rows. whole: the stretch, where its name is another.
+
+    Texts of one block are counted together in the worker before anything is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Counter] = {}
@@ -162,19 +190,19 @@ def counted(texts: DataFrame) -> DataFrame:
 
 
 def tokenized(stretches: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """stretches (stretch, whole, n) with their ids and the tokens' sizes: a, a_size, b, b_size (arrays), fits. The wholes go."""
+    """stretches (stretch, whole, n) with their tokens (array of packed numbers, A's first) and fits. The wholes go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(a_path, b_path)
         for batch in batches:
-            for first in range(0, len(batch), 1024):
-                part = batch.slice(first, 1024)
+            for first in range(0, len(batch), 2048):
+                part = batch.slice(first, 2048)
                 names = [w if w is not None else s for s, w in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
-                a, b, fits = t.encode(names)
-                sizes = [_lists([d.size[x].tolist() for x in ids]) for d, ids in ((t.a_bytes, a), (t.b_bytes, b))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), _lists(a), sizes[0], _lists(b), sizes[1], pa.array(fits)], ["stretch", "n", "a", "a_size", "b", "b_size", "fits"])
+                cuts, tokens, fits = t.encode(names)
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists, pa.array(fits)], ["stretch", "n", "tokens", "fits"])
 
-    return stretches.select("stretch", "whole", "n").mapInArrow(tidy("alignment", run), "stretch string, n bigint, a array<int>, a_size array<int>, b array<int>, b_size array<int>, fits boolean")
+    return stretches.select("stretch", "whole", "n").mapInArrow(tidy("alignment", run), "stretch string, n bigint, tokens array<bigint>, fits boolean")
 
 
 def aligned(stretches: DataFrame, partitions: int) -> DataFrame:
@@ -183,13 +211,12 @@ def aligned(stretches: DataFrame, partitions: int) -> DataFrame:
     A stretch without tokens has zeros, an empty text and no links.
     """
 
-    def side(k: int, ids: str, sizes: str) -> Column:
-        return F.transform(F.arrays_zip(ids, sizes), lambda t: F.struct(F.lit(k).alias("side"), t[ids].alias("id"), t[sizes].alias("size")))
-
-    dealt = stretches.repartition(partitions, "stretch")
-    tokens = dealt.select("stretch", "n", "fits", F.posexplode_outer(F.concat(side(0, "a", "a_size"), side(1, "b", "b_size"))).alias("pos", "token"))
-    upto = F.sum("token.size").over(Window.partitionBy("stretch", "token.side").orderBy("pos"))
-    tokens = tokens.select("stretch", "n", "fits", "token.side", "token.id", (upto - F.col("token.size")).alias("at"))
+    token = F.col("token")
+    side, size, ident = F.shiftright(token, 62), F.shiftright(token, 32).bitwiseAND((1 << 30) - 1), token.bitwiseAND((1 << 32) - 1)
+    tokens = stretches.repartition(partitions, "stretch").select("stretch", "n", "fits", F.posexplode_outer("tokens").alias("pos", "token"))
+    tokens = tokens.select("stretch", "n", "fits", "pos", side.alias("side"), size.cast("int").alias("size"), ident.cast("int").alias("id"))
+    upto = F.sum("size").over(Window.partitionBy("stretch", "side").orderBy("pos"))
+    tokens = tokens.select("stretch", "n", "fits", "side", "id", (upto - F.col("size")).alias("at"))
     key = ["stretch", "n", "fits"]
     borders = tokens.groupBy(*key, "at").agg(*(F.max(F.when(F.col("side") == k, F.col("id"))).alias(name) for k, name in enumerate("ab")))
     along = Window.partitionBy("stretch").orderBy("at")
@@ -247,10 +274,17 @@ def put_together(texts: DataFrame, results: DataFrame) -> DataFrame:
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         worker_cache("alignment")
-        groups = right.column("groups").to_pylist()
-        place = dict(zip(right.column("stretch").to_pylist(), range(len(groups)), strict=True))
-        good = right.column("fits").to_numpy()
-        told = np.stack([right.column(c).to_numpy() for c in sums], axis=1)
+        names, groups = right.column("stretch").to_pylist(), right.column("groups").to_pylist()
+        place = dict(zip(names, range(len(names)), strict=True))
+        told = np.zeros((len(names), len(sums)), np.int64)
+        for k, g in enumerate(groups):  # what the groups say of themselves need not travel
+            if g:
+                parts, both = g.count(";") + 1, g.count(",") + 2 * g.count("|")
+                n_a = sum(p.count(",", 0, p.index("|")) + 1 for p in g.split(";"))
+                told[k, :4] = n_a, both - n_a, parts, both - parts
+        for k, c in enumerate(sums[4:], 4):
+            told[:, k] = right.column(c).fill_null(0).to_numpy()
+        good = np.array([bool(g) for g in groups], bool)
         out, rows, size = [], [], 0
         for n, text in enumerate(left.column("text"), 1):
             at = [place[s if len(s) <= SHORT else key_of(s)] for s in cut(text.as_py())] if text.as_py() else []
@@ -280,16 +314,15 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     texts = _blocked(docs, id_col, text_col)
+    everywhere = texts.select(F.lit(0).cast("long").alias("block"), "text")
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets_for(texts, PARTITION_BYTES, 1))
-    counts = counted(texts.select("block", "text"))
-    types = counts.repartition(partitions, "stretch").groupBy("stretch", "whole").agg(F.sum("n").alias("n"))
+    types = counted(everywhere).repartition(partitions, "stretch").groupBy("stretch", "whole").agg(F.sum("n").alias("n"))
     made = materialize(aligned(tokenized(types, a_path, b_path), partitions), "aligned")
     weighed = _without_misfits(texts, made)
     pairs = materialize(pair_counts(weighed.select("links", "n")), "pairs")
     scores = link_scores(made.select("stretch", "links"), pairs)
-    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")]
-    results = made.drop("links", "n").join(scores.hint("merge"), "stretch", "left").select("stretch", "fits", "n_a", "n_b", "n_groups", "n_links", *zero, "groups")
-    asked = counts.select("block", "stretch")  # a block may ask twice
+    results = made.select("stretch", "groups").join(scores.hint("merge"), "stretch", "left")
+    asked = counted(texts.select("block", "text")).select("block", "stretch")  # a block may ask twice
     return put_together(texts.select("doc_id", "text", "block"), asked.join(results.hint("merge"), "stretch"))
 
 
