@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ from .common import buckets_for, materialize, release_memory, row_key, tidy, wor
 SPACE_MARK = "▁"
 #: Stretches of more characters are told apart by 128 bits of XXH3, so that rows stay small.
 SHORT = 24
+#: Bits of an id in a packed token; the size has the other bits but one.
+ID_BITS = 18
 #: Bytes of text that a block has at most, unless it is one text.
 BLOCK_BYTES = 1 << 26
 #: Stretches that a worker counts before it hands the counts on.
@@ -93,6 +96,8 @@ class Tokenizers:
         told = {c: b for b, c in byte_signs().items()}
         self.a_bytes = Decoder({i: bytes(map(told.__getitem__, s)) for s, i in self.a.get_vocab().items()})
         self.b_bytes = Decoder({i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)})
+        if any(len(d.size) > 1 << ID_BITS or d.size.max() >= 1 << (31 - ID_BITS) for d in (self.a_bytes, self.b_bytes)):
+            raise ValueError("a vocabulary is too large for packed tokens")
         self.lead = len(self.b.encode("a"))
 
     def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,7 +115,7 @@ class Tokenizers:
             self._encode(stretches, [k], ids, fits)
         parts = [packed(side, decoder.size, x[side]) for x in ids for side, decoder in enumerate((self.a_bytes, self.b_bytes))]
         cuts = np.cumsum([0, *(len(p) + len(q) for p, q in zip(parts[::2], parts[1::2], strict=True))])
-        return cuts, np.concatenate([np.zeros(0, np.int64), *parts]), fits
+        return cuts, np.concatenate([np.zeros(0, np.int32), *parts]), fits
 
     def _encode(self, stretches: list[str], which: list[int], ids: list[list], fits: np.ndarray) -> bool:
         """Fills in ids and fits of some stretches, taken as one text; nothing if the tokens do not stand for its bytes."""
@@ -133,9 +138,9 @@ class Tokenizers:
 
 
 def packed(side: int, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Side, size and id of tokens in one number each."""
+    """Side, size and id of tokens in one number of 32 bits each."""
     told = np.asarray(ids, np.int64)
-    return told | sizes[told] << 32 | side << 62
+    return (told | sizes[told] << ID_BITS | side << 31).astype(np.uint32).view(np.int32)
 
 
 def byte_signs() -> dict[int, str]:
@@ -182,11 +187,11 @@ def counted(texts: DataFrame) -> DataFrame:
                     part = names[first:at]
                     whole = pa.array([s if len(s) > SHORT else None for s in part], pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(at - first, block)), pa.array([key_of(x) for x in part], pa.string()), whole, pa.array(n[first:at], pa.int64())], ["block", "stretch", "whole", "n"]
+                        [pa.array(np.full(at - first, block, np.int32)), pa.array([key_of(x) for x in part], pa.string()), whole, pa.array(n[first:at], pa.int64())], ["block", "stretch", "whole", "n"]
                     )
                     first, size = at, 0
 
-    return texts.mapInArrow(tidy("alignment", run), "block bigint, stretch string, whole string, n bigint")
+    return texts.mapInArrow(tidy("alignment", run), "block int, stretch string, whole string, n bigint")
 
 
 def tokenized(stretches: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -202,7 +207,7 @@ def tokenized(stretches: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists, pa.array(fits)], ["stretch", "n", "tokens", "fits"])
 
-    return stretches.select("stretch", "whole", "n").mapInArrow(tidy("alignment", run), "stretch string, n bigint, tokens array<bigint>, fits boolean")
+    return stretches.select("stretch", "whole", "n").mapInArrow(tidy("alignment", run), "stretch string, n bigint, tokens array<int>, fits boolean")
 
 
 def aligned(stretches: DataFrame, partitions: int) -> DataFrame:
@@ -212,9 +217,9 @@ def aligned(stretches: DataFrame, partitions: int) -> DataFrame:
     """
 
     token = F.col("token")
-    side, size, ident = F.shiftright(token, 62), F.shiftright(token, 32).bitwiseAND((1 << 30) - 1), token.bitwiseAND((1 << 32) - 1)
+    side, size, ident = (token < 0).cast("int"), F.shiftright(token, ID_BITS).bitwiseAND((1 << (31 - ID_BITS)) - 1), token.bitwiseAND((1 << ID_BITS) - 1)
     tokens = stretches.repartition(partitions, "stretch").select("stretch", "n", "fits", F.posexplode_outer("tokens").alias("pos", "token"))
-    tokens = tokens.select("stretch", "n", "fits", "pos", side.alias("side"), size.cast("int").alias("size"), ident.cast("int").alias("id"))
+    tokens = tokens.select("stretch", "n", "fits", "pos", side.alias("side"), size.alias("size"), ident.alias("id"))
     upto = F.sum("size").over(Window.partitionBy("stretch", "side").orderBy("pos"))
     tokens = tokens.select("stretch", "n", "fits", "side", "id", (upto - F.col("size")).alias("at"))
     key = ["stretch", "n", "fits"]
@@ -263,13 +268,21 @@ def _blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(docs[text_col], F.lit(""))
     digits = F.char_length(F.bin(F.octet_length(text)))
     rows = F.greatest(F.lit(1), F.lit(BLOCK_BYTES) / F.pow(F.lit(2.0), digits)).cast("long")
-    block = F.xxhash64(key["file"], digits, F.floor(key["at"] / rows))  # two blocks of one name are one block
+    block = F.hash(key["file"], digits, F.floor(key["at"] / rows))  # two blocks of one name are one block
     return docs.select(docs[id_col].alias("doc_id"), text.alias("text"), block.alias("block"), key["file"].alias("file"), key["at"].alias("at"))
 
 
 def put_together(texts: DataFrame, results: DataFrame) -> DataFrame:
     """texts (doc_id, text, block) with sums and joined groups of their stretches' results, which come with the block that asks for them."""
     kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            told = pa.array([press.compress(t.as_py().encode()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), told, batch.column("block")], ["doc_id", "text", "block"])
+
+    texts = texts.mapInArrow(tidy("alignment", small), f"doc_id {kind}, text binary, block int")
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -286,8 +299,10 @@ def put_together(texts: DataFrame, results: DataFrame) -> DataFrame:
             told[:, k] = right.column(c).fill_null(0).to_numpy()
         good = np.array([bool(g) for g in groups], bool)
         out, rows, size = [], [], 0
-        for n, text in enumerate(left.column("text"), 1):
-            at = [place[s if len(s) <= SHORT else key_of(s)] for s in cut(text.as_py())] if text.as_py() else []
+        whole = zstandard.ZstdDecompressor()
+        for n, data in enumerate(left.column("text"), 1):
+            text = whole.decompress(data.as_py()).decode()
+            at = [place[s if len(s) <= SHORT else key_of(s)] for s in cut(text)] if text else []
             fits = bool(at) and good[at].all()
             rows.append((told[at].sum(axis=0) if fits else np.zeros(len(sums), np.int64), ";".join([groups[k] for k in at]) if fits else ""))
             size += len(rows[-1][1])
@@ -314,7 +329,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     texts = _blocked(docs, id_col, text_col)
-    everywhere = texts.select(F.lit(0).cast("long").alias("block"), "text")
+    everywhere = texts.select(F.lit(0).alias("block"), "text")
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets_for(texts, PARTITION_BYTES, 1))
     types = counted(everywhere).repartition(partitions, "stretch").groupBy("stretch", "whole").agg(F.sum("n").alias("n"))
     made = materialize(aligned(tokenized(types, a_path, b_path), partitions), "aligned")
