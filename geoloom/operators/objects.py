@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import box, iou
+from .durable import Held
 from .spatial_join import cell_join
 
 CELL = 64
@@ -23,21 +25,25 @@ def iou_pairs(predictions: DataFrame, annotations: DataFrame, threshold: float,
 def greedy_match(pairs: DataFrame) -> DataFrame:
     """(scene, pid, gid, iou) of a one-to-one matching: pairs by falling IoU, then pid, then gid, each taken if both ends are free.
 
-    A pair that is the best left of both its ends is taken in any order of work, and the order is total, so each
-    group of connected pairs is settled on its own; groups are scenes here.
+    In rounds: a pair that is the best left of both its ends is taken, whatever is done elsewhere, and pairs with a taken end
+    go. The best pair left is always one of these, so the rounds end, with what taking pairs one by one gives. Each
+    round is a few joins over the pairs left, written to the shared folder; no scene has to fit into a task.
     """
-
-    def settle(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.assign(key=f["iou"].round(12)).sort_values(["key", "pid", "gid"], ascending=[False, True, True])
-        p, g, keep = set(), set(), []
-        for k, (a, b) in enumerate(zip(f["pid"].tolist(), f["gid"].tolist(), strict=True)):
-            if a not in p and b not in g:
-                p.add(a)
-                g.add(b)
-                keep.append(k)
-        return f.iloc[keep][["scene", "pid", "gid", "iou"]]
-
-    return pairs.groupBy("scene").applyInPandas(settle, "scene bigint, pid bigint, gid bigint, iou double")
+    held = Held(pairs.sparkSession, "pairs")
+    rank = F.struct((-F.round("iou", 12)).alias("a"), F.col("pid").alias("b"), F.col("gid").alias("c"))
+    left, taken = pairs.select("scene", "pid", "gid", "iou", rank.alias("rank")), []
+    while True:
+        best = [F.min("rank").over(Window.partitionBy("scene", end)) for end in ("pid", "gid")]
+        told = held.put(left.withColumn("best", (F.col("rank") == best[0]) & (F.col("rank") == best[1])))
+        won = told.filter("best").drop("best", "rank")
+        if told.isEmpty():
+            break
+        taken.append(won)
+        left = told.filter("not best").drop("best")
+        for end in ("pid", "gid"):
+            left = left.join(won.select("scene", end), ["scene", end], "left_anti")
+        left = left.select("scene", "pid", "gid", "iou", "rank")
+    return reduce(DataFrame.unionByName, taken, won)
 
 
 def scene_counts(predictions: DataFrame, annotations: DataFrame, matches: DataFrame) -> DataFrame:

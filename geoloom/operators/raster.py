@@ -6,6 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .durable import Held
+from .graph import connected
+
 
 def stitched(observations: DataFrame, prob: Column, weight: Column | None = None) -> DataFrame:
     """(scene, y, x, prob, weight) of overlapping tiles: the weighted mean of what they saw; weight 1 if none is given."""
@@ -28,11 +31,11 @@ def percentile_stretch(rows: DataFrame, key: str, value: str, least: int = 16) -
     return rows.join(stats.select(key, F.when(enough, F.col("p2")).alias("low"), F.when(enough, high).alias("high")), key)
 
 
-def label_components(pixels: DataFrame) -> DataFrame:
-    """pixels (scene, y, x) with `label`: connected by edges, numbered by the smallest (y, x) of each component, per scene.
+def label_components(pixels: DataFrame, block: int = 1024) -> DataFrame:
+    """pixels (scene, y, x) with `label` (label_y, label_x): connected by edges, named by the smallest (y, x) of each component.
 
-    A scene's pixels are labelled together by union-find; scenes that do not fit into a task are cut into blocks
-    first (see block_grid) and their labels joined along the borders.
+    Blocks of pixels are labelled each by itself; labels that meet along the borders of blocks are links, and the components of the
+    links name what crosses borders. A task holds a block, however large the scene.
     """
 
     def settle(f: pd.DataFrame) -> pd.DataFrame:
@@ -51,30 +54,22 @@ def label_components(pixels: DataFrame) -> DataFrame:
                 if other in parent:
                     a, b = sorted((root((y, x)), root(other)))
                     parent[b] = a
-        return f.assign(label=[r[0] * 65536 + r[1] for r in map(root, keys)])
-
-    return pixels.select("scene", "y", "x").distinct().groupBy("scene").applyInPandas(settle, "scene bigint, y bigint, x bigint, label bigint")
-
-
-def union_area(boxes: DataFrame) -> DataFrame:
-    """(scene, area, parts): the area that a scene's boxes cover together, and their sum, overlaps counted twice; by sweeping over x."""
-
-    def sweep(f: pd.DataFrame) -> pd.DataFrame:
-        xs = sorted({*f["x0"], *f["x1"]})
-        rows = sorted(zip(f["y0"].tolist(), f["y1"].tolist(), f["x0"].tolist(), f["x1"].tolist(), strict=True))
-        area = 0
-        for a, b in zip(xs, xs[1:], strict=False):
-            end = None
-            for y0, y1, x0, x1 in rows:
-                if x0 <= a and x1 >= b:
-                    start = y0 if end is None else max(y0, end)
-                    if y1 > start:
-                        area += (y1 - start) * (b - a)
-                    end = y1 if end is None else max(end, y1)
-        parts = int(((f["x1"] - f["x0"]) * (f["y1"] - f["y0"])).sum())
-        return pd.DataFrame({"scene": [f["scene"].iloc[0]], "area": [area], "parts": [parts]})
-
-    return boxes.select("scene", "x0", "y0", "x1", "y1").groupBy("scene").applyInPandas(sweep, "scene bigint, area bigint, parts bigint")
+        found = [root(k) for k in keys]
+        return f[["scene", "y", "x"]].assign(label_y=[r[0] for r in found], label_x=[r[1] for r in found])
+
+    cell = [F.floor(F.col(c) / block).alias(f"block_{c}") for c in "yx"]
+    held = Held(pixels.sparkSession, "labels")
+    parts = pixels.select("scene", "y", "x").distinct().groupBy("scene", *cell).applyInPandas(settle, "scene bigint, y bigint, x bigint, label_y bigint, label_x bigint")
+    parts = held.put(parts.select("scene", "y", "x", F.struct("scene", "label_y", "label_x").alias("part")))
+    links = None
+    for c, other in (("y", "x"), ("x", "y")):
+        first = parts.filter((F.col(c) % block == 0)).select("scene", (F.col(c) - 1).alias(c), other, F.col("part").alias("a"))
+        last = parts.filter((F.col(c) + 1) % block == 0).select("scene", c, other, F.col("part").alias("b"))
+        met = first.join(last, ["scene", c, other]).select("a", "b").distinct()
+        links = met if links is None else links.unionByName(met)
+    roots = connected(links)
+    told = parts.join(roots, parts.part == roots.node, "left").withColumn("label", F.coalesce("root", "part"))
+    return told.select("scene", "y", "x", F.struct("label.label_y", "label.label_x").alias("label"))
 
 
 def eroded(mask: DataFrame) -> DataFrame:

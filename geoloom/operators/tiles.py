@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from .polygons import covered_area
 from .spatial_join import cell_join
 
 CELL = 256
@@ -63,19 +64,37 @@ def adjacency(footprints: DataFrame, touch: int, near: int, cell: int) -> DataFr
 
 
 def mosaic_plan(windows: DataFrame, footprints: DataFrame, edges: DataFrame) -> DataFrame:
-    """windows (anchor scene, index, world box) that stick out of their footprint, with the neighbours that have a share of the gap.
+    """Whether windows (anchor scene, index, world box) that stick out of their footprint can be filled by its neighbours.
 
-    reason: fully_inside_footprint, neighbor_covers_gap or no_neighbor_for_gap. The gap's bounding part beyond the
-    footprint is what counts for boxes.
+    gap: the area outside the footprint; reason: fully_inside_footprint (from a share of 0.999 on), neighbor_covers_gap or
+    no_neighbor_for_gap; candidates: neighbours with a share of the gap; side: that of the first of them (overlapping, then touching, then
+    near ones, by distance); cover: the share of the gap that they cover together, however they overlap; overlap: an overlapping neighbour
+    meets the window.
     """
-    own = named(windows, "a_", "scene", "index").join(named(footprints, "b_", "scene"), "scene")
+    key = ["scene", "index"]
+    corners = ("x0", "y0", "x1", "y1")
+    own = named(windows, "a_", *key).join(named(footprints, "b_", "scene"), "scene")
     inside = G.intersection_area(G.box("a_"), G.box("b_"))
-    gaps = own.withColumn("gap", G.area(G.box("a_")) - inside)
-    near = edges.select(F.col("anchor").alias("scene"), "neighbour").join(footprints.select(F.col("scene").alias("neighbour"), *(F.col(c).alias(f"c_{c}") for c in ("x0", "y0", "x1", "y1"))), "neighbour")
-    reach = gaps.filter("gap > 0").select("scene", "index", *(f"{p}_{c}" for p in "ab" for c in ("x0", "y0", "x1", "y1"))).join(near, "scene")
-    # what the neighbour has of the window, less what the footprint has of that part
-    part = (F.greatest("a_x0", "c_x0"), F.greatest("a_y0", "c_y0"), F.least("a_x1", "c_x1"), F.least("a_y1", "c_y1"))
-    of_gap = G.intersection_area(G.box("a_"), G.box("c_")) - F.when(G.overlaps(G.box("a_"), G.box("c_")), G.intersection_area(part, G.box("b_"))).otherwise(0)
-    found = reach.withColumn("of_gap", of_gap).filter("of_gap > 0").groupBy("scene", "index").agg(F.count(F.lit(1)).alias("candidates"), F.max("of_gap").alias("best"))
-    reason = F.when(F.col("gap") == 0, "fully_inside_footprint").when(F.col("candidates") > 0, "neighbor_covers_gap").otherwise("no_neighbor_for_gap")
-    return gaps.join(found, ["scene", "index"], "left").select("scene", "index", F.col("gap").cast("bigint").alias("gap"), reason.alias("reason"), F.coalesce("candidates", F.lit(0)).alias("candidates"))
+    gaps = own.withColumns({"gap": G.area(G.box("a_")) - inside, "full": inside / G.area(G.box("a_")) >= 0.999})
+    told_of = {"relation": "string", "side": "string", "distance": "double"}  # edges may say no more than who is whose neighbour
+    said = [F.col(c) if c in edges.columns else F.lit(None).cast(kind).alias(c) for c, kind in told_of.items()]
+    near = edges.select(F.col("anchor").alias("scene"), "neighbour", *said).join(footprints.select(F.col("scene").alias("neighbour"), *(F.col(c).alias(f"c_{c}") for c in corners)), "neighbour")
+    reach = gaps.filter("not full").select(*key, *(f"{p}_{c}" for p in "ab" for c in corners)).join(near, "scene")
+    part = {c: (F.greatest if c.endswith("0") else F.least)(f"a_{c}", f"c_{c}") for c in corners}
+    reach = reach.withColumns({f"p_{c}": x for c, x in part.items()}).filter("p_x1 >= p_x0 and p_y1 >= p_y0")
+    rank = F.struct(F.when(F.col("relation") == "overlap", 0).when(F.col("relation") == "touch", 1).otherwise(2), "distance", "neighbour")
+    of_gap = G.area(G.box("p_")) - G.intersection_area(G.box("p_"), G.box("b_"))
+    told = reach.withColumn("of_gap", of_gap)
+    found = told.groupBy(*key).agg(F.count_if(F.col("of_gap") > 0).alias("candidates"), F.min_by("side", F.when(F.col("of_gap") > 0, rank)).alias("side"), F.bool_or(F.coalesce(F.col("relation") == "overlap", F.lit(False))).alias("overlap"))
+    # what candidates and footprint cover together, less the footprint
+    clipped = {c: (F.greatest if c.endswith("0") else F.least)(f"a_{c}", f"b_{c}") for c in corners}
+    held = gaps.filter("not full").select(*key, *(x.alias(c) for c, x in clipped.items())).filter("x1 > x0 and y1 > y0")
+    boxes = told.filter("of_gap > 0").select(*key, *(F.col(f"p_{c}").alias(c) for c in corners)).unionByName(held)
+    covered = covered_area(boxes, key).withColumnRenamed("area", "covered")
+    reason = F.when(F.col("full"), "fully_inside_footprint").when(F.col("candidates") > 0, "neighbor_covers_gap").otherwise("no_neighbor_for_gap")
+    share = F.when(F.col("candidates") > 0, F.least((F.col("covered") - inside) / F.col("gap"), F.lit(1.0))).otherwise(0.0)
+    whole = gaps.join(found, key, "left").join(covered, key, "left")
+    return whole.select(
+        *key, F.col("gap").cast("bigint").alias("gap"), reason.alias("reason"), F.coalesce("candidates", F.lit(0)).alias("candidates"), F.coalesce("side", F.lit("unknown")).alias("side"),
+        F.round(share, 9).alias("cover"), F.coalesce("overlap", F.lit(False)).alias("overlap"),
+    )

@@ -382,19 +382,33 @@ def matches(t: Tables) -> DataFrame:
     return ob.greedy_match(ob.iou_pairs(t.predictions, t.annotations, 0.5))
 
 
-@query("mt1_greedy_match")
+#: Pairs taken one after another, by scene: k is the place of a pair, ps and gs are what is taken by then.
+_TAKEN = f"""{_IOU}, ranked AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY round(iou, 12) DESC, pid, gid) AS k FROM ious),
+    steps AS (SELECT scene, k, pid, gid, iou, true AS free, [pid] AS ps, [gid] AS gs FROM ranked WHERE k = 1
+        UNION ALL SELECT r.scene, r.k, r.pid, r.gid, r.iou, NOT (list_contains(s.ps, r.pid) OR list_contains(s.gs, r.gid)),
+            CASE WHEN list_contains(s.ps, r.pid) OR list_contains(s.gs, r.gid) THEN s.ps ELSE list_append(s.ps, r.pid) END,
+            CASE WHEN list_contains(s.ps, r.pid) OR list_contains(s.gs, r.gid) THEN s.gs ELSE list_append(s.gs, r.gid) END
+        FROM steps s JOIN ranked r ON r.scene = s.scene AND r.k = s.k + 1),
+    taken AS (SELECT scene, pid, gid, iou FROM steps WHERE free)"""
+_COUNTED = f"""{_TAKEN}, n AS (SELECT coalesce(a.scene, p.scene) AS scene, coalesce(p.n, 0) AS preds, coalesce(a.n, 0) AS gts FROM (SELECT scene, count(*) AS n FROM @annotations GROUP BY 1) a
+    FULL JOIN (SELECT scene, count(*) AS n FROM @predictions GROUP BY 1) p ON a.scene = p.scene),
+    hits AS (SELECT scene, count(*) AS tp FROM taken GROUP BY 1),
+    c AS (SELECT n.scene, coalesce(tp, 0) AS tp, preds - coalesce(tp, 0) AS fp, gts - coalesce(tp, 0) AS fn FROM n LEFT JOIN hits ON hits.scene = n.scene)"""
+_SCORES = ", ".join(f"round(CASE WHEN {d} > 0 THEN {n} / ({d}) ELSE 0 END, 9) AS {k}" for k, n, d in (("precision", "tp", "tp + fp"), ("recall", "tp", "tp + fn"), ("f1", "2 * tp", "2 * tp + fp + fn")))
+
+
+@query("mt1_greedy_match", f"WITH RECURSIVE {_TAKEN} SELECT scene, pid, gid, round(iou, 9) AS iou FROM taken")
 def greedy_match(t: Tables) -> DataFrame:
-    """No twin: pairs are taken one after another. Tests compare it with a plain loop."""
-    return matches(t)
+    return matches(t).withColumn("iou", F.round("iou", 9))
 
 
-@query("ag5_object_scores")
+@query("ag5_object_scores", f"WITH RECURSIVE {_COUNTED} SELECT *, {_SCORES} FROM c")
 def object_scores_by_scene(t: Tables) -> DataFrame:
     rows = ob.scene_counts(t.predictions, t.annotations, matches(t))
     return rows.select("*", *(F.round(c, 9).alias(k) for k, c in object_scores(F.col("tp"), F.col("fp"), F.col("fn")).items()))
 
 
-@query("ag6_micro_average")
+@query("ag6_micro_average", f"WITH RECURSIVE {_COUNTED}, s AS (SELECT * FROM c UNION ALL SELECT NULL, CAST(sum(tp) AS BIGINT), CAST(sum(fp) AS BIGINT), CAST(sum(fn) AS BIGINT) FROM c) SELECT *, {_SCORES} FROM s")
 def micro_average(t: Tables) -> DataFrame:
     rows = ob.scene_counts(t.predictions, t.annotations, matches(t)).rollup("scene").agg(*(F.sum(k).alias(k) for k in ("tp", "fp", "fn")))
     return rows.select("*", *(F.round(c, 9).alias(k) for k, c in object_scores(F.col("tp"), F.col("fp"), F.col("fn")).items()))

@@ -14,6 +14,7 @@ CASTS = {
     "ag11_split_summary": {"objects": "BIGINT", "val_objects": "BIGINT"},
     "ag13_stitched_weighted": {"weight": "BIGINT"},
     "ag14_coverage": {"least": "BIGINT", "most": "BIGINT"},
+    "ag17_final_objects": {"pixels": "BIGINT"},
     "ag22_job_metrics": {"total": "BIGINT"},
     "ag24_class_inventory": {"objects": "BIGINT"},
     "ag27_last_samples": {"bytes": "BIGINT"},

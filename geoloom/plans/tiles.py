@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as M
 from ..operators import grids as og
+from ..operators import polygons as PG
 from ..operators import raster as R
 from ..operators import splits as sp
 from ..operators import tiles as T
@@ -185,9 +186,17 @@ def shifted(t: Tables) -> DataFrame:
 
 
 _PLAN = f"""{_SHIFTED}, {_ADJ}, g AS (SELECT s.*, f.x0 AS fx0, f.y0 AS fy0, f.x1 AS fx1, f.y1 AS fy1, 65536 - {_I.format(a='s', b='f')} AS gap FROM shifted s JOIN world f ON f.scene = s.scene),
-    c AS (SELECT g.scene, g.index, greatest(g.x0, n.x0) AS x0, greatest(g.y0, n.y0) AS y0, least(g.x1, n.x1) AS x1, least(g.y1, n.y1) AS y1, fx0, fy0, fx1, fy1 FROM g JOIN edges e ON e.anchor = g.scene JOIN world n ON n.scene = e.neighbour WHERE g.gap > 0),
-    f AS (SELECT scene, index, count(*) AS candidates FROM c WHERE x1 > x0 AND y1 > y0 AND (x1 - x0) * (y1 - y0) > greatest(0, least(x1, fx1) - greatest(x0, fx0)) * greatest(0, least(y1, fy1) - greatest(y0, fy0)) GROUP BY 1, 2),
-    plan AS (SELECT g.scene, g.index, g.gap, CASE WHEN g.gap = 0 THEN 'fully_inside_footprint' WHEN f.candidates > 0 THEN 'neighbor_covers_gap' ELSE 'no_neighbor_for_gap' END AS reason, coalesce(f.candidates, 0) AS candidates FROM g LEFT JOIN f USING (scene, index))"""
+    h AS (SELECT g.scene, g.index, e.*, greatest(g.x0, n.x0) AS x0, greatest(g.y0, n.y0) AS y0, least(g.x1, n.x1) AS x1, least(g.y1, n.y1) AS y1, fx0, fy0, fx1, fy1 FROM g JOIN edges e ON e.anchor = g.scene JOIN world n ON n.scene = e.neighbour WHERE g.gap > 65),
+    c AS (SELECT *, row_number() OVER (PARTITION BY scene, index ORDER BY CASE relation WHEN 'overlap' THEN 0 WHEN 'touch' THEN 1 ELSE 2 END, distance, neighbour) AS place
+        FROM h WHERE x1 > x0 AND y1 > y0 AND (x1 - x0) * (y1 - y0) > greatest(0, least(x1, fx1) - greatest(x0, fx0)) * greatest(0, least(y1, fy1) - greatest(y0, fy0))),
+    xs AS (SELECT scene, index, x AS a, lead(x) OVER (PARTITION BY scene, index ORDER BY x) AS b FROM (SELECT scene, index, x0 AS x FROM c UNION SELECT scene, index, x1 FROM c UNION SELECT scene, index, fx0 FROM c UNION SELECT scene, index, fx1 FROM c) q),
+    ys AS (SELECT scene, index, y AS a, lead(y) OVER (PARTITION BY scene, index ORDER BY y) AS b FROM (SELECT scene, index, y0 AS y FROM c UNION SELECT scene, index, y1 FROM c UNION SELECT scene, index, fy0 FROM c UNION SELECT scene, index, fy1 FROM c) q),
+    u AS (SELECT scene, index, sum(a) AS covered FROM (SELECT DISTINCT xs.scene, xs.index, xs.a AS xa, ys.a AS ya, (xs.b - xs.a) * (ys.b - ys.a) AS a FROM xs JOIN ys USING (scene, index) JOIN c USING (scene, index)
+        WHERE xs.a >= x0 AND xs.b <= x1 AND ys.a >= y0 AND ys.b <= y1 AND NOT (xs.a >= fx0 AND xs.b <= fx1 AND ys.a >= fy0 AND ys.b <= fy1)) q GROUP BY 1, 2),
+    f AS (SELECT scene, index, count(*) AS candidates, min(CASE WHEN place = 1 THEN side END) AS side FROM c GROUP BY 1, 2),
+    v AS (SELECT DISTINCT scene, index FROM h WHERE relation = 'overlap' AND x1 >= x0 AND y1 >= y0),
+    plan AS (SELECT g.scene, g.index, g.gap, CASE WHEN g.gap <= 65 THEN 'fully_inside_footprint' WHEN f.candidates > 0 THEN 'neighbor_covers_gap' ELSE 'no_neighbor_for_gap' END AS reason, coalesce(f.candidates, 0) AS candidates,
+        coalesce(f.side, 'unknown') AS side, round(CASE WHEN f.candidates > 0 THEN least(1.0, u.covered / g.gap) ELSE 0.0 END, 9) AS cover, v.scene IS NOT NULL AS overlap FROM g LEFT JOIN f USING (scene, index) LEFT JOIN u USING (scene, index) LEFT JOIN v USING (scene, index))"""
 
 
 def plan(t: Tables) -> DataFrame:
@@ -324,16 +333,54 @@ def mask_dilated(t: Tables) -> DataFrame:
     return R.dilated(mask(t)).groupBy("scene").agg(F.count(F.lit(1)).alias("pixels"))
 
 
-@query("gen9_components")
+@query(
+    "gen9_components",
+    f"""WITH RECURSIVE {_MASK}, reach AS (SELECT scene, y, x, y AS ly, x AS lx FROM mask UNION SELECT m.scene, m.y, m.x, r.ly, r.lx FROM reach r JOIN mask m ON m.scene = r.scene AND abs(m.y - r.y) + abs(m.x - r.x) = 1)
+    SELECT scene, y, x, min(ly * 100 + lx) // 100 AS label_y, min(ly * 100 + lx) % 100 AS label_x FROM reach GROUP BY 1, 2, 3""",
+)
 def components(t: Tables) -> DataFrame:
-    """No twin: union-find. Tests compare it with flood fill."""
-    return R.label_components(mask(t))
+    """Each pixel with the first pixel of its component; blocks are so small here that most components cross their borders."""
+    return R.label_components(mask(t), 16).select("scene", "y", "x", "label.*")
+
+
+#: Boxes painted in pixels of 4 units; closing grows by one pixel and takes it back.
+_PAINTED = """px AS (SELECT scene, gid, r, c FROM @annotations, unnest(range(CAST(ceil(x0 / 4 - 0.5) AS BIGINT), CAST(ceil(x1 / 4 - 0.5) AS BIGINT))) AS u(c), unnest(range(CAST(ceil(y0 / 4 - 0.5) AS BIGINT), CAST(ceil(y1 / 4 - 0.5) AS BIGINT))) AS v(r)),
+    whole AS (SELECT DISTINCT scene, r, c FROM px), o AS (SELECT * FROM (VALUES (-1), (0), (1)) a(dy), (VALUES (-1), (0), (1)) b(dx)),
+    wide AS (SELECT DISTINCT scene, r + dy AS r, c + dx AS c FROM whole, o), closed AS (SELECT scene, r + dy AS r, c + dx AS c FROM wide, o GROUP BY 1, 2, 3 HAVING count(*) = 9)"""
 
 
-@query("ag17_dissolved_area")
+def box_spans(t: Tables) -> DataFrame:
+    """Spans of the annotations' boxes in pixels of 4 units."""
+    edge = lambda c: F.ceil(F.col(c) / F.lit(4.0) - 0.5)
+    rows = t.annotations.filter(edge("y1") > edge("y0")).select("scene", F.explode(F.sequence(edge("y0"), edge("y1") - 1)).alias("row"), edge("x0").alias("c0"), edge("x1").alias("c1"))
+    return rows.filter("c1 > c0")
+
+
+@query(
+    "ag17_dissolved_area",
+    f"""WITH {_PAINTED}, p AS (SELECT scene, count(*) AS parts FROM px GROUP BY 1), w AS (SELECT scene, count(*) AS area FROM whole GROUP BY 1), d AS (SELECT scene, count(*) AS closed FROM closed GROUP BY 1)
+    SELECT scene, area, closed, parts, round(closed / parts, 9) AS ratio FROM w JOIN d USING (scene) JOIN p USING (scene)""",
+)
 def dissolved_area(t: Tables) -> DataFrame:
-    """No twin: a sweep. Tests compare it with painted pixels."""
-    return R.union_area(t.annotations).withColumn("ratio", F.round(F.col("area") / F.col("parts"), 9))
+    """What a scene's boxes cover together, before and after gaps are closed, and their sum."""
+    spans = box_spans(t)
+    size = F.sum(F.col("c1") - F.col("c0"))
+    sums = [f(["scene"]).agg(size.alias(n)) for f, n in ((PG.dissolved(spans, ["scene"]).groupBy, "area"), (PG.dissolved(spans, ["scene"], 1).groupBy, "closed"), (spans.groupBy, "parts"))]
+    return sums[0].join(sums[1], "scene").join(sums[2], "scene").withColumn("ratio", F.round(F.col("closed") / F.col("parts"), 9))
+
+
+@query(
+    "ag17_final_objects",
+    f"""WITH RECURSIVE {_PAINTED}, k AS (SELECT scene, r, c, r * 100000 + c AS id, row_number() OVER (PARTITION BY scene, r ORDER BY c) - c AS run FROM closed),
+    s AS (SELECT scene, r, min(c) AS c0, max(c) AS c1, min(id) AS id FROM k GROUP BY scene, r, run),
+    l AS (SELECT a.scene, a.id AS a, b.id AS b FROM s a JOIN s b ON a.scene = b.scene AND abs(a.r - b.r) = 1 AND a.c0 <= b.c1 AND b.c0 <= a.c1),
+    reach AS (SELECT scene, id AS a, id AS b FROM s UNION SELECT reach.scene, reach.a, l.b FROM reach JOIN l ON l.scene = reach.scene AND l.a = reach.b),
+    told AS (SELECT reach.scene, reach.a, min(reach.b) AS object FROM reach GROUP BY 1, 2)
+    SELECT s.scene, object // 100000 AS row0, max(r) AS row1, sum(c1 - c0 + 1) AS pixels FROM s JOIN told ON told.scene = s.scene AND told.a = s.id GROUP BY s.scene, object HAVING sum(c1 - c0 + 1) >= 20""",
+)
+def final_objects(t: Tables) -> DataFrame:
+    """Objects of the closed union from an area on."""
+    return PG.span_objects(PG.dissolved(box_spans(t), ["scene"], 1), ["scene"], 20).select("scene", "row0", "row1", "pixels")
 
 
 @query("rg1_valid_mask", "SELECT scene, y, x, bool_or(prob8 <> 0) AS any_band, bool_and(prob8 <> 0) AS all_bands FROM @observations GROUP BY 1, 2, 3")
@@ -393,6 +440,31 @@ def clip_to_core(t: Tables) -> DataFrame:
     return told.filter("x1 > x0 and y1 > y0")
 
 
+#: Edges of the outlines, and the same by a plain rule of crossings.
+_EDGES = """edges AS (SELECT * FROM (SELECT scene, gid, x AS x0, y AS y0, coalesce(lead(x) OVER r, first_value(x) OVER r) AS x1, coalesce(lead(y) OVER r, first_value(y) OVER r) AS y1
+    FROM @corners WINDOW r AS (PARTITION BY scene, gid, ring ORDER BY k)) q WHERE x0 <> x1 OR y0 <> y1)"""
+_X = "{e}.x0 + ({y} - {e}.y0) * ({e}.x1 - {e}.x0) / ({e}.y1 - {e}.y0)"
+
+
+def edges_of(t: Tables) -> DataFrame:
+    return PG.ring_edges(t.corners, ["scene", "gid"], ["ring"])
+
+
+@query(
+    "rg7_clean_polygons",
+    f"""WITH {_EDGES}, d AS (SELECT scene, gid, x0, y0, x1 - x0 AS dx, y1 - y0 AS dy FROM edges),
+    c AS (SELECT p.scene, p.gid, p.y0 + p.dy * ((q.x0 - p.x0) * q.dy - (q.y0 - p.y0) * q.dx) / (p.dx * q.dy - p.dy * q.dx) AS y FROM d p JOIN d q ON p.scene = q.scene AND p.gid = q.gid AND p.dx * q.dy <> p.dy * q.dx
+        WHERE ((q.x0 - p.x0) * q.dy - (q.y0 - p.y0) * q.dx) / (p.dx * q.dy - p.dy * q.dx) BETWEEN 0 AND 1 AND ((q.x0 - p.x0) * p.dy - (q.y0 - p.y0) * p.dx) / (p.dx * q.dy - p.dy * q.dx) BETWEEN 0 AND 1),
+    s AS (SELECT scene, gid, y AS a, lead(y) OVER (PARTITION BY scene, gid ORDER BY y) AS b FROM (SELECT scene, gid, y FROM c UNION SELECT scene, gid, y0 FROM edges) q),
+    m AS (SELECT s.gid, s.scene, a, b, {_X.format(e='e', y='(a + b) / 2')} AS x FROM s JOIN edges e ON e.scene = s.scene AND e.gid = s.gid AND least(e.y0, e.y1) <= a AND greatest(e.y0, e.y1) >= b AND e.y0 <> e.y1 WHERE b IS NOT NULL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY scene, gid, a ORDER BY x) AS p FROM m)
+    SELECT scene, gid, round(sum(CASE WHEN p % 2 = 0 THEN x ELSE -x END * (b - a)), 6) AS area FROM o GROUP BY 1, 2 HAVING sum(CASE WHEN p % 2 = 0 THEN x ELSE -x END * (b - a)) > 0""",
+)
+def clean_polygons(t: Tables) -> DataFrame:
+    """Areas of outlines whose rings may cross themselves; what has none is left out."""
+    return PG.shape_areas(PG.cleaned(edges_of(t), ["scene", "gid"]), ["scene", "gid"]).select("scene", "gid", F.round("area", 6).alias("area"))
+
+
 @query("rg7_clean_boxes", "SELECT count(*) AS kept FROM @predictions WHERE x1 - pid % 30 > x0 AND y1 > y0")
 def clean_boxes(t: Tables) -> DataFrame:
     return t.predictions.filter((F.col("x1") - F.col("pid") % 30 > F.col("x0")) & (F.col("y1") > F.col("y0"))).agg(F.count(F.lit(1)).alias("kept"))
@@ -422,6 +494,36 @@ def rasterized_boxes(t: Tables) -> DataFrame:
     return t.annotations.select("gid", "scene", ((edge("x1") - edge("x0")) * (edge("y1") - edge("y0"))).cast("double").alias("pixels"))
 
 
+#: Pixels of 4 units around each outline.
+_AROUND = """b AS (SELECT scene, gid, min(x) // 4 AS c0, max(x) // 4 AS c1, min(y) // 4 AS r0, max(y) // 4 AS r1 FROM @corners GROUP BY 1, 2),
+    px AS (SELECT scene, gid, c, r FROM b, unnest(range(c0, c1 + 1)) AS u(c), unnest(range(r0, r1 + 1)) AS v(r))"""
+_INSIDE = f"((e.y0 <= px.r * 4 + 2) <> (e.y1 <= px.r * 4 + 2) AND {_X.format(e='e', y='(px.r * 4 + 2)')} <= px.c * 4 + 2)"
+_SIDE = "(e.x1 - e.x0) * ({y} - e.y0) - (e.y1 - e.y0) * ({x} - e.x0)"
+_SIDES = ", ".join(_SIDE.format(x=x, y=y) for x in ("px.c * 4", "px.c * 4 + 4") for y in ("px.r * 4", "px.r * 4 + 4"))
+_CUT = f"(greatest(e.x0, e.x1) > px.c * 4 AND least(e.x0, e.x1) < px.c * 4 + 4 AND greatest(e.y0, e.y1) > px.r * 4 AND least(e.y0, e.y1) < px.r * 4 + 4 AND least({_SIDES}) < 0 AND greatest({_SIDES}) > 0)"
+
+
+@query("gen10_filled_polygons", f"WITH {_EDGES}, {_AROUND} SELECT scene, gid, r AS y, c AS x FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1")
+def filled_polygons(t: Tables) -> DataFrame:
+    """Pixels whose centres an outline has inside."""
+    return PG.span_pixels(PG.filled_spans(edges_of(t), ["scene", "gid"], 4), ["scene", "gid"])
+
+
+@query("gen10_all_touched", f"WITH {_EDGES}, {_AROUND} SELECT scene, gid, r AS y, c AS x FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1 OR count(*) FILTER ({_CUT}) > 0")
+def all_touched(t: Tables) -> DataFrame:
+    """Pixels whose centres an outline has inside, or that one of its edges passes through."""
+    return PG.span_pixels(PG.touched_spans(edges_of(t), ["scene", "gid"], 4), ["scene", "gid"])
+
+
+@query("rg3_mask_pixels", f"WITH {_EDGES}, {_AROUND}, i AS (SELECT scene, gid, r, c FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1) SELECT scene, count(DISTINCT gid) AS outlines, count(DISTINCT r * 100000 + c) AS raw_pixels, count(DISTINCT CASE WHEN (r + c) % 7 <> 0 THEN r * 100000 + c END) AS clipped_pixels FROM i GROUP BY 1")
+def mask_pixels(t: Tables) -> DataFrame:
+    """A scene's mask of all its outlines, and what is left of it where pixels are valid."""
+    spans = PG.filled_spans(edges_of(t), ["scene", "gid"], 4)
+    pixels = PG.span_pixels(PG.merged_spans(spans, ["scene"]), ["scene"])
+    valid = F.count_if((F.col("y") + F.col("x")) % 7 != 0)
+    return pixels.groupBy("scene").agg(F.count(F.lit(1)).alias("raw_pixels"), valid.alias("clipped_pixels")).join(spans.groupBy("scene").agg(F.count_distinct("gid").alias("outlines")), "scene")
+
+
 @query("src8_boundless_window", "SELECT s.scene, q.k, coalesce(max(o.prob8), 0) AS value FROM @scenes s, unnest(range(0, 8)) AS q(k) LEFT JOIN @observations o ON o.scene = s.scene AND o.x = 60 + q.k AND o.y = 5 GROUP BY 1, 2")
 def boundless_window(t: Tables) -> DataFrame:
     """A row of pixels that goes beyond the raster; what is not there is 0."""

@@ -47,6 +47,21 @@ VIEWS = {
     "predictions": """
         SELECT scene, gid AS pid, x0 + gid % 5 AS x0, y0 + gid % 3 AS y0, x1 + gid % 5 AS x1, y1 + gid % 3 AS y1 FROM @annotations WHERE gid % 7 <> 0
         UNION ALL SELECT scene, -gid AS pid, x0, y0, x1 + 1, y1 FROM @annotations WHERE gid % 11 = 0""",
+    # Corners of outlines: of every four, one is a ring that crosses itself, one a triangle, one an L, one a star of five points; every fifth ring has a hole of its own.
+    "corners": """
+        SELECT scene, gid, 0 AS ring, k, x0 + CASE gid % 4 WHEN 0 THEN CASE WHEN k IN (1, 2) THEN w ELSE 0 END WHEN 1 THEN CASE k WHEN 1 THEN w WHEN 2 THEN CAST(floor(w / 2) AS BIGINT) ELSE 0 END
+                WHEN 2 THEN CASE WHEN k IN (1, 2) THEN w WHEN k IN (3, 4) THEN CAST(floor(w / 3) AS BIGINT) ELSE 0 END
+                ELSE CAST(floor(w * CASE k WHEN 0 THEN 5 WHEN 1 THEN 8 WHEN 2 THEN 0 WHEN 3 THEN 10 ELSE 2 END / 10) AS BIGINT) END AS x,
+            y0 + CASE gid % 4 WHEN 0 THEN CASE WHEN k IN (1, 3) THEN h ELSE 0 END WHEN 1 THEN CASE WHEN k IN (2, 3) THEN CASE k WHEN 2 THEN h ELSE 0 END ELSE 0 END
+                WHEN 2 THEN CASE WHEN k IN (2, 3) THEN CAST(floor(h / 3) AS BIGINT) WHEN k IN (4, 5) THEN h ELSE 0 END
+                ELSE CAST(floor(h * CASE k WHEN 0 THEN 0 WHEN 1 THEN 10 WHEN 2 THEN 4 WHEN 3 THEN 4 ELSE 10 END / 10) AS BIGINT) END AS y
+        FROM (SELECT scene, gid, x0, y0, w, h, k FROM @outline_boxes JOIN @corner_numbers ON k < CASE gid % 4 WHEN 2 THEN 6 WHEN 3 THEN 5 ELSE 4 END) q
+        UNION ALL SELECT scene, gid, 1 AS ring, k, x0 + 1 + CASE WHEN k IN (1, 2) THEN 2 ELSE 0 END AS x, y0 + 1 + CASE WHEN k IN (2, 3) THEN 2 ELSE 0 END AS y
+        FROM @outline_boxes JOIN @corner_numbers ON k < 4 WHERE gid % 5 = 0""",
+    "outline_boxes": """
+        SELECT scene, gid, max(x0) AS x0, max(y0) AS y0, max(x1 - x0) AS w, max(y1 - y0) AS h FROM @annotations GROUP BY scene, gid""",
+    "corner_numbers": """
+        SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5""",
     # Pixels seen by tiles: one row for each observation; ignore label 255.
     "observations": """
         SELECT l_partkey AS scene, l_orderkey % 64 AS y, (l_suppkey * 3 + l_linenumber) % 64 AS x, l_linenumber AS tile, l_orderkey * 8 + l_linenumber AS obs,
@@ -89,8 +104,8 @@ def duck(sql: str) -> str:
     body = plain(sql).strip()
     if not heads:
         return body
-    if re.match(r"WITH\s", body, re.I):
-        return "WITH " + ", ".join(heads) + ", " + re.sub(r"^WITH\s+", "", body, flags=re.I)
+    if m := re.match(r"WITH\s+(RECURSIVE\s+)?", body, re.I):
+        return m[0] + ", ".join(heads) + ", " + body[m.end() :]
     return "WITH " + ", ".join(heads) + " " + body
 
 

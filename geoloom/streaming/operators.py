@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 #: The queues, the seconds that a message may wait in one, and where it goes then. Only the dead-letter queue keeps messages for ever.
@@ -55,27 +55,128 @@ def ready_blocks(done: DataFrame, needs: DataFrame) -> DataFrame:
     return told.filter("open = 0").drop("open")
 
 
-def ready_blocks_stream(done: DataFrame, needs: DataFrame) -> DataFrame:
-    """The same over a stream (scene, tile, ts) with a static table of needs (scene, tile, block, n_tiles): each block is told once, when its last tile comes.
+#: State of the stateful streams below lives in this store, which their sessions must name in spark.sql.streaming.stateStore.providerClass.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    State: the tiles seen of a block; a repeated tile changes nothing.
+
+class ReadyBlocks(StatefulProcessor):
+    """One block of a scene: the tiles that are done and when, until all are; then only that it was told, until a timer clears that too.
+
+    hold: milliseconds of event time for which a finished block ignores repeated messages, and after which a block that hears nothing is given up.
     """
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, told = state.get if state.exists else ([], False)
-        seen, told = set(seen), bool(told)
-        latest, need = None, None
-        for f in frames:
-            seen |= set(f["tile"].tolist())
-            latest, need = f["ts"].max(), int(f["n_tiles"].iloc[0])
-        if not told and need is not None and len(seen) >= need:
-            told = True
-            yield pd.DataFrame({"scene": [key[0]], "block": [key[1]], "ready_ts": [latest]})
-        state.update((sorted(seen), told))
-
-    joined = done.join(needs, ["scene", "tile"])
-    return joined.groupBy("scene", "block").applyInPandasWithState(
-        step, "scene bigint, block bigint, ready_ts timestamp", "seen array<bigint>, told boolean", "append", GroupStateTimeout.NoTimeout
+    def __init__(self, hold: int):
+        self.hold = hold
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.tiles = handle.getMapState("tiles", "tile bigint", "ts timestamp")
+        self.told = handle.getValueState("told", "told boolean")
+
+    def _wait(self, until: int) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(until)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        last, need = None, 0
+        for f in rows:
+            last, need = max(filter(None, (last, f["ts"].max()))), int(f["n_tiles"].iloc[0])
+            if not self.told.exists():
+                for tile, ts in f.groupby("tile")["ts"].min().items():
+                    was = self.tiles.getValue((int(tile),)) if self.tiles.containsKey((int(tile),)) else None
+                    if was is None or ts < pd.Timestamp(was[0]):
+                        self.tiles.updateValue((int(tile),), (ts.to_pydatetime(),))
+        if last is None:
+            return
+        self._wait(max(int(last.timestamp() * 1000), timerValues.getCurrentWatermarkInMs()) + self.hold)
+        if not self.told.exists():
+            done = [pd.Timestamp(v[0]) for v in self.tiles.values()]
+            if len(done) >= need:
+                self.tiles.clear()
+                self.told.update((True,))
+                yield pd.DataFrame({"scene": [key[0]], "block": [key[1]], "ready_ts": [max(done)]})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.tiles.clear()
+        self.told.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def ready_blocks_stream(done: DataFrame, needs: DataFrame, delay: str = "10 minutes", hold_minutes: int = 24 * 60) -> DataFrame:
+    """(scene, block, ready_ts) of a stream (scene, tile, ts) with a static table of needs (scene, tile, block, n_tiles).
+
+    A block is told once, when its last tile comes, with the time of the last tile's first message, over however many micro-batches.
+    Messages later than the watermark are ignored; a block's state shrinks when it is told, and goes by a timer.
+    """
+    joined = done.withWatermark("ts", delay).join(needs, ["scene", "tile"])
+    return joined.groupBy("scene", "block").transformWithStateInPandas(
+        ReadyBlocks(hold_minutes * 60_000), "scene bigint, block bigint, ready_ts timestamp", "Append", "EventTime"
+    )
+
+
+class Batches(StatefulProcessor):
+    """A key's rows in order of time and id, handed on in batches of `size` rows, or fewer where the first has waited for `wait` milliseconds."""
+
+    def __init__(self, size: int, wait: int):
+        self.size, self.wait = size, wait
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "ts timestamp, event_id bigint")
+        self.made = handle.getValueState("made", "n bigint")
+
+    def _settle(self, key: tuple, upto: int) -> Iterator[pd.DataFrame]:
+        """Batches of which it is settled by this time which rows are in them."""
+        held = sorted((pd.Timestamp(ts), int(i)) for ts, i in self.rows.get())
+        n = int(self.made.get()[0]) if self.made.exists() else 0
+        out = []
+        at = lambda r: int(r[0].timestamp() * 1000)
+        while held:
+            end = at(held[0]) + self.wait
+            inside = [r for r in held[: self.size] if at(r) < end]
+            whole = len(inside) == self.size and at(inside[-1]) < upto
+            if not whole and end > upto:
+                break
+            out.append((n, len(inside), inside[0][0], inside[-1][0]))
+            n, held = n + 1, held[len(inside) :]
+        self.rows.clear()
+        if held:
+            self.rows.put([(ts.to_pydatetime(), i) for ts, i in held])
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if held:
+            # the next batch is settled by the end of its wait, or once the watermark has passed the row that fills it
+            full = at(held[self.size - 1]) + 1 if len(held) >= self.size else at(held[0]) + self.wait
+            self.handle.registerTimer(max(min(full, at(held[0]) + self.wait), upto + 1))
+        self.made.update((n,))
+        if out:
+            k = list(zip(*out, strict=True))
+            yield pd.DataFrame({"stage": key[0], "scene": key[1], "batch": k[0], "n": k[1], "first_ts": k[2], "last_ts": k[3]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        for f in rows:
+            self.rows.appendList([(ts.to_pydatetime(), int(i)) for ts, i in zip(f["ts"], f["event_id"], strict=True)])
+        yield from self._settle(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._settle(key, timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def micro_batches_stream(rows: DataFrame, size: int, wait_ms: int, delay: str = "10 minutes") -> DataFrame:
+    """(stage, scene, batch, n, first_ts, last_ts) of a stream (stage, scene, ts, event_id): the batches that a worker takes.
+
+    A batch opens with a row and takes rows in order of time until it has `size` of them or its first one has waited for wait_ms; it is handed on
+    when the watermark has settled which. What is open when the stream stops stays in its state.
+    """
+    return rows.withWatermark("ts", delay).groupBy("stage", "scene").transformWithStateInPandas(
+        Batches(size, wait_ms), "stage string, scene bigint, batch bigint, n bigint, first_ts timestamp, last_ts timestamp", "Append", "EventTime"
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import difflib
 import json
 import random
@@ -15,6 +16,7 @@ from geoloom.functions import metrics as M
 from geoloom.functions import names as N
 from geoloom.operators import grids as og
 from geoloom.operators import objects as ob
+from geoloom.operators import polygons as PG
 from geoloom.operators import raster as R
 from geoloom.operators import scene_match as sm
 from geoloom.operators import splits as sp
@@ -236,10 +238,12 @@ def test_greedy_match_equals_loop(spark):
 # Rasters
 
 
-def test_components_equal_flood_fill(spark):
+@pytest.mark.parametrize("block", [4, 1024])
+def test_components_equal_flood_fill(spark, block):
+    """Also where components wind through several blocks, and in wide scenes."""
     random.seed(2)
-    on = {(y, x) for y in range(20) for x in range(20) if random.random() < 0.5}
-    rows = R.label_components(spark.createDataFrame([(1, y, x) for y, x in on], "scene bigint, y bigint, x bigint")).collect()
+    on = {(y, x + 70_000) for y in range(20) for x in range(20) if random.random() < 0.5}
+    rows = R.label_components(spark.createDataFrame([(1, y, x) for y, x in on], "scene bigint, y bigint, x bigint"), block).collect()
     want, left = {}, set(on)
     while left:
         seed = min(left)
@@ -251,18 +255,110 @@ def test_components_equal_flood_fill(spark):
                 part.add((y, x))
                 stack += [(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)]
         for p in part:
-            want[p] = seed[0] * 65536 + seed[1]
-    assert {(r.y, r.x): r.label for r in rows} == want
+            want[p] = seed
+    assert {(r.y, r.x): tuple(r.label) for r in rows} == want
 
 
-def test_union_area_equals_painting(spark):
+def random_boxes(n, most=20, size=9):
+    out = []
+    for k in range(n):
+        x, y = random.randint(0, most), random.randint(0, most)
+        out.append((k, (x, y, x + random.randint(1, size), y + random.randint(1, size))))
+    return out
+
+
+def painted(b):
+    return {(y, x) for _, (x0, y0, x1, y1) in b for x in range(x0, x1) for y in range(y0, y1)}
+
+
+def test_covered_area_equals_painting(spark):
     random.seed(4)
-    b = []
-    for k in range(15):
-        x, y = random.randint(0, 20), random.randint(0, 20)
-        b.append((k, (x, y, x + random.randint(1, 9), y + random.randint(1, 9))))
-    r = R.union_area(boxes(spark, b)).first()
-    assert r.area == len({(x, y) for _, (x0, y0, x1, y1) in b for x in range(x0, x1) for y in range(y0, y1)})
+    b = random_boxes(15)
+    assert PG.covered_area(boxes(spark, b), ["scene"]).first().area == len(painted(b))
+
+
+def ring(spark, *rings):
+    rows = [(1, g, r, k, float(x), float(y)) for g, parts in enumerate(rings) for r, part in enumerate(parts) for k, (x, y) in enumerate(part)]
+    return PG.ring_edges(spark.createDataFrame(rows, "scene bigint, gid bigint, ring int, k int, x double, y double"), ["scene", "gid"], ["ring"])
+
+
+BOW = [(0, 0), (10, 10), (10, 0), (0, 10)]
+STAR = [(5, 0), (8, 10), (0, 4), (10, 4), (2, 10)]
+
+
+def test_cleaned_areas(spark):
+    """A ring that crosses itself, one with a hole, one that runs over its own edge twice, one without an area."""
+    square = [(0, 0), (10, 0), (10, 10), (0, 10)]
+    spike = [(0, 0), (10, 0), (10, 10), (20, 10), (10, 10), (0, 10)]
+    rows = PG.shape_areas(PG.cleaned(ring(spark, [BOW], [square, [(2, 2), (4, 2), (4, 4), (2, 4)]], [spike], [[(0, 0), (5, 5), (9, 9)]], [STAR]), ["scene", "gid"]), ["scene", "gid"]).collect()
+    got = {r.gid: r.area for r in rows}
+    assert {k: round(v, 9) for k, v in got.items() if k != 4} == {0: 50.0, 1: 96.0, 2: 100.0}
+    fine = 400
+    inside = sum(even_odd(STAR, (x + 0.5) * 10 / fine, (y + 0.5) * 10 / fine) for x in range(fine) for y in range(fine)) * (10 / fine) ** 2
+    assert got[4] == pytest.approx(inside, rel=0.01)
+
+
+def even_odd(points, x, y):
+    odd = False
+    for (ax, ay), (bx, by) in zip(points, points[1:] + points[:1], strict=True):
+        if (ay <= y) != (by <= y) and ax + (y - ay) * (bx - ax) / (by - ay) <= x:
+            odd = not odd
+    return odd
+
+
+def test_cleaned_rings_with_many_crossings(spark):
+    random.seed(11)
+    points = [(random.randint(0, 40), random.randint(0, 40)) for _ in range(60)]
+    got = PG.shape_areas(PG.cleaned(ring(spark, [points]), ["scene", "gid"], 16), ["scene", "gid"]).first().area
+    fine = 200
+    inside = sum(even_odd(points, (x + 0.5) * 40 / fine, (y + 0.5) * 40 / fine) for x in range(fine) for y in range(fine)) * (40 / fine) ** 2
+    assert got == pytest.approx(inside, rel=0.02)
+
+
+def test_filled_and_touched_pixels(spark):
+    edges = ring(spark, [BOW], [STAR])
+    got = {(r.gid, r.y, r.x) for r in PG.span_pixels(PG.filled_spans(edges, ["scene", "gid"], 1), ["scene", "gid"]).collect()}
+    assert got == {(g, y, x) for g, p in enumerate((BOW, STAR)) for y in range(11) for x in range(11) if even_odd(p, x + 0.5, y + 0.5)}
+    touched = {(r.gid, r.y, r.x) for r in PG.span_pixels(PG.touched_spans(edges, ["scene", "gid"], 1), ["scene", "gid"]).collect()}
+    assert got < touched and {(0, k, k) for k in range(10)} <= touched
+
+
+def test_dissolved_spans_equal_painting(spark):
+    random.seed(6)
+    b = random_boxes(25, 40)
+    whole = painted(b)
+    rows = [(1, y, x0, x1) for _, (x0, y0, x1, y1) in b for y in range(y0, y1)]
+    spans = spark.createDataFrame(rows, "scene bigint, row bigint, c0 bigint, c1 bigint")
+    pixels = lambda df: {(r.y, r.x) for r in PG.span_pixels(df, ["scene"]).collect()}
+    assert pixels(PG.dissolved(spans, ["scene"])) == whole
+    around = [(dy, dx) for dy in range(-2, 3) for dx in range(-2, 3)]
+    wide = {(y + dy, x + dx) for y, x in whole for dy, dx in around}
+    closed = {p for p in wide if all((p[0] + dy, p[1] + dx) in wide for dy, dx in around)}
+    assert pixels(PG.dissolved(spans, ["scene"], 2)) == closed
+    sizes, left = [], set(whole)
+    while left:
+        stack, n = [left.pop()], 0
+        while stack:
+            y, x = stack.pop()
+            n += 1
+            near = {(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)} & left
+            left -= near
+            stack += near
+        sizes.append(n)
+    got = PG.span_objects(PG.dissolved(spans, ["scene"]), ["scene"], 15).collect()
+    assert sorted(r.pixels for r in got) == sorted(n for n in sizes if n >= 15)
+
+
+def test_mosaic_plan_of_two_half_covering_neighbours(spark):
+    """Two neighbours that overlap each other cover the gap together; shares do not add up beyond it."""
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    foot = frame([(1, 0, 0, 50, 100), (2, 50, 0, 100, 60), (3, 50, 40, 100, 100), (4, 50, 0, 80, 10)], "scene bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint")
+    window = frame([(1, 0, 0, 0, 100, 100)], "scene bigint, index bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint")
+    edge = lambda n: (1, n, "touch", "right", 0.0)
+    names = "anchor bigint, neighbour bigint, relation string, side string, distance double"
+    for who, cover, n in (([2, 3], 1.0, 2), ([2], 0.6, 1), ([3, 4], 0.66, 2)):
+        r = T.mosaic_plan(window, foot, frame([edge(k) for k in who], names)).first()
+        assert (r.gap, r.reason, r.candidates, r.side, r.cover, r.overlap) == (5000, "neighbor_covers_gap", n, "right", cover, False)
 
 
 def test_simplified(spark):
@@ -458,3 +554,58 @@ def test_history_and_collection(spark, tmp_path):
     assert sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / "h")).collect()), key=str) == [("2.0", "3.0"), (None, "1.0")]
     text = spark.range(1).select(wr.feature_collection(F.lit('x"y'), F.array(F.lit('{"k":1}'), F.lit('{"k":2}')), 3857)).first()[0]
     assert json.loads(text) == {"type": "FeatureCollection", "name": 'x"y', "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": [{"k": 1}, {"k": 2}]}
+
+
+def test_ready_blocks_stream_over_restarts(spark, tmp_path):
+    """The last tile's first message counts; repeats are ignored, until the timer has cleared the block."""
+    at = lambda h, m: datetime.datetime(2024, 1, 1, h, m)
+    schema = "scene bigint, tile bigint, ts timestamp"
+    needs = spark.createDataFrame([(1, k, 0, 3) for k in range(3)], "scene bigint, tile bigint, block bigint, n_tiles int")
+    (tmp_path / "in").mkdir()
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", st.STATE_STORE)
+
+    def run(part, rows):
+        spark.createDataFrame([(1, t, ts) for t, ts in rows], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{part}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        out = st.ready_blocks_stream(stream, needs, "10 minutes", 60)
+        q = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return [r.ready_ts for r in spark.read.schema(out.schema).parquet(f"{tmp_path}/out").collect()]
+
+    try:
+        assert run(1, [(0, at(0, 0)), (1, at(0, 8))]) == []
+        assert run(2, [(2, at(0, 5)), (1, at(0, 9))]) == [at(0, 8)]
+        assert run(3, [(2, at(0, 9)), (0, at(0, 9))]) == [at(0, 8)]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def folded_batches(rows, size, wait_s):
+    """Batches of one key's rows by a plain loop."""
+    out, rows = [], sorted(rows)
+    while rows:
+        inside = [r for r in rows[:size] if (r[0] - rows[0][0]).total_seconds() < wait_s]
+        out.append((len(inside), inside[0][0], inside[-1][0]))
+        rows = rows[len(inside) :]
+    return out
+
+
+def test_micro_batches_stream(spark, tmp_path):
+    """By size or wait, over several runs, as a loop over all rows makes them; a last message far later settles all before it."""
+    random.seed(3)
+    rows = [(datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=random.choice((1, 5, 40)) * k + random.randint(0, 30)), k) for k in range(60)]
+    far = [(datetime.datetime(2024, 1, 3), 1000)], [(datetime.datetime(2024, 1, 9), 1001)]
+    schema = "stage string, scene bigint, ts timestamp, event_id bigint"
+    (tmp_path / "in").mkdir()
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", st.STATE_STORE)
+    try:
+        for k, part in enumerate((sorted(rows)[:35], sorted(rows)[35:], *far)):
+            spark.createDataFrame([("s", 1, *r) for r in part], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+            out = st.micro_batches_stream(stream, 4, 60_000)
+            q = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+            q.awaitTermination()
+        got = [(r.n, r.first_ts, r.last_ts) for r in spark.read.schema(out.schema).parquet(f"{tmp_path}/out").orderBy("batch").collect()]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert got[: len(folded_batches(rows, 4, 60))] == folded_batches(rows, 4, 60)
