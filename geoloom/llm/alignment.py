@@ -38,6 +38,8 @@ SHORT = 24
 ID_BITS = 18
 #: Bytes of text that a block has at most, unless it is one text.
 BLOCK_BYTES = 1 << 26
+#: Texts whose sizes have at most so many binary digits share blocks.
+SMALL_DIGITS = 14
 #: Stretches that a worker counts before it hands the counts on.
 COUNTED = 1 << 20
 #: Pairs that make up at least one link in so many are broadcast; there are no more of them than that.
@@ -266,7 +268,7 @@ def _blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text, block, file, at): blocks are rows near each other whose texts have the same number of binary digits in their sizes."""
     docs, key = row_key(docs)
     text = F.coalesce(docs[text_col], F.lit(""))
-    digits = F.char_length(F.bin(F.octet_length(text)))
+    digits = F.greatest(F.char_length(F.bin(F.octet_length(text))), F.lit(SMALL_DIGITS))
     rows = F.greatest(F.lit(1), F.lit(BLOCK_BYTES) / F.pow(F.lit(2.0), digits)).cast("long")
     block = F.hash(key["file"], digits, F.floor(key["at"] / rows))  # two blocks of one name are one block
     return docs.select(docs[id_col].alias("doc_id"), text.alias("text"), block.alias("block"), key["file"].alias("file"), key["at"].alias("at"))
