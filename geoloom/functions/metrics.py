@@ -59,23 +59,43 @@ def bce(logit: Column, truth: Column, pos_weight: float = 1.0) -> Column:
     return (1 - truth) * logit + weight * (F.log1p(F.exp(-F.abs(logit))) + F.greatest(-logit, F.lit(0.0)))
 
 
-def focal(logit: Column, truth: Column, gamma: float = 2.0, alpha: float = 0.25) -> Column:
+def focal(logit: Column, truth: Column, gamma: float = 2.0, alpha: float | None = None, pos_weight: float = 1.0) -> Column:
     p = sigmoid(logit)
     right = p * truth + (1 - p) * (1 - truth)
-    return (alpha * truth + (1 - alpha) * (1 - truth)) * F.pow(1 - right, F.lit(gamma)) * bce(logit, truth)
+    loss = F.pow(1 - right, F.lit(gamma)) * bce(logit, truth, pos_weight)
+    return loss if alpha is None else (alpha * truth + (1 - alpha) * (1 - truth)) * loss
 
 
-def dice_loss(p: Column, truth: Column, smooth: float = 1.0) -> Column:
+def dice_loss(p: Column, truth: Column, smooth: float = 1e-7) -> Column:
     """Aggregate over pixels."""
     return 1 - (2 * F.sum(p * truth) + smooth) / (F.sum(p) + F.sum(truth) + smooth)
 
 
-def tversky_loss(p: Column, truth: Column, alpha: float = 0.3, beta: float = 0.7, smooth: float = 1.0) -> Column:
+def tversky_loss(p: Column, truth: Column, alpha: float = 0.5, beta: float = 0.5, smooth: float = 1e-7) -> Column:
     """Aggregate over pixels."""
     tp, fp, fn = F.sum(p * truth), F.sum(p * (1 - truth)), F.sum((1 - p) * truth)
     return 1 - (tp + smooth) / (tp + alpha * fp + beta * fn + smooth)
 
 
+#: The names of losses and the parts that each adds up.
+LOSSES = {
+    "bce": ("bce",), "dice": ("dice",), "focal": ("focal",), "tversky": ("tversky",), "bce_dice": ("bce", "dice"), "focal_dice": ("focal", "dice"),
+    "bce_tversky": ("bce", "tversky"), "focal_tversky": ("focal", "tversky"), "bce_focal_dice": ("bce", "focal", "dice"),
+}
+
+
+def segmentation_loss(name: str, logit: Column, truth: Column, weights: dict[str, float] | None = None, eps: float = 1e-7, pos_weight: float = 1.0, gamma: float = 2.0, focal_alpha: float | None = None, alpha: float = 0.5, beta: float = 0.5) -> Column:
+    """Aggregate over pixels: a loss by its name, the sum of its parts, each by its weight (1); a name's parts may come in another order, and other names are bce_dice."""
+    p = sigmoid(logit)
+    parts = {
+        "bce": F.avg(bce(logit, truth, pos_weight)), "focal": F.avg(focal(logit, truth, gamma, focal_alpha, pos_weight)),
+        "dice": dice_loss(p, truth, eps), "tversky": tversky_loss(p, truth, alpha, beta, eps),
+    }
+    key = name.strip().lower().replace("binary_cross_entropy", "bce")
+    known = next((v for k, v in LOSSES.items() if sorted(k.split("_")) == sorted(key.split("_"))), LOSSES["bce_dice"])
+    return sum((parts[k] * (weights or {}).get(k, 1.0) for k in known), F.lit(0.0))
+
+
 def quantized(p: Column) -> Column:
     """A probability as a byte, rounded half to even."""
     return F.rint(F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)) * 255).cast("int")

@@ -6,7 +6,7 @@ import json
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,3 +242,20 @@ def name_number(name: Column) -> Column:
     """The number at a name's end, null if there is none."""
     digits = F.regexp_extract(name, r"(\d+)$", 1)
     return F.when(digits != "", digits.cast("bigint"))
+
+
+def canonical_json(fields: dict[str, Column], of: DataFrame) -> Column:
+    """JSON of some columns of a frame with sorted keys, a space after commas and colons, and nulls written: texts, whole numbers, and arrays of texts."""
+    told = of.select(*(c.alias(k) for k, c in fields.items())).schema
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), "\n", "\\\\n"), "\t", "\\\\t"), F.lit('"'))
+
+    def value(k: str) -> Column:
+        kind = told[k].dataType.simpleString()
+        if kind == "string":
+            return quoted(fields[k])
+        if kind == "array<string>":
+            return F.concat(F.lit("["), F.array_join(F.transform(fields[k], quoted), ", "), F.lit("]"))
+        return fields[k].cast("string")
+
+    parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(value(k), F.lit("null"))) for k in sorted(fields)]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))

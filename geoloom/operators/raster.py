@@ -86,6 +86,60 @@ def dilated(mask: DataFrame, radius: int = 1) -> DataFrame:
     return around.select("scene", (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x")).distinct()
 
 
+def blurred(pixels: DataFrame, w: Column, h: Column) -> DataFrame:
+    """pixels (scene, y, x, value) of whole images, w wide and h high, with `blur`: the mean of the nine pixels around, where the image's edge goes on beyond it.
+
+    A pixel gives its value to the pixels around it, as often as it stands for one beyond the edge; only sums are shuffled.
+    """
+    def places(c: str, size: Column) -> Column:
+        near = F.filter(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1), lambda k: (k >= 0) & (k < size))
+        twice = lambda k: F.when(((k == F.col(c)) & (k == 0)) | ((k == F.col(c)) & (k == size - 1)), F.when(size == 1, 3).otherwise(2)).otherwise(1)
+        return F.transform(near, lambda k: F.struct(k.alias("k"), twice(k).alias("n")))
+
+    spread = pixels.select("scene", "value", "y", F.col("x"), F.explode(places("y", h)).alias("to_y"), w.alias("w")).select("scene", "value", "to_y", F.explode(places("x", F.col("w"))).alias("to_x"))
+    n = F.col("to_y.n") * F.col("to_x.n")
+    means = spread.groupBy("scene", F.col("to_y.k").alias("y"), F.col("to_x.k").alias("x")).agg((F.sum(F.col("value") * n) / 9.0).alias("blur"))
+    return pixels.join(means, ["scene", "y", "x"])
+
+
+def unit_draw(seed: int, *parts: Column | str) -> Column:
+    """A number from 0 up to 1 for each row's parts, the same whenever it is drawn."""
+    told = F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(p).cast("string") if isinstance(p, str) else p.cast("string") for p in parts)))
+    return F.conv(F.substring(told, 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def noise(seed: int, *parts: Column | str, deviation: float = 0.02) -> Column:
+    """Normally distributed, from two draws by the method of Box and Muller."""
+    u, v = (unit_draw(seed + k, *parts) for k in (0, 1))
+    return F.lit(deviation) * F.sqrt(-2 * F.log(1 - u)) * F.cos(2 * F.pi() * v)
+
+
+def cutouts(images: DataFrame, seed: int, share: float = 0.35, holes: int = 1) -> DataFrame:
+    """(scene, hole, y0, x0, y1, x1) of images (scene, w, h): in this share of them so many holes, an eighth of the image along each side and 8 pixels at least."""
+    drawn = images.filter(unit_draw(seed, "scene") < share).withColumn("hole", F.explode(F.sequence(F.lit(1), F.lit(holes))))
+    sides = {c: F.greatest(F.lit(8), F.floor(F.col(s) / 8)) for c, s in (("y", "h"), ("x", "w"))}
+    first = {c: F.floor(unit_draw(seed + k, "scene", "hole") * (F.greatest(F.lit(0), F.col(s) - sides[c]) + 1)) for k, (c, s) in enumerate((("y", "h"), ("x", "w")), 1)}
+    return drawn.select("scene", "hole", *(first[c].alias(f"{c}0") for c in "yx"), *((first[c] + sides[c]).alias(f"{c}1") for c in "yx"))
+
+
+def cut_out(pixels: DataFrame, holes: DataFrame, erase_mask: bool = True) -> DataFrame:
+    """pixels (scene, y, x, value, truth) with value 0, and no truth if so asked, in an image's holes."""
+    marked = holes.groupBy("scene").agg(F.collect_list(F.struct("y0", "x0", "y1", "x1")).alias("holes"))  # a few an image
+    inside = F.coalesce(F.exists("holes", lambda h: (F.col("y") >= h["y0"]) & (F.col("y") < h["y1"]) & (F.col("x") >= h["x0"]) & (F.col("x") < h["x1"])), F.lit(False))
+    told = pixels.join(marked, "scene", "left").withColumn("inside", inside)
+    told = told.withColumn("value", F.when(F.col("inside"), 0).otherwise(F.col("value")))
+    return (told.withColumn("truth", F.when(F.col("inside"), 0).otherwise(F.col("truth"))) if erase_mask else told).drop("holes")
+
+
+def window_pixels(scenes: DataFrame, pixels: DataFrame, x0: Column, y0: Column, w: int, h: int) -> DataFrame:
+    """(scene, y, x, value) of a window of each scene, places counted from its corner; what lies beyond the raster, or was not seen, is 0."""
+    steps = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    want = scenes.select("scene", x0.alias("x0"), y0.alias("y0"), steps(h).alias("y")).select("scene", "x0", "y0", "y", steps(w).alias("x"))
+    at = want.select("scene", "y", "x", (F.col("y0") + F.col("y")).alias("at_y"), (F.col("x0") + F.col("x")).alias("at_x"))
+    seen = pixels.select("scene", F.col("y").alias("at_y"), F.col("x").alias("at_x"), "value")
+    return at.join(seen, ["scene", "at_y", "at_x"], "left").select("scene", "y", "x", F.coalesce("value", F.lit(0)).alias("value"))
+
+
 def seam_jumps(pixels: DataFrame, every: int) -> DataFrame:
     """(scene, seam, mean_jump, max_jump): absolute steps between columns seam - 1 and seam, at every so many columns."""
     left = F.lag("value").over(Window.partitionBy("scene", "y").orderBy("x"))

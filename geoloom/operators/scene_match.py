@@ -163,3 +163,20 @@ def flatten_json(rows: DataFrame, id_col: str, json_col: str) -> DataFrame:
             yield pd.DataFrame(out, columns=["id", "key", "value"])
 
     return rows.select(id_col, json_col).mapInPandas(run, f"id {rows.schema[id_col].dataType.simpleString()}, key string, value string")
+
+
+def match_names(features: DataFrame, id_col: str, name_col: str, scenes: DataFrame, scene_col: str, key_col: str) -> DataFrame:
+    """(id, scene) of features whose name, an image's path in any form, leads to a scene.
+
+    A scene is known by its file name, that in lower case, its stem, that in lower case, and its normalized name; the first scene of
+    a name has it. Of a feature's names, in this order, the first that is known counts.
+    """
+
+    def names(c: str) -> list[Column]:
+        base = F.element_at(F.split(c, "/"), -1)
+        stem = F.regexp_replace(base, r"\.[^.]*$", "")
+        return [base, F.lower(base), stem, F.lower(stem), norm_scene_name(F.col(c))]
+
+    known = scenes.select(scene_col, F.explode(F.array(*names(key_col))).alias("name")).groupBy("name").agg(F.min(scene_col).alias(scene_col))
+    asked = features.select(id_col, F.posexplode(F.array(*names(name_col))).alias("place", "name"))
+    return asked.join(known, "name").groupBy(id_col).agg(F.min_by(scene_col, "place").alias(scene_col))

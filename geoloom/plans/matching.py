@@ -12,6 +12,7 @@ from ..operators import objects as ob
 from ..operators import scene_match as sm
 from ..operators import splits as sp
 from ..operators.ranked_join import ranked_rule_join
+from ..sources import readers as rd
 from .registry import query
 from .views import Tables
 
@@ -243,6 +244,21 @@ def image_index(t: Tables) -> DataFrame:
     return t.images.groupBy(N.norm_scene_name(F.col("key")).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key")).filter("n > 1")
 
 
+#: A listing in which files share names and stems.
+_SHARED_KEYS = "CASE WHEN image % 6 = 1 THEN 'root/x' || CAST(image % 4 AS STRING) || '/Scene_' || CAST(image % 25 AS STRING) || CASE WHEN image % 4 < 2 THEN '.tif' ELSE '.TIFF' END ELSE key END"
+_FILE = "lower(regexp_extract(key, '[^/]*$', 0))"
+
+
+@query(
+    "src7_image_warnings",
+    f"""WITH i AS (SELECT {_SHARED_KEYS} AS key FROM @images), k AS (SELECT 'filename' AS kind, {_FILE} AS name, key FROM i UNION ALL SELECT 'stem', regexp_replace({_FILE}, '(.)[.][^.]*$', '\\1'), key FROM i)
+    SELECT 'duplicate_' || kind || ': ' || name || ': ' || string_agg(key, '; ' ORDER BY lower(key), key) AS warning FROM k GROUP BY kind, name HAVING count(*) > 1""",
+)
+def image_warnings(t: Tables) -> DataFrame:
+    """File names and stems that several images share."""
+    return rd.image_warnings(t.images.select(F.expr(_SHARED_KEYS).alias("key")))
+
+
 _COUNTS = "counts AS (SELECT s.scene, s.scene % 20 AS dataset, coalesce(c.n, 0) AS objects FROM @scenes s LEFT JOIN (SELECT scene, count(*) AS n FROM @annotations WHERE gid % 5 = 0 AND scene % 3 <> 0 GROUP BY 1) c ON c.scene = s.scene)"
 
 
@@ -363,6 +379,21 @@ def fingerprint(t: Tables) -> DataFrame:
     return rows.select("dataset", F.sha2(F.array_join(F.transform("l", lambda x: x["s"]), ","), 256).alias("fingerprint"))
 
 
+@query(
+    "ag25_canonical_fingerprint",
+    f"""WITH {_COUNTS}, j AS (SELECT dataset, '{{"class_name": "class ' || CAST(dataset AS VARCHAR) || '", "objects_count": ' || CAST(sum(objects) AS VARCHAR) || ', "scenes_count": ' || CAST(count(*) AS VARCHAR) ||
+        ', "selected_scenes": [' || string_agg('"' || CAST(scene AS VARCHAR) || '"', ', ' ORDER BY CAST(scene AS VARCHAR)) || '], "split_strategy": null}}' AS payload FROM counts GROUP BY 1)
+    SELECT dataset, sha256(payload) AS fingerprint, CASE WHEN dataset % 3 = 0 THEN 'commit' || CAST(dataset AS VARCHAR) ELSE sha256(payload) END AS version FROM j""",
+)
+def canonical_fingerprint(t: Tables) -> DataFrame:
+    """sha256 of a dataset's description as JSON with sorted keys; a commit, where there is one, is the version."""
+    d = F.col("dataset").cast("string")
+    rows = scene_object_counts(t).groupBy("dataset").agg(F.sum("objects").alias("objects"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.col("scene").cast("string"))).alias("scenes"))
+    payload = {"class_name": F.concat(F.lit("class "), d), "objects_count": F.col("objects"), "scenes_count": F.col("n"), "selected_scenes": F.col("scenes"), "split_strategy": F.lit(None).cast("string")}
+    told = rows.select("dataset", F.sha2(N.canonical_json(payload, rows), 256).alias("fingerprint"))
+    return told.withColumn("version", F.when(F.col("dataset") % 3 == 0, F.concat(F.lit("commit"), d)).otherwise(F.col("fingerprint")))
+
+
 @query("ag24_class_inventory", f"WITH {_COUNTS} SELECT dataset, sum(objects) AS objects, count(*) AS scenes, bool_or(objects = 0) AS has_empty FROM counts GROUP BY 1")
 def class_inventory(t: Tables) -> DataFrame:
     return scene_object_counts(t).groupBy("dataset").agg(F.sum("objects").alias("objects"), F.count(F.lit(1)).alias("scenes"), F.bool_or(F.col("objects") == 0).alias("has_empty"))

@@ -88,7 +88,7 @@ def _logit():
 )
 def loss_bce_focal(t: Tables) -> DataFrame:
     x, y = _logit(), F.col("truth")
-    made = {"bce": M.bce(x, y), "bce_weighted": M.bce(x, y, 3.0), "focal": M.focal(x, y)}
+    made = {"bce": M.bce(x, y), "bce_weighted": M.bce(x, y, 3.0), "focal": M.focal(x, y, alpha=0.25)}
     return t.observations.filter("truth <> 255").groupBy("scene").agg(*(F.round(F.avg(c), 6).alias(k) for k, c in made.items()))
 
 
@@ -100,7 +100,7 @@ def loss_bce_focal(t: Tables) -> DataFrame:
 )
 def loss_dice_tversky(t: Tables) -> DataFrame:
     p, y = M.sigmoid(_logit()), F.col("truth")
-    return t.observations.filter("truth <> 255").groupBy("scene").agg(F.round(M.dice_loss(p, y), 6).alias("dice"), F.round(M.tversky_loss(p, y), 6).alias("tversky"))
+    return t.observations.filter("truth <> 255").groupBy("scene").agg(F.round(M.dice_loss(p, y, 1.0), 6).alias("dice"), F.round(M.tversky_loss(p, y, 0.3, 0.7, 1.0), 6).alias("tversky"))
 
 
 @query(
@@ -110,7 +110,21 @@ def loss_dice_tversky(t: Tables) -> DataFrame:
 )
 def loss_combined(t: Tables) -> DataFrame:
     x, y = _logit(), F.col("truth")
-    return t.observations.filter("truth <> 255").groupBy("scene").agg(F.round(0.5 * F.avg(M.bce(x, y)) + 0.5 * M.dice_loss(M.sigmoid(x), y), 6).alias("bce_dice"))
+    return t.observations.filter("truth <> 255").groupBy("scene").agg(F.round(0.5 * F.avg(M.bce(x, y)) + 0.5 * M.dice_loss(M.sigmoid(x), y, 1.0), 6).alias("bce_dice"))
+
+
+_PARTS = f"""parts AS (SELECT scene, avg(greatest({_LOGIT}, 0) - {_LOGIT} * truth + ln(1 + exp(-abs({_LOGIT})))) AS b,
+    avg(pow(1 - ({_P} * truth + (1 - {_P}) * (1 - truth)), 2) * ((1 - truth) * {_LOGIT} + ln(1 + exp(-abs({_LOGIT}))) + greatest(-{_LOGIT}, 0))) AS f,
+    1 - (2 * sum({_P} * truth) + 1e-7) / (sum({_P}) + sum(truth) + 1e-7) AS d, 1 - (sum({_P} * truth) + 1e-7) / (sum({_P} * truth) + 0.5 * sum({_P} * (1 - truth)) + 0.5 * sum((1 - {_P}) * truth) + 1e-7) AS t
+    FROM @observations WHERE truth <> 255 GROUP BY 1)"""
+_SUMS = {"bce": "b", "dice": "d", "focal": "f", "tversky": "t", "bce_dice": "b + d", "focal_dice": "f + d", "bce_tversky": "b + t", "focal_tversky": "f + t", "bce_focal_dice": "b + f + d"}
+
+
+@query("loss_by_name", f"WITH {_PARTS} SELECT scene, " + ", ".join(f"round({v}, 6) AS {k}" for k, v in _SUMS.items()) + " FROM parts")
+def loss_by_name(t: Tables) -> DataFrame:
+    """All nine losses, with their usual parameters."""
+    made = [F.round(M.segmentation_loss(k, _logit(), F.col("truth")), 6).alias(k) for k in M.LOSSES]
+    return t.observations.filter("truth <> 255").groupBy("scene").agg(*made)
 
 
 @query("loss_lr_schedule", "SELECT c_custkey % 100 AS epoch, round(0.00001 + 0.5 * (0.001 - 0.00001) * (1 + cos(pi() * (c_custkey % 100) / 100)), 12) AS cosine, round(0.001 * pow(0.1, floor((c_custkey % 100) / 30)), 12) AS step FROM @customer GROUP BY 1, 2, 3")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +9,10 @@ from ..functions import names as N
 from ..functions.geometry import box
 from ..functions.names import first_non_empty
 from ..functions.metrics import progress_percent, stage_fraction
+from ..operators.durable import shared_path
+from ..operators.running import running_sum
 from ..operators.scene_match import flatten_json
+from ..operators.scene_match import match_names
 from ..operators.scene_match import scene_score as scene_rungs
 from ..sources import readers as rd
 from ..sources import writers as wr
@@ -91,7 +91,7 @@ def scene_merge_once(t: Tables) -> DataFrame:
 def scenes_in_flight(t: Tables) -> DataFrame:
     ends = t.messages.groupBy("scene").agg(F.min("event_id").alias("a"), F.max("event_id").alias("b"))
     steps = ends.select(F.col("a").alias("pos"), F.lit(1).alias("s")).unionByName(ends.select(F.col("b").alias("pos"), F.lit(-1).alias("s"))).groupBy("pos").agg(F.sum("s").alias("s"))
-    return steps.select("pos", F.sum("s").over(Window.orderBy("pos")).alias("in_flight"))  # two rows a scene
+    return running_sum(steps, "pos", "s").select("pos", F.col("total").alias("in_flight"))
 
 
 @query("st7_micro_batches", "SELECT stage, batch, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM (SELECT *, (row_number() OVER (PARTITION BY stage, scene ORDER BY ts, event_id) - 1) // 8 AS batch, scene AS s FROM @messages) q GROUP BY stage, s, batch")
@@ -157,13 +157,17 @@ def _drained(t: Tables, make, form: str = "parquet", runs: int = 1) -> DataFrame
     spark = t.spark
     source = f"{t.sf_dir}/events.parquet"
     schema = t.events.schema
-    base = (spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    base = shared_path(spark, "stream")
     folder, _, name = source.rpartition("/")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name if not t.events.inputFiles()[0].rpartition("/")[0].endswith(name) else "*").parquet(folder if not t.events.inputFiles()[0].rpartition("/")[0].endswith(name) else source)
     out = make(st.event_time(stream))
+    store = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(store)
+    spark.conf.set(store, st.STATE_STORE)
     for _ in range(runs):
         q = out.writeStream.format(form).option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
         q.awaitTermination()
+    spark.conf.set(store, was)
     return spark.read.schema(out.schema).format(form).load(f"{base}/out")
 
 
@@ -174,16 +178,38 @@ def stream_deduplicated(t: Tables) -> DataFrame:
     return _drained(t, lambda s: st.deduplicated(s.withColumn("message_id", ident)).select("message_id"))
 
 
-@query("st4_stream_ready_blocks", f"WITH {_DONE} SELECT n.scene, n.block FROM needs n LEFT JOIN done d USING (scene, tile) GROUP BY 1, 2 HAVING count(d.ts) = count(*)")
+@query(
+    "st4_stream_ready_blocks",
+    """WITH done AS (SELECT user_id AS scene, event_id % 97 % 12 AS tile, min(ts) AS ts FROM @events GROUP BY 1, 2)
+    SELECT scene, tile // 4 AS block, max(ts) AS ready_ts FROM done GROUP BY 1, 2 HAVING count(*) = 4""",
+)
 def stream_ready_blocks(t: Tables) -> DataFrame:
-    """The dependency tracker as a stateful stream: the same blocks as the batch form, each once."""
+    """The dependency tracker as a stateful stream: the blocks of the batch form, each once, with the time of the last tile."""
     needs = _needs(t).withColumn("n_tiles", F.lit(4))
 
     def make(stream: DataFrame) -> DataFrame:
         done = stream.select(F.col("user_id").alias("scene"), (F.col("event_id") % 97 % 12).alias("tile"), "ts")
-        return st.ready_blocks_stream(done, needs).select("scene", "block")
+        return st.ready_blocks_stream(done, needs)
+
+    return _drained(t, make).withColumn("ready_ts", F.col("ready_ts").cast("timestamp_ntz"))
 
-    return _drained(t, make)
+
+@query(
+    "st7_stream_batches",
+    """WITH RECURSIVE r AS (SELECT event_type AS stage, user_id % 5 AS scene, ts, epoch_ms(ts) AS ms, row_number() OVER (PARTITION BY event_type, user_id % 5 ORDER BY ts, event_id) AS k FROM @events),
+    w AS (SELECT max(ms) - 600000 AS upto FROM r),
+    e AS (SELECT a.stage, a.scene, a.k, a.ms, max(b.k) AS z, max(b.ms) AS last FROM r a JOIN r b ON b.stage = a.stage AND b.scene = a.scene AND b.k BETWEEN a.k AND a.k + 7 AND b.ms < a.ms + 14400000 GROUP BY 1, 2, 3, 4),
+    f AS (SELECT stage, scene, 0 AS batch, k, z, ms, last FROM e WHERE k = 1 UNION ALL SELECT e.stage, e.scene, f.batch + 1, e.k, e.z, e.ms, e.last FROM f JOIN e ON e.stage = f.stage AND e.scene = f.scene AND e.k = f.z + 1)
+    SELECT f.stage, f.scene, CAST(batch AS BIGINT) AS batch, z - f.k + 1 AS n, a.ts AS first_ts, b.ts AS last_ts FROM f JOIN w ON (z - f.k = 7 AND last < upto) OR f.ms + 14400000 <= upto
+    JOIN r a ON a.stage = f.stage AND a.scene = f.scene AND a.k = f.k JOIN r b ON b.stage = f.stage AND b.scene = f.scene AND b.k = f.z""",
+)
+def stream_batches(t: Tables) -> DataFrame:
+    """Micro-batches of eight rows, or of fewer after four hours: what the stream has settled when the file is read."""
+
+    def make(stream: DataFrame) -> DataFrame:
+        return st.micro_batches_stream(stream.select(F.col("event_type").alias("stage"), (F.col("user_id") % 5).alias("scene"), "ts", "event_id"), 8, 14_400_000)
+
+    return _drained(t, make).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
 
 
 @query("st7_stream_windows", "SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n FROM @events GROUP BY 1, 2")
@@ -244,6 +270,17 @@ def retention(t: Tables) -> DataFrame:
     return t.messages.join(F.broadcast(now)).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
 
 
+@query(
+    "snk9_tail_compaction",
+    """WITH l AS (SELECT scene, event_id, bytes + 1 AS n, sum(bytes + 1) OVER (PARTITION BY scene) AS size, sum(bytes + 1) OVER (PARTITION BY scene ORDER BY event_id DESC) AS tail FROM @messages)
+    SELECT scene, CAST(max(size) AS BIGINT) AS original_bytes, max(size) > 60000 AS compacted, count(*) FILTER (size <= 60000 OR tail < 60000) AS kept_lines, min(event_id) FILTER (size <= 60000 OR tail < 60000) AS first_kept FROM l GROUP BY 1""",
+)
+def tail_compaction(t: Tables) -> DataFrame:
+    """Event logs of scenes, of which whole lines from the end stay."""
+    kept = wr.kept_tail(t.messages.select("scene", "event_id", "bytes"), ["scene"], "event_id", F.col("bytes"), 60_000)
+    return kept.groupBy("scene").agg(F.max("log_bytes").alias("original_bytes"), F.bool_or("compacted").alias("compacted"), F.count_if("kept").alias("kept_lines"), F.min(F.when(F.col("kept"), F.col("event_id"))).alias("first_kept"))
+
+
 # Listings, manifests, JSON
 
 
@@ -252,6 +289,29 @@ def layout_status(t: Tables) -> DataFrame:
     return t.images.groupBy(rd.extension(F.col("key")).alias("ext")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
 
 
+_PREFIXES = ("root/region0/", "root/region1/", "root/region3/Brand1", "layouts/")
+
+
+@query("src2_prefix_status", "SELECT p.prefix, count(i.key) > 0 AS \"exists\", count(i.key) AS object_count, CAST(coalesce(sum(i.size), 0) AS BIGINT) AS total_size_bytes FROM (VALUES " + ", ".join(f"('{x}')" for x in _PREFIXES) + ") p(prefix) LEFT JOIN @images i ON starts_with(i.key, p.prefix) GROUP BY 1")
+def prefix_status(t: Tables) -> DataFrame:
+    """What lies under each prefix that a layout has to have."""
+    return rd.prefix_status(t.images, _PREFIXES)
+
+
+#: Listings of layouts, one for each region.
+_LAYOUT_KEYS = "CASE WHEN image % 5 = 0 AND image % 7 <> 2 THEN replace(key, '.tif', '.GeoJSON') WHEN image % 14 = 6 THEN 'root/region' || CAST(image % 7 AS STRING) || '/' || CAST(image AS STRING) || '/Scenes.txt' ELSE key END"
+
+
+@query(
+    "src3_layout_choice",
+    f"""WITH l AS (SELECT image % 7 AS layout, {_LAYOUT_KEYS} AS key FROM @images)
+    SELECT layout, max(key) FILTER (lower(key) LIKE '%.geojson') AS annotation, max(key) FILTER (lower(regexp_extract(key, '[^/]*$')) = 'scenes.txt') AS scenes FROM l GROUP BY 1""",
+)
+def layout_choice(t: Tables) -> DataFrame:
+    """The annotation and scene files of each layout: of several the last by name."""
+    return rd.layout_files(t.images.select((F.col("image") % 7).alias("layout"), F.expr(_LAYOUT_KEYS).alias("key")), ["layout"])
+
+
 @query("ag28_extensions", "SELECT lower(regexp_extract(key, '(\\.[^./]+)$', 1)) AS ext, count(*) AS n FROM @images GROUP BY 1")
 def extensions(t: Tables) -> DataFrame:
     return t.images.groupBy(rd.extension(F.col("key")).alias("ext")).agg(F.count(F.lit(1)).alias("n"))
@@ -346,6 +406,23 @@ def first_property_match(t: Tables) -> DataFrame:
     return t.images.select("image", name.alias("name")).join(firsts, "name").select("image", "scene")
 
 
+_PROPERTY = "CASE image % 5 WHEN 0 THEN key WHEN 1 THEN lower(regexp_extract(key, '[^/]*$', 0)) WHEN 2 THEN regexp_replace(regexp_extract(key, '[^/]*$', 0), '[.][^.]*$', '') WHEN 3 THEN upper(key) ELSE 'no ' || key END"
+_NAMES = ("regexp_extract({k}, '[^/]*$', 0)", "lower(regexp_extract({k}, '[^/]*$', 0))", "regexp_replace(regexp_extract({k}, '[^/]*$', 0), '[.][^.]*$', '')", "lower(regexp_replace(regexp_extract({k}, '[^/]*$', 0), '[.][^.]*$', ''))", norm("{k}"))
+
+
+@query(
+    "jn5_prioritized_names",
+    f"""WITH f AS (SELECT image, key, {_PROPERTY} AS name FROM @images),
+    s AS (SELECT n, min(image) AS scene FROM (""" + " UNION ALL ".join(f"SELECT {n.format(k='key')} AS n, image FROM @images" for n in _NAMES) + """) q GROUP BY 1),
+    c AS (""" + " UNION ALL ".join(f"SELECT image, {p} AS p, {n.format(k='name')} AS n FROM f" for p, n in enumerate(_NAMES)) + """)
+    SELECT f.image, arg_min(s.scene, c.p) AS scene FROM f LEFT JOIN c ON c.image = f.image LEFT JOIN s ON s.n = c.n WHERE s.scene IS NOT NULL GROUP BY 1""",
+)
+def prioritized_names(t: Tables) -> DataFrame:
+    """Features to scenes by file name, stem or normalized name, the first of these that a scene has; the first scene of a name has it."""
+    features = t.images.select("image", F.expr(_PROPERTY).alias("name"))
+    return match_names(features, "image", "name", t.images.select(F.col("image").alias("scene"), "key"), "scene", "key").select("image", "scene")
+
+
 @query("jn22_unfinished_tiles", f"WITH {_DONE} SELECT n.scene, n.tile FROM needs n WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.scene = n.scene AND d.tile = n.tile)")
 def unfinished_tiles(t: Tables) -> DataFrame:
     done = t.messages.select("scene", (F.col("tile") % 12).alias("tile")).distinct()
@@ -360,7 +437,7 @@ def union_sources(t: Tables) -> DataFrame:
 
 @query("set4_required_minus_known", "SELECT scene FROM @annotations EXCEPT SELECT scene FROM @predictions WHERE pid % 2 = 0")
 def required_minus_known(t: Tables) -> DataFrame:
-    return t.annotations.select("scene").exceptAll(t.annotations.select("scene").limit(0)).distinct().subtract(t.predictions.filter("pid % 2 = 0").select("scene"))
+    return t.annotations.select("scene").subtract(t.predictions.filter("pid % 2 = 0").select("scene"))
 
 
 @query("set5_known_stages", "SELECT DISTINCT stage FROM @messages UNION SELECT 'report'")
@@ -445,7 +522,7 @@ def best_two(t: Tables) -> DataFrame:
 
 
 _F1_KEYS = ("val_f1:0.35", "best_val_pixel_dice/threshold_0.5", "run.F1-t0.45", "loss_0.5", "F1_Pixel", "model_metrics.f1_pixel", "val dice", "Pixel-Dice", "metrics/pixel_f1", "accuracy")
-_F1_ROWS = "(SELECT run_id, k, CAST((run_id * 7 + k * 13) % 100 AS DOUBLE) / 100 AS value, CASE k " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_F1_KEYS)) + " END AS metric FROM {source}) m WHERE (run_id * 3 + k * k) % 5 < 2 AND (k > 2 OR run_id % 3 = 0)"
+_F1_ROWS = "(SELECT run_id, k, CASE WHEN (run_id + k) % 9 <> 0 THEN CAST((run_id * 7 + k * 13) % 100 AS DOUBLE) / 100 END AS value, CASE k " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(_F1_KEYS)) + " END AS metric FROM {source}) m WHERE (run_id * 3 + k * k) % 5 < 2 AND (k > 2 OR run_id % 3 = 0)"
 
 
 @query(
@@ -453,15 +530,18 @@ _F1_ROWS = "(SELECT run_id, k, CAST((run_id * 7 + k * 13) % 100 AS DOUBLE) / 100
     f"""WITH m AS (SELECT * FROM {_F1_ROWS.format(source=f"@runs, unnest(range({len(_F1_KEYS)})) AS u(k)")}),
     named AS (SELECT *, CASE WHEN k < 3 THEN CAST(regexp_extract(metric, '([01]\\.\\d+)$', 1) AS DOUBLE) END AS threshold,
         list_position(['f1_pixel', 'model_metrics_f1_pixel', 'best_val_pixel_f1', 'val_pixel_f1', 'pixel_f1', 'best_pixel_f1', 'val_dice', 'dice', 'f1', 'pixel_dice', 'metrics_pixel_f1'],
-            regexp_replace(lower(metric), '[^a-z0-9]+', '_', 'g')) AS place FROM m)
-    SELECT run_id, metric, value, threshold FROM named WHERE threshold IS NOT NULL OR place IS NOT NULL
+            regexp_replace(lower(metric), '[^a-z0-9]+', '_', 'g')) AS place FROM m),
+    latest AS (SELECT * FROM named QUALIFY threshold IS NOT NULL OR row_number() OVER (PARTITION BY run_id, place ORDER BY threshold IS NOT NULL, k DESC) = 1)
+    SELECT run_id, metric, value, threshold FROM latest WHERE value IS NOT NULL AND (threshold IS NOT NULL OR place IS NOT NULL)
     QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY threshold IS NULL, CASE WHEN threshold IS NOT NULL THEN -value END, place, k) = 1""",
 )
 def best_metric_name(t: Tables) -> DataFrame:
-    """Of a run's metrics the largest F1 or Dice at a threshold; without one that of the most preferred name."""
+    """Of a run's metrics the largest F1 or Dice at a threshold; without one that of the most preferred name. Of equal names the last counts; without a value, nothing."""
     t.runs.select("run_id", F.explode(F.sequence(F.lit(0), F.lit(len(_F1_KEYS) - 1))).alias("k")).createOrReplaceTempView("run_metric_places")
     rows = t.spark.sql(f"SELECT * FROM {_F1_ROWS.format(source='run_metric_places')}")
     rows = rows.withColumns({"threshold": N.metric_threshold(F.col("metric")), "rank": N.pixel_f1_place(F.col("metric"))}).filter("threshold is not null or rank is not null")
+    later = F.row_number().over(Window.partitionBy("run_id", "rank").orderBy(F.col("threshold").isNotNull(), F.desc("k")))
+    rows = rows.withColumn("later", later).filter("value is not null and (threshold is not null or later = 1)")
     order = [F.col("threshold").isNull(), F.when(F.col("threshold").isNotNull(), -F.col("value")), "rank", "k"]
     return rows.withColumn("p", F.row_number().over(Window.partitionBy("run_id").orderBy(*order))).filter("p = 1").select("run_id", "metric", "value", "threshold")
 
@@ -541,7 +621,7 @@ def simplified(t: Tables) -> DataFrame:
 
 
 def _shared(t: Tables, label: str) -> str:
-    return (t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints").rstrip("/") + f"/{label}-{uuid.uuid4().hex}"
+    return shared_path(t.spark, label)
 
 
 @query("snk1_tab_separated", "SELECT run_id, class_slug, pixel_f1 FROM @runs")

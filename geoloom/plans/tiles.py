@@ -14,6 +14,7 @@ from ..operators import tiles as T
 from ..operators.spatial_join import cell_join
 from .grids import _GRID, STRIDE, TILE
 from .registry import query
+from .stream import presets
 from .views import Tables
 
 _WINDOWS = f"{_GRID}, windows AS (SELECT scene, index, x AS x0, y AS y0, x + {TILE} AS x1, y + {TILE} AS y1 FROM grid)"
@@ -315,6 +316,43 @@ def augmented_pixels(t: Tables) -> DataFrame:
     )
 
 
+#: One value for each pixel of images of 64 by 64 that was seen; the others are nothing.
+_IMAGE = "image AS (SELECT scene, y, x, max(prob8) AS v, max(truth) AS truth FROM @observations GROUP BY 1, 2, 3)"
+
+
+def image_pixels(t: Tables) -> DataFrame:
+    return t.observations.groupBy("scene", "y", "x").agg(F.max("prob8").alias("value"), F.max("truth").alias("truth"))
+
+
+@query("fn32_blurred", f"WITH {_IMAGE}, o AS (SELECT * FROM (VALUES (-1), (0), (1)) a(dy), (VALUES (-1), (0), (1)) b(dx)) SELECT i.scene, i.y, i.x, round(sum(n.v) / 9.0, 9) AS blur FROM image i, o JOIN image n ON n.scene = i.scene AND n.y = least(63, greatest(0, i.y + dy)) AND n.x = least(63, greatest(0, i.x + dx)) GROUP BY 1, 2, 3")
+def blurred(t: Tables) -> DataFrame:
+    """The mean of the nine pixels around each."""
+    return R.blurred(image_pixels(t), F.lit(64), F.lit(64)).select("scene", "y", "x", F.round("blur", 9).alias("blur"))
+
+
+def _draw(seed: int, *parts: str) -> str:
+    return f"(CAST(CAST('0x' || substr(md5(concat_ws(':', '{seed}', {', '.join(parts)})), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296)"
+
+
+@query("fn32_noise", f"SELECT obs, round(0.02 * sqrt(-2 * ln(1 - {_draw(7, 'obs')})) * cos(2 * pi() * {_draw(8, 'obs')}), 9) AS noise FROM @observations")
+def noise(t: Tables) -> DataFrame:
+    """What is added to each pixel, the same in every run."""
+    return t.observations.select("obs", F.round(R.noise(7, "obs"), 9).alias("noise"))
+
+
+@query(
+    "fn32_cutout",
+    f"""WITH {_IMAGE}, h AS (SELECT scene, floor({_draw(4, 'scene', '1')} * 57) AS y0, floor({_draw(5, 'scene', '1')} * 57) AS x0 FROM (SELECT DISTINCT scene FROM @observations) q WHERE {_draw(3, 'scene')} < 0.35),
+    c AS (SELECT i.*, h.scene IS NOT NULL AND y >= y0 AND y < y0 + 8 AND x >= x0 AND x < x0 + 8 AS inside FROM image i LEFT JOIN h ON h.scene = i.scene)
+    SELECT scene, count(*) FILTER (inside) AS cut, CAST(sum(CASE WHEN inside THEN 0 ELSE v END) AS BIGINT) AS total, count(*) FILTER (truth = 1) AS positive_before, count(*) FILTER (truth = 1 AND NOT inside) AS positive_after FROM c GROUP BY 1""",
+)
+def cutout(t: Tables) -> DataFrame:
+    """Images with a hole, in a third of them, and what it takes of their masks."""
+    images = t.observations.select("scene").distinct().select("scene", F.lit(64).alias("w"), F.lit(64).alias("h"))
+    rows = R.cut_out(image_pixels(t).withColumn("before", F.col("truth")), R.cutouts(images, 3))
+    return rows.groupBy("scene").agg(F.count_if("inside").alias("cut"), F.sum("value").cast("bigint").alias("total"), F.count_if(F.col("before") == 1).alias("positive_before"), F.count_if(F.col("truth") == 1).alias("positive_after"))
+
+
 _MASK = "mask AS (SELECT DISTINCT scene, y, x FROM @observations WHERE truth = 1)"
 
 
@@ -530,3 +568,25 @@ def boundless_window(t: Tables) -> DataFrame:
     want = t.scenes.select("scene", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(7).cast("bigint"))).alias("k"))
     have = t.observations.filter("y = 5").groupBy("scene", (F.col("x") - 60).alias("k")).agg(F.max("prob8").alias("v"))
     return want.join(have, ["scene", "k"], "left").select("scene", "k", F.coalesce("v", F.lit(0)).alias("value"))
+
+
+@query("src8_window", "SELECT s.scene, a.y, b.x, coalesce(max(o.prob8), 0) AS value FROM @scenes s, unnest(range(0, 6)) AS a(y), unnest(range(0, 8)) AS b(x) LEFT JOIN @observations o ON o.scene = s.scene AND o.x = s.scene % 80 - 10 + b.x AND o.y = s.scene % 70 - 4 + a.y GROUP BY 1, 2, 3")
+def boundless_windows(t: Tables) -> DataFrame:
+    """A window of each scene's raster, at places of which some lie beyond it."""
+    seen = t.observations.groupBy("scene", "y", "x").agg(F.max("prob8").alias("value"))
+    return R.window_pixels(t.scenes, seen, F.col("scene") % 80 - 10, F.col("scene") % 70 - 4, 8, 6)
+
+
+@query(
+    "rg17_repeated_tiles",
+    f"""WITH {_TOLD}, k AS (SELECT CASE WHEN mask_area > 0 THEN 'positive' WHEN index % 3 = 0 THEN 'hard_negative' ELSE 'negative' END AS kind, count(*) AS tiles FROM told GROUP BY 1),
+    p AS (SELECT * FROM (VALUES (0, 'positive', 1, 1.0), (0, 'hard_negative', 1, 1.0), (0, 'negative', 1, 1.0), (1, 'positive', 2, 1.0), (1, 'hard_negative', 1, 1.0), (1, 'negative', 1, 1.0),
+        (2, 'positive', 4, 0.5), (2, 'hard_negative', 2, 0.5), (2, 'negative', 1, 1.0), (3, 'positive', 6, 0.25), (3, 'hard_negative', 3, 0.5), (3, 'negative', 1, 1.0)) v(level, kind, r, s))
+    SELECT level, kind, tiles, tiles * r AS records, CAST(512 * s AS INT) AS stride FROM k JOIN p USING (kind)""",
+)
+def repeated_tiles(t: Tables) -> DataFrame:
+    """Records that each augmentation level makes of the tiles of each kind, and the stride at which more would be cut."""
+    kind = F.when(F.col("mask_area") > 0, "positive").when(F.col("index") % 3 == 0, "hard_negative").otherwise("negative")
+    tiles = annotated(t).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("tiles"))
+    told = tiles.join(F.broadcast(presets(t)), "kind")  # three kinds by four levels
+    return told.select("level", "kind", "tiles", (F.col("tiles") * F.col("repeat_factor")).alias("records"), (512 * F.col("stride_factor")).cast("int").alias("stride"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +28,31 @@ def layout_status(listing: DataFrame, prefixes: list[str]) -> DataFrame:
     return listing.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), *((F.count_if(F.col("key").contains(p)) > 0).alias(f"has_{p.strip('/').replace('/', '_')}") for p in prefixes))
 
 
+def prefix_status(listing: DataFrame, prefixes: Sequence[str]) -> DataFrame:
+    """(prefix, exists, object_count, total_size_bytes) for each prefix, of a listing (key, size), in one pass over it."""
+    under = F.filter(F.array(*(F.lit(p) for p in prefixes)), lambda p: F.startswith("key", p))
+    found = listing.select("size", F.explode(under).alias("prefix")).groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    all_ = listing.sparkSession.createDataFrame([(p,) for p in prefixes], "prefix string")
+    zero = F.lit(0).cast("bigint")
+    return all_.join(found, "prefix", "left").select("prefix", F.col("n").isNotNull().alias("exists"), F.coalesce("n", zero).alias("object_count"), F.coalesce("bytes", zero).alias("total_size_bytes"))
+
+
+def layout_files(listing: DataFrame, by: list[str], scenes_file: str = "scenes.txt") -> DataFrame:
+    """(by, annotation, scenes): of each layout's keys the last that ends in .geojson, and the last whose name is the scene list's; case does not matter."""
+    last = lambda on: F.max(F.when(on, F.col("key")))
+    name = F.lower(F.element_at(F.split("key", "/"), -1))
+    return listing.groupBy(*by).agg(last(name.endswith(".geojson")).alias("annotation"), last(name == scenes_file.lower()).alias("scenes"))
+
+
+def image_warnings(listing: DataFrame) -> DataFrame:
+    """(warning) for each file name and each stem that several keys of a listing share, case aside, with the keys in order of their lower case."""
+    name = F.lower(F.element_at(F.split("key", "/"), -1))
+    kinds = F.array(F.struct(F.lit("filename").alias("kind"), name.alias("name")), F.struct(F.lit("stem").alias("kind"), F.regexp_replace(name, r"(.)\.[^.]*$", "$1").alias("name")))
+    rows = listing.select("key", F.explode(kinds).alias("k")).groupBy("k.kind", "k.name").agg(F.sort_array(F.collect_list(F.struct(F.lower("key").alias("low"), "key"))).alias("keys"))
+    told = F.concat(F.lit("duplicate_"), "kind", F.lit(": "), "name", F.lit(": "), F.array_join(F.transform("keys", lambda k: k["key"]), "; "))
+    return rows.filter(F.size("keys") > 1).select(told.alias("warning"))
+
+
 def read_scene_list(spark: SparkSession, path: str) -> DataFrame:
     """(entry) of a scene list: first word of each line that is neither blank nor a comment; line ends and byte order marks are handled."""
     return spark.read.text(path).select(scene_entry(F.translate("value", "\r", "")).alias("entry")).filter("entry is not null")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,17 @@ def prometheus_line(name: str, labels: list[str], value: Column) -> Column:
     """name{label="value",..} value"""
     quoted = [F.concat(F.lit(f'{k}="'), F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')) for k in labels]
     return F.concat(F.lit(name + "{"), F.concat_ws(",", *quoted), F.lit("} "), value.cast("string"))
+
+
+def kept_tail(lines: DataFrame, key: list[str], order: str, size: Column, most: int) -> DataFrame:
+    """Lines of logs (key, order) with log_bytes, compacted (the log has more than `most` bytes) and kept.
+
+    Of a log that is too long its last `most` bytes stay (1024 at least), less the line that they begin in; of the others all. A line has
+    size bytes and its end. With most of 0 or less nothing stays.
+    """
+    w = Window.partitionBy(*key)
+    bytes_ = (size + 1).cast("bigint")
+    told = lines.withColumns({"log_bytes": F.sum(bytes_).over(w), "tail_bytes": F.sum(bytes_).over(w.orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0))})
+    long = F.col("log_bytes") > most
+    kept = F.lit(False) if most <= 0 else ~long | (F.col("tail_bytes") < max(1024, most))
+    return told.withColumns({"compacted": long, "kept": kept}).drop("tail_bytes")
