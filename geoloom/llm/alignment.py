@@ -11,12 +11,13 @@ follows a letter, number, sign or punctuation mark; neither tokenizer ever makes
 pattern of A splits there, and B has no piece with its space mark inside, which is checked), so that a text's
 tokens are those of its stretches. No document, pair or token is hot after that: what a third of all documents hold
 is one row. Texts are put together from their stretches' results block by block; a block is some of a file's
-rows of like size, or one long text.
+rows, or one long text; the most frequent stretches, of which there are a bounded number, are known to every worker.
 """
 
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,7 +25,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import Decoder
@@ -44,11 +46,14 @@ SMALL_DIGITS = 14
 COUNTED = 1 << 20
 #: Pairs that make up at least one link in so many are broadcast; there are no more of them than that.
 HOT_PAIRS = 1 << 17
+#: Stretches that make up at least one in so many are known to every worker; there are no more of them than that, of SHORT characters at most.
+HOT_STRETCHES = 1 << 17
 #: Bytes of input for each partition of the stretches.
 PARTITION_BYTES = 1 << 24
 #: Code points of results in a batch that goes back to Spark.
 BATCH_CHARS = 1 << 22
 
+SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 RESULT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
 
 
@@ -159,21 +164,46 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return kept[a_path, b_path]
 
 
-def counted(texts: DataFrame) -> DataFrame:
+class Known:
+    """Results by stretch: their groups, sums and whether they are good, with the place of each stretch."""
+
+    def __init__(self, table: pa.Table):
+        self.groups = table.column("groups").to_pylist()
+        self.place = dict(zip(table.column("stretch").to_pylist(), range(len(self.groups)), strict=True))
+        self.sums = np.zeros((len(self.groups), len(SUMS)), np.int64)
+        for k, g in enumerate(self.groups):  # what the groups say of themselves need not travel
+            if g:
+                parts, both = g.count(";") + 1, g.count(",") + 2 * g.count("|")
+                n_a = sum(p.count(",", 0, p.index("|")) + 1 for p in g.split(";"))
+                self.sums[k, :4] = n_a, both - n_a, parts, both - parts
+        for k, c in enumerate(SUMS[4:], 4):
+            self.sums[:, k] = table.column(c).fill_null(0).to_numpy()
+        self.good = np.array([bool(g) for g in self.groups], bool)
+
+    @staticmethod
+    def of(sent: Broadcast) -> Known:
+        """This Python worker's copy of a table that was broadcast."""
+        kept = worker_cache("alignment")
+        if ("known", sent.value["name"]) not in kept:
+            kept["known", sent.value["name"]] = Known(sent.value["table"])
+        return kept["known", sent.value["name"]]
+
+
+def counted(texts: DataFrame, known: Broadcast | None = None) -> DataFrame:
     """(block, stretch, whole, n) of texts (block, text): how often a block has a stretch, in one or more rows. whole: the stretch, where its name is another.
 
-    Texts of one block are counted together in the worker before anything is shuffled.
+    Texts of one block are counted together in the worker before anything is shuffled. known: a table of stretches that are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Counter] = {}
-        held = 0
+        held, skip = 0, Known.of(known).place if known else {}
         for batch in batches:
             for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if told := text.as_py():
                     counts = found.setdefault(block, Counter())
                     held -= len(counts)
-                    counts.update(cut(told))
+                    counts.update([x for x in cut(told) if x not in skip] if skip else cut(told))
                     held += len(counts)
                     if held > COUNTED:
                         yield from flush(found)
@@ -274,8 +304,8 @@ def _blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("doc_id"), text.alias("text"), block.alias("block"), key["file"].alias("file"), key["at"].alias("at"))
 
 
-def put_together(texts: DataFrame, results: DataFrame) -> DataFrame:
-    """texts (doc_id, text, block) with sums and joined groups of their stretches' results, which come with the block that asks for them."""
+def put_together(texts: DataFrame, results: DataFrame, known: Broadcast) -> DataFrame:
+    """texts (doc_id, text, block) with sums and joined groups of their stretches' results, which are known to all or come with the block that asks for them."""
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,38 +314,30 @@ def put_together(texts: DataFrame, results: DataFrame) -> DataFrame:
             told = pa.array([press.compress(t.as_py().encode()) for t in batch.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), told, batch.column("block")], ["doc_id", "text", "block"])
 
-    texts = texts.mapInArrow(tidy("alignment", small), f"doc_id {kind}, text binary, block int")
-    sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        worker_cache("alignment")
-        names, groups = right.column("stretch").to_pylist(), right.column("groups").to_pylist()
-        place = dict(zip(names, range(len(names)), strict=True))
-        told = np.zeros((len(names), len(sums)), np.int64)
-        for k, g in enumerate(groups):  # what the groups say of themselves need not travel
-            if g:
-                parts, both = g.count(";") + 1, g.count(",") + 2 * g.count("|")
-                n_a = sum(p.count(",", 0, p.index("|")) + 1 for p in g.split(";"))
-                told[k, :4] = n_a, both - n_a, parts, both - parts
-        for k, c in enumerate(sums[4:], 4):
-            told[:, k] = right.column(c).fill_null(0).to_numpy()
-        good = np.array([bool(g) for g in groups], bool)
-        out, rows, size = [], [], 0
+        all_, own = Known.of(known), Known(right)
+        first = len(all_.groups)
+        hot, rare = all_.place, own.place
+        groups, place = all_.groups, lambda s: k if (k := hot.get(s)) is not None else first + rare[s if len(s) <= SHORT else key_of(s)]
         whole = zstandard.ZstdDecompressor()
+        out, rows, size = [], [], 0
         for n, data in enumerate(left.column("text"), 1):
             text = whole.decompress(data.as_py()).decode()
-            at = [place[s if len(s) <= SHORT else key_of(s)] for s in cut(text)] if text else []
-            fits = bool(at) and good[at].all()
-            rows.append((told[at].sum(axis=0) if fits else np.zeros(len(sums), np.int64), ";".join([groups[k] for k in at]) if fits else ""))
+            at = np.array([place(s) for s in cut(text)] if text else [], np.int64)
+            near, far = at[at < first], at[at >= first] - first
+            fits = len(at) > 0 and all_.good[near].all() and own.good[far].all()
+            told = all_.sums[near].sum(axis=0) + own.sums[far].sum(axis=0) if fits else np.zeros(len(SUMS), np.int64)
+            rows.append((told, ";".join([groups[k] if k < first else own.groups[k - first] for k in at.tolist()]) if fits else ""))
             size += len(rows[-1][1])
             if size > BATCH_CHARS or n == len(left):
                 numbers = np.stack([r[0] for r in rows])
-                out.append(pa.table([*(pa.array(numbers[:, k]) for k in range(len(sums))), pa.array([r[1] for r in rows], pa.string())], [*sums, "groups"]))
+                out.append(pa.table([*(pa.array(numbers[:, k]) for k in range(len(SUMS))), pa.array([r[1] for r in rows], pa.string())], [*SUMS, "groups"]))
                 rows, size = [], 0
-        made = pa.concat_tables(out) if out else pa.table([*([pa.array([], pa.int64())] * len(sums)), pa.array([], pa.string())], [*sums, "groups"])
+        made = pa.concat_tables(out) if out else pa.table([*([pa.array([], pa.int64())] * len(SUMS)), pa.array([], pa.string())], [*SUMS, "groups"])
         release_memory()
         return made.add_column(0, "doc_id", left.column("doc_id"))
 
+    texts = texts.mapInArrow(tidy("alignment", small), f"doc_id {kind}, text binary, block int")
     return texts.groupBy("block").cogroup(results.groupBy("block")).applyInArrow(run, f"doc_id {kind}, {RESULT}")
 
 
@@ -337,10 +359,15 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     made = materialize(aligned(tokenized(types, a_path, b_path), partitions), "aligned")
     weighed = _without_misfits(texts, made)
     pairs = materialize(pair_counts(weighed.select("links", "n")), "pairs")
-    scores = link_scores(made.select("stretch", "links"), pairs)
-    results = made.select("stretch", "groups").join(scores.hint("merge"), "stretch", "left")
-    asked = counted(texts.select("block", "text")).select("block", "stretch")  # a block may ask twice
-    return put_together(texts.select("doc_id", "text", "block"), asked.join(results.hint("merge"), "stretch"))
+    total = made.agg(F.sum("n")).first()[0] or 0
+    hot = (F.col("n") >= total / HOT_STRETCHES) & (F.char_length("stretch") <= SHORT) & ~F.startswith("stretch", F.lit("#"))
+
+    def results(of: DataFrame) -> DataFrame:
+        return of.select("stretch", "groups").join(link_scores(of.select("stretch", "links"), pairs).hint("merge"), "stretch", "left")
+
+    known = spark.sparkContext.broadcast({"name": uuid.uuid4().hex, "table": results(made.filter(hot)).toArrow()})  # HOT_STRETCHES rows at most
+    asked = counted(texts.select("block", "text"), known).select("block", "stretch")  # a block may ask twice
+    return put_together(texts.select("doc_id", "text", "block"), asked.join(results(made.filter(~hot)).hint("merge"), "stretch"), known)
 
 
 def _without_misfits(texts: DataFrame, made: DataFrame) -> DataFrame:

@@ -109,7 +109,9 @@ def test_texts_with_the_space_mark_count_for_nothing(spark, libraries):
 @pytest.mark.parametrize("bound", [1, 4])
 def test_rare_pairs_are_joined(spark, libraries, monkeypatch, bound):
     monkeypatch.setattr(alignment, "HOT_PAIRS", bound)
+    monkeypatch.setattr(alignment, "HOT_STRETCHES", bound)
     monkeypatch.setattr(alignment, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(alignment, "SMALL_DIGITS", 3)
     rows = odd_rows()[:120]
     assert result(spark, rows) == plain_version(rows, libraries)
 
