@@ -12,8 +12,10 @@ its words' beginnings with a logistic model learned from labelled rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +39,23 @@ BITS = 6
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 SIGN_CODE = 62
 #: Costs, in nats, of a reading: a sign as a letter, a sign inside a word dropped (more than a letter costs under the
-#: language model, or dropping would always pay), a border in a spaced-out span, a repeated letter dropped.
-AS_LETTER, DROPPED, BORDER, REPEAT_DROPPED = 1.0, 9.0, 2.0, 1.5
-#: Costs of leaving a sign at a word's end as it is (many words end in some), and before a word (as in numbers).
-KEPT_AT_END = {"!": 0.2, "+": 2.5, "|": 2.5}
-KEPT_DIGIT_AT_END, KEPT_BEFORE = 4.0, 2.0
+#: language model, or dropping would always pay), a border in a spaced-out span, a letter that is repeated beyond any spelling dropped, a doubled
+#: one dropped from a span that is disguised otherwise (from others never: many words have doubled letters).
+AS_LETTER, DROPPED, BORDER, REPEAT_DROPPED, DOUBLE_DROPPED = 1.0, 16.0, 2.0, 1.5, 12.0
+#: Costs of leaving a sign at a word's end as it is (many words end in some), and before a word (as in numbers; less so if signs stand inside too).
+KEPT_AT_END = {"!": 0.2, "+": 2.5, "|": 2.5, "$": 16.0, "@": 16.0}
+KEPT_DIGIT_AT_END, KEPT_BEFORE, KEPT_BEFORE_SIGNS = 2.0, 1.0, 12.0
 #: Separators between characters that stand alone, at most.
 MOST_BETWEEN = 3
-#: Longer spans are read in pieces of so many characters, which bounds the memory that reading takes.
-PIECE = 512
+#: After so many characters, what all readings left of a span agree on is settled, so that memory does not grow with the span.
+SETTLE = 256
+#: Spans up to this length are kept with their readings.
+MEMO_CHARS = 512
 SPAN_MEMO = 100_000
 #: Texts are worked on in pieces of about so many characters together.
 CHUNK_CHARS = 1 << 20
+#: Odd multipliers of the places in a word that is hashed as a whole.
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(64)], np.uint64)
 #: Lengths of the word beginnings that are features.
 PREFIXES = (4, 5, 6)
 
@@ -67,8 +74,8 @@ def _code_table() -> np.ndarray:
 
 _CODES = _code_table()
 _NUMBER = {c: k for k, c in enumerate(LETTERS, 1)}
-_SIGNS = "".join(SIGNS)
-_BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalpha() and chr(c) not in SIGNS)
+_THREE = re.compile(r"(.)\1\1")
+_BETWEEN_SET = frozenset(chr(c) for c in range(128) if not chr(c).isalpha() and chr(c) not in SIGNS)
 
 
 def codes(text: str) -> np.ndarray:
@@ -124,6 +131,19 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return -np.log(p3).astype(np.float32)
 
 
+class Around(NamedTuple):
+    """Of a span: for each character whether only signs, or nothing, are between it and the span's beginning or a separator, and the same
+    towards the end; whether a sign stands inside; whether a digit at the edge of one or two letters is its only sign; whether it
+    has signs or separators at all; places of letters in chains of doubled ones."""
+
+    begin: list[bool]
+    end: list[bool]
+    inner: bool
+    lone: bool
+    disguised: bool
+    chained: set[int]
+
+
 class Restorer:
     """Finds suspicious spans and replaces them by their best reading; works on lower-case texts."""
 
@@ -196,26 +216,55 @@ class Restorer:
         if known is None:
             if len(self.memo) >= SPAN_MEMO:
                 self.memo.clear()
-            known = "".join(self.viterbi(span[k : k + PIECE])[0] for k in range(0, len(span), PIECE))
-            if len(span) <= PIECE:
+            known = self.viterbi(span)[0]
+            if len(span) <= MEMO_CHARS:
                 self.memo[span] = known
         return known
 
-    def options(self, span: str, k: int) -> list[tuple[str, int, float]]:
+    @staticmethod
+    def around(span: str) -> Around:
+        """What options() has to know of a whole span."""
+
+        def bare(chars: str) -> list[bool]:
+            out, only, before = [], True, ""
+            for x in chars:
+                out.append(only or before in _BETWEEN_SET)
+                only, before = only and x in SIGNS, x
+            return out
+
+        begin, end = bare(span), bare(span[::-1])[::-1]
+        signs = [k for k, x in enumerate(span) if x in SIGNS]
+        doubled = [k for k in range(1, len(span)) if span[k] == span[k - 1] and span[k].isalpha()]
+        twice = set(doubled)
+        chained = set()
+        for k in doubled:  # three doubled letters in a row
+            if k + 2 in twice and k + 4 in twice:
+                chained |= {k, k + 2, k + 4}
+        lone = len(signs) == 1 and span[signs[0]].isdigit() and sum(x.isalpha() for x in span) < 3
+        return Around(begin, end, any(not begin[k] and not end[k] for k in signs), lone, bool(signs) or bool(_THREE.search(span)) or any(x in _BETWEEN_SET for x in span), chained)
+
+    def options(self, span: str, k: int, around: Around | None = None) -> list[tuple[str, int, float]]:
         """What the k-th character may stand for: what is written, its code (-1: none), and the cost."""
         x = span[k]
+        near = around or self.around(span)
         if x in SIGNS:
+            if near.lone:
+                return [(x, 0, 0.0)]
             found = [(y, _NUMBER.get(y, OTHER), AS_LETTER) for y in SIGNS[x]]
-            edges = span[:k].strip(_SIGNS) == "" or not span[k - 1].strip(_BETWEEN), span[k + 1 :].strip(_SIGNS) == "" or not span[k + 1].strip(_BETWEEN)
-            if edges[1]:
+            if near.end[k]:
                 return [*found, (x, 0, KEPT_AT_END.get(x, KEPT_DIGIT_AT_END))]
-            if edges[0]:
-                return [*found, (x, 0, KEPT_BEFORE)]
+            if near.begin[k]:
+                return [*found, (x, 0, KEPT_BEFORE_SIGNS if near.inner else KEPT_BEFORE)]
             return [*found, ("", -1, DROPPED), (" ", 0, DROPPED)]
         if not x.isalpha():
             return [("", -1, 0.0), (" ", 0, BORDER)]
         z = _NUMBER.get(x, OTHER)
-        return [(x, z, 0.0), ("", -1, REPEAT_DROPPED)] if k and span[k - 1] == x else [(x, z, 0.0)]
+        if k and span[k - 1] == x:
+            if span[k - 2 : k - 1] == x or span[k + 1 : k + 2] == x or k in near.chained:  # three in a row, or three doubled letters, are no spelling
+                return [(x, z, 0.0), ("", -1, REPEAT_DROPPED)]
+            if near.disguised:
+                return [(x, z, 0.0), ("", -1, DOUBLE_DROPPED)]
+        return [(x, z, 0.0)]
 
     def step(self, state: tuple[int, int], code: int) -> tuple[tuple[int, int], float]:
         """The state (last two codes) after one more code, and what the language model says it costs; borders do not follow each other."""
@@ -230,9 +279,11 @@ class Restorer:
             return span, 0.0
         best: dict[tuple[int, int], tuple[float, int]] = {(0, 0): (0.0, -1)}
         trail: list[tuple[int, str]] = []  # (trail before, what was written)
+        settled: list[str] = []
+        near = self.around(span)
         for k in range(len(span)):
             then: dict[tuple[int, int], tuple[float, int]] = {}
-            for y, code, extra in self.options(span, k):
+            for y, code, extra in self.options(span, k, near):
                 for state, (had, back) in best.items():
                     after, more = self.step(state, code)
                     now = had + extra + more
@@ -241,12 +292,38 @@ class Restorer:
                             trail.append((back, y))
                         then[after] = (now, len(trail) - 1 if y else back)
             best = then
-        total, back = min((had + (self.cost[a][b][0] if b else 0.0), back) for (a, b), (had, back) in best.items())
-        out = []
-        while back >= 0:
-            back, y = trail[back]
-            out.append(y)
-        return "".join(reversed(out)), total
+            if k % SETTLE == SETTLE - 1:
+                best, trail = self.settle(best, trail, settled)
+        _, _, back = min((had + (self.cost[a][b][0] if b else 0.0), place, back) for place, ((a, b), (had, back)) in enumerate(best.items()))
+        total = min(had + (self.cost[a][b][0] if b else 0.0) for (a, b), (had, _) in best.items())
+        return "".join([*settled, *written(trail, back)]), total
+
+    @staticmethod
+    def settle(best: dict[tuple[int, int], tuple[float, int]], trail: list[tuple[int, str]], settled: list[str]) -> tuple[dict[tuple[int, int], tuple[float, int]], list[tuple[int, str]]]:
+        """Moves what all readings left begin with to settled, and leaves a trail of the rest. No choice that is still open is made."""
+        rests = {state: written(trail, back) for state, (_, back) in best.items()}
+        same, first = 0, next(iter(rests.values()))
+        least = min(map(len, rests.values()))
+        while same < least and all(r[same] == first[same] for r in rests.values()):
+            same += 1
+        settled += first[:same]
+        fresh: list[tuple[int, str]] = []
+        then = {}
+        for state, (had, _) in best.items():
+            back = -1
+            for y in rests[state][same:]:
+                fresh.append((back, y))
+                back = len(fresh) - 1
+            then[state] = (had, back)
+        return then, fresh
+
+
+def written(trail: list[tuple[int, str]], back: int) -> list[str]:
+    out = []
+    while back >= 0:
+        back, y = trail[back]
+        out.append(y)
+    return out[::-1]
 
 
 def restore_all(texts: list[str], restorer: Restorer) -> list[str]:
@@ -264,7 +341,10 @@ def restore_all(texts: list[str], restorer: Restorer) -> list[str]:
 
 
 def beginnings(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, feature) of all word beginnings, each once per text. A feature is 4 to 6 codes in one number."""
+    """(text number, feature) of all word beginnings and whole words, each once per text.
+
+    A beginning is 4 to 6 codes in one number; so is a whole word of up to three. Of words of more than six, a hash of all codes is another.
+    """
     parts = []
     for a, b in _chunks(texts):
         c = codes("      ".join(["", *texts[a:b], "", ""])).astype(np.int64)
@@ -279,6 +359,18 @@ def beginnings(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             key = key << BITS | x
             if n in PREFIXES:
                 parts.append(np.unique(np.stack([own[alive], key[alive] | n << 40]), axis=1) if alive.any() else np.zeros((2, 0), np.int64))
+        borders = np.flatnonzero(c == 0)
+        size = borders[np.searchsorted(borders, at)] - at if len(at) else np.zeros(0, np.int64)
+        short = np.zeros(len(at), np.int64)
+        for n in range(3):
+            short = np.where(size > n, short << BITS | c[np.minimum(at + n, len(c) - 1)], short)
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        every = c[np.repeat(at, size) + place].astype(np.uint64) * _POWERS[place % len(_POWERS)]
+        whole = np.add.reduceat(every, np.cumsum(size) - size) if len(at) else np.zeros(0, np.uint64)
+        long = (whole >> np.uint64(24)).astype(np.int64)
+        for chosen, key, kind in ((size <= 3, short, 32), (size > max(PREFIXES), long, 48)):
+            if chosen.any():
+                parts.append(np.unique(np.stack([own[chosen], key[chosen] | (size[chosen] + kind if kind == 32 else kind) << 40]), axis=1))
     both = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
     return both[0], both[1]
 

@@ -152,6 +152,36 @@ def test_viterbi_finds_the_cheapest_reading():
         assert cost == pytest.approx(min(costs.values())) and costs[text] == pytest.approx(cost)
 
 
+def test_long_spans_are_read_whole(monkeypatch):
+    """What is settled on the way changes no reading."""
+    rng = np.random.default_rng(9)
+    r = toxicity.Restorer(rng.uniform(0.1, 6, (64, 64, 64)))
+    draw = random.Random(9)
+    spans = ["i-d-i-o-t-" * 500, "1d10t" * 1000, *("".join(draw.choices("abe1!$+ -é", k=700)) for _ in range(10))]
+    got = [r.viterbi(x) for x in spans]
+    monkeypatch.setattr(toxicity, "SETTLE", 1 << 30)
+    assert got == [r.viterbi(x) for x in spans]
+
+
+def test_readings():
+    """Signs inside words are letters; numbers, doubled letters and digits at the edges of words stay, under a model that has seen neither."""
+    text = "you are an idiot and a moron or some loser who is shit and an ass and the clown with his own model there " * 50
+    n = np.zeros(1 << 18)
+    c = toxicity.codes(f"  {text}  ").astype(np.int64)
+    np.add.at(n, c[:-2] << 12 | c[1:-1] << 6 | c[2:], 1)
+    tri = n.reshape(64, 64, 64)
+    r = toxicity.Restorer(-np.log((tri + 1e-2) / (tri + 1e-2).sum(2, keepdims=True)))
+    for told, want in {"a$$": "ass", "sh!t": "shit", "1d1ot": "idiot", "1d10t": "idiot", "m0r0n": "moron", "3d model": "3d model", "3rd": "3rd", "mp3": "mp3", "committee": "committee", "success": "success", "address": "address"}.items():
+        assert r.restore(told) == want
+
+
+def test_short_and_long_words_are_features():
+    words = {k: set(zip(*toxicity.beginnings([k]), strict=True)) for k in ("ab", "abc", "abcd", "abcdefgh", "abcdefgi", "ab abcdefgh")}
+    assert len(words["ab"]) == len(words["abc"]) == 1 and words["ab"] != words["abc"]
+    assert len(words["abcdefgh"] ^ words["abcdefgi"]) == 2
+    assert words["ab abcdefgh"] == words["ab"] | words["abcdefgh"]
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     bad = ["moron", "clown", "scum", "pathetic"]
