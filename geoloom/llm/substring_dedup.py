@@ -20,7 +20,7 @@ smaller id. Windows are found without pairing documents:
    and left parts are in the same runs of the two sorted orders. A representative with very many
    stretches (a passage that a large share of all documents have) would fill one task: its
    windows are dealt one by one by their own hash, after each group of documents has kept
-   those of its smallest document only.
+   those of its smallest document only, each different window once, with its places.
 4. Repeats meet their documents again, by groups of documents, and are cut out there.
 
 Stretches and dealt windows, whose bytes do not meet, are compared by a 128-bit hash without algebraic
@@ -204,7 +204,7 @@ def may_share(s: Columns) -> np.ndarray:
 def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.ndarray) -> Columns:
     """Repeated windows among stretches, given by their bytes, ids and places; groups: equal for equal representatives.
 
-    Returns the repeats: hash, id, at, n.
+    Returns the repeats: hash, id, at, n, and the row of each among the texts.
     """
     joined = b"".join(texts)
     data = np.frombuffer(joined, np.uint8)
@@ -261,6 +261,7 @@ def resolve(texts: list[bytes], ids: np.ndarray, ats: np.ndarray, groups: np.nda
         "id": ids[stretch[begin]],
         "at": ats[stretch[begin]] + offset[begin],
         "n": n,
+        "row": stretch[begin],
     }
 
 
@@ -359,7 +360,8 @@ class _Group:
         return record[right], doc[right], at[right]
 
 
-_FETCHED = {"bucket": pa.int64(), "seed": pa.int64(), "id": pa.int64(), "at": pa.int64(), "bytes": pa.binary()}
+_FETCHED = {"bucket": pa.int64(), "seed": pa.int64(), "id": pa.int64(), "at": pa.int64(), "bytes": pa.binary(), "places": pa.binary()}
+_FETCHED_SQL = "bucket bigint, seed bigint, id bigint, at bigint, bytes binary, places binary"
 #: In place of `at`: the row's bytes are packed repeats of the document group in `seed`.
 PACKED = -1
 
@@ -388,10 +390,15 @@ def _fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
             again[order] = ids[each][order] > ids[each][order][np.flatnonzero(new)][np.cumsum(new) - 1]
         cut = {"hash": value[again], "id": ids[each][again], "at": (own_at[each] + offset)[again], "n": np.ones(int(again.sum()), np.int64)}
         key = right.column("key")[0].as_py()
-        rows = [(key % buckets, key, 0, PACKED, pack(cut, REPEAT, np.arange(len(cut["id"]))))] if again.any() else []
+        rows = [(key % buckets, key, 0, PACKED, pack(cut, REPEAT, np.arange(len(cut["id"]))), None)] if again.any() else []
         told = _batch(_FETCHED, rows)
-        keep = ~again
-        each, offset, start, value = each[keep], offset[keep], start[keep], value[keep]
+        # of equal windows, which are one document's now, one goes on, with the places of the others (periodic text has very many)
+        order, new = order[~again[order]], new[~again[order]]
+        place = (own_at[each] + offset)[order]
+        heads = np.flatnonzero(new)
+        others = [x[1:].tobytes() for x in np.split(place, heads[1:])] if len(heads) else []
+        only = order[heads]
+        each, offset, start, value = each[only], offset[only], start[only], value[only]
         cold = np.flatnonzero(~hot)
         first, last = np.concatenate([at[cold], start]), np.concatenate([at[cold] + n[cold] + WINDOW - 1, start + WINDOW])
         data = g.data
@@ -402,10 +409,11 @@ def _fetch(docs: DataFrame, asked: DataFrame, buckets: int) -> DataFrame:
             np.concatenate([ids[cold], ids[each]]),
             np.concatenate([own_at[cold], own_at[each] + offset]),
             found,
+            [None] * len(cold) + others,
         )
         return pa.concat_tables([told, pa.table({k: pa.array(c, t) for (k, t), c in zip(_FETCHED.items(), columns, strict=True)})])
 
-    return docs.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(run, "bucket bigint, seed bigint, id bigint, at bigint, bytes binary")
+    return docs.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(run, _FETCHED_SQL)
 
 
 def _resolved(fetched: DataFrame, groups: int) -> DataFrame:
@@ -416,6 +424,11 @@ def _resolved(fetched: DataFrame, groups: int) -> DataFrame:
         out = [(CUT, k, b) for k, b in zip(ready.column("seed").to_pylist(), ready.column("bytes").to_pylist(), strict=True)]
         if table.num_rows:
             found = resolve(table.column("bytes").to_pylist(), table.column("id").to_numpy(), table.column("at").to_numpy(), table.column("seed").to_numpy())
+            row = found.pop("row")
+            others = [np.frombuffer(x or b"", np.int64) for x in table.column("places").take(pa.array(row)).to_pylist()]
+            again = np.repeat(np.arange(len(row)), [len(x) for x in others])
+            more = {k: x[again] for k, x in found.items()} | {"at": np.concatenate([np.zeros(0, np.int64), *others])}
+            found = {k: np.concatenate([x, more[k]]) for k, x in found.items()}
             out += [(CUT, k, b) for k, b in packed_by(found, REPEAT, group_of(found["id"], groups))]
         return _batch(_PACKED, out)
 

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -271,6 +272,27 @@ def thue_morse(n):
     return [bin(k).count("1") % 2 for k in range(n)]
 
 
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_substring_dedup_periodic(spark, hot):
+    """Periodic documents with different ends, also with a repeated id, as brute force has them."""
+    unit = "w0rd1 $ab i d i o t "
+    rows = [(k, ("" if k % 2 else "own start ") + unit[k % 3 :] + unit * (60 + 7 * k) + f"end {k}") for k in range(6)]
+    rows += [(3, unit * 90), (2, "x" * 300), (4, "x" * 400), (5, "xy" * 200)]
+    got = substring_dedup.remove_repeats(frame(spark, rows), with_kept=True, hot_stretches=hot).collect()
+    want = brute_repeats(rows)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
+
+
+def test_substring_dedup_of_long_periodic_texts(spark):
+    """Work goes with the different windows of a document: two of 1.2 MB take seconds."""
+    text = "w0rd1 $ab i d i o t " * 60_000
+    rows = [(1, "first " + text), (2, text + " last"), *((k, f"document {k} says nothing that others say") for k in range(3, 11))]
+    began = time.time()
+    got = {r.doc_id: r for r in substring_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert time.time() - began < 40
+    assert got[1].n_removed == 0 and got[2].n_removed == len(text) and got[2].n_spans == 1
+
+
 def test_substring_dedup_where_polynomials_collide(spark):
     """Texts whose polynomial hashes modulo 2**64 are equal, whatever the base, and which share no 50 bytes."""
     block = lambda k, c: f"MARKER-OF-BLOCK:{k:04d}{c}" + "." * 11
