@@ -24,7 +24,8 @@ def cell_join(left: DataFrame, right: DataFrame, keys: list[str], size: int, tou
     b = tuple(F.col(f"b_{c}") for c in ("x0", "y0", "x1", "y1"))
     near = meets(a, b) if touching else overlaps(a, b)  # type: ignore[arg-type]
     rights = right.withColumnsRenamed({k: f"b_{k}" for k in keys})
-    l_cells, r_cells = cells(left, size, "a_"), cells(rights, size, "b_").withColumnsRenamed({"cx": "b_cx", "cy": "b_cy"})
+    # a box is as many rows as it meets cells, which estimates of size know nothing of: never broadcast, no sorting
+    l_cells, r_cells = cells(left, size, "a_"), cells(rights, size, "b_").withColumnsRenamed({"cx": "b_cx", "cy": "b_cy"}).hint("shuffle_hash")
     on = (F.col("cx") == F.col("b_cx")) & (F.col("cy") == F.col("b_cy")) & near
     for k in keys:
         on = on & (F.col(k) == F.col(f"b_{k}"))

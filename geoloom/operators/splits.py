@@ -48,17 +48,22 @@ def balanced_slots(rows: DataFrame, kinds: dict[str, int], seed: int, *keys: str
     return slots.withColumn("k", pick).drop("n").join(numbered.drop("n"), [*keys, "kind", "k"]).select(*keys, "kind", "slot", "rid")
 
 
-def object_balanced_split(counts: DataFrame, fraction: float = 0.2, seed: int = 42, with_empty: bool = True) -> DataFrame:
+def object_balanced_split(
+    counts: DataFrame, fraction: float = 0.2, seed: int = 42, with_empty: bool = True, target_objects: int | None = None, min_scenes: int | None = None
+) -> DataFrame:
     """counts (dataset, scene, objects) with `part`: val has about the share of objects, and of scenes without objects.
 
     Scenes are gone through by falling object count (ties by hash): the first that is not
     larger than the target opens val, and others join while they fit into the target or bring val's objects nearer to
-    it. Sizes decide scene by scene, so each dataset's scenes are folded in order, as one array of numbers.
+    it, or val has under min_scenes scenes. target_objects, if given, takes the place of the share of objects. Where nothing is chosen, the last
+    scene goes to val. Sizes decide scene by scene, so each dataset's scenes are folded in order, as one array of numbers.
     """
     rows = counts.withColumn("h", hash_order(seed, "dataset", "scene"))
     item = F.struct((-F.col("objects")).alias("minus"), "h", "scene", "objects")
-    sets = rows.groupBy("dataset").agg(F.array_sort(F.collect_list(F.when(F.col("objects") > 0, item))).alias("some"), F.array_sort(F.collect_list(F.when(F.col("objects") <= 0, F.struct("h", "scene")))).alias("none"), F.sum("objects").alias("total"), F.count(F.lit(1)).alias("n"))
-    target = F.when(F.col("total") > 0, F.greatest(F.lit(1), F.rint(F.col("total") * fraction).cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
+    sets = rows.groupBy("dataset").agg(F.array_sort(F.collect_list(F.when(F.col("objects") > 0, item))).alias("some"), F.array_sort(F.collect_list(F.when(F.col("objects") <= 0, F.struct("h", "scene")))).alias("none"), F.sum("objects").alias("total"), F.count(F.lit(1)).alias("n"), F.max("scene").alias("last"))
+    aim = F.rint(F.col("total") * fraction).cast("bigint") if target_objects is None else F.lit(target_objects).cast("bigint")
+    target = F.when(F.col("total") > 0, F.greatest(F.lit(1), aim)).otherwise(F.lit(0).cast("bigint"))
+    least = F.when(F.col("n") > 1, max(1, min_scenes or 1)).otherwise(1)
     sets = sets.withColumn("target", target).withColumn("fits", F.exists("some", lambda s: s["objects"] <= F.col("target")))
 
     def step(state: Column, s: Column) -> Column:
@@ -67,19 +72,21 @@ def object_balanced_split(counts: DataFrame, fraction: float = 0.2, seed: int =
         too_big = ~opened & (s["objects"] > aim) & F.exists(F.col("some"), lambda o: (o["objects"] <= aim) & (o > s))
         fits = have + s["objects"] <= aim
         nearer = F.abs(aim - have - s["objects"]) <= F.abs(aim - have)
-        take = ~state["full"] & F.when(opened, (have < aim) & (fits | nearer)).otherwise(~too_big)
+        enough = F.size(state["val"]) >= least
+        stop = (have >= aim) & enough
+        take = F.when(opened, ~stop & (((have < aim) & fits) | nearer | ~enough)).otherwise(~too_big)
         return F.struct(
             F.when(take, have + s["objects"]).otherwise(have).alias("have"),
-            (state["full"] | (opened & (have >= aim))).alias("full"),
             F.when(take, F.concat(state["val"], F.array(s["scene"]))).otherwise(state["val"]).alias("val"),
         )
 
     kind = counts.schema["scene"].dataType.simpleString()
-    start = F.struct(F.lit(0).cast("bigint").alias("have"), F.lit(False).alias("full"), F.array().cast(f"array<{kind}>").alias("val"))
+    start = F.struct(F.lit(0).cast("bigint").alias("have"), F.array().cast(f"array<{kind}>").alias("val"))
     zeros = F.rint(F.size("none") * F.lit(fraction)).cast("int")
     zeros = F.when((F.size("none") > 0) & (F.col("n") > 1), F.greatest(zeros, F.lit(1))).otherwise(zeros) if with_empty else F.lit(0)
     chosen = sets.withColumn("val", F.aggregate("some", start, step)["val"]).withColumn("zeros", F.transform(F.slice("none", 1, zeros), lambda z: z["scene"]))
     chosen = chosen.withColumn("val", F.concat("val", "zeros"))
+    chosen = chosen.withColumn("val", F.when((F.size("val") == 0) & (F.col("n") > 1), F.array("last")).otherwise(F.col("val")))
     # not everything may go to val: an empty scene, else the largest, comes back
     back = F.coalesce(F.try_element_at("zeros", F.lit(1)), F.try_element_at("val", F.lit(1)))
     chosen = chosen.withColumn("val", F.when((F.size("val") == F.col("n")) & (F.col("n") > 1), F.array_remove("val", back)).otherwise(F.col("val")))

@@ -21,6 +21,7 @@ from geoloom.operators import raster as R
 from geoloom.operators import scene_match as sm
 from geoloom.operators import splits as sp
 from geoloom.operators import tiles as T
+from geoloom.operators.running import running_sum
 from geoloom.operators.spatial_join import cell_join
 from geoloom.sources import readers as rd
 from geoloom.sources import writers as wr
@@ -369,28 +370,31 @@ def test_simplified(spark):
 # Splits
 
 
-def loop_split(rows, fraction):
+def loop_split(rows, fraction, target=None, least=1, with_empty=True):
     """rows: (scene, objects, order) of one dataset."""
+    least = least if len(rows) > 1 else 1
     some = sorted((r for r in rows if r[1] > 0), key=lambda r: (-r[1], r[2], r[0]))
     none = sorted((r for r in rows if r[1] <= 0), key=lambda r: (r[2], r[0]))
     total = sum(r[1] for r in rows)
-    aim = max(1, round(total * fraction)) if total else 0
+    aim = max(1, round(total * fraction) if target is None else target) if total else 0
     val, have = [], 0
     for k, r in enumerate(some):
         if not val:
             if r[1] > aim and any(o[1] <= aim for o in some[k + 1 :]):
                 continue
-        elif have >= aim:
+        elif have >= aim and len(val) >= least:
             break
-        elif not (have + r[1] <= aim or abs(aim - have - r[1]) <= abs(aim - have)):
+        elif not ((have < aim and have + r[1] <= aim) or abs(aim - have - r[1]) <= abs(aim - have) or len(val) < least):
             continue
         val.append(r[0])
         have += r[1]
     zeros = round(len(none) * fraction)
     if none and len(rows) > 1:
         zeros = max(1, zeros)
-    zero_ids = [r[0] for r in none[:zeros]]
+    zero_ids = [r[0] for r in none[:zeros]] if with_empty else []
     val += zero_ids
+    if not val and len(rows) > 1:
+        val = [max(r[0] for r in rows)]
     if len(val) == len(rows) > 1:
         val.remove(zero_ids[0] if zero_ids else val[0])
     return set(val)
@@ -411,6 +415,66 @@ def test_object_balanced_split_equals_loop(spark):
         rows = [(s, o, hashlib.md5(f"42:{d}:{s}".encode()).hexdigest()) for dd, s, o in data if dd == d]
         want |= {(d, s) for s in loop_split(rows, 0.2)}
     assert got == want
+    for target, least, with_empty in ((5, 1, True), (None, 4, True), (30, 3, False), (0, 20, False)):
+        split = sp.object_balanced_split(df, with_empty=with_empty, target_objects=target, min_scenes=least)
+        got, want = {(r.dataset, r.scene) for r in split.filter("part = 'val'").collect()}, set()
+        for d in range(12):
+            rows = [(s, o, hashlib.md5(f"42:{d}:{s}".encode()).hexdigest()) for dd, s, o in data if dd == d]
+            want |= {(d, s) for s in loop_split(rows, 0.2, target, least, with_empty)}
+        assert got == want
+
+
+def test_losses_by_name(spark):
+    """Parts and their sums against a plain version; names' parts in any order."""
+    import math
+
+    pixels = [(0.5, 1), (-2.0, 0), (3.0, 1), (1.0, 0)]
+    df = spark.createDataFrame(pixels, "x double, y int")
+    p = [1 / (1 + math.exp(-x)) for x, _ in pixels]
+    bce = [-(math.log(q) if y else math.log(1 - q)) for q, (_, y) in zip(p, pixels, strict=True)]
+    tp, total = sum(q * y for q, (_, y) in zip(p, pixels, strict=True)), sum(p) + sum(y for _, y in pixels)
+    parts = {
+        "bce": sum(bce) / 4, "dice": 1 - (2 * tp + 1e-7) / (total + 1e-7), "tversky": 1 - (tp + 1e-7) / (total / 2 + 1e-7),
+        "focal": sum((1 - (q if y else 1 - q)) ** 2 * b for q, (_, y), b in zip(p, pixels, bce, strict=True)) / 4,
+    }
+    for name, of in {"bce": "bce", "tversky_bce": "bce tversky", "dice_focal": "focal dice", "bce_dice_focal": "bce focal dice", "unknown": "bce dice", "binary_cross_entropy": "bce"}.items():
+        got = df.agg(M.segmentation_loss(name, F.col("x"), F.col("y")).alias("v")).first().v
+        assert got == pytest.approx(sum(parts[k] for k in of.split()))
+
+
+def test_running_sum_over_ranges(spark):
+    random.seed(12)
+    rows = [(random.randint(0, 300), random.randint(-5, 5)) for _ in range(500)]
+    got = {(r.pos, r.total) for r in running_sum(spark.createDataFrame(rows, "pos int, v int").repartition(7), "pos", "v").collect()}
+    assert got == {(p, sum(v for q, v in rows if q <= p)) for p, _ in rows}
+
+
+@pytest.mark.parametrize("most", [0, 1500, 4000, 10**6])
+def test_kept_tail(spark, most):
+    """As a file of lines is cut: its last bytes, less the line that they begin in."""
+    random.seed(13)
+    logs = {j: [f"{j}:{k}:" + "x" * random.randint(0, 300) for k in range(20 + 10 * j)] for j in range(3)}
+    df = spark.createDataFrame([(j, k, line) for j, lines in logs.items() for k, line in enumerate(lines)], "job int, k int, line string")
+    got = wr.kept_tail(df, ["job"], "k", F.octet_length("line"), most).filter("kept").collect()
+    for j, lines in logs.items():
+        text = "".join(f"{x}\n" for x in lines)
+        want = [] if most <= 0 else lines if len(text) <= most else text[-max(1024, most) :].splitlines()[1:]
+        assert [r.line for r in sorted(got, key=lambda r: r.k) if r.job == j] == want
+
+
+def test_canonical_json(spark):
+    rows = [(1, 'a "quoted" \\ name', ["x", "y z"], None), (2, None, [], 5)]
+    df = spark.createDataFrame(rows, "id int, name string, parts array<string>, n bigint")
+    got = df.select("id", N.canonical_json({"name": F.col("name"), "parts": F.col("parts"), "n": F.col("n"), "a": F.col("id")}, df).alias("j")).collect()
+    for (i, name, parts, n), r in zip(rows, sorted(got), strict=True):
+        assert r.j == json.dumps({"name": name, "parts": parts, "n": n, "a": i}, ensure_ascii=False, sort_keys=True)
+
+
+def test_match_names(spark):
+    scenes = spark.createDataFrame([(1, "a/Scene_A.tif"), (2, "b/scene_a.TIF"), (3, "c/other.tif")], "scene int, key string")
+    features = spark.createDataFrame([(1, "scene_a.TIF"), (2, "SCENE_A.tif"), (3, "Scene_A"), (4, "OTHER.tif"), (5, "nothing")], "id int, name string")
+    got = {r.id: r.scene for r in sm.match_names(features, "id", "name", scenes, "scene", "key").collect()}
+    assert got == {1: 2, 2: 1, 3: 1, 4: 3}
 
 
 # Sources, sinks, streams
