@@ -31,7 +31,7 @@ def greedy_match(pairs: DataFrame) -> DataFrame:
     """
     held = Held(pairs.sparkSession, "pairs")
     rank = F.struct((-F.round("iou", 12)).alias("a"), F.col("pid").alias("b"), F.col("gid").alias("c"))
-    left, taken = pairs.select("scene", "pid", "gid", "iou", rank.alias("rank")), []
+    left, taken = pairs.groupBy("scene", "pid", "gid").agg(F.max("iou").alias("iou")).withColumn("rank", rank), []  # repeated pairs count once
     while True:
         best = [F.min("rank").over(Window.partitionBy("scene", end)) for end in ("pid", "gid")]
         told = held.put(left.withColumn("best", (F.col("rank") == best[0]) & (F.col("rank") == best[1])))

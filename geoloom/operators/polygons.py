@@ -111,19 +111,22 @@ def dissolved(spans: DataFrame, key: list[str], close: int = 0) -> DataFrame:
     return shrunk(grown(whole, key, close), key, close) if close else whole
 
 
-def span_objects(spans: DataFrame, key: list[str], least: int = 0) -> DataFrame:
-    """(key, object, pixels, row0, row1) of the parts of merged spans that hang together by pixels' sides, from this size on.
+def span_roots(spans: DataFrame, key: list[str]) -> DataFrame:
+    """Merged spans with `object`, the first span (key, row, c0) of the part that hangs together by pixels' sides.
 
-    An object is named by its first span in order of row and column. Spans of neighbouring rows are joined by their
-    columns through cells of 64 columns.
+    Spans of neighbouring rows are joined by their columns through cells of 64 columns.
     """
-    cells = lambda p: F.explode(F.sequence(F.floor(F.col(f"{p}c0") / 64), F.floor((F.col(f"{p}c1") - 1) / 64)))
+    cells = F.explode(F.sequence(F.floor(F.col("c0") / 64), F.floor((F.col("c1") - 1) / 64)))
     node = F.struct(*key, "row", "c0")
-    a = spans.select(*key, "row", "c0", "c1", node.alias("a"), cells("").alias("cell"))
-    b = spans.select(*key, (F.col("row") - 1).alias("row"), F.col("c0").alias("b_c0"), F.col("c1").alias("b_c1"), node.alias("b"), cells("").alias("cell"))
+    a = spans.select(*key, "row", "c0", "c1", node.alias("a"), cells.alias("cell"))
+    b = spans.select(*key, (F.col("row") - 1).alias("row"), F.col("c0").alias("b_c0"), F.col("c1").alias("b_c1"), node.alias("b"), cells.alias("cell"))
     links = a.join(b, [*key, "row", "cell"]).filter("c0 < b_c1 and b_c0 < c1").select("a", "b")
-    roots = connected(links)
-    told = spans.withColumn("node", node).join(roots, "node", "left").withColumn("object", F.coalesce("root", "node"))
+    return spans.withColumn("node", node).join(connected(links), "node", "left").withColumn("object", F.coalesce("root", "node")).drop("node", "root")
+
+
+def span_objects(spans: DataFrame, key: list[str], least: int = 0) -> DataFrame:
+    """(key, object, pixels, row0, row1) of the parts of merged spans that hang together by pixels' sides, from this size on; object: see span_roots."""
+    told = span_roots(spans, key)
     whole = told.groupBy(*key, "object").agg(F.sum(F.col("c1") - F.col("c0")).alias("pixels"), F.min("row").alias("row0"), F.max("row").alias("row1"))
     return whole.filter(F.col("pixels") >= least)
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .durable import Held
-from .graph import connected
+from .polygons import span_roots
 
 
 def stitched(observations: DataFrame, prob: Column, weight: Column | None = None) -> DataFrame:
@@ -31,45 +31,20 @@ def percentile_stretch(rows: DataFrame, key: str, value: str, least: int = 16) -
     return rows.join(stats.select(key, F.when(enough, F.col("p2")).alias("low"), F.when(enough, high).alias("high")), key)
 
 
-def label_components(pixels: DataFrame, block: int = 1024) -> DataFrame:
+def label_components(pixels: DataFrame) -> DataFrame:
     """pixels (scene, y, x) with `label` (label_y, label_x): connected by edges, named by the smallest (y, x) of each component.
 
-    Blocks of pixels are labelled each by itself; labels that meet along the borders of blocks are links, and the components of the
-    links name what crosses borders. A task holds a block, however large the scene.
+    Neighbouring pixels of a row are one span; spans of neighbouring rows that share a column are linked, and the links' components name
+    the pixels. No task has to hold a scene, or a component.
     """
-
-    def settle(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["y", "x"])
-        keys = list(zip(f["y"].tolist(), f["x"].tolist(), strict=True))
-        parent = {k: k for k in keys}
-
-        def root(k: tuple[int, int]) -> tuple[int, int]:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        for y, x in keys:
-            for other in ((y - 1, x), (y, x - 1)):
-                if other in parent:
-                    a, b = sorted((root((y, x)), root(other)))
-                    parent[b] = a
-        found = [root(k) for k in keys]
-        return f[["scene", "y", "x"]].assign(label_y=[r[0] for r in found], label_x=[r[1] for r in found])
-
-    cell = [F.floor(F.col(c) / block).alias(f"block_{c}") for c in "yx"]
-    held = Held(pixels.sparkSession, "labels")
-    parts = pixels.select("scene", "y", "x").distinct().groupBy("scene", *cell).applyInPandas(settle, "scene bigint, y bigint, x bigint, label_y bigint, label_x bigint")
-    parts = held.put(parts.select("scene", "y", "x", F.struct("scene", "label_y", "label_x").alias("part")))
-    links = None
-    for c, other in (("y", "x"), ("x", "y")):
-        first = parts.filter((F.col(c) % block == 0)).select("scene", (F.col(c) - 1).alias(c), other, F.col("part").alias("a"))
-        last = parts.filter((F.col(c) + 1) % block == 0).select("scene", c, other, F.col("part").alias("b"))
-        met = first.join(last, ["scene", c, other]).select("a", "b").distinct()
-        links = met if links is None else links.unionByName(met)
-    roots = connected(links)
-    told = parts.join(roots, parts.part == roots.node, "left").withColumn("label", F.coalesce("root", "part"))
-    return told.select("scene", "y", "x", F.struct("label.label_y", "label.label_x").alias("label"))
+    rows = pixels.select("scene", "y", "x").distinct()
+    w = Window.partitionBy("scene", "y").orderBy("x")
+    runs = rows.withColumn("run", F.col("x") - F.row_number().over(w))
+    held = Held(pixels.sparkSession, "spans")
+    runs = held.put(runs.withColumn("c0", F.min("x").over(Window.partitionBy("scene", "y", "run"))).drop("run"))
+    spans = runs.groupBy("scene", F.col("y").alias("row"), "c0").agg((F.max("x") + 1).alias("c1"))
+    named = span_roots(spans, ["scene"]).select("scene", F.col("row").alias("y"), "c0", F.struct(F.col("object.row").alias("label_y"), F.col("object.c0").alias("label_x")).alias("label"))
+    return runs.join(named, ["scene", "y", "c0"]).select("scene", "y", "x", "label")
 
 
 def eroded(mask: DataFrame) -> DataFrame:

@@ -377,8 +377,8 @@ def mask_dilated(t: Tables) -> DataFrame:
     SELECT scene, y, x, min(ly * 100 + lx) // 100 AS label_y, min(ly * 100 + lx) % 100 AS label_x FROM reach GROUP BY 1, 2, 3""",
 )
 def components(t: Tables) -> DataFrame:
-    """Each pixel with the first pixel of its component; blocks are so small here that most components cross their borders."""
-    return R.label_components(mask(t), 16).select("scene", "y", "x", "label.*")
+    """Each pixel with the first pixel of its component."""
+    return R.label_components(mask(t)).select("scene", "y", "x", "label.*")
 
 
 #: Boxes painted in pixels of 4 units; closing grows by one pixel and takes it back.
@@ -541,16 +541,25 @@ _SIDES = ", ".join(_SIDE.format(x=x, y=y) for x in ("px.c * 4", "px.c * 4 + 4")
 _CUT = f"(greatest(e.x0, e.x1) > px.c * 4 AND least(e.x0, e.x1) < px.c * 4 + 4 AND greatest(e.y0, e.y1) > px.r * 4 AND least(e.y0, e.y1) < px.r * 4 + 4 AND least({_SIDES}) < 0 AND greatest({_SIDES}) > 0)"
 
 
-@query("gen10_filled_polygons", f"WITH {_EDGES}, {_AROUND} SELECT scene, gid, r AS y, c AS x FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1")
+_TOLD_PIXELS = "SELECT scene, gid, count(*) AS pixels, CAST(sum(r) AS BIGINT) AS sum_y, CAST(sum(c) AS BIGINT) AS sum_x, CAST(sum(r * c) AS BIGINT) AS sum_xy FROM i GROUP BY 1, 2"
+
+
+def told_pixels(spans: DataFrame) -> DataFrame:
+    """How many pixels each outline has, and sums of their places."""
+    y, x = F.col("y"), F.col("x")
+    return PG.span_pixels(spans, ["scene", "gid"]).groupBy("scene", "gid").agg(F.count(F.lit(1)).alias("pixels"), F.sum(y).alias("sum_y"), F.sum(x).alias("sum_x"), F.sum(y * x).alias("sum_xy"))
+
+
+@query("gen10_filled_polygons", f"WITH {_EDGES}, {_AROUND}, i AS (SELECT scene, gid, r, c FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1) {_TOLD_PIXELS}")
 def filled_polygons(t: Tables) -> DataFrame:
     """Pixels whose centres an outline has inside."""
-    return PG.span_pixels(PG.filled_spans(edges_of(t), ["scene", "gid"], 4), ["scene", "gid"])
+    return told_pixels(PG.filled_spans(edges_of(t), ["scene", "gid"], 4))
 
 
-@query("gen10_all_touched", f"WITH {_EDGES}, {_AROUND} SELECT scene, gid, r AS y, c AS x FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1 OR count(*) FILTER ({_CUT}) > 0")
+@query("gen10_all_touched", f"WITH {_EDGES}, {_AROUND}, i AS (SELECT scene, gid, r, c FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1 OR count(*) FILTER ({_CUT}) > 0) {_TOLD_PIXELS}")
 def all_touched(t: Tables) -> DataFrame:
     """Pixels whose centres an outline has inside, or that one of its edges passes through."""
-    return PG.span_pixels(PG.touched_spans(edges_of(t), ["scene", "gid"], 4), ["scene", "gid"])
+    return told_pixels(PG.touched_spans(edges_of(t), ["scene", "gid"], 4))
 
 
 @query("rg3_mask_pixels", f"WITH {_EDGES}, {_AROUND}, i AS (SELECT scene, gid, r, c FROM px JOIN edges e USING (scene, gid) GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER ({_INSIDE}) % 2 = 1) SELECT scene, count(DISTINCT gid) AS outlines, count(DISTINCT r * 100000 + c) AS raw_pixels, count(DISTINCT CASE WHEN (r + c) % 7 <> 0 THEN r * 100000 + c END) AS clipped_pixels FROM i GROUP BY 1")
