@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,15 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import ancestors, base_name, folder_path, norm_scene_name, scene_signature
+from .durable import Held
 
 #: Fixed values of the decision.
 ACCEPT, LIKELY, MARGIN = 0.92, 0.85, 0.015
 LEAST_CONTAINED = 16
 #: Score and reason of each rung.
 RUNGS = ((1.0, "normalized_exact"), (0.995, "kanopus_datetime_scn_signature"), (0.98, "normalized_substring"))
-GRAM = 3
-#: Two names of together at most 16 characters can be alike by LIKELY without a common run of GRAM; names of up to so many characters are compared by runs of two as well.
-SHORT = 9
+#: Sizes of the runs of characters by which alike names find each other; at LIKELY any two share one of the shorter.
+GRAMS = (2, 3)
+#: Scores are rounded to six digits before they are compared.
+SLACK = 5e-7
 
 
 @F.pandas_udf(T.DoubleType())
@@ -41,21 +44,64 @@ def scene_score(needle: Column, name: Column) -> Column:
     return made.otherwise(told(likeness(F.when(left, needle), F.when(left, name)), "sequence_ratio"))
 
 
-def grams(text: Column) -> Column:
-    """The distinct runs of GRAM characters in a text; of a SHORT one those of two characters too."""
-    runs = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1))), lambda k: F.substring(text, k, F.lit(n)))
-    return F.array_distinct(F.when(F.char_length(text) <= SHORT, F.concat(runs(GRAM), runs(2))).otherwise(runs(GRAM)))
-
-
-def least_shared(n: Column, m: Column, accept: float = LIKELY) -> Column:
-    """How many runs of GRAM characters two strings of lengths n and m at least share where their likeness reaches accept.
+def least_shared(n: Column, m: Column, accept: float, size: int) -> Column:
+    """How many runs of so many characters two strings of lengths n and m at least share, counted as often as both have them, where their likeness reaches accept.
 
     The likeness is 2 M / (n + m) with M matched characters in blocks; the n + m - 2 M others make
-    at most that many breaks, each of which spoils GRAM runs at most.
+    at most that many breaks, each of which spoils size - 1 runs at most.
     """
-    matched = F.ceil((n + m) * accept / 2)
-    breaks = n + m - 2 * matched + 1
-    return F.greatest(matched - breaks * (GRAM - 1), F.lit(0))
+    matched = F.ceil((n + m) * (accept - SLACK) / 2)
+    return matched - (n + m - 2 * matched + 1) * (size - 1)
+
+
+def run_size(n: Column, m: Column, accept: float) -> Column:
+    """The longer runs for strings that share many of them at least, else the shorter ones, of which different strings share one in any case."""
+    return F.when(least_shared(n, m, accept, GRAMS[1]) * 5 >= n + m - 4, GRAMS[1]).otherwise(GRAMS[0])
+
+
+def _grams(texts: DataFrame, text: str) -> DataFrame:
+    """(text, n, size, gram, nth): the runs of each size in distinct texts, numbered where they repeat."""
+
+    def runs(size: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.char_length(text) - size + 1), lambda k: F.substring(text, k, F.lit(size)))
+        return F.struct(F.lit(size).alias("size"), F.array_sort(F.when(F.char_length(text) >= size, cut).otherwise(F.array().cast("array<string>"))).alias("grams"))
+
+    rows = texts.select(text, F.explode(F.array(*map(runs, GRAMS))).alias("of")).select(text, F.char_length(text).alias("n"), "of.size", "of.grams")
+    each = rows.select(text, "n", "size", "grams", F.posexplode("grams").alias("at", "gram"))
+    return each.select(text, "n", "size", "gram", (F.col("at") + 1 - F.array_position("grams", F.col("gram"))).alias("nth"))
+
+
+#: Characters fall into so many classes (no two letters or digits but 0 and z share one), each with so many bits, ten to a word.
+CLASSES, DEEP, WIDE = 37, 6, 10
+
+
+def _letters(texts: DataFrame, text: str) -> DataFrame:
+    """texts with `<text>_bag`: how often each class of characters occurs, up to DEEP times, as ones in words; the last word counts what is above."""
+    codes = F.transform(F.split(text, ""), lambda x: F.ascii(x) % CLASSES)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda c: F.least(F.size(F.filter("codes", lambda x: x == c)), F.lit(DEEP)))
+    rows = texts.withColumn("codes", codes).withColumn("counts", counts)
+    ones = [F.shiftleft(F.element_at(F.array(*(F.lit((1 << k) - 1) for k in range(DEEP + 1))), F.element_at("counts", c + 1) + 1).cast("bigint"), c % WIDE * DEEP) for c in range(CLASSES)]
+    words = [reduce(Column.bitwiseOR, ones[k : k + WIDE]) for k in range(0, CLASSES, WIDE)]
+    above = F.size("codes") - F.aggregate("counts", F.lit(0), lambda a, x: a + x)
+    return rows.withColumn(f"{text}_bag", F.array(*words, above.cast("bigint"))).drop("codes", "counts")
+
+
+def _common(a: str, b: str) -> Column:
+    """At least as many characters as two strings have in common in any order."""
+    last = (CLASSES - 1) // WIDE + 2
+    both = [F.bit_count(F.element_at(a, k).bitwiseAND(F.element_at(b, k))) for k in range(1, last)]
+    return reduce(lambda x, y: x + y, both) + F.least(F.element_at(a, last), F.element_at(b, last))
+
+
+def _rarest(grams: DataFrame, often: DataFrame, text: str, mine: str, other: str, accept: float) -> DataFrame:
+    """(text, mine, other, gram, nth): for each length that an alike string may have, those of the text's rarest runs of which both must share one."""
+    ranked = grams.join(often, ["size", "gram"], "left").groupBy(text, "n", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "gram", "nth"))).alias("grams"))
+    ratio = (2 - accept + SLACK) / (accept - SLACK)
+    lengths = F.sequence(F.ceil(F.col("n") / ratio - SLACK), F.floor(F.col("n") * ratio + SLACK))
+    asked = ranked.select(text, F.col("n").cast("bigint").alias(mine), "size", "grams", F.explode(lengths).alias(other)).filter(F.col("size") == run_size(F.col(mine), F.col(other), accept))
+    most = F.size("grams") - least_shared(F.col(mine), F.col(other), accept, F.col("size")) + 1
+    kept = asked.filter(most > 0).select(text, mine, other, F.explode(F.slice("grams", F.lit(1), most.cast("int"))).alias("of"))
+    return kept.select(text, mine, other, "of.gram", "of.nth")
 
 
 def candidates(entries: DataFrame, images: DataFrame) -> DataFrame:
@@ -85,14 +131,38 @@ def candidates(entries: DataFrame, images: DataFrame) -> DataFrame:
 
 
 def like_candidates(entries: DataFrame, images: DataFrame, accept: float = LIKELY) -> DataFrame:
-    """(seq, image, score, reason) by likeness of at least accept, for the entries given."""
-    e = entries.filter("needle <> ''").select("seq", "needle", F.char_length("needle").alias("n"))
-    i = images.filter("name <> ''").select("image", "name", F.char_length("name").alias("m"))
-    longest = F.least("n", "m") * 2 / (F.col("n") + F.col("m")) >= accept
-    pairs = e.withColumn("gram", F.explode(grams(F.col("needle")))).join(i.withColumn("gram", F.explode(grams(F.col("name")))), "gram").filter(longest)
-    shared = pairs.groupBy("seq", "image").agg(F.count(F.lit(1)).alias("shared"), F.first("needle").alias("needle"), F.first("name").alias("name"), F.first("n").alias("n"), F.first("m").alias("m"))
-    told = shared.withColumn("score", F.round(likeness("needle", "name"), 6))
-    return told.filter(F.col("score") >= accept).select("seq", "image", "score", F.lit("sequence_ratio").alias("reason"))
+    """(seq, image, score, reason) by likeness of at least accept, for the entries given.
+
+    Distinct names are compared once. Names so alike share a number of runs of characters that their lengths
+    tell (least_shared), so that one of the rarest in each is the same; runs that most names have bring none together. Pairs found are
+    filtered by the characters that they have in common in any order, and by Levenshtein's distance, which is never more than the characters left unmatched, before their likeness is measured. No pair is lost.
+    A name that is equal and has but one character is none of these; it is found as an exact one.
+    """
+    if accept < LIKELY:
+        raise ValueError(f"accept must be {LIKELY} or more: names less alike may share no run of characters")
+    needles = entries.filter("needle <> ''").select("needle").distinct()
+    names = images.filter("name <> ''").select("name").distinct()
+    found = _grams(names, "name")
+    often = found.filter("nth = 0").groupBy("size", "gram").agg(F.count(F.lit(1)).alias("often"))
+    ours = _rarest(_grams(needles, "needle"), often, "needle", "n", "m", accept).join(_letters(needles, "needle"), "needle")
+    theirs = _rarest(found, often, "name", "m", "n", accept).join(_letters(names, "name"), "name")
+    matched = F.ceil((F.col("n") + F.col("m")) * (accept - SLACK) / 2)
+    # Pairs cost time and few bytes: as many tasks as for any shuffle, whatever the size.
+    tasks, keys = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["n", "m", "gram", "nth"]
+    met = ours.repartition(tasks, *keys).join(theirs.repartition(tasks, *keys), keys).filter(_common("needle_bag", "name_bag") >= matched)
+    pairs = met.select("needle", "name", (F.col("n") + F.col("m") - 2 * matched).alias("unmatched")).repartition(tasks, "needle", "name").distinct()
+    pairs = pairs.filter(F.levenshtein("needle", "name") <= F.col("unmatched"))
+    told = pairs.withColumn("score", F.round(likeness("needle", "name"), 6)).filter(F.col("score") >= accept)
+    return entries.select("seq", "needle").join(told, "needle").join(images.select("image", "name"), "name").select("seq", "image", "score", F.lit("sequence_ratio").alias("reason"))
+
+
+def tidy(key: Column) -> Column:
+    """A path with forward slashes, and neither these nor blanks at its ends."""
+    return F.trim(F.translate(key, "\\", "/"), F.lit("/ "))
+
+
+def is_raster(key: Column) -> Column:
+    return F.lower(key).rlike("[.]tiff?$")
 
 
 def folder_index(images: DataFrame) -> DataFrame:
@@ -108,34 +178,67 @@ def folder_matches(entries: DataFrame, images: DataFrame) -> DataFrame:
     return wanted.join(tails, "wanted").groupBy("seq").agg(F.count_distinct("folder").alias("folders"), F.min("folder").alias("folder"))
 
 
-def match_report(entries: DataFrame, images: DataFrame) -> DataFrame:
-    """One row per entry (seq, entry): needle, image, score, reason, decision, candidates.
+def preferred(images: DataFrame, name: str, prefixes: list[str]) -> DataFrame:
+    """(name, image): of the images of one name the only one under the first prefix that any of them has; none where that has several."""
+    if not prefixes:
+        return images.select(name, "image").limit(0)
+    place = F.coalesce(*(F.when(F.col("key").startswith(p), F.lit(k)) for k, p in enumerate(prefixes)))
+    first = images.select(name, "image", place.alias("place")).filter("place is not null").groupBy(name, "place").agg(F.count(F.lit(1)).alias("n"), F.min("image").alias("image"))
+    return first.groupBy(name).agg(F.min_by(F.struct("n", "image"), "place").alias("of")).filter("of.n = 1").select(name, "of.image")
+
 
-    Decisions: matched, ambiguous, folder_expanded, ambiguous_folder, likely_missing_file, missing.
+def match_report(entries: DataFrame, images: DataFrame, prefixes: list[str] | None = None) -> DataFrame:
+    """One row per entry (seq, entry): needle, image, score, reason, folder, decision, why.
+
+    Decisions: matched, ambiguous, folder_expanded, ambiguous_folder, likely_missing_file, missing. `reason` is how the best image was found,
+    `why` what led to the decision. Where several images have an entry's name, one under a preferred prefix is taken.
+    Likeness is measured in two rounds: at ACCEPT for all entries without an exact hit, at LIKELY for those that are then still without an image.
     """
     named = entries.withColumn("needle", norm_scene_name(F.col("entry")))
-    images = images.withColumn("name", norm_scene_name(base_name(F.col("key"))))
-    sure = candidates(named, images)
+    images = images.withColumn("key", tidy(F.col("key"))).withColumn("name", norm_scene_name(base_name(F.col("key"))))
+    held = Held(entries.sparkSession, "match")
+    sure = held.put(candidates(named, images))
     # An exact hit decides alone; by a lower rung the best image may be another that is more alike, or have a close second.
     inexact = named.join(images.select("name").distinct(), F.col("needle") == F.col("name"), "left_anti")
-    rungs = sure.withColumn("rung", F.lit(0)).unionByName(like_candidates(inexact, images).withColumn("rung", F.lit(1)))
-    found = rungs.groupBy("seq", "image").agg(F.min_by(F.struct("score", "reason"), "rung").alias("of")).select("seq", "image", "of.score", "of.reason")
-    w = Window.partitionBy("seq")
-    placed = found.withColumns(
-        {"place": F.row_number().over(w.orderBy(F.desc("score"), "image")), "second": F.lead("score").over(w.orderBy(F.desc("score"), "image")), "exact": F.sum((F.col("score") == 1.0).cast("int")).over(w)}
-    ).filter("place = 1")
-    told = named.join(placed, "seq", "left").join(folder_matches(named, images), "seq", "left")
-    close = (F.col("second") >= ACCEPT) & (F.col("score") - F.col("second") <= MARGIN)
-    decision = (
-        F.when((F.col("score") >= ACCEPT) & (F.col("exact") == 1), "matched")
-        .when((F.col("score") >= ACCEPT) & ((F.col("exact") > 1) | F.coalesce(close, F.lit(False))), "ambiguous")
-        .when(F.col("score") >= ACCEPT, "matched")
-        .when(F.col("folders") == 1, "folder_expanded")
-        .when(F.col("folders") > 1, "ambiguous_folder")
-        .when(F.col("score") >= LIKELY, "likely_missing_file")
-        .otherwise("missing")
+    alike = held.put(like_candidates(inexact, images, ACCEPT))
+    left = inexact.join(sure.select("seq").union(alike.select("seq")).distinct(), "seq", "left_anti")
+    rungs = sure.withColumn("rung", F.lit(0)).unionByName(alike.unionByName(like_candidates(left, images)).withColumn("rung", F.lit(1)))
+    found = held.put(rungs.groupBy("seq", "image").agg(F.min_by(F.struct("score", "reason"), "rung").alias("of")).select("seq", "image", "of.score", "of.reason"))
+    two = found.groupBy("seq").agg(F.min(F.struct((-F.col("score")).alias("under"), "image", "reason")).alias("first"), F.count_if(F.col("score") == 1.0).alias("exact"))
+    second = found.join(two.select("seq", F.col("first.image").alias("taken")), "seq").filter("image <> taken").groupBy("seq").agg(F.max("score").alias("second"))
+    placed = two.join(second, "seq", "left").select("seq", "first.image", (-F.col("first.under")).alias("score"), "first.reason", "second", "exact")
+    chosen = preferred(images, "name", prefixes or []).select(F.col("name").alias("needle"), F.col("image").alias("chosen"))
+    told = named.join(placed, "seq", "left").join(folder_matches(named, images.filter(is_raster(F.col("key")))), "seq", "left").join(chosen, "needle", "left")
+    sure_enough, close = F.col("score") >= ACCEPT, (F.col("second") >= ACCEPT) & (F.col("score") - F.col("second") <= MARGIN)
+    picked = sure_enough & (F.col("exact") > 1) & F.col("chosen").isNotNull()
+    verdict = lambda decision, why: F.struct(F.lit(decision).alias("decision"), (F.lit(why) if isinstance(why, str) else why).alias("why"))
+    decided = (
+        F.when(sure_enough & (F.col("exact") == 1), verdict("matched", F.col("reason")))
+        .when(picked, verdict("matched", "preferred_exact_duplicate"))
+        .when(sure_enough & ((F.col("exact") > 1) | F.coalesce(close, F.lit(False))), verdict("ambiguous", "multiple_close_candidates"))
+        .when(sure_enough, verdict("matched", F.col("reason")))
+        .when(F.col("folders") == 1, verdict("folder_expanded", "matched_folder"))
+        .when(F.col("folders") > 1, verdict("ambiguous_folder", "folder_basename_ambiguous"))
+        .when(F.col("score") >= LIKELY, verdict("likely_missing_file", "best_candidate_below_accept_threshold"))
+        .otherwise(verdict("missing", "no_reliable_candidate"))
     )
-    return told.select("seq", "entry", "needle", "image", "score", "reason", "folder", decision.alias("decision"))
+    image = F.when(picked, F.col("chosen")).otherwise(F.col("image"))
+    return told.select("seq", "entry", "needle", image.alias("image"), "score", "reason", "folder", decided.alias("of")).select("seq", "entry", "needle", "image", "score", "reason", "folder", "of.decision", "of.why")
+
+
+def matched_images(report: DataFrame, images: DataFrame) -> DataFrame:
+    """(image, seq, entry, score): each image that a report's entries lead to, once, by the first entry that does.
+
+    A file's entry leads to its image with the score of the match, a folder's to every raster below it, with 1. Images are the
+    same where their keys are but for case and slashes at the ends; of those that one folder adds together, the first image counts.
+    """
+    keyed = images.select("image", tidy(F.col("key")).alias("key"))
+    files = report.filter("decision = 'matched'").select("seq", "entry", "image", F.round("score", 4).alias("score")).join(keyed, "image")
+    below = folder_index(keyed.filter(is_raster(F.col("key"))))
+    folders = report.filter("decision = 'folder_expanded'").select("seq", "folder").join(below, "folder").select("seq", F.col("key").alias("entry"), "image", F.lit(1.0).alias("score"), "key")
+    led = files.select("seq", "entry", "image", "score", "key").unionByName(folders)
+    first = led.groupBy(F.lower("key").alias("identity")).agg(F.min(F.struct("seq", F.lower("key"), "image", "key", "entry", "score")).alias("of"))
+    return first.select("of.image", "of.seq", "of.entry", "of.score")
 
 
 def first_wins(rows: DataFrame, identity: list[str], order: list[str]) -> DataFrame:

@@ -233,6 +233,36 @@ def match_report(t: Tables) -> DataFrame:
     return sm.match_report(entries(t), t.images)
 
 
+#: A listing in which three images share each name, in different folders.
+_THREE_KEYS = "'root/x' || CAST(image % 5 AS STRING) || '/scene_' || CAST(CAST(floor(image / 3) AS BIGINT) AS STRING) || '.tif'"
+_PREFIXES = ("root/x2/", "root/x4/", "root/")
+
+
+@query(
+    "jn2_preferred_images",
+    f"""WITH n AS (SELECT image, {norm('key')} AS name, CASE {' '.join(f"WHEN starts_with(key, '{p}') THEN {k}" for k, p in enumerate(_PREFIXES))} END AS place FROM (SELECT image, {_THREE_KEYS} AS key FROM @images) q),
+    f AS (SELECT name, place, count(*) AS n, min(image) AS image, min(place) OVER (PARTITION BY name) AS best FROM n GROUP BY name, place) SELECT name, image FROM f WHERE place = best AND n = 1""",
+)
+def preferred_images(t: Tables) -> DataFrame:
+    """The image that preferred folders choose among those of one name."""
+    images = t.images.select("image", F.expr(_THREE_KEYS).alias("key"))
+    return sm.preferred(images.withColumn("name", N.norm_scene_name(N.base_name(F.col("key")))), "name", list(_PREFIXES))
+
+
+@query(
+    "jn2_folder_images",
+    f"""WITH {_ENTRIES}, f AS (SELECT DISTINCT image, lower(array_to_string(p[1:k], '/')) AS folder FROM (SELECT image, string_split(key, '/') AS p FROM @images WHERE regexp_matches(lower(key), '[.]tiff?$')) q, unnest(range(1, len(p))) AS u(k)),
+    w AS (SELECT seq, lower(trim(entry, '/')) AS wanted FROM entries), d AS (SELECT seq, min(folder) AS folder FROM w JOIN (SELECT DISTINCT folder FROM f) x ON folder = wanted OR suffix(folder, '/' || wanted) GROUP BY seq HAVING count(*) = 1)
+    SELECT image, min(seq) AS seq FROM d JOIN f USING (folder) GROUP BY image""",
+)
+def folder_images(t: Tables) -> DataFrame:
+    """Images that folders in the list stand for, each by the first entry that leads to it."""
+    rasters = t.images.filter(sm.is_raster(F.col("key")))
+    told = entries(t).join(sm.folder_matches(entries(t), rasters).filter("folders = 1"), "seq")
+    report = told.select("seq", "entry", F.lit(None).cast("bigint").alias("image"), F.lit(None).cast("double").alias("score"), "folder", F.lit("folder_expanded").alias("decision"))
+    return sm.matched_images(report, t.images).select("image", "seq")
+
+
 @query("jn4_first_wins", f"WITH {_ENTRIES} SELECT name, min(seq) AS seq FROM (SELECT seq, {norm('entry')} AS name FROM entries) q GROUP BY 1")
 def first_wins(t: Tables) -> DataFrame:
     return sm.first_wins(entries(t).select("seq", N.norm_scene_name(F.col("entry")).alias("name")), ["name"], ["seq"]).select("name", "seq")

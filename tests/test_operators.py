@@ -68,6 +68,43 @@ def test_likeness_finds_all_pairs(spark):
     assert got == want and want
 
 
+@pytest.mark.parametrize("accept", [0.85, 0.92])
+def test_likeness_of_names_of_all_lengths(spark, accept):
+    random.seed(7)
+    heads = ["", "scene", "kanopus2024", "00000000"]
+    names = [h + "".join(random.choices("0123456789az", k=random.randint(1, 14))) for h in heads for _ in range(40)]
+    names += ["ортофото" + w for w in names[:10]]
+    near = [w[:2] + w[3:] + "7" for w in names] + [w[::-1] for w in names[:20]] + [w[: len(w) // 2] + "q" + w[len(w) // 2 :] for w in names]
+    e = spark.createDataFrame(list(enumerate(near + near[:5])), "seq bigint, needle string")
+    i = spark.createDataFrame(list(enumerate(names + names[:5])), "image bigint, name string")
+    got = {(r.seq, r.image) for r in sm.like_candidates(e, i, accept).collect()}
+    asked, there = near + near[:5], names + names[:5]
+    want = {(a, b) for a, x in enumerate(asked) for b, y in enumerate(there) if (x != y or len(x) > 1) and round(difflib.SequenceMatcher(None, x, y).ratio(), 6) >= accept}
+    assert got == want and len(want) > 100
+    with pytest.raises(ValueError, match="accept"):
+        sm.like_candidates(e, i, 0.5)
+
+
+def test_preferred_prefixes_decide_between_equal_names(spark):
+    keys = ["a/one.tif", "b/one_cog.tif", "a/two.tif", "c/x/two.tif", "c/y/two.tif", "d/three.tif", "e/three.tif"]
+    e = spark.createDataFrame(list(enumerate(["one.tif", "two.tif", "three.tif"])), "seq bigint, entry string")
+    i = spark.createDataFrame(list(enumerate(keys)), "image bigint, key string")
+    got = {r.entry: (r.decision, r.why, r.image) for r in sm.match_report(e, i, ["c/", "b/", "a/"]).collect()}
+    assert got["one.tif"] == ("matched", "preferred_exact_duplicate", 1)
+    assert got["two.tif"][:2] == ("ambiguous", "multiple_close_candidates")  # the first prefix that any has counts
+    assert got["three.tif"][:2] == ("ambiguous", "multiple_close_candidates")
+
+
+def test_matched_images_expand_folders_once(spark):
+    keys = ["r/Alpha/one.tif", "r/Alpha/sub/two.TIFF", "r/Alpha/notes.txt", "r/beta/three.tif", "/R/beta/THREE.tif"]
+    e = spark.createDataFrame(list(enumerate(["two.tiff", "alpha", "r/Alpha", "beta", "nothing"])), "seq bigint, entry string")
+    i = spark.createDataFrame(list(enumerate(keys)), "image bigint, key string")
+    report = sm.match_report(e, i)
+    assert {r.entry: r.decision for r in report.collect()} == {"two.tiff": "matched", "alpha": "folder_expanded", "r/Alpha": "folder_expanded", "beta": "folder_expanded", "nothing": "missing"}
+    got = sorted((r.image, r.seq, r.entry, r.score) for r in sm.matched_images(report, i).collect())
+    assert got == [(0, 1, "r/Alpha/one.tif", 1.0), (1, 0, "two.tiff", 1.0), (3, 3, "r/beta/three.tif", 1.0)]
+
+
 def ladder(needle, names):
     """The decision over all images, pair by pair."""
 
