@@ -53,7 +53,8 @@ def block_tiles(blocks: DataFrame, windows: DataFrame, core: int, halo: int) ->
     spread = windows.select("scene", "index", "x", "y", "width", "height", F.explode(reach(F.col("y"), F.col("height"))).alias("bi"))
     spread = spread.withColumn("bj", F.explode(reach(F.col("x"), F.col("width"))))
     met = (F.col("x") < F.col("ex1")) & (F.col("ex0") < F.col("x") + F.col("width")) & (F.col("y") < F.col("ey1")) & (F.col("ey0") < F.col("y") + F.col("height"))
-    return spread.join(blocks, ["scene", "bi", "bj"]).filter(met).select("scene", "bi", "bj", "index")
+    # blocks are made from far fewer scenes, which estimates of size know nothing of: never broadcast
+    return spread.join(blocks.hint("merge"), ["scene", "bi", "bj"]).filter(met).select("scene", "bi", "bj", "index")
 
 
 def batches(rows: DataFrame, order: list[str], partition: list[str], size: int) -> DataFrame:

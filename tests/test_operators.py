@@ -709,3 +709,11 @@ def test_micro_batches_stream(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert got[: len(folded_batches(rows, 4, 60))] == folded_batches(rows, 4, 60)
+
+
+def test_blocks_and_tiles_meet_without_a_broadcast(spark, sf_dir):
+    """Blocks grow with scenes, whatever their tables' sizes are taken for."""
+    from geoloom.plans.registry import QUERIES
+
+    for name in ("jn12_block_tiles", "wn8_stream_overlap", "st13_streaming_accepted"):
+        assert "BroadcastHashJoin" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
