@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -171,9 +174,7 @@ def valid_mask(pixels: DataFrame, window: list[str], mode: str = "auto") -> Data
 def simplified(points: DataFrame, tolerance: float) -> DataFrame:
     """Douglas-Peucker: of each ring (ring, k, x, y) the points whose removal would move the line by more than tolerance."""
 
-    def keep(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("k")
-        xs, ys = f["x"].tolist(), f["y"].tolist()
+    def kept(xs: list[float], ys: list[float]) -> list[int]:
         stay, stack = {0, len(xs) - 1}, [(0, len(xs) - 1)]
         while stack:
             a, b = stack.pop()
@@ -188,6 +189,22 @@ def simplified(points: DataFrame, tolerance: float) -> DataFrame:
             if best is not None:
                 stay.add(best)
                 stack += [(a, best), (best, b)]
-        return f.iloc[sorted(stay)]
-
-    return points.groupBy("ring").applyInPandas(keep, points.select("ring", "k", "x", "y").schema)
+        return sorted(stay)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("line")
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).tolist()
+            flat = lists.flatten()
+            xs, ys = (flat.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("x", "y"))
+            ring, stay = [], []
+            for r, (a, b) in enumerate(zip(ends, ends[1:])):
+                at = kept(xs[a:b], ys[a:b])
+                ring += [r] * len(at)
+                stay += [a + k for k in at]
+            rings, points = batch.column("ring").take(pa.array(ring, pa.int64())), flat.take(pa.array(stay, pa.int64()))
+            yield pa.RecordBatch.from_arrays([rings, *(points.field(c) for c in ("k", "x", "y"))], names=["ring", "k", "x", "y"])
+
+    point = F.struct(F.col("k").isNull().alias("none"), "k", "x", "y")
+    lines = points.groupBy("ring").agg(F.array_sort(F.collect_list(point)).alias("line"))
+    return lines.mapInArrow(run, points.select("ring", "k", "x", "y").schema)

@@ -616,7 +616,7 @@ def simplified(t: Tables) -> DataFrame:
     """No twin: Douglas-Peucker over the polyline of each order's items. Tests give known lines."""
     from ..operators.raster import simplified as simplify
 
-    points = t.lineitem.select(F.col("l_orderkey").alias("ring"), F.col("l_linenumber").cast("bigint").alias("k"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y")).dropDuplicates(["ring", "k"])
+    points = t.lineitem.select(F.col("l_orderkey").alias("ring"), F.col("l_linenumber").cast("bigint").alias("k"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y")).repartition("ring").dropDuplicates(["ring", "k"])
     return simplify(points, 5.0)
 
 
