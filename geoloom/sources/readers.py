@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import math
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,14 +98,45 @@ def probability_pixels(arrays: DataFrame, band: str | None = None) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
+        @lru_cache(maxsize=1024)
+        def layout(head: bytes) -> tuple[np.dtype, tuple[int, ...], bool]:
+            f = io.BytesIO(head)
+            version = np.lib.format.read_magic(f)
+            shape, fortran, dtype = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(f)
+            return dtype, shape, fortran
+
+        def array(content: bytes) -> tuple[str | None, np.ndarray]:
+            # small arrays come in great numbers, with few different headers
+            if content[:6] == b"\x93NUMPY" and content[6] in (1, 2):
+                end = 10 + int.from_bytes(content[8:10], "little") if content[6] == 1 else 12 + int.from_bytes(content[8:12], "little")
+                dtype, shape, fortran = layout(bytes(content[:end]))
+                if not dtype.hasobject:
+                    n = math.prod(shape)
+                    return None, np.frombuffer(content, dtype, n, end).reshape(shape, order="F" if fortran else "C")
+            a = np.load(io.BytesIO(content), allow_pickle=False)
+            if not hasattr(a, "files"):
+                return None, a
+            name = next((k for k in wanted if k in a.files), a.files[0])
+            return name, a[name]
+
+        places = lru_cache(maxsize=64)(lambda shape: [x.ravel().astype("int64") for x in np.indices(shape)])
+
+        def told(held: list[tuple[str, np.ndarray]]) -> pd.DataFrame:
+            at = [places(p.shape) if p.size <= 1 << 16 else [x.ravel().astype("int64") for x in np.indices(p.shape)] for _, p in held]
+            keys = np.repeat(np.array([k for k, _ in held], dtype=object), [p.size for _, p in held])
+            return pd.DataFrame({"key": keys, "y": np.concatenate([y for y, _ in at]), "x": np.concatenate([x for _, x in at]), "prob": np.concatenate([p.ravel() for _, p in held])})
+
         for frame in frames:
+            held, size = [], 0
             for key, content in zip(frame["key"], frame["content"], strict=True):
-                a, name = np.load(io.BytesIO(content), allow_pickle=False), None
-                if hasattr(a, "files"):
-                    name = next((k for k in wanted if k in a.files), a.files[0])
-                    a = a[name]
+                name, a = array(content)
                 p = a.astype("float32") / 255 if name == "prob_uint8" or a.dtype == np.uint8 else a.astype("float32")
-                y, x = np.indices(p.shape)
-                yield pd.DataFrame({"key": key, "y": y.ravel().astype("int64"), "x": x.ravel().astype("int64"), "prob": p.ravel()})
+                held.append((key, p))
+                size += p.size
+                if size >= 1 << 20:
+                    yield told(held)
+                    held, size = [], 0
+            if held:
+                yield told(held)
 
     return arrays.select("key", "content").mapInPandas(run, "key string, y bigint, x bigint, prob float")
