@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.grids import axis_origins
 
 
-def window_grid(scenes: DataFrame, tile: int, stride: int, clip: bool = False) -> DataFrame:
+def window_grid(scenes: DataFrame, tile: int, stride: int, clip: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Windows (scene, x, y, width, height, index, is_edge) of scenes (scene, w, h), numbered row by row.
 
-    clip: windows end at the scene's edge, else they keep their size and may hang over.
+    clip: windows end at the scene's edge, else they keep their size and may hang over. keep: which of w and h come along.
     """
     xs, ys = axis_origins(F.col("w"), tile, stride), axis_origins(F.col("h"), tile, stride)
     rows = scenes.select("scene", "w", "h", F.size(xs).alias("nx"), xs.alias("xs"), F.posexplode(ys).alias("yi", "y"))
@@ -20,7 +20,7 @@ def window_grid(scenes: DataFrame, tile: int, stride: int, clip: bool = False) -
     width = F.least(F.lit(tile), F.col("w") - F.col("x")) if clip else F.lit(tile)
     height = F.least(F.lit(tile), F.col("h") - F.col("y")) if clip else F.lit(tile)
     return cells.select(
-        "scene", "x", "y", width.cast("bigint").alias("width"), height.cast("bigint").alias("height"), (F.col("yi") * F.col("nx") + F.col("xi")).cast("bigint").alias("index"), edge.alias("is_edge")
+        "scene", "x", "y", width.cast("bigint").alias("width"), height.cast("bigint").alias("height"), (F.col("yi") * F.col("nx") + F.col("xi")).cast("bigint").alias("index"), edge.alias("is_edge"), *keep
     )
 
 

@@ -48,9 +48,10 @@ def window_grid_inference(t: Tables) -> DataFrame:
 )
 def tiling_check(t: Tables) -> DataFrame:
     """Counts of windows against those expected, windows that stick out, and whether the grid reaches all edges."""
-    grid = og.window_grid(t.scenes, TILE, STRIDE).join(t.scenes.select("scene", "w", "h"), "scene")
+    grid = og.window_grid(t.scenes, TILE, STRIDE, keep=("w", "h"))
     out = (F.col("x") + F.least(F.lit(TILE), F.col("w")) > F.col("w")) | (F.col("y") + F.least(F.lit(TILE), F.col("h")) > F.col("h"))
-    expected = F.count_distinct("x") * F.count_distinct("y")
+    origins = [F.size(fg.axis_origins(F.max(c), TILE, STRIDE)).cast("bigint") for c in ("w", "h")]
+    expected = origins[0] * origins[1]
     covered = (F.max("x") + TILE >= F.max("w")) & (F.max("y") + TILE >= F.max("h")) & (F.min("x") == 0) & (F.min("y") == 0)
     return grid.groupBy("scene").agg(F.count(F.lit(1)).alias("windows"), expected.alias("expected"), F.count_if(out).alias("outside"), covered.alias("covered"))
 
@@ -106,7 +107,7 @@ def batches(t: Tables) -> DataFrame:
 
 @query("fn22_insert_slices", f"WITH {_GRID} SELECT scene, index, CASE WHEN x = 0 THEN 0 ELSE 32 END AS left_cut, CASE WHEN x + {TILE} >= w THEN 0 ELSE 32 END AS right_cut, x + CASE WHEN x = 0 THEN 0 ELSE 32 END AS insert_x FROM grid")
 def insert_slices(t: Tables) -> DataFrame:
-    grid = og.window_grid(t.scenes, TILE, STRIDE).join(t.scenes.select("scene", "w"), "scene")
+    grid = og.window_grid(t.scenes, TILE, STRIDE, keep=("w",))
     left, right = fg.insert_margin(F.col("x") == 0, 32), fg.insert_margin(F.col("x") + TILE >= F.col("w"), 32)
     return grid.select("scene", "index", left.alias("left_cut"), right.alias("right_cut"), (F.col("x") + left).alias("insert_x"))
 
