@@ -135,14 +135,16 @@ class Batches(StatefulProcessor):
         n = int(self.made.get()[0]) if self.made.exists() else 0
         out = []
         at = lambda r: int(r[0].timestamp() * 1000)
-        while held:
-            end = at(held[0]) + self.wait
-            inside = [r for r in held[: self.size] if at(r) < end]
+        gone = 0
+        while gone < len(held):
+            end = at(held[gone]) + self.wait
+            inside = [r for r in held[gone : gone + self.size] if at(r) < end]
             whole = len(inside) == self.size and at(inside[-1]) < upto
             if not whole and end > upto:
                 break
             out.append((n, len(inside), inside[0][0], inside[-1][0]))
-            n, held = n + 1, held[len(inside) :]
+            n, gone = n + 1, gone + len(inside)
+        held = held[gone:]
         self.rows.clear()
         if held:
             self.rows.put([(ts.to_pydatetime(), i) for ts, i in held])
