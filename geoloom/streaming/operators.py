@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
@@ -63,6 +63,7 @@ class ReadyBlocks(StatefulProcessor):
     """One block of a scene: the tiles that are done and when, until all are; then only that it was told, until a timer clears that too.
 
     hold: milliseconds of event time for which a finished block ignores repeated messages, and after which a block that hears nothing is given up.
+    Times are microseconds. All of a block's state is one value, as each call of the store takes longer than a message does.
     """
 
     def __init__(self, hold: int):
@@ -70,36 +71,32 @@ class ReadyBlocks(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.tiles = handle.getMapState("tiles", "tile bigint", "ts timestamp")
-        self.told = handle.getValueState("told", "told boolean")
+        self.state = handle.getValueState("block", "told boolean, until bigint, tiles array<bigint>, at array<bigint>")
 
-    def _wait(self, until: int) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(until)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        was = self.state.get()
+        told, until, tiles = (was[0], was[1], dict(zip(was[2], was[3], strict=True))) if was else (False, None, {})
         last, need = None, 0
-        for f in rows:
-            last, need = max(filter(None, (last, f["ts"].max()))), int(f["n_tiles"].iloc[0])
-            if not self.told.exists():
-                for tile, ts in f.groupby("tile")["ts"].min().items():
-                    was = self.tiles.getValue((int(tile),)) if self.tiles.containsKey((int(tile),)) else None
-                    if was is None or ts < pd.Timestamp(was[0]):
-                        self.tiles.updateValue((int(tile),), (ts.to_pydatetime(),))
+        for r in rows:
+            us, need = r.us, r.n_tiles
+            last = us if last is None else max(last, us)
+            if not told:
+                tiles[r.tile] = min(us, tiles.get(r.tile, us))
         if last is None:
             return
-        self._wait(max(int(last.timestamp() * 1000), timerValues.getCurrentWatermarkInMs()) + self.hold)
-        if not self.told.exists():
-            done = [pd.Timestamp(v[0]) for v in self.tiles.values()]
-            if len(done) >= need:
-                self.tiles.clear()
-                self.told.update((True,))
-                yield pd.DataFrame({"scene": [key[0]], "block": [key[1]], "ready_ts": [max(done)]})
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.tiles.clear()
-        self.told.clear()
+        ready = not told and len(tiles) >= need
+        again = max(last // 1000, timerValues.getCurrentWatermarkInMs()) + self.hold
+        if until != again:
+            if until is not None:
+                self.handle.deleteTimer(until)
+            self.handle.registerTimer(again)
+        kept = {} if told or ready else tiles
+        self.state.update((told or ready, again, list(kept), list(kept.values())))
+        if ready:
+            yield Row(scene=key[0], block=key[1], ready_us=max(tiles.values()))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.state.clear()
         yield from ()
 
     def close(self) -> None:
@@ -112,10 +109,9 @@ def ready_blocks_stream(done: DataFrame, needs: DataFrame, delay: str = "10 minu
     A block is told once, when its last tile comes, with the time of the last tile's first message, over however many micro-batches.
     Messages later than the watermark are ignored; a block's state shrinks when it is told, and goes by a timer.
     """
-    joined = done.withWatermark("ts", delay).join(needs, ["scene", "tile"])
-    return joined.groupBy("scene", "block").transformWithStateInPandas(
-        ReadyBlocks(hold_minutes * 60_000), "scene bigint, block bigint, ready_ts timestamp", "Append", "EventTime"
-    )
+    joined = done.withWatermark("ts", delay).join(needs, ["scene", "tile"]).select("scene", "block", "tile", "n_tiles", "ts", F.unix_micros("ts").alias("us"))
+    told = joined.groupBy("scene", "block").transformWithState(ReadyBlocks(hold_minutes * 60_000), "scene bigint, block bigint, ready_us bigint", "Append", "EventTime")
+    return told.select("scene", "block", F.timestamp_micros("ready_us").alias("ready_ts"))
 
 
 class Batches(StatefulProcessor):

@@ -9,6 +9,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
@@ -669,6 +670,41 @@ def test_history_and_collection(spark, tmp_path):
     assert json.loads(text) == {"type": "FeatureCollection", "name": 'x"y', "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": [{"k": 1}, {"k": 2}]}
 
 
+def test_ready_blocks_asks_the_store_seldom():
+    """A block that is done in one go costs one read, one write and one timer, however many messages it has; times are a block's own."""
+    calls, held = [], {}
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            calls.append("get")
+            return held.get("state")
+
+        def update(self, value):
+            calls.append("update")
+            held["state"] = value
+
+        def registerTimer(self, at):
+            calls.append("register")
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    block = st.ReadyBlocks(1000)
+    block.init(Handle())
+    rows = [Row(tile=k % 4, us=1_000_000 * k, n_tiles=4) for k in range(100)]
+    assert list(block.handleInputRows((7, 1), iter(rows), Times())) == [Row(scene=7, block=1, ready_us=3_000_000)]
+    assert calls == ["get", "register", "update"] and held["state"] == (True, 100_000, [], [])
+    assert list(block.handleInputRows((7, 1), iter(rows[:1]), Times())) == []
+    assert calls[3:] == ["get", "delete", "register", "update"]
+
+
 def test_ready_blocks_stream_over_restarts(spark, tmp_path):
     """The last tile's first message counts; repeats are ignored, until the timer has cleared the block."""
     at = lambda h, m: datetime.datetime(2024, 1, 1, h, m)
