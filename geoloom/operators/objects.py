@@ -26,24 +26,30 @@ def greedy_match(pairs: DataFrame) -> DataFrame:
     """(scene, pid, gid, iou) of a one-to-one matching: pairs by falling IoU, then pid, then gid, each taken if both ends are free.
 
     In rounds: a pair that is the best left of both its ends is taken, whatever is done elsewhere, and pairs with a taken end
-    go. The best pair left is always one of these, so the rounds end, with what taking pairs one by one gives. Each
-    round is a few joins over the pairs left, written to the shared folder; no scene has to fit into a task.
+    go. The best pair left is always one of these, so the rounds end, with what taking pairs one by one gives. The first
+    round deals all pairs by one end and then by the other, and takes those whose ends have no other pair; only contested pairs go on,
+    each round a few joins over the pairs left. Rounds are written to the shared folder; no scene has to fit into a task.
     """
     held = Held(pairs.sparkSession, "pairs")
     rank = F.struct((-F.round("iou", 12)).alias("a"), F.col("pid").alias("b"), F.col("gid").alias("c"))
-    left, taken = pairs.groupBy("scene", "pid", "gid").agg(F.max("iou").alias("iou")).withColumn("rank", rank), []  # repeated pairs count once
+    of = {end: Window.partitionBy("scene", end) for end in ("pid", "gid")}
+    told = pairs.repartition("scene", "pid").groupBy("scene", "pid", "gid").agg(F.max("iou").alias("iou"))  # repeated pairs count once
+    for end, w in of.items():
+        told = told.withColumns({f"best_{end}": F.min(rank).over(w) == rank, f"n_{end}": F.count(F.lit(1)).over(w)})
+    alone = (F.col("n_pid") == 1) & (F.col("n_gid") == 1)
+    told = held.put(told.select("scene", "pid", "gid", "iou", alone.alias("alone"), (F.col("best_pid") & F.col("best_gid")).alias("best")))
+    pair = ("scene", "pid", "gid", "iou")
+    taken, told = [told.filter("alone").select(*pair)], told.filter("not alone").select(*pair, "best")
     while True:
-        best = [F.min("rank").over(Window.partitionBy("scene", end)) for end in ("pid", "gid")]
-        told = held.put(left.withColumn("best", (F.col("rank") == best[0]) & (F.col("rank") == best[1])))
-        won = told.filter("best").drop("best", "rank")
-        if told.isEmpty():
+        won = told.filter("best").select(*pair)
+        if won.isEmpty():
             break
         taken.append(won)
-        left = told.filter("not best").drop("best")
-        for end in ("pid", "gid"):
+        left = told.filter("not best").select(*pair)
+        for end in of:
             left = left.join(won.select("scene", end), ["scene", end], "left_anti")
-        left = left.select("scene", "pid", "gid", "iou", "rank")
-    return reduce(DataFrame.unionByName, taken, won)
+        told = held.put(left.select(*pair, ((F.min(rank).over(of["pid"]) == rank) & (F.min(rank).over(of["gid"]) == rank)).alias("best")))
+    return reduce(DataFrame.unionByName, taken)
 
 
 def scene_counts(predictions: DataFrame, annotations: DataFrame, matches: DataFrame) -> DataFrame:

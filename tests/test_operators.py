@@ -670,6 +670,25 @@ def test_history_and_collection(spark, tmp_path):
     assert json.loads(text) == {"type": "FeatureCollection", "name": 'x"y', "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, "features": [{"k": 1}, {"k": 2}]}
 
 
+def test_greedy_match_hands_on_contested_pairs_only(spark, monkeypatch):
+    """Pairs whose ends have no other pair are settled in the first round; repeated pairs count once."""
+    from geoloom.operators.durable import Held
+
+    sizes, put = [], Held.put
+
+    def counting(self, df):
+        told = put(self, df)
+        sizes.append(told.count())
+        return told
+
+    monkeypatch.setattr(Held, "put", counting)
+    rows = [(1, k, k, 0.9) for k in range(50)] + [(1, 0, 0, 0.9), (1, 100, 100, 0.8), (1, 100, 101, 0.9), (1, 101, 101, 0.7), (1, 101, 102, 0.6)]
+    got = {(r.pid, r.gid) for r in ob.greedy_match(spark.createDataFrame(rows, "scene bigint, pid bigint, gid bigint, iou double")).collect()}
+    assert got == {(k, k) for k in range(50)} | {(100, 101), (101, 102)}
+    assert sizes == [54, 1, 0]
+    assert ob.greedy_match(spark.createDataFrame([], "scene bigint, pid bigint, gid bigint, iou double")).count() == 0
+
+
 def test_ready_blocks_asks_the_store_seldom():
     """A block that is done in one go costs one read, one write and one timer, however many messages it has; times are a block's own."""
     calls, held = [], {}
