@@ -548,8 +548,8 @@ def best_metric_name(t: Tables) -> DataFrame:
 
 @query("rg14_manifest_choice", "SELECT image, row_number() OVER (PARTITION BY age ORDER BY size % 3 = 0, key DESC) AS place FROM @images")
 def manifest_choice(t: Tables) -> DataFrame:
-    """Scenes with objects first, then by falling name."""
-    return t.images.select("image", F.row_number().over(Window.partitionBy("age").orderBy(F.col("size") % 3 == 0, F.desc("key"))).alias("place"))
+    """Scenes with objects first, then by falling name; of equal names, whose order the SQL leaves open, the first image."""
+    return t.images.select("image", F.row_number().over(Window.partitionBy("age").orderBy(F.col("size") % 3 == 0, F.desc("key"), "image")).alias("place"))
 
 
 #: Augmentation levels, with how often positive, hard negative and negative tiles are repeated, the factors of their

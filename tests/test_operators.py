@@ -689,6 +689,17 @@ def test_greedy_match_hands_on_contested_pairs_only(spark, monkeypatch):
     assert ob.greedy_match(spark.createDataFrame([], "scene bigint, pid bigint, gid bigint, iou double")).count() == 0
 
 
+def test_manifest_choice_of_equal_names(spark, tmp_path):
+    """Images of one name and age, as there are beyond 604,800 parts, keep their order in every run, whatever order they are read in."""
+    from geoloom.plans.registry import QUERIES
+
+    ends = [3 + 604_800 * k for k in (2, 0, 3, 1)]
+    rows = [(k, "x", "Brand#1", "t", 1, 900.01) for k in ends]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    got = {r.image: r.place for r in QUERIES["rg14_manifest_choice"](spark, str(tmp_path)).collect()}
+    assert [k for k, _ in sorted(got.items(), key=lambda kv: kv[1])] == sorted(ends)
+
+
 def test_ready_blocks_asks_the_store_seldom():
     """A block that is done in one go costs one read, one write and one timer, however many messages it has; times are a block's own."""
     calls, held = [], {}
