@@ -1,4 +1,4 @@
-"""Tables that survive the loss of executors, in the folder that all of them share."""
+"""Tables that survive the loss of executors, in the folder that all of them share, and how many tasks deal rows out."""
 
 from __future__ import annotations
 
@@ -16,6 +16,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{(named or f'file://{tempfile.gettempdir()}/checkpoints').rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """How many tasks a shuffle has. Named in repartition(), they stay as many for rows of few bytes that cost time or grow."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 class Held:
     """Tables written for a while: put() writes one and reads it back, drop() deletes all but those that are still needed."""
 
