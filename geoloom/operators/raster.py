@@ -64,20 +64,27 @@ def dilated(mask: DataFrame, radius: int = 1) -> DataFrame:
     return around.select("scene", (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x")).distinct()
 
 
+#: Rows of an image that one task blurs, and more than any row has pixels.
+BLUR_ROWS, BLUR_LINE = 64, 1 << 32
+
+
 def blurred(pixels: DataFrame, w: Column, h: Column) -> DataFrame:
     """pixels (scene, y, x, value) of whole images, w wide and h high, with `blur`: the mean of the nine pixels around, where the image's edge goes on beyond it.
 
-    A pixel gives its value to the pixels around it, as often as it stands for one beyond the edge; only sums are shuffled.
+    A pixel at an edge stands for those beyond it too. Bands of BLUR_ROWS rows of an image are gone through in order, each with the rows next to it,
+    and a window of three pixels slides along the rows above, at and below a pixel: only pixels are shuffled, once.
     """
-    def places(c: str, size: Column) -> Column:
-        near = F.filter(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1), lambda k: (k >= 0) & (k < size))
-        twice = lambda k: F.when(((k == F.col(c)) & (k == 0)) | ((k == F.col(c)) & (k == size - 1)), F.when(size == 1, 3).otherwise(2)).otherwise(1)
-        return F.transform(near, lambda k: F.struct(k.alias("k"), twice(k).alias("n")))
-
-    spread = pixels.select("scene", "value", "y", F.col("x"), F.explode(places("y", h)).alias("to_y"), w.alias("w")).select("scene", "value", "to_y", F.explode(places("x", F.col("w"))).alias("to_x"))
-    n = F.col("to_y.n") * F.col("to_x.n")
-    means = spread.groupBy("scene", F.col("to_y.k").alias("y"), F.col("to_x.k").alias("x")).agg((F.sum(F.col("value") * n) / 9.0).alias("blur"))
-    return pixels.join(means, ["scene", "y", "x"])
+    own = lambda c, size: F.filter(F.array(F.when(F.col(c) == 0, F.lit(-1).cast("bigint")), F.col(c).cast("bigint"), F.when(F.col(c) == size - 1, size.cast("bigint"))), lambda k: k.isNotNull())
+    band = lambda k: F.floor(k / BLUR_ROWS).cast("bigint")
+    inside = pixels.filter(F.col("scene").isNotNull() & F.col("y").between(0, h - 1) & F.col("x").between(0, w - 1))
+    stands = inside.withColumns({"of_y": own("y", h), "of_x": own("x", w), "height": h}).withColumn("of_y", F.explode("of_y")).withColumn("of_x", F.explode("of_x"))
+    seen = F.sequence(band(F.greatest(F.col("of_y") - 1, F.lit(0))), band(F.least(F.col("of_y") + 1, F.col("height") - 1)))
+    rows = stands.withColumn("band", F.explode(seen)).withColumn("at", F.col("of_y") * BLUR_LINE + F.col("of_x"))
+    near = lambda k: F.sum("value").over(Window.partitionBy("scene", "band").orderBy("at").rangeBetween(k * BLUR_LINE - 1, k * BLUR_LINE + 1))
+    told = rows.withColumns({f"near_{k + 1}": near(k) for k in (-1, 0, 1)}).filter((F.col("of_y") == F.col("y")) & (F.col("of_x") == F.col("x")) & (F.col("band") == band(F.col("y"))))
+    parts = [F.col(f"near_{k}") for k in range(3)]
+    total = F.when(F.coalesce(*parts).isNotNull(), sum((F.coalesce(p, F.lit(0)) for p in parts), F.lit(0)))
+    return told.withColumn("blur", total / 9.0).select(*pixels.columns, "blur")
 
 
 def unit_draw(seed: int, *parts: Column | str) -> Column:

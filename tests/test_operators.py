@@ -915,3 +915,17 @@ def test_short_names_find_each_other_by_what_is_left_of_them(spark):
     got = {(x.seq, x.image): x.score for x in found.collect()}
     ratio = {(i, k): round(difflib.SequenceMatcher(None, a, b).ratio(), 6) for i, a in enumerate(words[::2]) for k, b in enumerate(words)}
     assert got == {p: s for p, s in ratio.items() if s >= 0.85}
+
+
+def test_blur_shuffles_pixels_once(spark):
+    """Images of more rows than a band, of one column and of one pixel, with pixels that nothing saw, against a plain loop."""
+    random.seed(25)
+    sizes = {1: (3, 150), 2: (1, 70), 3: (1, 1), 4: (9, 65)}
+    seen = {(s, y, x): random.randint(0, 255) for s, (w, h) in sizes.items() for y in range(h) for x in range(w) if s == 3 or random.random() < 0.6}
+    df = spark.createDataFrame([(s, y, x, v, *sizes[s]) for (s, y, x), v in seen.items()], "scene bigint, y bigint, x bigint, value int, w bigint, h bigint")
+    blur = R.blurred(df, F.col("w"), F.col("h"))
+    assert plan_of(blur).count("Exchange") == 1
+    clip = lambda k, size: max(0, min(size - 1, k))
+    around = {(s, y, x): [seen.get((s, clip(y + dy, sizes[s][1]), clip(x + dx, sizes[s][0]))) for dy in (-1, 0, 1) for dx in (-1, 0, 1)] for s, y, x in seen}
+    got = {(r.scene, r.y, r.x): r.blur for r in blur.collect()}
+    assert got == {k: pytest.approx(sum(v for v in a if v is not None) / 9) for k, a in around.items()}
