@@ -929,3 +929,9 @@ def test_blur_shuffles_pixels_once(spark):
     around = {(s, y, x): [seen.get((s, clip(y + dy, sizes[s][1]), clip(x + dx, sizes[s][0]))) for dy in (-1, 0, 1) for dx in (-1, 0, 1)] for s, y, x in seen}
     got = {(r.scene, r.y, r.x): r.blur for r in blur.collect()}
     assert got == {k: pytest.approx(sum(v for v in a if v is not None) / 9) for k, a in around.items()}
+
+
+def test_best_metric_name_deals_runs_out_once(spark, sf_dir):
+    from geoloom.plans.registry import QUERIES
+
+    assert plan_of(QUERIES["wn7_best_metric_name"](spark, sf_dir)).count("Exchange") == 1
