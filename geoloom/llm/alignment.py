@@ -1,60 +1,48 @@
 """Alignment of two tokenizers' tokens: groups of tokens that cover the same bytes, and links between tokens that overlap.
 
-The alignment is relational: tokens are exploded with their places, windowed sums of their lengths give their byte
-offsets, the sides are equi-joined on (stretch, offset), a running count of the offsets at which both have a border
-numbers the groups, and each elementary range between borders is one link, to the token of either side that began last.
-(Tokens border each other without gaps, so that one side's ends are its next tokens' starts; the offsets joined on are
-starts, and 0. The join is written as a grouping, as both sides come from one table that is dealt out by stretch.)
-
-It is done once for each distinct stretch of text, and not for each occurrence. A stretch begins at a space that
-follows a letter, number, sign or punctuation mark; neither tokenizer ever makes a token across such a place (the
-pattern of A splits there, and B has no piece with its space mark inside, which is checked), so that a text's
-tokens are those of its stretches. No document, pair or token is hot after that: what a third of all documents hold
-is one row. Texts are put together from their stretches' results block by block; a block is some of a file's
-rows, or one long text; the most frequent stretches, of which there are a bounded number, are known to every worker.
+Each text is aligned once, where it is read, and leaves its groups and how many links it has of each pair of ids in the shared
+folder. Spark adds the links up by pair and compares a B id's pairs. The most frequent pairs, of which there are a
+bounded number, are then known to every worker, which scores rows where they are read; where there are more
+pairs, the links of the others are joined by pair and added up by row. No text travels, and no pair, text or token is hot.
+
+A worker aligns stretches of texts, many in one step. A stretch begins at a space that follows a letter, number,
+sign or punctuation mark; neither tokenizer ever makes a token across such a place (the pattern of A splits there,
+and B has no piece with its space mark inside, which is checked), so that a text's tokens are those of its
+stretches. What a worker found for a stretch it keeps for the next text, for a bounded number of stretches.
 """
 
 from __future__ import annotations
 
 import unicodedata
 import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import Decoder
-from .common import buckets_for, materialize, release_memory, row_key, tidy, worker_cache
+from .common import materialize, row_key, tidy, worker_cache
 
 #: Fixed value: how B's pieces write a space.
 SPACE_MARK = "▁"
-#: Stretches of more characters are told apart by 128 bits of XXH3, so that rows stay small.
-SHORT = 24
-#: Bits of an id in a packed token; the size has the other bits but one.
+#: Bits of an id in a pair.
 ID_BITS = 18
-#: Bytes of text that a block has at most, unless it is one text.
-BLOCK_BYTES = 1 << 26
-#: Texts whose sizes have at most so many binary digits share blocks.
+#: Bytes of text that are worked on at a time, unless it is one text.
+BLOCK_BYTES = 1 << 21
+#: The most frequent pairs, so many at most, are known to every worker.
+HOT_PAIRS = 1 << 19
+#: Stretches that a worker keeps, and their characters; with more it keeps the frequent ones.
+HOT_STRETCHES = 1 << 18
+HOT_CHARS = 1 << 23
+#: Stretches whose sizes have more binary digits are not kept.
 SMALL_DIGITS = 14
-#: Stretches that a worker counts before it hands the counts on.
-COUNTED = 1 << 20
-#: Pairs that make up at least one link in so many are broadcast; there are no more of them than that.
-HOT_PAIRS = 1 << 17
-#: Stretches that make up at least one in so many are known to every worker; there are no more of them than that, of SHORT characters at most.
-HOT_STRETCHES = 1 << 17
-#: Bytes of input for each partition of the stretches.
-PARTITION_BYTES = 1 << 24
-#: Code points of results in a batch that goes back to Spark.
-BATCH_CHARS = 1 << 22
+#: Stretches encoded as one text.
+JOINT = 2048
 
-SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-RESULT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
+SUMS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class _Safe(dict):
@@ -82,11 +70,6 @@ def cut(text: str) -> list[str]:
     return [*out, " " + " ".join(held)]
 
 
-def key_of(stretch: str) -> str:
-    """A short name: the stretch itself, or, as no stretch begins with #, that and its hash."""
-    return stretch if len(stretch) <= SHORT else "#" + xxhash.xxh3_128_hexdigest(stretch.encode())
-
-
 class Tokenizers:
     """Both tokenizers, one of each in a Python worker."""
 
@@ -103,51 +86,36 @@ class Tokenizers:
         told = {c: b for b, c in byte_signs().items()}
         self.a_bytes = Decoder({i: bytes(map(told.__getitem__, s)) for s, i in self.a.get_vocab().items()})
         self.b_bytes = Decoder({i: bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)})
-        if any(len(d.size) > 1 << ID_BITS or d.size.max() >= 1 << (31 - ID_BITS) for d in (self.a_bytes, self.b_bytes)):
-            raise ValueError("a vocabulary is too large for packed tokens")
+        if any(len(d.size) > 1 << ID_BITS for d in (self.a_bytes, self.b_bytes)):
+            raise ValueError("a vocabulary is too large for packed pairs")
         self.lead = len(self.b.encode("a"))
+        #: Ids as groups tell them: A's within and at the end of a group, then B's.
+        self.signs = [f"{i}{sep}" for d, seps in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for sep in seps for i in range(len(d.size))]
 
-    def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(cuts, tokens, fits): tokens[cuts[k]:cuts[k + 1]] are stretch k's, A's before B's, each packed(); fits: whether both stand for its bytes, else it has none.
+    def encode(self, stretches: list[str]) -> list[tuple[list[str], list | None]]:
+        """All stretches, in another order: some of them, and for either tokenizer their ids and how many each has; None for one whose tokens do not stand for its bytes.
 
         Stretches after which a text may go on in any case are encoded as one text.
         """
-        ids: list[list] = [[[], []] for _ in stretches]
-        fits = np.zeros(len(stretches), bool)
-        joint = [k for k, s in enumerate(stretches) if _SAFE[s[-1:]]]
-        if not self._encode(stretches, joint, ids, fits):
-            for k in joint:
-                self._encode(stretches, [k], ids, fits)
-        for k in sorted({*range(len(stretches))} - {*joint}):
-            self._encode(stretches, [k], ids, fits)
-        parts = [packed(side, decoder.size, x[side]) for x in ids for side, decoder in enumerate((self.a_bytes, self.b_bytes))]
-        cuts = np.cumsum([0, *(len(p) + len(q) for p, q in zip(parts[::2], parts[1::2], strict=True))])
-        return cuts, np.concatenate([np.zeros(0, np.int32), *parts]), fits
-
-    def _encode(self, stretches: list[str], which: list[int], ids: list[list], fits: np.ndarray) -> bool:
-        """Fills in ids and fits of some stretches, taken as one text; nothing if the tokens do not stand for its bytes."""
-        if not which:
-            return True
-        text = "".join([stretches[k] for k in which])
-        data = text.encode()
+        alone = [s for s in stretches if SPACE_MARK in s or not _SAFE[s[-1:]]]
+        joint = [s for s in stretches if SPACE_MARK not in s and _SAFE[s[-1:]]]
+        return [x for first in range(0, len(joint), JOINT) for x in self._encode(joint[first : first + JOINT])] + [x for s in alone for x in self._encode([s])]
+
+    def _encode(self, some: list[str]) -> list[tuple[list[str], list | None]]:
+        text = "".join(some)
+        data, ends = text.encode(), np.cumsum([len(s.encode()) for s in some])
         # B drops a leading space of its own where nothing else is left; after a letter it never does.
         found = (self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(f"a{text}", num_threads=1)[self.lead :])
-        ends = np.cumsum([len(stretches[k].encode()) for k in which])
-        both = [(decoder, np.array(told, np.int64)) for decoder, told in zip((self.a_bytes, self.b_bytes), found, strict=True)]
-        if any(decoder.decode(told, np.array([0, len(told)]))[0] != data for decoder, told in both):
-            return False
-        for side, (decoder, told) in enumerate(both):
-            at = np.searchsorted(np.cumsum(decoder.size[told]), ends) + 1
-            for k, part in zip(which, np.split(told, at[:-1]), strict=True):
-                ids[k][side] = part
-        fits[which] = True
-        return True
-
-
-def packed(side: int, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Side, size and id of tokens in one number of 32 bits each."""
-    told = np.asarray(ids, np.int64)
-    return (told | sizes[told] << ID_BITS | side << 31).astype(np.uint32).view(np.int32)
+        sides = []
+        for decoder, told in zip((self.a_bytes, self.b_bytes), found, strict=True):
+            ids = np.array(told, np.int64)
+            upto = np.cumsum(decoder.size[ids])
+            at = np.searchsorted(upto, ends)
+            if decoder.decode(ids, np.array([0, len(ids)]))[0] != data or (upto[at] != ends).any():
+                half = len(some) // 2
+                return self._encode(some[:half]) + self._encode(some[half:]) if half else [(some, None)]
+            sides.append((ids, np.diff(at + 1, prepend=0)))
+        return [(some, sides)]
 
 
 def byte_signs() -> dict[int, str]:
@@ -157,188 +125,183 @@ def byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
 
 
-def tokenizers(a_path: str, b_path: str) -> Tokenizers:
-    kept = worker_cache("alignment")
-    if (a_path, b_path) not in kept:
-        kept[a_path, b_path] = Tokenizers(a_path, b_path)
-    return kept[a_path, b_path]
-
-
-class Known:
-    """Results by stretch: their groups, sums and whether they are good, with the place of each stretch."""
+class Alignments:
+    """What a Python worker knows of stretches, by their places: groups, sums, links and whether their tokens stand for their bytes."""
 
-    def __init__(self, table: pa.Table):
-        self.groups = table.column("groups").to_pylist()
-        self.place = dict(zip(table.column("stretch").to_pylist(), range(len(self.groups)), strict=True))
-        self.sums = np.zeros((len(self.groups), len(SUMS)), np.int64)
-        for k, g in enumerate(self.groups):  # what the groups say of themselves need not travel
-            if g:
-                parts, both = g.count(";") + 1, g.count(",") + 2 * g.count("|")
-                n_a = sum(p.count(",", 0, p.index("|")) + 1 for p in g.split(";"))
-                self.sums[k, :4] = n_a, both - n_a, parts, both - parts
-        for k, c in enumerate(SUMS[4:], 4):
-            self.sums[:, k] = table.column(c).fill_null(0).to_numpy()
-        self.good = np.array([bool(g) for g in self.groups], bool)
+    def __init__(self, tokenizers: Tokenizers):
+        self.t = tokenizers
+        self.clear()
 
     @staticmethod
-    def of(sent: Broadcast) -> Known:
-        """This Python worker's copy of a table that was broadcast."""
+    def of(a_path: str, b_path: str) -> Alignments:
+        """This Python worker's."""
         kept = worker_cache("alignment")
-        if ("known", sent.value["name"]) not in kept:
-            kept["known", sent.value["name"]] = Known(sent.value["table"])
-        return kept["known", sent.value["name"]]
-
-
-def counted(texts: DataFrame, known: Broadcast | None = None) -> DataFrame:
-    """(block, stretch, whole, n) of texts (block, text): how often a block has a stretch, in one or more rows. whole: the stretch, where its name is another.
+        if (a_path, b_path) not in kept:
+            kept[a_path, b_path] = Alignments(Tokenizers(a_path, b_path))
+        return kept[a_path, b_path]
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.chars = 0
+        self.fits = np.zeros(0, bool)
+        self.hits = np.zeros(0, np.int64)
+        self.sums = np.zeros((0, 4), np.int64)  # SUMS
+        self.links = np.zeros(0, np.int64)  # pairs of ids, stretch after stretch
+        self.ends = np.zeros(0, np.int64)  # where each stretch's links end
+
+    def places(self, texts: list[str | None], most: int, small: int) -> list[list[int]]:
+        """The places of each text's stretches, which hold until the next call; most: how many stretches are kept, of how many characters at most."""
+        if len(self.place) > most or self.chars > HOT_CHARS:
+            self._forget(most // 2, small)
+        cuts, place = [cut(t) if t else [] for t in texts], self.place
+        if new := list(dict.fromkeys([s for c in cuts for s in c if s not in place])):
+            self._add(self.t.encode(new))
+        found = [list(map(place.__getitem__, c)) for c in cuts]
+        self.hits += np.bincount(np.fromiter(chain.from_iterable(found), np.int64), minlength=len(self.hits))
+        return found
 
-    Texts of one block are counted together in the worker before anything is shuffled. known: a table of stretches that are left out.
+    def _forget(self, most: int, small: int) -> None:
+        """Keeps stretches that came more than once, most of them at most; what came long ago counts for less."""
+        names, groups, hits = list(self.place), self.groups, self.hits
+        hits[[k for k, name in enumerate(names) if len(name) > small]] = 0
+        stay, least = np.flatnonzero(hits > 1), 2
+        while len(stay) > most or (stay_chars := sum(len(names[k]) for k in stay.tolist())) > HOT_CHARS // 2:
+            least *= 2
+            stay = np.flatnonzero(hits >= least)
+        self.links, self.fits, self.sums, self.hits = self.links_of(stay)[0], self.fits[stay], self.sums[stay], hits[stay] // 2
+        self.place, self.groups, self.chars = {names[k]: n for n, k in enumerate(stay.tolist())}, [groups[k] for k in stay.tolist()], stay_chars
+        self.ends = np.cumsum(self.sums[:, 3])
+
+    def _add(self, encoded: list[tuple[list[str], list | None]]) -> None:
+        fits, sums, links = [self.fits], [self.sums], [self.links]
+        for some, sides in encoded:
+            self.place.update(zip(some, range(len(self.place), len(self.place) + len(some)), strict=True))
+            self.chars += sum(map(len, some))
+            fits.append(np.full(len(some), sides is not None))
+            if sides is None:
+                sums.append(np.zeros((1, 4), np.int64))
+                self.groups.append("")
+            else:
+                told = self._align(*sides)
+                self.groups += told[0]
+                sums.append(told[1])
+                links.append(told[2])
+        self.fits, self.sums, self.links = map(np.concatenate, (fits, sums, links))
+        self.hits = np.concatenate([self.hits, np.zeros(len(self.fits) - len(self.hits), np.int64)])
+        self.ends = np.cumsum(self.sums[:, 3])
+
+    def _align(self, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Groups, sums and links of stretches in a row, from the ids of either side and how many each stretch has.
+
+        Each range between two borders is one link, of the tokens that cover it; borders of both sides end groups.
+        """
+        ends = [np.cumsum(d.size[ids]) for d, (ids, _) in zip((self.t.a_bytes, self.t.b_bytes), (a, b), strict=True)]
+        both = np.sort(np.concatenate(ends), kind="stable")
+        again = np.diff(both, prepend=-1) == 0
+        borders, common = both[~again], both[again]
+        links = a[0][np.searchsorted(ends[0], borders)] << ID_BITS | b[0][np.searchsorted(ends[1], borders)]
+        stops = ends[0][np.cumsum(a[1]) - 1]
+        n_groups, n_links = (np.diff(np.searchsorted(x, stops, "right"), prepend=0) for x in (common, borders))
+        group = [np.searchsorted(common, e) for e in ends]
+        last = [common[g] == e for g, e in zip(group, ends, strict=True)]
+        size_a, size_b = len(self.t.a_bytes.size), len(self.t.b_bytes.size)
+        signs = np.concatenate([a[0] + size_a * last[0], 2 * size_a + b[0] + size_b * last[1]])
+        signs = signs[np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")]
+        told, upto = [self.t.signs[k] for k in signs.tolist()], np.cumsum(a[1] + b[1]).tolist()
+        return ["".join(told[i:j])[:-1] for i, j in zip([0, *upto], upto, strict=False)], np.stack([a[1], b[1], n_groups, n_links], axis=1), links
+
+    def links_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of some stretches, one stretch's after another's, and how many each has."""
+        n = self.sums[places, 3]
+        return self.links[np.arange(n.sum()) + np.repeat(self.ends[places] - np.cumsum(n), n)], n
+
+
+def slices(texts: Iterable[pa.StringScalar], most: int) -> Iterator[list[str | None]]:
+    """Texts in order, some at a time, most bytes at most unless it is one text."""
+    part, size = [], 0
+    for text in texts:
+        more = len(text.as_buffer() or b"")
+        if part and size + more > most:
+            yield part
+            part, size = [], 0
+        part.append(text.as_py())
+        size += more
+    if part:
+        yield part
+
+
+def aligned(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """texts (doc_id, text) as doc_id, SUMS, groups, pairs and links (arrays: pairs of ids, and how many links have them).
+
+    A text without tokens, or that holds a stretch whose tokens do not stand for its bytes, has zeros and no groups or pairs.
     """
+    kind, block, most, small = texts.schema["doc_id"].dataType.simpleString(), BLOCK_BYTES, HOT_STRETCHES, 1 << SMALL_DIGITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Counter] = {}
-        held, skip = 0, Known.of(known).place if known else {}
+        known = Alignments.of(a_path, b_path)
         for batch in batches:
-            for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if told := text.as_py():
-                    counts = found.setdefault(block, Counter())
-                    held -= len(counts)
-                    counts.update([x for x in cut(told) if x not in skip] if skip else cut(told))
-                    held += len(counts)
-                    if held > COUNTED:
-                        yield from flush(found)
-                        found, held = {}, 0
-        yield from flush(found)
-
-    def flush(found: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
-        for block, counts in found.items():
-            names, n, first, size = list(counts), list(counts.values()), 0, 0
-            for at, name in enumerate(names, 1):
-                size += len(name)
-                if at == len(names) or at - first == 1 << 16 or size > BATCH_CHARS:
-                    part = names[first:at]
-                    whole = pa.array([s if len(s) > SHORT else None for s in part], pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(at - first, block, np.int32)), pa.array([key_of(x) for x in part], pa.string()), whole, pa.array(n[first:at], pa.int64())], ["block", "stretch", "whole", "n"]
-                    )
-                    first, size = at, 0
-
-    return texts.mapInArrow(tidy("alignment", run), "block int, stretch string, whole string, n bigint")
-
-
-def tokenized(stretches: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """stretches (stretch, whole, n) with their tokens (array of packed numbers, A's first) and fits. The wholes go."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizers(a_path, b_path)
-        for batch in batches:
-            for first in range(0, len(batch), 2048):
-                part = batch.slice(first, 2048)
-                names = [w if w is not None else s for s, w in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
-                cuts, tokens, fits = t.encode(names)
-                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists, pa.array(fits)], ["stretch", "n", "tokens", "fits"])
-
-    return stretches.select("stretch", "whole", "n").mapInArrow(tidy("alignment", run), "stretch string, n bigint, tokens array<int>, fits boolean")
-
-
-def aligned(stretches: DataFrame, partitions: int) -> DataFrame:
-    """One row per stretch of tokenized(): stretch, n, fits, n_a, n_b, n_groups, n_links, groups (text), links (array of a, b).
-
-    A stretch without tokens has zeros, an empty text and no links.
-    """
-
-    token = F.col("token")
-    side, size, ident = (token < 0).cast("int"), F.shiftright(token, ID_BITS).bitwiseAND((1 << (31 - ID_BITS)) - 1), token.bitwiseAND((1 << ID_BITS) - 1)
-    tokens = stretches.repartition(partitions, "stretch").select("stretch", "n", "fits", F.posexplode_outer("tokens").alias("pos", "token"))
-    tokens = tokens.select("stretch", "n", "fits", "pos", side.alias("side"), size.alias("size"), ident.alias("id"))
-    upto = F.sum("size").over(Window.partitionBy("stretch", "side").orderBy("pos"))
-    tokens = tokens.select("stretch", "n", "fits", "side", "id", (upto - F.col("size")).alias("at"))
-    key = ["stretch", "n", "fits"]
-    borders = tokens.groupBy(*key, "at").agg(*(F.max(F.when(F.col("side") == k, F.col("id"))).alias(name) for k, name in enumerate("ab")))
-    along = Window.partitionBy("stretch").orderBy("at")
-    both = (F.col("a").isNotNull() & F.col("b").isNotNull()).cast("int")
-    link = F.struct(F.last("a", ignorenulls=True).over(along).alias("a"), F.last("b", ignorenulls=True).over(along).alias("b"))
-    ranges = borders.select(*key, "at", "a", "b", F.sum(both).over(along).alias("group"), link.alias("link"))
-
-    def ids(name: str) -> Column:
-        found = F.sort_array(F.collect_list(F.when(F.col(name).isNotNull(), F.struct("at", F.col(name).alias("id")))))
-        return F.array_join(F.transform(found, lambda t: t["id"].cast("string")), ",")
-
-    groups = ranges.groupBy(*key, "group").agg(
-        F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.concat(ids("a"), F.lit("|"), ids("b")).alias("told"), F.collect_list(F.when(F.col("at").isNotNull(), F.col("link"))).alias("links")
-    )
-    links = F.flatten(F.collect_list("links"))
-    told = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("group", "told"))), lambda g: g["told"]), ";")
-    whole = groups.groupBy(*key).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.max("group").alias("n_groups"), told.alias("groups"), links.alias("links"))
-    return whole.select(*key, "n_a", "n_b", F.coalesce("n_groups", F.lit(0)).cast("long").alias("n_groups"), F.size("links").cast("long").alias("n_links"), F.when(F.col("fits"), F.col("groups")).otherwise("").alias("groups"), "links")
-
-
-def pair_counts(stretches: DataFrame) -> DataFrame:
-    """(a, b, n, best) of aligned stretches: how many links have both ids, and whether no other pair of b's has more."""
-    pairs = stretches.select(F.explode("links").alias("link"), "n").groupBy("link.a", "link.b").agg(F.sum("n").alias("n"))
-    return pairs.withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy("b")))
-
-
-def link_scores(stretches: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(stretch, n_best, count_sum): sums over a stretch's links of what pairs say of them.
-
-    Pairs with at least 1/HOT_PAIRS of all links are broadcast, the others are joined by both ids.
-    """
-    total = pairs.agg(F.sum("n")).first()[0] or 0
-    told = pairs.select("a", "b", "n", F.col("best").cast("int").alias("best"), (F.col("n") >= total / HOT_PAIRS).alias("hot"))
-    links = stretches.select("stretch", F.explode("links").alias("link")).select("stretch", "link.a", "link.b")
-    seen = links.join(F.broadcast(told.filter("hot").drop("hot")), ["a", "b"], "left")
-    hot = seen.filter("n IS NOT NULL").select("stretch", "best", "n")
-    rest = seen.filter("n IS NULL").select("stretch", "a", "b").join(told.filter("NOT hot"), ["a", "b"]).select("stretch", "best", "n")
-    return hot.unionByName(rest).groupBy("stretch").agg(F.sum("best").cast("long").alias("n_best"), F.sum("n").cast("long").alias("count_sum"))
-
-
-def _blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, block, file, at): blocks are rows near each other whose texts have the same number of binary digits in their sizes."""
-    docs, key = row_key(docs)
-    text = F.coalesce(docs[text_col], F.lit(""))
-    digits = F.greatest(F.char_length(F.bin(F.octet_length(text))), F.lit(SMALL_DIGITS))
-    rows = F.greatest(F.lit(1), F.lit(BLOCK_BYTES) / F.pow(F.lit(2.0), digits)).cast("long")
-    block = F.hash(key["file"], digits, F.floor(key["at"] / rows))  # two blocks of one name are one block
-    return docs.select(docs[id_col].alias("doc_id"), text.alias("text"), block.alias("block"), key["file"].alias("file"), key["at"].alias("at"))
-
-
-def put_together(texts: DataFrame, results: DataFrame, known: Broadcast) -> DataFrame:
-    """texts (doc_id, text, block) with sums and joined groups of their stretches' results, which are known to all or come with the block that asks for them."""
-    kind = texts.schema["doc_id"].dataType.simpleString()
-
-    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            told = pa.array([press.compress(t.as_py().encode()) for t in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), told, batch.column("block")], ["doc_id", "text", "block"])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        all_, own = Known.of(known), Known(right)
-        first = len(all_.groups)
-        hot, rare = all_.place, own.place
-        groups, place = all_.groups, lambda s: k if (k := hot.get(s)) is not None else first + rare[s if len(s) <= SHORT else key_of(s)]
-        whole = zstandard.ZstdDecompressor()
-        out, rows, size = [], [], 0
-        for n, data in enumerate(left.column("text"), 1):
-            text = whole.decompress(data.as_py()).decode()
-            at = np.array([place(s) for s in cut(text)] if text else [], np.int64)
-            near, far = at[at < first], at[at >= first] - first
-            fits = len(at) > 0 and all_.good[near].all() and own.good[far].all()
-            told = all_.sums[near].sum(axis=0) + own.sums[far].sum(axis=0) if fits else np.zeros(len(SUMS), np.int64)
-            rows.append((told, ";".join([groups[k] if k < first else own.groups[k - first] for k in at.tolist()]) if fits else ""))
-            size += len(rows[-1][1])
-            if size > BATCH_CHARS or n == len(left):
-                numbers = np.stack([r[0] for r in rows])
-                out.append(pa.table([*(pa.array(numbers[:, k]) for k in range(len(SUMS))), pa.array([r[1] for r in rows], pa.string())], [*SUMS, "groups"]))
-                rows, size = [], 0
-        made = pa.concat_tables(out) if out else pa.table([*([pa.array([], pa.int64())] * len(SUMS)), pa.array([], pa.string())], [*SUMS, "groups"])
-        release_memory()
-        return made.add_column(0, "doc_id", left.column("doc_id"))
-
-    texts = texts.mapInArrow(tidy("alignment", small), f"doc_id {kind}, text binary, block int")
-    return texts.groupBy("block").cogroup(results.groupBy("block")).applyInArrow(run, f"doc_id {kind}, {RESULT}")
+            first = 0
+            for part in slices(batch.column(1), block):
+                sums, groups, cuts = np.zeros((len(part), len(SUMS)), np.int64), [], [0]
+                pairs, links = [], []
+                for k, at in enumerate(known.places(part, most, small)):
+                    if at and known.fits[at].all():
+                        sums[k] = known.sums[at].sum(axis=0)
+                        groups.append(";".join([known.groups[p] for p in at]))
+                        told = np.sort(known.links_of(np.array(at))[0])
+                        starts = np.flatnonzero(np.diff(told, prepend=-1))
+                        pairs.append(told[starts])
+                        links.append(np.diff(starts, append=len(told)).astype(np.int32))
+                    else:
+                        groups.append("")
+                    cuts.append(cuts[-1] + (len(pairs[-1]) if groups[-1] else 0))
+                lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([np.zeros(0, t), *x]))) for t, x in ((np.int64, pairs), (np.int32, links))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), *(pa.array(c) for c in sums.T.copy()), pa.array(groups, pa.string()), *lists], ["doc_id", *SUMS, "groups", "pairs", "links"])
+                first += len(part)
+
+    sums = ", ".join(f"{c} bigint" for c in SUMS)
+    return texts.mapInArrow(tidy("alignment", run), f"doc_id {kind}, {sums}, groups string, pairs array<bigint>, links array<int>")
+
+
+def exploded(rows: DataFrame, *keys: Column) -> DataFrame:
+    """(keys, pair, n): a row for each pair of a row of aligned()."""
+    return rows.select(*keys, F.explode(F.arrays_zip("pairs", "links")).alias("x")).select(*keys, "x.pairs", "x.links").withColumnsRenamed({"pairs": "pair", "links": "n"})
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(pair, n, best): how many links have both ids, and whether no other pair of the same B id has more."""
+    pairs = exploded(rows).groupBy("pair").agg(F.sum("n").alias("n"))
+    return pairs.withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy(F.col("pair").bitwiseAND((1 << ID_BITS) - 1))))
+
+
+def scored(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """rows of aligned() with n_best and count_sum, as far as hot pairs (pair, n, best) make them up; there are HOT_PAIRS of these at most."""
+    sent = rows.sparkSession.sparkContext.broadcast({"name": uuid.uuid4().hex, "table": hot.orderBy("pair").toArrow()})
+
+    def told() -> tuple[np.ndarray, np.ndarray]:
+        kept = worker_cache("alignment scores")
+        if sent.value["name"] not in kept:
+            kept.clear()
+            table = sent.value["table"]
+            kept[sent.value["name"]] = table.column("pair").to_numpy(), np.stack([table.column("best").to_numpy().astype(np.int64), table.column("n").to_numpy()], axis=1)
+        return kept[sent.value["name"]]
+
+    @F.arrow_udf("n_best bigint, count_sum bigint")
+    def score(pairs: pa.Array, links: pa.Array) -> pa.Array:
+        known, what = told()
+        ids, n = pairs.flatten().to_numpy(), links.flatten().to_numpy()
+        at = np.searchsorted(known, ids)
+        found = at < len(known)
+        found[found] = known[at[found]] == ids[found]
+        sums = np.zeros((len(ids) + 1, 2), np.int64)
+        sums[1:][found] = what[at[found]] * n[found, None]
+        sums = np.cumsum(sums, axis=0)
+        ends = np.cumsum(pairs.value_lengths().to_numpy())
+        made = sums[ends] - sums[np.concatenate([np.zeros(1, np.int64), ends[:-1]])[: len(ends)]]
+        return pa.StructArray.from_arrays([pa.array(made[:, 0].copy()), pa.array(made[:, 1].copy())], ["n_best", "count_sum"])
+
+    return rows.withColumn("score", score("pairs", "links")).select("*", "score.n_best", "score.count_sum").drop("score")
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -349,42 +312,17 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     order. A link's count is how many links in all of docs have the same two ids; n_best: links whose count is the
     highest of their B id, count_sum: the sum of the counts. Null and empty texts, and those whose tokens do not stand for
     their bytes (as where a text holds B's space mark), have zeros and an empty string, and add nothing to
-    counts. Repeated rows count each. Stretches of over SHORT characters are told apart by 128 bits.
+    counts. Repeated rows count each.
     """
-    spark = docs.sparkSession
-    texts = _blocked(docs, id_col, text_col)
-    everywhere = texts.select(F.lit(0).alias("block"), "text")
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets_for(texts, PARTITION_BYTES, 1))
-    types = counted(everywhere).repartition(partitions, "stretch").groupBy("stretch", "whole").agg(F.sum("n").alias("n"))
-    made = materialize(aligned(tokenized(types, a_path, b_path), partitions), "aligned")
-    weighed = _without_misfits(texts, made)
-    pairs = materialize(pair_counts(weighed.select("links", "n")), "pairs")
-    total = made.agg(F.sum("n")).first()[0] or 0
-    hot = (F.col("n") >= total / HOT_STRETCHES) & (F.char_length("stretch") <= SHORT) & ~F.startswith("stretch", F.lit("#"))
-
-    def results(of: DataFrame) -> DataFrame:
-        return of.select("stretch", "groups").join(link_scores(of.select("stretch", "links"), pairs).hint("merge"), "stretch", "left")
-
-    known = spark.sparkContext.broadcast({"name": uuid.uuid4().hex, "table": results(made.filter(hot)).toArrow()})  # HOT_STRETCHES rows at most
-    asked = counted(texts.select("block", "text"), known).select("block", "stretch")  # a block may ask twice
-    return put_together(texts.select("doc_id", "text", "block"), asked.join(results(made.filter(~hot)).hint("merge"), "stretch"), known)
-
-
-def _without_misfits(texts: DataFrame, made: DataFrame) -> DataFrame:
-    """made with counts without the stretches of texts that hold one whose tokens do not stand for its bytes."""
-    misfits = made.filter("NOT fits").select("stretch")
-    if not misfits.take(1):
-        return made
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, text in enumerate(batch.column(2)):
-                if text.as_py():
-                    found = Counter(map(key_of, cut(text.as_py())))
-                    row = [pa.array([batch.column(c)[k].as_py()] * len(found), pa.int64()) for c in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*row, pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["file", "at", "stretch", "n"])
-
-    each = texts.select("file", "at", "text").mapInArrow(tidy("alignment", run), "file bigint, at bigint, stretch string, n bigint")
-    bad = each.join(misfits, "stretch", "left_semi").select("file", "at").distinct()
-    less = each.join(bad, ["file", "at"], "left_semi").groupBy("stretch").agg(F.sum("n").alias("less"))
-    return made.join(less, "stretch", "left").withColumn("n", F.col("n") - F.coalesce("less", F.lit(0))).drop("less")
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    rows = materialize(aligned(texts, a_path, b_path), "aligned", "zstd")
+    pairs = materialize(pair_counts(rows), "pairs")
+    out = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
+    if pairs.count() <= HOT_PAIRS:
+        return scored(rows, pairs).select(*out)
+    hot = materialize(pairs.orderBy(F.desc("n"), "pair").limit(HOT_PAIRS), "hot-pairs")
+    rows, key = row_key(rows)
+    rest = exploded(rows, key.alias("key")).join(F.broadcast(hot.select("pair")), "pair", "left_anti").withColumnRenamed("n", "links").join(pairs.hint("merge"), "pair")
+    rest = rest.groupBy("key").agg(F.sum(F.col("best").cast("int") * F.col("links")).alias("rare_best"), F.sum(F.col("n") * F.col("links")).alias("rare_sum"))
+    both = scored(rows.withColumn("key", key), hot).join(rest.hint("merge"), "key", "left")
+    return both.withColumns({k: F.col(k) + F.coalesce(more, F.lit(0)) for k, more in (("n_best", "rare_best"), ("count_sum", "rare_sum"))}).select(*out)

@@ -123,3 +123,19 @@ def test_empty_table(spark):
 def test_stretches_join_to_texts():
     for _, text in odd_rows():
         assert "".join(alignment.cut(text)) == f" {text}"
+
+
+def test_texts_and_stretches_do_not_travel(spark):
+    """What blocks of texts asked for filled the disk: with pairs known to every worker nothing is dealt out after the counts."""
+    made = alignment.align(frame(spark, odd_rows()), A, B)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "CoGroup" not in plan
+
+
+def test_frequent_stretches_are_kept():
+    known = alignment.Alignments(alignment.Tokenizers(A, B))
+    known.places(["one two two", None, "two three" + "x" * 40], 2, 8)
+    kept = known.groups[known.place[" two"]]
+    (at,) = known.places(["two four"], 2, 8)
+    assert set(known.place) == {" two", " four"}
+    assert [known.groups[k] for k in at][0] == kept and known.sums[at, 3].sum() == len(known.links)
