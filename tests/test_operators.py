@@ -935,3 +935,38 @@ def test_best_metric_name_deals_runs_out_once(spark, sf_dir):
     from geoloom.plans.registry import QUERIES
 
     assert plan_of(QUERIES["wn7_best_metric_name"](spark, sf_dir)).count("Exchange") == 1
+
+
+_BOX_ROWS = "scene bigint, {} bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint"
+
+
+def _boxes(seed):
+    rng = random.Random(seed)
+    sides = [(rng.randint(-150, 150), rng.randint(-150, 150), rng.choice([0, 1, 7, 40, 60, 300]), rng.choice([0, 1, 7, 40, 60, 300])) for _ in range(250)]
+    return [(k % 2, k, x, y, x + w, y + h) for k, (x, y, w, h) in enumerate(sides)]
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.1, 1 / 3, 0.5, 0.9])
+def test_iou_pairs_by_centres(spark, threshold):
+    p, g = _boxes(1), _boxes(2) + [(s, 1000 + k, x0, y0, x1 + k % 3, y1) for s, k, x0, y0, x1, y1 in _boxes(1)]
+    want = set()
+    for s, k, ax0, ay0, ax1, ay1 in p:
+        for t, m, bx0, by0, bx1, by1 in g:
+            wide, high = min(ax1, bx1) - max(ax0, bx0), min(ay1, by1) - max(ay0, by0)
+            if s == t and wide > 0 and high > 0 and (v := wide * high / ((ax1 - ax0) * (ay1 - ay0) + (bx1 - bx0) * (by1 - by0) - wide * high)) > threshold:
+                want.add((s, k, m, v))
+    got = ob.iou_pairs(spark.createDataFrame(p, _BOX_ROWS.format("pid")), spark.createDataFrame(g, _BOX_ROWS.format("gid")), threshold).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+
+
+def test_iou_pairs_code_is_compiled(spark):
+    """Methods of more than 8,000 bytes of byte code are never compiled by the JVM, and took tens of microseconds a row."""
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [spark.createDataFrame(_boxes(1), _BOX_ROWS.format(i)) for i in ("pid", "gid")]
+        made = ob.iou_pairs(*rows, 0.5).withColumn("iou", F.round("iou", 9))
+        code = spark._jvm.PythonSQLUtils.explainString(made._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
