@@ -30,12 +30,12 @@ from .common import materialize, row_key, tidy, worker_cache
 SPACE_MARK = "▁"
 #: Bits of an id in a pair.
 ID_BITS = 18
-#: Bytes of text that are worked on at a time, unless it is one text.
-BLOCK_BYTES = 1 << 21
+#: Bytes of text that are worked on at a time, unless it is one text; a block's new stretches come on top of those that are kept.
+BLOCK_BYTES = 1 << 19
 #: The most frequent pairs, so many at most, are known to every worker.
 HOT_PAIRS = 1 << 19
 #: Stretches that a worker keeps, and their characters; with more it keeps the frequent ones.
-HOT_STRETCHES = 1 << 18
+HOT_STRETCHES = 1 << 17
 HOT_CHARS = 1 << 23
 #: Stretches whose sizes have more binary digits are not kept.
 SMALL_DIGITS = 14

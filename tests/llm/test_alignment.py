@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
+import subprocess
+import sys
 
 import public_tokenizers as P
 import pytest
@@ -139,3 +142,25 @@ def test_frequent_stretches_are_kept():
     (at,) = known.places(["two four"], 2, 8)
     assert set(known.place) == {" two", " four"}
     assert [known.groups[k] for k in at][0] == kept and known.sums[at, 3].sum() == len(known.links)
+
+
+def test_a_worker_holds_few_stretches():
+    """Words that never come twice: what a worker has at once is what it keeps and one block's, in less memory than an executor has to spare."""
+    code = f"""
+import random, resource
+import pyarrow as pa
+from geoloom.llm import alignment
+
+rng = random.Random(1)
+texts = [" ".join("%06x" % rng.getrandbits(24) for _ in range(800)) for _ in range(1000)]
+known = alignment.Alignments(alignment.Tokenizers({A!r}, {B!r}))
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+before, most = peak(), 0
+for part in alignment.slices(pa.array(texts), alignment.BLOCK_BYTES):
+    known.places(part, alignment.HOT_STRETCHES, 1 << alignment.SMALL_DIGITS)
+    most = max(most, len(known.place))
+print(most, peak() - before)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    told = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(told[0]) < 250_000 and int(told[1]) < 170
